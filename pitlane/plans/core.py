@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pitlane import fixtures as fx
-from pitlane.operators import clean, gold
-from pitlane.plans.catalog import laps, query
+from pitlane import sources as src
+from pitlane.operators import clean, enrich, gold
+from pitlane.plans.catalog import laps, query, race_laps
+from pitlane.session import scratch_path
+from pitlane.sources import sinks
 from pitlane.plans.sqlparts import (
     LAP_DOUBLES, lap_projection, r6, with_driver_stats, with_laps, with_silver,
 )
@@ -95,3 +98,90 @@ SELECT Driver, round(FastestLap, 6) AS FastestLap, round(AvgLapTime, 6) AS AvgLa
 FROM driver_stats ORDER BY FastestLap, Driver, GrandPrix, Session LIMIT 5""")
 def q_top_drivers(spark, sf):
     return gold.top_drivers(gold.driver_stats(clean.silver_laps(laps(spark, sf))))
+
+
+# ---- sources and sinks (S1, S3, S4, S5, C7, C8, U2) ----------------------------
+
+@query("load_season", with_laps() + f"\nSELECT {lap_projection()} FROM laps WHERE Session = 'Race'")
+def q_load_season(spark, sf):
+    """S1 + U1: laps land partitioned by GrandPrix; one pruned read loads the season's races."""
+    path = scratch_path(spark, "season")
+    sinks.write_table(laps(spark, sf), path, partition_by=["GrandPrix"])
+    return src.load_season(spark, path, races=None, session="Race")
+
+
+@query("write_table", with_silver() + f"\nSELECT {SILVER_COLS} FROM silver")
+def q_write_table(spark, sf):
+    """Silver written partitioned by (GrandPrix, Session) and read back."""
+    path = scratch_path(spark, "silver")
+    sinks.write_table(clean.silver_laps(laps(spark, sf)), path, partition_by=["GrandPrix", "Session"])
+    return spark.read.parquet(path)
+
+
+@query("export_laps", with_silver() + "\nSELECT count(*) AS Laps, count(DISTINCT GrandPrix) AS Races FROM silver")
+def q_export_laps(spark, sf):
+    """CSV export of silver laps; lap and race counts read from the written files."""
+    return sinks.export_laps(clean.silver_laps(laps(spark, sf)), scratch_path(spark, "export"))
+
+
+def _interval_laps(spark, sf):
+    """Laps as the upstream loader delivers them: lap and sector times as intervals."""
+    df = laps(spark, sf)
+    return df.withColumns({c: F.make_dt_interval(secs=F.col(c).cast("decimal(18,6)"))
+                           for c in src.TIME_COLUMNS})
+
+
+@query("bronze_laps", with_laps() + f"\nSELECT {lap_projection()}, 'fastf1_api' AS record_source FROM laps")
+def q_bronze_laps(spark, sf):
+    return src.bronze_laps(_interval_laps(spark, sf)).drop("ingestion_timestamp")
+
+
+@query("to_seconds", with_laps() + "\nSELECT GrandPrix, Session, Driver, "
+       + r6("LapNumber", "LapTime", "Sector1Time", "Sector2Time", "Sector3Time") + " FROM laps")
+def q_to_seconds(spark, sf):
+    return src.to_seconds(_interval_laps(spark, sf)).select(
+        "GrandPrix", "Session", "Driver", "LapNumber", *src.TIME_COLUMNS)
+
+
+@query("valid_laps", with_laps() + f"""
+SELECT {lap_projection()} FROM laps WHERE Session = 'Race' AND LapTime IS NOT NULL AND IsAccurate
+  AND Compound IS NOT NULL AND TyreLife IS NOT NULL AND TyreLife <= 40""")
+def q_valid_laps(spark, sf):
+    return clean.valid_laps(race_laps(spark, sf), need_compound=True, need_age=True, max_age=40)
+
+
+@query("distinct_compounds", with_laps() + "\nSELECT DISTINCT GrandPrix, Session, Compound FROM laps")
+def q_distinct_compounds(spark, sf):
+    """Distinct values (the reference's unique() lists)."""
+    return laps(spark, sf).select("GrandPrix", "Session", "Compound").distinct()
+
+
+# ---- joins (J1, J2) ------------------------------------------------------------
+
+@query("weather_join", with_laps("weather") + """
+SELECT l.GrandPrix, l.Session, count(*) AS JoinedRows, count(w.WeatherId) AS MatchedRows,
+  round(sum(w.AirTemp), 6) AS SumAirTemp, round(max(w.TrackTemp), 6) AS MaxTrackTemp,
+  count(*) FILTER (WHERE w.Rainfall) AS RainRows, round(avg(l.LapTime), 6) AS AvgLapTime
+FROM laps l LEFT JOIN weather w ON l.GrandPrix = w.GrandPrix AND l.Session = w.Session
+GROUP BY l.GrandPrix, l.Session""")
+def q_weather_join(spark, sf):
+    """J1 summarised per session; the oracle materialises the fan-out, Spark does not."""
+    return enrich.weather_join_summary(laps(spark, sf), fx.view(spark, sf, "weather"))
+
+
+@query("weather_asof", with_laps("weather") + """
+SELECT GrandPrix, Session, Driver, round(LapNumber, 6) AS LapNumber, round(Time, 6) AS Time,
+  round(WeatherTime, 6) AS WeatherTime, WeatherId, round(AirTemp, 6) AS AirTemp,
+  round(TrackTemp, 6) AS TrackTemp, Rainfall
+FROM (
+  SELECT l.GrandPrix, l.Session, l.Driver, l.LapNumber, l.Time, w.Time AS WeatherTime, w.WeatherId,
+    w.AirTemp, w.TrackTemp, w.Rainfall,
+    row_number() OVER (PARTITION BY l.GrandPrix, l.Session, l.Driver, l.LapNumber
+                       ORDER BY w.Time DESC NULLS LAST, w.WeatherId DESC NULLS LAST) AS rn
+  FROM laps l LEFT JOIN weather w
+    ON l.GrandPrix = w.GrandPrix AND l.Session = w.Session AND w.Time <= l.Time)
+WHERE rn = 1""")
+def q_weather_asof(spark, sf):
+    out = enrich.weather_asof(laps(spark, sf), fx.view(spark, sf, "weather"))
+    return out.select("GrandPrix", "Session", "Driver", "LapNumber", "Time", "WeatherTime", "WeatherId",
+                      "AirTemp", "TrackTemp", "Rainfall")
