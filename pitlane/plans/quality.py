@@ -1 +1,150 @@
-"""placeholder"""
+"""Queries for the data-quality checks (Q1-Q8)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pitlane import fixtures as fx
+from pitlane.operators import quality
+from pitlane.plans.catalog import laps, query, race_laps
+from pitlane.plans.sqlparts import with_laps
+from pitlane.schema import LAP_RULES, LAP_RULES_EXCLUSIVE_LO, TELEMETRY_RULES
+
+_SQL_TYPES = {"int": "('INTEGER', 'BIGINT', 'SMALLINT', 'TINYINT')", "float": "('DOUBLE', 'FLOAT')",
+              "string": "('VARCHAR')", "bool": "('BOOLEAN')"}
+
+
+def schema_sql(table: str, rules, exclusive_lo=()) -> str:
+    """The same rule table evaluated in DuckDB, one SELECT per rule."""
+    parts = []
+    for name, kind, nullable, lo, hi, allowed in rules:
+        parts.append(f"SELECT '{name}' AS Field, 'present' AS Rule, true AS Passed, CAST(NULL AS BIGINT) AS Failures")
+        parts.append(f"SELECT '{name}', 'dtype', (SELECT typeof({name}) FROM {table} LIMIT 1) IN {_SQL_TYPES[kind]}, NULL")
+        if not nullable:
+            parts.append(f"SELECT '{name}', 'nullable', count(*) FILTER (WHERE {name} IS NULL) = 0, "
+                         f"count(*) FILTER (WHERE {name} IS NULL) FROM {table}")
+        conds = []
+        if lo is not None:
+            conds.append(f"{name} <= {lo}" if name in exclusive_lo else f"{name} < {lo}")
+        if hi is not None:
+            conds.append(f"{name} > {hi}")
+        check = "range"
+        if allowed is not None:
+            conds = [f"{name} NOT IN ({', '.join(repr(a) for a in allowed)})"]
+            check = "isin"
+        if conds:
+            bad = f"{name} IS NOT NULL AND ({' OR '.join(conds)})"
+            parts.append(f"SELECT '{name}', '{check}', count(*) FILTER (WHERE {bad}) = 0, "
+                         f"count(*) FILTER (WHERE {bad}) FROM {table}")
+    return "\nUNION ALL ".join(parts)
+
+
+@query("lap_schema_check", with_laps() + "\n" + schema_sql("laps", LAP_RULES, LAP_RULES_EXCLUSIVE_LO))
+def q_lap_schema_check(spark, sf):
+    return quality.lap_schema_check(laps(spark, sf))
+
+
+@query("telemetry_schema_check", with_laps("telemetry") + "\n" + schema_sql("telemetry", TELEMETRY_RULES))
+def q_telemetry_schema_check(spark, sf):
+    return quality.telemetry_schema_check(fx.view(spark, sf, "telemetry"))
+
+
+Q3_SQL = """,
+q3 AS (SELECT count(*) AS Checked,
+         count(*) FILTER (WHERE abs(LapTime - (Sector1Time + coalesce(Sector2Time, 0) + coalesce(Sector3Time, 0))) > 0.5) AS Mismatches
+       FROM laps WHERE Sector1Time IS NOT NULL),
+q3s AS (SELECT *, CASE WHEN Mismatches > 0 THEN Mismatches / Checked * 100 END AS MismatchPct,
+          CASE WHEN Mismatches > 0 AND Mismatches / Checked * 100 > 5 THEN 'issue'
+               WHEN Mismatches > 0 THEN 'warning' ELSE 'ok' END AS Severity FROM q3)"""
+
+
+@query("sector_correlation", with_laps() + Q3_SQL + """
+SELECT Checked, Mismatches, round(MismatchPct, 6) AS MismatchPct, Severity FROM q3s""")
+def q_sector_correlation(spark, sf):
+    return quality.sector_correlation(laps(spark, sf))
+
+
+Q4_SQL = """,
+g AS (SELECT GrandPrix, Session, Driver FROM laps GROUP BY GrandPrix, Session, Driver
+      HAVING count(*) >= 3 AND count(*) FILTER (WHERE IsAccurate AND PitInTime IS NULL) >= 3),
+qq AS (SELECT GrandPrix, Session, Driver, quantile_cont(LapTime, 0.25) AS q1, quantile_cont(LapTime, 0.75) AS q3
+       FROM laps WHERE IsAccurate AND PitInTime IS NULL GROUP BY GrandPrix, Session, Driver),
+b AS (SELECT g.*, q1 - 3.0 * (q3 - q1) AS lo, q3 + 3.0 * (q3 - q1) AS hi FROM g JOIN qq USING (GrandPrix, Session, Driver)),
+q4 AS (SELECT l.GrandPrix, l.Session, l.Driver, count(*) AS OutlierCount,
+         array_to_string(list_sort(list(CAST(l.LapNumber AS BIGINT))), ',') AS OutlierLaps
+       FROM laps l JOIN b USING (GrandPrix, Session, Driver)
+       WHERE l.LapTime < b.lo OR l.LapTime > b.hi GROUP BY l.GrandPrix, l.Session, l.Driver)"""
+
+
+def _laps_text(col):
+    return F.array_join(F.transform(col, lambda x: x.cast("long").cast("string")), ",")
+
+
+@query("lap_outliers", with_laps() + Q4_SQL + "\nSELECT * FROM q4")
+def q_lap_outliers(spark, sf):
+    out = quality.lap_outliers(laps(spark, sf))
+    return out.withColumn("OutlierLaps", _laps_text(F.col("OutlierLaps")))
+
+
+def q5_sql(source: str) -> str:
+    return f""",
+d AS (SELECT GrandPrix, Driver, Stint, TyreLife - lag(TyreLife) OVER (
+        PARTITION BY GrandPrix, Driver, Stint ORDER BY LapNumber, Session) AS dd
+      FROM {source} WHERE Stint IS NOT NULL),
+q5 AS (SELECT GrandPrix, Driver, Stint, 'Non-sequential tire life progression' AS Issue FROM d
+       GROUP BY GrandPrix, Driver, Stint
+       HAVING count(*) >= 2 AND count(*) FILTER (WHERE dd IS NOT NULL AND dd <> 1) > 0)"""
+
+
+@query("tyre_progression", with_laps() + ",\nrace AS (SELECT * FROM laps WHERE Session = 'Race')" + q5_sql("race")
+       + "\nSELECT GrandPrix, Driver, round(Stint, 6) AS Stint, Issue FROM q5")
+def q_tyre_progression(spark, sf):
+    return quality.tyre_progression(race_laps(spark, sf))
+
+
+Q6_SQL = """,
+q6 AS (SELECT count(*) FILTER (WHERE PitInTime IS NOT NULL) AS PitLaps,
+         count(*) FILTER (WHERE PitInTime IS NOT NULL AND PitOutTime IS NOT NULL) AS PitLapsWithOut FROM laps),
+q6s AS (SELECT *, PitLapsWithOut / greatest(PitLaps, 1) AS Completeness,
+          CASE WHEN PitLapsWithOut / greatest(PitLaps, 1) < 0.5 THEN 'warning' ELSE 'ok' END AS Severity FROM q6)"""
+
+
+@query("pit_completeness", with_laps() + Q6_SQL + """
+SELECT PitLaps, PitLapsWithOut, round(Completeness, 6) AS Completeness, Severity FROM q6s""")
+def q_pit_completeness(spark, sf):
+    return quality.pit_completeness(laps(spark, sf))
+
+
+@query("quality_report", with_laps() + Q3_SQL + Q4_SQL + q5_sql("laps") + Q6_SQL + f""",
+sch AS ({schema_sql("laps", LAP_RULES, LAP_RULES_EXCLUSIVE_LO)}),
+f AS (
+  SELECT 'schema' AS Rule, 'issue' AS Severity FROM sch HAVING count(*) FILTER (WHERE NOT Passed) > 0
+  UNION ALL SELECT 'sector', CASE WHEN Severity = 'issue' THEN 'issue' ELSE 'warning' END FROM q3s WHERE Severity <> 'ok'
+  UNION ALL SELECT 'outliers', 'warning' FROM q4 HAVING count(*) > 0
+  UNION ALL SELECT 'progression', 'warning' FROM q5 HAVING count(*) > 0
+  UNION ALL SELECT 'pits', 'warning' FROM q6s WHERE Severity <> 'ok')
+SELECT (SELECT count(*) FROM laps) AS TotalRows,
+  count(*) FILTER (WHERE Rule = 'schema') = 0 AS SchemaValid,
+  count(*) FILTER (WHERE Severity = 'issue') AS Issues,
+  count(*) FILTER (WHERE Severity = 'warning') AS Warnings,
+  count(*) FILTER (WHERE Rule = 'schema') = 0 AND count(*) FILTER (WHERE Severity = 'issue') = 0 AS Passed
+FROM f""")
+def q_quality_report(spark, sf):
+    return quality.quality_report(laps(spark, sf))
+
+
+@query("cross_compound", with_laps() + """,
+a AS (SELECT GrandPrix, Circuit, Compound, avg(LapTime) AS MeanLapTime, count(LapTime) AS LapCount,
+        median(LapTime) AS MedianLapTime
+      FROM laps WHERE GrandPrix IS NOT NULL AND Circuit IS NOT NULL AND Compound IS NOT NULL
+      GROUP BY GrandPrix, Circuit, Compound HAVING count(LapTime) >= 5),
+w AS (SELECT *, count(*) OVER (PARTITION BY GrandPrix, Circuit) AS CompoundsQualified,
+        max(CASE WHEN Compound = 'SOFT' THEN MedianLapTime END) OVER (PARTITION BY GrandPrix, Circuit) AS s,
+        max(CASE WHEN Compound = 'MEDIUM' THEN MedianLapTime END) OVER (PARTITION BY GrandPrix, Circuit) AS m,
+        max(CASE WHEN Compound = 'HARD' THEN MedianLapTime END) OVER (PARTITION BY GrandPrix, Circuit) AS h FROM a)
+SELECT GrandPrix, Circuit, Compound, round(MeanLapTime, 6) AS MeanLapTime, LapCount,
+  round(MedianLapTime, 6) AS MedianLapTime, CompoundsQualified,
+  CASE WHEN s IS NOT NULL AND m IS NOT NULL AND h IS NOT NULL THEN s < m AND m < h END AS ExpectedOrder
+FROM w WHERE CompoundsQualified >= 2""")
+def q_cross_compound(spark, sf):
+    return quality.cross_compound(laps(spark, sf))

@@ -59,8 +59,8 @@ STRATEGIES_SCHEMA = StructType([
 # allowed set) read from the reference's lap schema.  Bounds are inclusive.
 LAP_RULES = (
     ("Driver", "string", False, None, None, None),
-    ("LapNumber", "int", True, 0, None, None),  # strictly greater than 0
-    ("LapTime", "float", True, 0, 200, None),
+    ("LapNumber", "int", False, 0, None, None),  # strictly greater than 0
+    ("LapTime", "float", False, 0, 200, None),
     ("Sector1Time", "float", True, 0, 100, None),
     ("Sector2Time", "float", True, 0, 100, None),
     ("Sector3Time", "float", True, 0, 100, None),
