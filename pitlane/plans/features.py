@@ -1 +1,167 @@
-"""placeholder"""
+"""Queries for the feature operators (F1-F8) and window operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pitlane.operators import clean, features
+from pitlane.plans.catalog import laps, query, race_laps
+from pitlane.plans.sqlparts import r6, with_laps, with_silver
+
+KEYS = "GrandPrix, Session, Driver, round(LapNumber, 6) AS LapNumber"
+SPARK_KEYS = ("GrandPrix", "Session", "Driver", "LapNumber")
+DW = "PARTITION BY GrandPrix, Session, Driver ORDER BY LapNumber"
+
+
+def tyre_bin(c):
+    return ("CASE WHEN {c} > 0 AND {c} <= 5 THEN 'Fresh' WHEN {c} > 5 AND {c} <= 10 THEN 'Early' "
+            "WHEN {c} > 10 AND {c} <= 15 THEN 'Mid' WHEN {c} > 15 AND {c} <= 20 THEN 'Late' "
+            "WHEN {c} > 20 AND {c} <= 100 THEN 'VeryOld' END").format(c=c)
+
+
+def progress_bin(c):
+    return ("CASE WHEN {c} > 0 AND {c} <= 0.25 THEN 'Early' WHEN {c} > 0.25 AND {c} <= 0.5 THEN 'EarlyMid' "
+            "WHEN {c} > 0.5 AND {c} <= 0.75 THEN 'LateMid' WHEN {c} > 0.75 AND {c} <= 1.0 THEN 'Late' END").format(c=c)
+
+
+FEAT_CTE = f""",
+feat1 AS (
+  SELECT *, {tyre_bin('TyreLife')} AS TyreLifeBin, CASE WHEN TyreLife <= 2 THEN 1 ELSE 0 END AS IsFreshTyre,
+    LapNumber / nullif(max(LapNumber) OVER (PARTITION BY GrandPrix, Session, Driver), 0) AS SessionProgress,
+    avg(LapTime) OVER ({DW} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS LapTime_Rolling3,
+    CASE WHEN LapTime IS NOT NULL THEN min(LapTime) OVER ({DW} ROWS UNBOUNDED PRECEDING) END AS BestLapSoFar,
+    LapTime - min(LapTime) OVER (PARTITION BY GrandPrix, Session) AS DeltaToSessionFastest,
+    Sector1Time / nullif(LapTime, 0) * 100 AS Sector1Pct, Sector2Time / nullif(LapTime, 0) * 100 AS Sector2Pct,
+    Sector3Time / nullif(LapTime, 0) * 100 AS Sector3Pct,
+    CASE WHEN Stint IS NOT NULL THEN row_number() OVER (PARTITION BY GrandPrix, Session, Driver, Stint ORDER BY LapNumber) END AS LapsIntoStint,
+    avg(LapTime) OVER (PARTITION BY GrandPrix, Session ORDER BY LapNumber, Driver ROWS UNBOUNDED PRECEDING) AS TrackEvolution
+  FROM silver),
+feat AS (SELECT *, LapTime - BestLapSoFar AS DeltaToBest, {progress_bin('SessionProgress')} AS LapNumberBin FROM feat1)"""
+
+FEATURES = with_silver() + FEAT_CTE
+
+
+def silver(spark, sf):
+    return clean.silver_laps(laps(spark, sf))
+
+
+def pick(df, *cols):
+    return df.select(*SPARK_KEYS, *cols)
+
+
+@query("tyre_features", FEATURES + f"\nSELECT {KEYS}, round(TyreLife, 6) AS TyreLife, TyreLifeBin, IsFreshTyre FROM feat")
+def q_tyre_features(spark, sf):
+    return pick(features.tyre_features(silver(spark, sf)), "TyreLife", "TyreLifeBin", "IsFreshTyre")
+
+
+@query("progress_features", FEATURES + f"\nSELECT {KEYS}, {r6('SessionProgress')}, LapNumberBin FROM feat")
+def q_progress_features(spark, sf):
+    return pick(features.progress_features(silver(spark, sf)), "SessionProgress", "LapNumberBin")
+
+
+@query("history_features", FEATURES + f"\nSELECT {KEYS}, {r6('LapTime_Rolling3', 'BestLapSoFar', 'DeltaToBest')} FROM feat")
+def q_history_features(spark, sf):
+    return pick(features.history_features(silver(spark, sf)), "LapTime_Rolling3", "BestLapSoFar", "DeltaToBest")
+
+
+@query("field_delta", FEATURES + f"\nSELECT {KEYS}, {r6('DeltaToSessionFastest')} FROM feat")
+def q_field_delta(spark, sf):
+    return pick(features.field_delta(silver(spark, sf)), "DeltaToSessionFastest")
+
+
+@query("sector_pct", FEATURES + f"\nSELECT {KEYS}, {r6('Sector1Pct', 'Sector2Pct', 'Sector3Pct')} FROM feat")
+def q_sector_pct(spark, sf):
+    return pick(features.sector_pct(silver(spark, sf)), "Sector1Pct", "Sector2Pct", "Sector3Pct")
+
+
+@query("stint_track_features", FEATURES + f"\nSELECT {KEYS}, LapsIntoStint, {r6('TrackEvolution')} FROM feat")
+def q_stint_track_features(spark, sf):
+    return pick(features.stint_track_features(silver(spark, sf)), "LapsIntoStint", "TrackEvolution")
+
+
+ALL_FEATURES = ("TyreLifeBin", "IsFreshTyre", "SessionProgress", "LapNumberBin", "LapTime_Rolling3",
+                "BestLapSoFar", "DeltaToBest", "DeltaToSessionFastest", "Sector1Pct", "Sector2Pct",
+                "Sector3Pct", "LapsIntoStint", "TrackEvolution")
+_DOUBLES = [c for c in ALL_FEATURES if c not in ("TyreLifeBin", "IsFreshTyre", "LapNumberBin", "LapsIntoStint")]
+
+
+@query("lap_features", FEATURES + f"\nSELECT {KEYS}, TyreLifeBin, IsFreshTyre, LapNumberBin, LapsIntoStint, "
+       f"{r6(*_DOUBLES)} FROM feat")
+def q_lap_features(spark, sf):
+    return pick(features.lap_features(silver(spark, sf)), *ALL_FEATURES)
+
+
+_LABELS = ("GrandPrix", "Circuit", "Session", "Driver", "DriverNumber", "Compound", "CompoundStd",
+           "TyreLifeBin", "LapNumberBin")
+_NUMERIC = ("LapNumber", "TyreLife", "Stint", "SectorSum", "TimeMismatch", "FastestLapTime", "DeltaToFastest",
+            "IsFreshTyre", "SessionProgress", "LapTime_Rolling3", "BestLapSoFar", "DeltaToBest",
+            "DeltaToSessionFastest", "Sector1Pct", "Sector2Pct", "Sector3Pct", "LapsIntoStint", "TrackEvolution")
+
+
+def _label_sql(c):
+    null = "nan" if c in features.CATEGORY_COLUMNS else "None"
+    return (f"SELECT '{c}' AS Field, lbl AS Label, CAST(row_number() OVER (ORDER BY lbl) - 1 AS INTEGER) AS Code "
+            f"FROM (SELECT DISTINCT coalesce({c}, '{null}') AS lbl FROM feat)")
+
+
+@query("label_codes", FEATURES + "\n" + "\nUNION ALL ".join(_label_sql(c) for c in _LABELS))
+def q_label_codes(spark, sf):
+    """F8 encoders: (Field, Label, Code), alphabetical, NULL as its own label."""
+    feats = features.lap_features(silver(spark, sf))
+    labels, _ = features.feature_columns(feats)
+    model = features.label_indexer(feats, labels)
+    return spark.createDataFrame(features.label_codes(model, labels), "Field string, Label string, Code int")
+
+
+@query("impute_medians", FEATURES + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS Field, round(median(CAST({c} AS DOUBLE)), 6) AS Median FROM feat" for c in _NUMERIC))
+def q_impute_medians(spark, sf):
+    """F8 imputation values: exact median of every numeric feature column."""
+    feats = features.lap_features(silver(spark, sf))
+    _, numeric = features.feature_columns(feats)
+    return features.numeric_medians(feats, numeric)
+
+
+# ---- window operators on raw laps (NULL lap times included) -------------------------
+
+@query("rolling3", with_laps() + f"""
+SELECT {KEYS}, round(avg(LapTime) OVER ({DW} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS LapTime_Rolling3
+FROM laps""")
+def q_rolling3(spark, sf):
+    return pick(features.rolling3(laps(spark, sf)), "LapTime_Rolling3")
+
+
+@query("best_so_far", with_laps() + f""",
+b AS (SELECT *, CASE WHEN LapTime IS NOT NULL THEN min(LapTime) OVER ({DW} ROWS UNBOUNDED PRECEDING) END AS BestLapSoFar FROM laps)
+SELECT {KEYS}, {r6('BestLapSoFar')}, round(LapTime - BestLapSoFar, 6) AS DeltaToBest FROM b""")
+def q_best_so_far(spark, sf):
+    return pick(features.best_so_far(laps(spark, sf)), "BestLapSoFar", "DeltaToBest")
+
+
+@query("laps_into_stint", with_laps() + f"""
+SELECT {KEYS}, round(Stint, 6) AS Stint, CASE WHEN Stint IS NOT NULL THEN row_number() OVER (
+  PARTITION BY GrandPrix, Session, Driver, Stint ORDER BY LapNumber) END AS LapsIntoStint FROM laps""")
+def q_laps_into_stint(spark, sf):
+    return pick(features.laps_into_stint(laps(spark, sf)), "Stint", "LapsIntoStint")
+
+
+@query("track_evolution", with_laps() + f"""
+SELECT {KEYS}, round(avg(LapTime) OVER (PARTITION BY GrandPrix, Session ORDER BY LapNumber, Driver
+  ROWS UNBOUNDED PRECEDING), 6) AS TrackEvolution FROM laps""")
+def q_track_evolution(spark, sf):
+    return pick(features.track_evolution(laps(spark, sf)), "TrackEvolution")
+
+
+@query("session_progress", with_laps() + f"""
+SELECT {KEYS}, round(LapNumber / nullif(max(LapNumber) OVER (PARTITION BY GrandPrix, Session, Driver), 0), 6)
+  AS SessionProgress FROM laps""")
+def q_session_progress(spark, sf):
+    return pick(features.session_progress(laps(spark, sf)), "SessionProgress")
+
+
+@query("tyre_age_diff", with_laps() + f"""
+SELECT {KEYS}, round(Stint, 6) AS Stint, round(TyreLife - lag(TyreLife) OVER (
+  PARTITION BY GrandPrix, Driver, Stint ORDER BY LapNumber, Session), 6) AS TyreLifeDiff
+FROM laps WHERE Session = 'Race'""")
+def q_tyre_age_diff(spark, sf):
+    return pick(features.tyre_age_diff(race_laps(spark, sf)), "Stint", "TyreLifeDiff")
