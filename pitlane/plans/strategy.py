@@ -9,7 +9,7 @@ from pitlane.operators import clean, strategy
 from pitlane.plans.catalog import query, race_laps
 from pitlane.plans.sqlparts import with_laps
 
-BASE = with_laps("strategies") + """,
+CURVE = """,
 v AS (SELECT * FROM laps WHERE Session = 'Race' AND LapTime IS NOT NULL AND IsAccurate
         AND Compound IS NOT NULL AND TyreLife IS NOT NULL),
 pa AS (SELECT Compound, TyreLife, median(LapTime) AS MedianLapTime, count(LapTime) AS LapCount
@@ -19,7 +19,9 @@ curve AS (SELECT *, arg_min(MedianLapTime, TyreLife) OVER (PARTITION BY Compound
             count(*) OVER (PARTITION BY Compound) AS n_ages FROM pa),
 c AS (SELECT Compound, TyreLife, MedianLapTime FROM curve WHERE n_ages >= 3),
 ends AS (SELECT Compound, min(TyreLife) AS a1, arg_min(MedianLapTime, TyreLife) AS m1,
-           max(TyreLife) AS an, arg_max(MedianLapTime, TyreLife) AS mn FROM c GROUP BY Compound),
+           max(TyreLife) AS an, arg_max(MedianLapTime, TyreLife) AS mn FROM c GROUP BY Compound)"""
+
+BASE = with_laps("strategies") + CURVE + """,
 st AS (SELECT *, coalesce(sum(StintLength) OVER (PARTITION BY Strategy ORDER BY StintNo
          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM strategies),
 req AS (SELECT Strategy, StintNo, Compound, CAST(TyreAge AS INTEGER) AS TyreAge, CAST(start + TyreAge AS INTEGER) AS LapNo

@@ -64,6 +64,12 @@ def main():
             print(f"FAIL {name}: columns spark={cols} oracle={sorted(ocols)}")
             bad += 1
             continue
+        stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+        otypes = {d[0]: str(d[1]) for d in cur.description}
+        tmap = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN"}
+        tdiff = [(c, stypes[c], otypes[c]) for c in cols if tmap.get(stypes[c], stypes[c]) != otypes[c]]
+        if tdiff:
+            print(f"TYPES {name}: {tdiff}")
         idx = [ocols.index(c) for c in cols]
         orows = sorted((tuple(norm(r[i]) for i in idx) for r in orows_raw), key=repr)
         if srows == orows:
