@@ -29,7 +29,9 @@ def query(name: str, sql: str | None = None):
 
 
 def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.view(spark, sf_dir, "laps")
+    """The lap table: derived from the driver's tables once, then read as landed parquet."""
+    from pitlane.sources.landing import land
+    return land(spark, sf_dir, "laps")
 
 
 def race_laps(spark: SparkSession, sf_dir: str) -> DataFrame:

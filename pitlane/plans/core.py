@@ -64,7 +64,7 @@ SELECT {lap_projection()} FROM (
     ORDER BY LapTime NULLS FIRST, Compound NULLS FIRST, TyreLife NULLS FIRST) AS rn FROM laps_dup)
 WHERE rn = 1""")
 def q_dedup_laps(spark, sf):
-    return clean.dedup_laps(fx.view(spark, sf, "laps_dup"))
+    return clean.dedup_laps(spark.sql(fx.LAPS_DUP_SQL, laps=laps(spark, sf)))
 
 
 @query("silver_laps", with_silver() + f"\nSELECT {SILVER_COLS} FROM silver")
