@@ -98,10 +98,28 @@ def laps_into_stint(df: DataFrame, keys: Sequence[str] = DRIVER_KEYS, stint: str
                          F.when(F.col(stint).isNotNull(), F.row_number().over(w).cast("long")))
 
 
-def track_evolution(df: DataFrame, keys: Sequence[str] = SESSION_KEYS) -> DataFrame:
-    """Expanding mean LapTime per session in (LapNumber, Driver) order."""
-    w = Window.partitionBy(*keys).orderBy("LapNumber", "Driver").rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("TrackEvolution", F.avg("LapTime").over(w))
+def track_evolution(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, method: str = "prefix") -> DataFrame:
+    """Expanding mean LapTime per session in (LapNumber, Driver) order.
+
+    ``prefix`` (default) never puts a session in one task: per-(session, lap
+    number) totals form a small table whose running sums give each lap number
+    its offset, and only the rows sharing one lap number of one session are
+    ordered together (by Driver).  ``window`` is the direct session window.
+    """
+    k = list(keys)
+    if method == "window":
+        w = Window.partitionBy(*k).orderBy("LapNumber", "Driver").rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn("TrackEvolution", F.avg("LapTime").over(w))
+    per_lap = df.groupBy(*k, "LapNumber").agg(F.sum("LapTime").alias("_s"), F.count("LapTime").alias("_c"))
+    before = Window.partitionBy(*k).orderBy("LapNumber").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_lap.select(*k, "LapNumber", F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_os"),
+                             F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_oc"))
+    within = Window.partitionBy(*k, "LapNumber").orderBy("Driver").rowsBetween(Window.unboundedPreceding, 0)
+    run = df.withColumn("_rs", F.coalesce(F.sum("LapTime").over(within), F.lit(0.0))) \
+        .withColumn("_rc", F.count("LapTime").over(within))
+    out = null_safe_join(run, offsets, k + ["LapNumber"], "left")
+    return out.withColumn("TrackEvolution", F.try_divide(F.col("_os") + F.col("_rs"), F.col("_oc") + F.col("_rc"))) \
+        .drop("_rs", "_rc", "_os", "_oc")
 
 
 def stint_track_features(df: DataFrame) -> DataFrame:

@@ -53,3 +53,13 @@ def test_no_python_udf_in_plans(spark):
     for name in ("silver_laps", "tyre_degradation", "weather_asof", "compare_strategies", "lap_features"):
         plan = catalog.QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_track_evolution_prefix_matches_window(spark):
+    from pitlane.operators import features
+    laps = catalog.laps(spark, SF001)
+    a = features.track_evolution(laps, method="prefix").select("GrandPrix", "Session", "Driver", "LapNumber",
+                                                               F.round("TrackEvolution", 9).alias("t"))
+    b = features.track_evolution(laps, method="window").select("GrandPrix", "Session", "Driver", "LapNumber",
+                                                               F.round("TrackEvolution", 9).alias("t"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
