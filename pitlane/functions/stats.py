@@ -28,7 +28,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                    how: str = "inner") -> DataFrame:
     """Join on ``keys`` treating NULL = NULL (Spark groupBy keeps NULL groups)."""
     if not keys:
-        return left.crossJoin(right) if how == "inner" else left.join(right, how=how)
+        raise ValueError("null_safe_join needs at least one key (no cross joins)")
     r = right
     for k in keys:
         r = r.withColumnRenamed(k, f"__r_{k}")
@@ -48,6 +48,10 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
     """
     keys = list(keys)
     v = F.col(value) if isinstance(value, str) else value
+    if not keys:  # one global group: a constant key keeps every join an equi-join
+        out = group_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], v, probs, method=method,
+                              bucket_rows=bucket_rows)
+        return out.drop("_all")
     base = df.select(*keys, v.cast("double").alias("_v")).where(F.col("_v").isNotNull())
     if method == "builtin":
         return base.groupBy(*keys).agg(*[
@@ -60,36 +64,38 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
     #    hashing on (keys, value) spreads a hot group over all reducers.
     hist = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
 
-    # 2. group sizes (rows and distinct values).
-    sizes = hist.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"))
-
-    # 3. cut points for big groups only: approximate quantiles of the distinct
-    #    values, thinned to ceil(d / bucket_rows) buckets.
-    big = sizes.where(F.col("_d") > F.lit(bucket_rows)).select(
-        *keys, F.least(F.lit(_GRID), F.ceil(F.col("_d") / F.lit(bucket_rows))).cast("int").alias("_b"))
+    # 2. per group (one small row each): rows, distinct values, and for groups
+    #    with more than ``bucket_rows`` distinct values, cut points at
+    #    approximate quantiles thinned to ceil(d / bucket_rows) buckets.
     grid = F.array(*[F.lit(i / _GRID) for i in range(1, _GRID)])
-    cuts = (null_safe_join(hist, big, keys, "left_semi")
-            .groupBy(*keys).agg(F.percentile_approx("_v", grid, _SKETCH_ACCURACY).alias("_grid")))
-    cuts = null_safe_join(cuts, big, keys).select(
-        *keys,
-        F.expr(f"transform(sequence(1, _b - 1), k -> element_at(_grid, cast(k * {_GRID} / _b AS INT)))")
-        .alias("_cuts"))
-    groups = null_safe_join(sizes, cuts, keys, "left")
-
-    # 4. bucket of each histogram row = number of cut points below its value.
+    groups = hist.groupBy(*keys).agg(
+        F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"),
+        F.percentile_approx("_v", grid, _SKETCH_ACCURACY).alias("_grid"))
+    nb = F.least(F.lit(_GRID), F.ceil(F.col("_d") / F.lit(bucket_rows))).cast("int")
+    groups = groups.select(*keys, "_n", F.when(nb > 1, F.transform(
+        F.sequence(F.lit(1), nb - 1),
+        lambda k: F.element_at("_grid", (k * F.lit(_GRID) / nb).cast("int")))).alias("_cuts"))
+
+    # 3. bucket of each histogram row = number of cut points below its value.
     ranked = null_safe_join(hist, groups, keys).withColumn(
         "_bk", F.when(F.col("_cuts").isNull(), F.lit(0))
         .otherwise(F.size(F.filter("_cuts", lambda x: x < F.col("_v")))))
 
-    # 5. rows before each bucket (small table: one row per group and bucket).
-    totals = ranked.groupBy(*keys, "_bk").agg(F.sum("_c").alias("_bc"))
+    # 4. one window pass per (group, bucket): running count and bucket total.
+    part = Window.partitionBy(*keys, "_bk")
+    ranked = ranked.select(
+        *keys, "_bk", "_v", "_c", "_n",
+        F.sum("_c").over(part.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)).alias("_run"),
+        F.sum("_c").over(part).alias("_btot"))
+
+    # 5. rows in earlier buckets (small table: one row per group and bucket).
     before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_bk", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"))
+    offsets = ranked.select(*keys, "_bk", "_btot").distinct().select(
+        *keys, "_bk", F.coalesce(F.sum("_btot").over(before), F.lit(0)).alias("_off"))
 
     # 6. 1-based rank range [lo, hi] covered by each distinct value.
-    upto = Window.partitionBy(*keys, "_bk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     spans = null_safe_join(ranked, offsets, keys + ["_bk"]).select(
-        *keys, "_v", "_n", (F.col("_off") + F.sum("_c").over(upto)).alias("_hi"), "_c")
+        *keys, "_v", "_n", (F.col("_off") + F.col("_run")).alias("_hi"), "_c")
     spans = spans.withColumn("_lo", F.col("_hi") - F.col("_c") + 1)
 
     # 7. pick the values at floor/ceil of p * (n - 1) and interpolate.

@@ -87,6 +87,20 @@ def stint_stats(valid: DataFrame, keys: Sequence[str] = STINT_KEYS,
                               F.avg("LapTime").alias("MeanLapTime"))
 
 
+def pace_change(valid: DataFrame, min_age_count: int = 10, window: int = 3) -> DataFrame:
+    """Per compound, change of the per-age median between consecutive kept ages
+    (ages with >= ``min_age_count`` laps), smoothed by a full ``window``-row mean.
+
+    The windows run over the small per-age table, one row per (compound, age).
+    """
+    pace = pace_by_age(valid, ["Compound", "TyreLife"], min_count=min_age_count)
+    by_age = Window.partitionBy("Compound").orderBy("TyreLife")
+    roll = by_age.rowsBetween(-(window - 1), 0)
+    pace = pace.withColumn("MedianDiff", F.col("MedianLapTime") - F.lag("MedianLapTime").over(by_age))
+    return pace.withColumn("PaceChange", F.when(F.count("MedianDiff").over(roll) == window,
+                                                F.avg("MedianDiff").over(roll)))
+
+
 def optimal_stint(valid: DataFrame, compounds: Sequence[str] = DRY_COMPOUNDS,
                   min_laps: int = 100, min_age_count: int = 10, min_ages: int = 5,
                   window: int = 3, threshold_q: float = 0.75) -> DataFrame:
@@ -101,11 +115,7 @@ def optimal_stint(valid: DataFrame, compounds: Sequence[str] = DRY_COMPOUNDS,
     volume = df.groupBy("Compound").agg(F.count(F.lit(1)).alias("_laps"), F.max("TyreLife").alias("LongestStint"))
     volume = volume.where(F.col("_laps") >= F.lit(min_laps))
 
-    pace = pace_by_age(df, ["Compound", "TyreLife"], min_count=min_age_count)
-    by_age = Window.partitionBy("Compound").orderBy("TyreLife")
-    roll = by_age.rowsBetween(-(window - 1), 0)
-    pace = pace.withColumn("_diff", F.col("MedianLapTime") - F.lag("MedianLapTime").over(by_age))
-    pace = pace.withColumn("_chg", F.when(F.count("_diff").over(roll) == window, F.avg("_diff").over(roll)))
+    pace = pace_change(df, min_age_count, window).withColumnRenamed("PaceChange", "_chg")
     thr = pace.groupBy("Compound").agg(
         F.count(F.lit(1)).alias("_ages"), F.max("TyreLife").alias("_maxage"),
         F.percentile("_chg", F.lit(threshold_q)).alias("_thr"))

@@ -84,6 +84,17 @@ def q_optimal_stint(spark, sf):
     return tyres.optimal_stint(valid_ca(spark, sf))
 
 
+@query("pace_change", T3_SQL + """
+SELECT r.Compound, round(r.TyreLife, 6) AS TyreLife, round(r.med, 6) AS MedianLapTime, round(r.diff, 6) AS MedianDiff,
+  round(r.chg, 6) AS PaceChange FROM r JOIN vol USING (Compound)""")
+def q_pace_change(spark, sf):
+    """The smoothed median change T3 thresholds (dry compounds with >= 100 laps)."""
+    df = valid_ca(spark, sf).where("Compound IN ('SOFT', 'MEDIUM', 'HARD')")
+    vol = df.groupBy("Compound").count().where("count >= 100").select("Compound")
+    return tyres.pace_change(df).join(vol, "Compound", "left_semi").select(
+        "Compound", "TyreLife", "MedianLapTime", "MedianDiff", "PaceChange")
+
+
 @query("stint_stats", BASE + """
 SELECT Compound, GrandPrix, Driver, round(Stint, 6) AS Stint, round(max(TyreLife), 6) AS StintLength,
   round(avg(LapTime), 6) AS MeanLapTime
