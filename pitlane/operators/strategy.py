@@ -17,6 +17,30 @@ from pitlane.functions.stats import group_quantiles, null_safe_join
 PIT_LOSS = 25.0       # seconds per stop
 EXTRA_DEG = 0.05      # seconds per lap beyond the curve's last age
 
+# The reference's default strategies, {name: [(compound, stint laps), ...]}.
+DEFAULT_STRATEGIES = {
+    "Conservative (1-stop)": [("HARD", 78)],
+    "Standard (1-stop)": [("MEDIUM", 40), ("HARD", 38)],
+    "Aggressive (2-stop)": [("SOFT", 25), ("MEDIUM", 28), ("MEDIUM", 25)],
+    "Alternative (2-stop)": [("MEDIUM", 30), ("SOFT", 20), ("MEDIUM", 28)],
+}
+
+
+def strategies_frame(spark, strategies: dict | None = None) -> DataFrame:
+    """A strategies parameter table ``{name: [(compound, laps), ...]}`` as a DataFrame.
+
+    This is the S2 intake (pandas -> Spark with a declared schema); such
+    tables are a handful of rows written by an analyst, not lap data.
+    """
+    import pandas as pd
+
+    from pitlane.schema import STRATEGIES_SCHEMA
+    from pitlane.sources.laps import from_pandas
+    rows = [(name, i + 1, comp, int(n)) for name, stints in (strategies or DEFAULT_STRATEGIES).items()
+            for i, (comp, n) in enumerate(stints)]
+    pdf = pd.DataFrame(rows, columns=[f.name for f in STRATEGIES_SCHEMA.fields])
+    return from_pandas(spark, pdf, STRATEGIES_SCHEMA)
+
 
 def pace_curve(valid: DataFrame, keys: Sequence[str] = ("Compound",), min_count: int = 3,
                min_ages: int = 3) -> DataFrame:

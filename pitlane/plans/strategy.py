@@ -79,3 +79,20 @@ SELECT Strategy, LapNo, StintNo, Compound, TyreAge, round(PredictedLapTime, 6) A
 FROM pred SEMI JOIN ok USING (Strategy)""")
 def q_strategy_timeline(spark, sf):
     return strategy.strategy_timeline(fx.view(spark, sf, "strategies"), curve(spark, sf))
+
+
+DEFAULTS_SQL = with_laps() + CURVE + """,
+strategies AS (SELECT * FROM (VALUES
+  ('Conservative (1-stop)', 1, 'HARD', 78),
+  ('Standard (1-stop)', 1, 'MEDIUM', 40), ('Standard (1-stop)', 2, 'HARD', 38),
+  ('Aggressive (2-stop)', 1, 'SOFT', 25), ('Aggressive (2-stop)', 2, 'MEDIUM', 28), ('Aggressive (2-stop)', 3, 'MEDIUM', 25),
+  ('Alternative (2-stop)', 1, 'MEDIUM', 30), ('Alternative (2-stop)', 2, 'SOFT', 20), ('Alternative (2-stop)', 3, 'MEDIUM', 28)
+) AS t(Strategy, StintNo, Compound, StintLength))""" + BASE[len(with_laps("strategies") + CURVE):]
+
+
+@query("default_strategies", DEFAULTS_SQL + """
+SELECT Strategy, round(RaceTime, 6) AS RaceTime, round(AvgLapTime, 6) AS AvgLapTime, NumStops, TotalLaps,
+  round(RaceTime - min(RaceTime) OVER (), 6) AS TimeDelta FROM scored""")
+def q_default_strategies(spark, sf):
+    """S2 + P4: the reference's default strategy dict (pandas intake) priced on the laps' pace curve."""
+    return strategy.compare_strategies(strategy.strategies_frame(spark), curve(spark, sf))
