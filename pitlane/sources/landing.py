@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitlane import fixtures as fx
 from pitlane.session import scratch_path
 
-_LANDED: dict[tuple[str, str, str], str] = {}
+_LANDED: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 _LOCK = threading.Lock()
 
 
@@ -26,15 +26,17 @@ def land(spark: SparkSession, sf_dir: str, name: str = "laps",
     """The fixture view ``name`` over ``sf_dir`` as a landed, partitioned table."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     with _LOCK:
-        path = _LANDED.get(key)
-        if path is None:
+        hit = _LANDED.get(key)
+        if hit is None:
             path = scratch_path(spark, f"landed-{name}")
             view = fx.view(spark, sf_dir, name)
             view.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-            _LANDED[key] = path
-    df = spark.read.parquet(path)
-    return df.select(*fx.view(spark, sf_dir, name).columns)
+            # one lazy DataFrame per landed table: its file index is listed once
+            hit = (path, spark.read.parquet(path).select(*view.columns))
+            _LANDED[key] = hit
+    return hit[1]
 
 
 def landed_path(spark: SparkSession, sf_dir: str, name: str = "laps") -> str | None:
-    return _LANDED.get((spark.sparkContext.applicationId, sf_dir.rstrip("/"), name))
+    hit = _LANDED.get((spark.sparkContext.applicationId, sf_dir.rstrip("/"), name))
+    return hit[0] if hit else None
