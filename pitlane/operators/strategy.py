@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane.functions.stats import group_quantiles, null_safe_join
+from pitlane.session import materialize
 
 PIT_LOSS = 25.0       # seconds per stop
 EXTRA_DEG = 0.05      # seconds per lap beyond the curve's last age
@@ -76,6 +77,8 @@ def predict_pace(requests: DataFrame, curve: DataFrame, age: str = "TyreAge",
     table is bounded by the tyre-age span per compound, never by lap volume.
     """
     k = list(keys)
+    # the curve is small (compounds x ages) and read twice below: materialize it once
+    curve = materialize(curve.select(*k, "TyreLife", "MedianLapTime"))
     by_age = Window.partitionBy(*k).orderBy("TyreLife")
     seg = curve.select(*k, F.col("TyreLife").alias("_alo"), F.col("MedianLapTime").alias("_mlo"),
                        F.lead("TyreLife").over(by_age).alias("_ahi"),
@@ -123,6 +126,8 @@ def compare_strategies(strategies: DataFrame, curve: DataFrame, pit_loss: float
     j = null_safe_join(lap_agg, stints, ["Strategy"]).where(F.col("_miss") == 0)
     scored = j.select("Strategy", (F.col("_sum") + F.lit(pit_loss) * (F.col("_stints") - 1)).alias("RaceTime"),
                       "AvgLapTime", (F.col("_stints") - 1).alias("NumStops"), "TotalLaps")
+    # one row per strategy, read by the main plan and by the scalar subquery
+    scored = materialize(scored)
     fastest = scored.agg(F.min("RaceTime")).scalar()
     return scored.withColumn("TimeDelta", F.col("RaceTime") - fastest).orderBy("RaceTime", "Strategy")
 

@@ -52,3 +52,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique folder under the shared checkpoint dir, for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/pitlane-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it from there.
+
+    For small derived tables read by several branches of a plan (a pace curve,
+    per-strategy scores): every branch then scans the written files instead of
+    re-deriving them, and the lineage is cut, so a lost executor re-reads files.
+    Uses a reliable ``checkpoint()``, never a local one.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
