@@ -36,7 +36,11 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
         cond = c if cond is None else cond & c
-    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
+    j = left.join(r, cond, how)
+    if how.lower() in ("full", "outer", "fullouter", "full_outer", "right", "rightouter", "right_outer"):
+        # right-only rows carry their keys on the right side
+        j = j.withColumns({k: F.coalesce(F.col(k), F.col(f"__r_{k}")) for k in keys})
+    return j.drop(*[f"__r_{k}" for k in keys])
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,

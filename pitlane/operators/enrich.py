@@ -60,7 +60,7 @@ def weather_join_summary(laps: DataFrame, weather: DataFrame,
 
 
 def weather_asof(laps: DataFrame, weather: DataFrame, keys: Sequence[str] = SESSION_KEYS,
-                 time_col: str = "Time", bucket_seconds: float = 3600.0) -> DataFrame:
+                 time_col: str = "Time", bucket_seconds: float = 60.0) -> DataFrame:
     """Attach the latest weather row at or before each lap's ``time_col``.
 
     Ties on weather time go to the larger WeatherId.  Laps without an earlier
@@ -87,10 +87,12 @@ def weather_asof(laps: DataFrame, weather: DataFrame, keys: Sequence[str] = SESS
 
     # latest sample per (session, bucket), carried to later buckets
     last_w = w.groupBy(*k, "_bk").agg(F.max("_w").alias("_lastw"))
-    lap_buckets = lp.where(F.col("_bk").isNotNull()).select(*k, "_bk").distinct()
-    grid = null_safe_join(lap_buckets, last_w, k + ["_bk"], "full")
+    lap_buckets = lp.where(F.col("_bk").isNotNull()).select(*k, "_bk").distinct().withColumn(
+        "_lastw", F.lit(None).cast(last_w.schema["_lastw"].dataType))
+    grid = last_w.withColumn("_is_lap", F.lit(False)).unionByName(lap_buckets.withColumn("_is_lap", F.lit(True)))
     earlier = Window.partitionBy(*k).orderBy("_bk").rangeBetween(Window.unboundedPreceding, -1)
-    carry = grid.select(*k, "_bk", F.max("_lastw").over(earlier).alias("_carry"))
+    carry = grid.select(*k, "_bk", "_is_lap", F.max("_lastw").over(earlier).alias("_carry")) \
+        .where(F.col("_is_lap")).drop("_is_lap")
 
     # in-bucket running latest sample; samples sort before laps on equal time
     upto = (Window.partitionBy(*k, "_bk").orderBy(F.col("_t"), F.col("_side"))

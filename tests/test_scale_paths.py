@@ -34,11 +34,23 @@ def test_dedup_matches_window(spark):
 
 def test_asof_bucket_width_irrelevant(spark):
     from pitlane import fixtures as fx
-    laps = catalog.laps(spark, SF001)
-    w = fx.view(spark, SF001, "weather")
-    a = enrich.weather_asof(laps, w, bucket_seconds=500.0).select("Driver", "LapNumber", "Session", "WeatherId")
-    b = enrich.weather_asof(laps, w, bucket_seconds=1e9).select("Driver", "LapNumber", "Session", "WeatherId")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    from tests.conftest import SF01
+    laps = catalog.laps(spark, SF01)
+    w = fx.view(spark, SF01, "weather")
+    cols = ("GrandPrix", "Driver", "LapNumber", "Session", "WeatherId")
+    ref = enrich.weather_asof(laps, w, bucket_seconds=1e9).select(*cols)  # one bucket per session
+    assert ref.where("WeatherId IS NOT NULL").count() == 52834
+    for width in (7.0, 60.0, 3600.0):
+        got = enrich.weather_asof(laps, w, bucket_seconds=width).select(*cols)
+        assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0, width
+
+
+def test_null_safe_full_join_keeps_right_keys(spark):
+    from pitlane.functions import null_safe_join
+    a = spark.createDataFrame([("x", 1)], "k string, a int")
+    b = spark.createDataFrame([("y", 2), (None, 3)], "k string, b int")
+    got = {(r.k, r.a, r.b) for r in null_safe_join(a, b, ["k"], "full").collect()}
+    assert got == {("x", 1, None), ("y", None, 2), (None, None, 3)}
 
 
 def test_repartition_invariance(spark):

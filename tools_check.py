@@ -77,8 +77,9 @@ def main():
         else:
             bad += 1
             print(f"FAIL {name}: spark {len(srows)} rows, oracle {len(orows)} rows")
-            diff_s = [r for r in srows if r not in set(orows)][:3]
-            diff_o = [r for r in orows if r not in set(srows)][:3]
+            so, ss = set(orows), set(srows)
+            diff_s = [r for r in srows if r not in so][:3]
+            diff_o = [r for r in orows if r not in ss][:3]
             print("   spark-only:", diff_s)
             print("   oracle-only:", diff_o)
     print(f"{bad} failing")
