@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
+from pitlane.functions import scan
 from pitlane.functions.scalar import PROGRESS_BINS, TYRE_LIFE_BINS, right_closed_bins, safe_div
 from pitlane.functions.stats import group_quantiles, null_safe_join
 from pitlane.operators.clean import session_fastest
@@ -60,21 +61,33 @@ def progress_features(df: DataFrame) -> DataFrame:
     return session_progress(df).withColumn("LapNumberBin", right_closed_bins("SessionProgress", PROGRESS_BINS))
 
 
-def rolling3(df: DataFrame, keys: Sequence[str] = DRIVER_KEYS, window: int = 3) -> DataFrame:
-    """Mean LapTime of the last ``window`` laps including this one (>= 1 value)."""
-    w = _driver_window(keys).rowsBetween(-(window - 1), 0)
-    return df.withColumn("LapTime_Rolling3", F.avg("LapTime").over(w))
+def rolling3(df: DataFrame, keys: Sequence[str] = DRIVER_KEYS, window: int = 3,
+             method: str = "bucketed") -> DataFrame:
+    """Mean LapTime of the last ``window`` laps including this one (>= 1 value).
+
+    ``bucketed`` (default) orders only one LapNumber bucket at a time and
+    carries the previous laps in as halo rows; ``window`` is one window per
+    driver session.
+    """
+    if method == "window":
+        w = _driver_window(keys).rowsBetween(-(window - 1), 0)
+        return df.withColumn("LapTime_Rolling3", F.avg("LapTime").over(w))
+    return scan.rolling_mean(df, keys, ["LapNumber"], "LapTime", "LapTime_Rolling3", rows=window)
 
 
-def best_so_far(df: DataFrame, keys: Sequence[str] = DRIVER_KEYS) -> DataFrame:
+def best_so_far(df: DataFrame, keys: Sequence[str] = DRIVER_KEYS, method: str = "bucketed") -> DataFrame:
     """Running minimum LapTime (NULL on rows without a time) and DeltaToBest."""
-    w = _driver_window(keys).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("BestLapSoFar", F.when(F.col("LapTime").isNotNull(), F.min("LapTime").over(w))) \
+    if method == "window":
+        w = _driver_window(keys).rowsBetween(Window.unboundedPreceding, 0)
+        df = df.withColumn("_run", F.min("LapTime").over(w))
+    else:
+        df = scan.running(df, keys, "LapNumber", "LapTime", "min", "_run")
+    return df.withColumn("BestLapSoFar", F.when(F.col("LapTime").isNotNull(), F.col("_run"))).drop("_run") \
         .withColumn("DeltaToBest", F.col("LapTime") - F.col("BestLapSoFar"))
 
 
 def history_features(df: DataFrame) -> DataFrame:
-    """LapTime_Rolling3, BestLapSoFar, DeltaToBest (W2, W3); one shared window spec."""
+    """LapTime_Rolling3, BestLapSoFar, DeltaToBest."""
     return best_so_far(rolling3(df))
 
 
@@ -91,11 +104,15 @@ def sector_pct(df: DataFrame) -> DataFrame:
     return df.withColumns({f"Sector{i}Pct": safe_div(f"Sector{i}Time", "LapTime") * 100 for i in (1, 2, 3)})
 
 
-def laps_into_stint(df: DataFrame, keys: Sequence[str] = DRIVER_KEYS, stint: str = "Stint") -> DataFrame:
+def laps_into_stint(df: DataFrame, keys: Sequence[str] = DRIVER_KEYS, stint: str = "Stint",
+                    method: str = "bucketed") -> DataFrame:
     """1-based lap position within the stint; NULL stint -> NULL."""
-    w = Window.partitionBy(*keys, stint).orderBy("LapNumber")
-    return df.withColumn("LapsIntoStint",
-                         F.when(F.col(stint).isNotNull(), F.row_number().over(w).cast("long")))
+    if method == "window":
+        w = Window.partitionBy(*keys, stint).orderBy("LapNumber")
+        df = df.withColumn("_pos", F.row_number().over(w).cast("long"))
+    else:
+        df = scan.running(df, [*keys, stint], "LapNumber", None, "count", "_pos")
+    return df.withColumn("LapsIntoStint", F.when(F.col(stint).isNotNull(), F.col("_pos"))).drop("_pos")
 
 
 def track_evolution(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, method: str = "prefix") -> DataFrame:
@@ -127,10 +144,16 @@ def stint_track_features(df: DataFrame) -> DataFrame:
     return track_evolution(laps_into_stint(df))
 
 
-def tyre_age_diff(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Driver", "Stint")) -> DataFrame:
+def tyre_age_diff(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Driver", "Stint"),
+                  method: str = "bucketed") -> DataFrame:
     """TyreLife minus the previous lap's within the stint (ordered by LapNumber)."""
-    w = Window.partitionBy(*keys).orderBy("LapNumber", *(["Session"] if "Session" not in keys else []))
-    return df.withColumn("TyreLifeDiff", F.col("TyreLife") - F.lag("TyreLife").over(w))
+    order = ["LapNumber", *(["Session"] if "Session" in df.columns and "Session" not in keys else [])]
+    if method == "window":
+        w = Window.partitionBy(*keys).orderBy(*order)
+        df = df.withColumn("_prev", F.lag("TyreLife").over(w))
+    else:
+        df = scan.lag(df, keys, order, "TyreLife", "_prev")
+    return df.withColumn("TyreLifeDiff", F.col("TyreLife") - F.col("_prev")).drop("_prev")
 
 
 def lap_features(df: DataFrame) -> DataFrame:

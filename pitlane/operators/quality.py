@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     BooleanType, ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType,
 )
 
+from pitlane.functions import scan
 from pitlane.functions.stats import group_quantiles, null_safe_join
 from pitlane.schema import LAP_RULES, LAP_RULES_EXCLUSIVE_LO, TELEMETRY_RULES
 
@@ -161,9 +162,8 @@ def tyre_progression(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Driver"
     base = df
     for c in kk:
         base = base.where(F.col(c).isNotNull())
-    order = [F.col("LapNumber")] + ([F.col("Session")] if "Session" in df.columns and "Session" not in kk else [])
-    w = Window.partitionBy(*kk).orderBy(*order)
-    d = base.withColumn("_d", F.col("TyreLife") - F.lag("TyreLife").over(w))
+    order = ["LapNumber"] + (["Session"] if "Session" in df.columns and "Session" not in kk else [])
+    d = scan.lag(base, kk, order, "TyreLife", "_prev").withColumn("_d", F.col("TyreLife") - F.col("_prev"))
     agg = d.groupBy(*kk).agg(F.count(F.lit(1)).alias("_n"),
                              F.count_if(F.col("_d").isNotNull() & (F.col("_d") != 1)).alias("_bad"))
     return agg.where((F.col("_n") >= 2) & (F.col("_bad") > 0)).select(

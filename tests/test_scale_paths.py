@@ -75,3 +75,28 @@ def test_track_evolution_prefix_matches_window(spark):
     b = features.track_evolution(laps, method="window").select("GrandPrix", "Session", "Driver", "LapNumber",
                                                                F.round("TrackEvolution", 9).alias("t"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_bucketed_scans_match_windows(spark):
+    from pyspark.sql import Window
+    from pitlane.functions import scan
+    from tests.conftest import SF01
+    laps = catalog.laps(spark, SF01)
+    g = ["GrandPrix", "Session", "Driver"]
+    k = g + ["LapNumber"]
+
+    def same(a, b, c):
+        a = a.select(*k, F.round(c, 9).alias(c))
+        b = b.select(*k, F.round(c, 9).alias(c))
+        return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    w = Window.partitionBy(*g).orderBy("LapNumber")
+    for width in (5.0, 64.0):
+        assert same(scan.running(laps, g, "LapNumber", "LapTime", "min", "m", width),
+                    laps.withColumn("m", F.min("LapTime").over(w.rowsBetween(Window.unboundedPreceding, 0))), "m")
+        assert same(scan.rolling_mean(laps, g, ["LapNumber"], "LapTime", "r", 3, width),
+                    laps.withColumn("r", F.avg("LapTime").over(w.rowsBetween(-2, 0))), "r")
+        assert same(scan.lag(laps, g, ["LapNumber"], "TyreLife", "p", width),
+                    laps.withColumn("p", F.lag("TyreLife").over(w)), "p")
+        assert same(scan.running(laps, g, "LapNumber", None, "count", "c", width),
+                    laps.withColumn("c", F.row_number().over(w).cast("long")), "c")
