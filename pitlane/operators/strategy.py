@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitlane.functions import scan
 from pitlane.functions.stats import group_quantiles, null_safe_join
 from pitlane.session import materialize
 
@@ -138,10 +139,10 @@ def strategy_timeline(strategies: DataFrame, curve: DataFrame, pit_loss: float =
     Strategies with an unpredictable lap are left out (as the reference plots).
     """
     laps = predict_pace(expand_strategy(strategies), curve)
-    per = Window.partitionBy("Strategy")
-    laps = laps.withColumn("_miss", F.count_if(F.col("PredictedLapTime").isNull()).over(per)).where("_miss = 0")
-    run = Window.partitionBy("Strategy").orderBy("LapNo").rowsBetween(Window.unboundedPreceding, 0)
+    complete = laps.groupBy("Strategy").agg(F.count_if(F.col("PredictedLapTime").isNull()).alias("_miss")) \
+        .where(F.col("_miss") == 0).select("Strategy")
+    laps = laps.join(complete, "Strategy", "left_semi")
+    laps = scan.running(laps, ["Strategy"], "LapNo", "PredictedLapTime", "sum", "_cum")
     return laps.select("Strategy", "LapNo", "StintNo", "Compound", "TyreAge",
                        F.col("PredictedLapTime").alias("LapTime"),
-                       (F.sum("PredictedLapTime").over(run) + F.lit(pit_loss) * (F.col("StintNo") - 1))
-                       .alias("CumulativeTime"))
+                       (F.col("_cum") + F.lit(pit_loss) * (F.col("StintNo") - 1)).alias("CumulativeTime"))
