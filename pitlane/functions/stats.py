@@ -4,11 +4,12 @@ Spark's ``percentile`` aggregate keeps every distinct value of a group in one
 task's memory.  Lap data has a handful of compounds, so a single group can hold
 a third of all rows.  ``group_quantiles`` therefore computes exact,
 linearly-interpolated quantiles (pandas / DuckDB ``quantile_cont`` semantics)
-from a value histogram whose rows are ranked inside order-preserving value
-buckets: a group with more distinct values than ``bucket_rows`` is split into
-sub-ranges cut at approximate quantiles, ranks are prefix sums over those
-buckets, and no task ever holds more than about ``bucket_rows`` values of one
-group.  ``method="builtin"`` uses Spark's single-pass ``percentile`` instead,
+from a value histogram (repeated values folded map-side).  A group with at
+most ``bucket_rows`` distinct values gets Spark's exact ``percentile`` over
+(value, frequency), a bounded buffer.  A bigger group is split into
+order-preserving sub-ranges cut at approximate quantiles, its ranks are prefix
+sums over those buckets, and no task ever holds more than about
+``bucket_rows`` values of one group.  ``method="builtin"`` uses Spark's single-pass ``percentile`` instead,
 which is faster when every group is known to be small.
 """
 
@@ -72,18 +73,24 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
     #    with more than ``bucket_rows`` distinct values, cut points at
     #    approximate quantiles thinned to ceil(d / bucket_rows) buckets.
     grid = F.array(*[F.lit(i / _GRID) for i in range(1, _GRID)])
-    groups = hist.groupBy(*keys).agg(
-        F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"),
-        F.percentile_approx("_v", grid, _SKETCH_ACCURACY).alias("_grid"))
+    sizes = hist.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"))
+
+    # 3a. groups with at most ``bucket_rows`` distinct values: Spark's exact
+    #     percentile over the histogram (value, frequency), a bounded buffer.
+    small = null_safe_join(hist, sizes.where(F.col("_d") <= F.lit(bucket_rows)).select(*keys), keys, "left_semi")
+    small_q = small.groupBy(*keys).agg(*[
+        F.percentile("_v", F.lit(float(p)), F.col("_c")).alias(name) for name, p in probs.items()])
+
+    # 3b. bigger groups: rank the histogram inside order-preserving buckets.
+    big_keys = sizes.where(F.col("_d") > F.lit(bucket_rows))
+    big = null_safe_join(hist, big_keys.select(*keys), keys, "left_semi")
     nb = F.least(F.lit(_GRID), F.ceil(F.col("_d") / F.lit(bucket_rows))).cast("int")
-    groups = groups.select(*keys, "_n", F.when(nb > 1, F.transform(
+    cuts = big.groupBy(*keys).agg(F.percentile_approx("_v", grid, _SKETCH_ACCURACY).alias("_grid"))
+    groups = null_safe_join(big_keys, cuts, keys).select(*keys, "_n", F.transform(
         F.sequence(F.lit(1), nb - 1),
-        lambda k: F.element_at("_grid", (k * F.lit(_GRID) / nb).cast("int")))).alias("_cuts"))
-
-    # 3. bucket of each histogram row = number of cut points below its value.
-    ranked = null_safe_join(hist, groups, keys).withColumn(
-        "_bk", F.when(F.col("_cuts").isNull(), F.lit(0))
-        .otherwise(F.size(F.filter("_cuts", lambda x: x < F.col("_v")))))
+        lambda k: F.element_at("_grid", (k * F.lit(_GRID) / nb).cast("int"))).alias("_cuts"))
+    ranked = null_safe_join(big, groups, keys).withColumn(
+        "_bk", F.size(F.filter("_cuts", lambda x: x < F.col("_v"))))
 
     # 4. one window pass per (group, bucket): running count and bucket total.
     part = Window.partitionBy(*keys, "_bk")
@@ -112,7 +119,7 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
         frac = F.lit(float(p)) * (F.col("_n") - 1) - F.floor(F.lit(float(p)) * (F.col("_n") - 1))
         finals.append((F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * frac).alias(name))
     picked = spans.groupBy(*keys).agg(F.first("_n").alias("_n"), *aggs)
-    return picked.select(*keys, *finals)
+    return small_q.unionByName(picked.select(*keys, *finals))
 
 
 def with_quantiles(agg: DataFrame, df: DataFrame, keys: Sequence[str], value: str | Column,
