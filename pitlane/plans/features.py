@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pitlane.operators import clean, features
 from pitlane.plans.catalog import laps, query, race_laps
 from pitlane.plans.sqlparts import r6, with_laps, with_silver
+from pitlane.session import materialize
 
 KEYS = "GrandPrix, Session, Driver, round(LapNumber, 6) AS LapNumber"
 SPARK_KEYS = ("GrandPrix", "Session", "Driver", "LapNumber")
@@ -42,7 +43,9 @@ FEATURES = with_silver() + FEAT_CTE
 
 
 def silver(spark, sf):
-    return clean.silver_laps(laps(spark, sf))
+    """Silver as a table: feature plans branch many times from it, so it is
+    checkpointed once (shared folder) instead of re-derived per branch."""
+    return materialize(clean.silver_laps(laps(spark, sf)))
 
 
 def pick(df, *cols):
