@@ -110,7 +110,7 @@ def _label_sql(c):
 @query("label_codes", FEATURES + "\n" + "\nUNION ALL ".join(_label_sql(c) for c in _LABELS))
 def q_label_codes(spark, sf):
     """F8 encoders: (Field, Label, Code), alphabetical, NULL as its own label."""
-    feats = features.lap_features(silver(spark, sf))
+    feats = materialize(features.lap_features(silver(spark, sf)))
     labels, _ = features.feature_columns(feats)
     model = features.label_indexer(feats, labels)
     return spark.createDataFrame(features.label_codes(model, labels), "Field string, Label string, Code int")
@@ -120,7 +120,7 @@ def q_label_codes(spark, sf):
     f"SELECT '{c}' AS Field, round(median(CAST({c} AS DOUBLE)), 6) AS Median FROM feat" for c in _NUMERIC))
 def q_impute_medians(spark, sf):
     """F8 imputation values: exact median of every numeric feature column."""
-    feats = features.lap_features(silver(spark, sf))
+    feats = materialize(features.lap_features(silver(spark, sf)))
     _, numeric = features.feature_columns(feats)
     return features.numeric_medians(feats, numeric)
 
