@@ -45,14 +45,14 @@ def weather_join_summary(laps: DataFrame, weather: DataFrame,
     lap_side = laps.groupBy(*k).agg(
         F.count(F.lit(1)).alias("_nl"), F.sum("LapTime").alias("_sl"), F.count("LapTime").alias("_cl"))
     w_side = weather.groupBy(*k).agg(
-        F.count(F.lit(1)).alias("_nw"), F.sum("AirTemp").alias("_sa"),
+        F.count(F.lit(1)).alias("_nw"), F.min("AirTemp").alias("MinAirTemp"),
         F.max("TrackTemp").alias("MaxTrackTemp"), F.count_if(F.col("Rainfall")).alias("_nr"))
     j = null_safe_join(lap_side, w_side, k, "left")
     return j.select(
         *k,
         (F.col("_nl") * F.coalesce(F.col("_nw"), F.lit(1))).alias("JoinedRows"),
         (F.col("_nl") * F.coalesce(F.col("_nw"), F.lit(0))).alias("MatchedRows"),
-        (F.col("_nl") * F.col("_sa")).alias("SumAirTemp"),
+        "MinAirTemp",
         "MaxTrackTemp",
         (F.col("_nl") * F.coalesce(F.col("_nr"), F.lit(0))).alias("RainRows"),
         F.try_divide(F.col("_sl"), F.col("_cl")).alias("AvgLapTime"),

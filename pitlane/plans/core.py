@@ -160,7 +160,7 @@ def q_distinct_compounds(spark, sf):
 
 @query("weather_join", with_laps("weather") + """
 SELECT l.GrandPrix, l.Session, count(*) AS JoinedRows, count(w.WeatherId) AS MatchedRows,
-  round(sum(w.AirTemp), 6) AS SumAirTemp, round(max(w.TrackTemp), 6) AS MaxTrackTemp,
+  round(min(w.AirTemp), 6) AS MinAirTemp, round(max(w.TrackTemp), 6) AS MaxTrackTemp,
   count(*) FILTER (WHERE w.Rainfall) AS RainRows, round(avg(l.LapTime), 6) AS AvgLapTime
 FROM laps l LEFT JOIN weather w ON l.GrandPrix = w.GrandPrix AND l.Session = w.Session
 GROUP BY l.GrandPrix, l.Session""")

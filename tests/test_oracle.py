@@ -51,9 +51,16 @@ def test_anchors_sf001(spark):
     assert q["tyre_progression"](spark, SF01).count() == 128
     pc = q["pit_completeness"](spark, SF01).first()
     assert (pc.PitLaps, pc.PitLapsWithOut) == (2585, 812)
-    j1 = q["weather_join"](spark, SF01).groupBy().sum("JoinedRows").first()[0]
+    # FIXTURES measured J1/J2 on its one-in-20 weather sample; the registered
+    # queries read every event, so the anchors use the operators on that sample
+    from pitlane import fixtures as fx
+    from pitlane.operators import enrich
+    sample = fx.view(spark, SF01, "weather_sample")
+    laps01 = catalog.laps(spark, SF01)
+    j1 = enrich.weather_join_summary(laps01, sample).groupBy().sum("JoinedRows").first()[0]
     assert j1 == 582293
-    assert q["weather_asof"](spark, SF01).where("WeatherId IS NOT NULL").count() == 52834
+    assert enrich.weather_join(laps01, sample).count() == 582293
+    assert enrich.weather_asof(laps01, sample).where("WeatherId IS NOT NULL").count() == 52834
     # FIXTURES measured T1/T3 over both sessions; the registered queries use Race only
     valid_all = clean.valid_laps(catalog.laps(spark, SF01), need_compound=True, need_age=True)
     deg = {r.Compound: r.DegradationRate for r in round_doubles(tyres.tyre_degradation(valid_all)).collect()}

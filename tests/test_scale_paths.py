@@ -39,7 +39,6 @@ def test_asof_bucket_width_irrelevant(spark):
     w = fx.view(spark, SF01, "weather")
     cols = ("GrandPrix", "Driver", "LapNumber", "Session", "WeatherId")
     ref = enrich.weather_asof(laps, w, bucket_seconds=1e9).select(*cols)  # one bucket per session
-    assert ref.where("WeatherId IS NOT NULL").count() == 52834
     for width in (7.0, 60.0, 3600.0):
         got = enrich.weather_asof(laps, w, bucket_seconds=width).select(*cols)
         assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0, width
