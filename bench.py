@@ -33,7 +33,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or list(HEADLINE)
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16),
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "0")) or (max(8, 2 * int(cpus)) if cpus.isdigit() else 16)
+    spark = local_session(cores=cpus, shuffle_partitions=parts,
                           app="pitlane-bench")
     catalog.load_all()
     # JVM/JIT warm-up on the smallest scale factor (other files, so nothing is cached for the timed runs)
