@@ -39,3 +39,11 @@ def test_queries_unchanged_under_repartition(spark):
         a = a.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in a.dtypes])
         b = b.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in b.dtypes]).select(*cols)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_medallion_observes_layer_counts(spark):
+    from pitlane.plans.medallion import medallion
+    from tests.conftest import SF01
+    m = medallion(catalog.laps(spark, SF01))
+    n = m.gold.agg(F.sum("TotalLaps")).first()[0]
+    assert m.counts() == {"bronze": 60000, "silver": 44822} and n == 44822
