@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlane import fixtures as fx
 from pitlane.functions.scalar import round_doubles
 
 QueryFn = Callable[[SparkSession, str], DataFrame]

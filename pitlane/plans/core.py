@@ -11,7 +11,7 @@ from pitlane.plans.catalog import laps, query, race_laps
 from pitlane.session import scratch_path
 from pitlane.sources import sinks
 from pitlane.plans.sqlparts import (
-    LAP_DOUBLES, lap_projection, r6, with_driver_stats, with_laps, with_silver,
+    lap_projection, r6, with_driver_stats, with_laps, with_silver,
 )
 
 SILVER_COLS = lap_projection() + ", " + r6("SectorSum") + ", TimeMismatch, CompoundStd, " + r6(

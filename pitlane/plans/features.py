@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from pitlane.operators import clean, features
 from pitlane.plans.catalog import laps, query, race_laps
 from pitlane.plans.sqlparts import r6, with_laps, with_silver

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from pitlane import fixtures as fx
 from pitlane.operators import clean, strategy
 from pitlane.plans.catalog import query, race_laps

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from pitlane.functions import round_doubles
 from pitlane.functions.scalar import interval_seconds
 from pitlane.operators import compare, features, tyres
