@@ -86,3 +86,12 @@ def test_track_evolution_skips_null_times(spark):
     got = {(r.Driver, r.LapNumber): r.TrackEvolution for r in features.track_evolution(df).collect()}
     assert got[("A", 1.0)] == 89.0 and got[("B", 1.0)] == 90.0 and got[("A", 2.0)] == 90.0
     assert got[("B", 2.0)] == 90.0
+
+
+def test_pit_checks_follow_available_columns(spark):
+    from pitlane.operators import quality
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, None)], "LapNumber double, PitInTime double")
+    r = quality.pit_completeness(df).first()
+    assert (r.PitLaps, r.PitLapsWithOut, r.Severity) == (1, None, "ok")
+    r = quality.pit_completeness(df.drop("PitInTime")).first()
+    assert r.Severity == "unavailable"
