@@ -24,6 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("PITLANE_DRIVER_MEMORY", "8g"))
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pitlane-ckpt-"))
         .getOrCreate()
