@@ -60,7 +60,8 @@ def weather_join_summary(laps: DataFrame, weather: DataFrame,
 
 
 def weather_asof(laps: DataFrame, weather: DataFrame, keys: Sequence[str] = SESSION_KEYS,
-                 time_col: str = "Time", bucket_seconds: float = 60.0) -> DataFrame:
+                 time_col: str = "Time", bucket_seconds: float | None = None,
+                 bucket_rows: int = 1_000_000) -> DataFrame:
     """Attach the latest weather row at or before each lap's ``time_col``.
 
     Ties on weather time go to the larger WeatherId.  Laps without an earlier
@@ -69,18 +70,35 @@ def weather_asof(laps: DataFrame, weather: DataFrame, keys: Sequence[str] = SESS
     Skew-safe: instead of one window per session, rows are cut into time
     buckets.  Inside a bucket a running max over (time, side) finds the latest
     sample; samples from earlier buckets come from a per-bucket "last sample"
-    aggregate carried forward over the (small) bucket table.
+    aggregate carried forward over the (small) bucket table.  Bucket width is
+    ``bucket_seconds`` if given, else per session: its time span times
+    ``bucket_rows`` / its row count, so a session holding a third of all rows
+    is cut into proportionally many buckets.
     """
     k = list(keys)
     wcols = [c for c in weather.columns if c not in k and c not in (time_col, "WeatherId")]
     # struct ordered by (time, id): max() of it is the latest sample
     wstruct = F.struct(F.col(time_col).alias("WeatherTime"), F.col("WeatherId"), *[F.col(c) for c in wcols])
-    bucket = F.floor(F.col(time_col) / F.lit(bucket_seconds))
-
+    if bucket_seconds is not None:
+        bucket = F.floor(F.col(time_col) / F.lit(float(bucket_seconds)))
+    else:
+        # per-session width from a small stats table (one row per session)
+        times = laps.select(*k, time_col).unionByName(weather.select(*k, time_col)) \
+            .where(F.col(time_col).isNotNull())
+        stats = times.groupBy(*k).agg(F.count(F.lit(1)).alias("_n"), F.min(time_col).alias("_t0"),
+                                      F.max(time_col).alias("_t1"))
+        stats = stats.select(*k, "_t0", F.when(F.col("_n") > F.lit(bucket_rows), (F.col("_t1") - F.col("_t0"))
+                                               * F.lit(float(bucket_rows)) / F.col("_n")).alias("_bw"))
+        laps = null_safe_join(laps, stats, k, "left")
+        weather = null_safe_join(weather, stats, k, "left")
+        bucket = F.when(F.col("_bw").isNull() | (F.col("_bw") <= 0), F.lit(0)).otherwise(
+            F.floor((F.col(time_col) - F.col("_t0")) / F.col("_bw")))
+
+    lap_cols = [c for c in laps.columns if c not in ("_t0", "_bw")]
     w = weather.where(F.col(time_col).isNotNull()).select(
         *k, bucket.alias("_bk"), F.col(time_col).alias("_t"), F.lit(0).alias("_side"),
         wstruct.alias("_w"), F.lit(None).alias("_lap"))
-    lap_struct = F.struct(*[F.col(c) for c in laps.columns])
+    lap_struct = F.struct(*[F.col(c) for c in lap_cols])
     lp = laps.select(*k, bucket.alias("_bk"), F.col(time_col).alias("_t"), F.lit(1).alias("_side"),
                      F.lit(None).cast(w.schema["_w"].dataType).alias("_w"), lap_struct.alias("_lap"))
     w = w.withColumn("_lap", F.lit(None).cast(lp.schema["_lap"].dataType))
@@ -101,4 +119,4 @@ def weather_asof(laps: DataFrame, weather: DataFrame, keys: Sequence[str] = SESS
     matched = null_safe_join(both, carry, k + ["_bk"], "left").withColumn(
         "_m", F.coalesce(F.col("_inb"), F.col("_carry")))
     out = matched.select("_lap.*", "_m")
-    return out.select(*laps.columns, *[F.col(f"_m.{f}").alias(f) for f in ["WeatherTime", "WeatherId", *wcols]])
+    return out.select(*lap_cols, *[F.col(f"_m.{f}").alias(f) for f in ["WeatherTime", "WeatherId", *wcols]])

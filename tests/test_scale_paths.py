@@ -42,6 +42,9 @@ def test_asof_bucket_width_irrelevant(spark):
     for width in (7.0, 60.0, 3600.0):
         got = enrich.weather_asof(laps, w, bucket_seconds=width).select(*cols)
         assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0, width
+    for rows in (50, 1000):  # adaptive per-session widths
+        got = enrich.weather_asof(laps, w, bucket_rows=rows).select(*cols)
+        assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0, rows
 
 
 def test_null_safe_full_join_keeps_right_keys(spark):
