@@ -70,7 +70,9 @@ def _with_halo(df: DataFrame, group: Sequence[str], order: Sequence[str], cols:
     # the n rows before a bucket lie in at most the n previous non-empty buckets
     prev = Window.partitionBy(*g).orderBy("_sb").rowsBetween(-n, -1)
     halo = tails.select(*g, "_sb", F.flatten(F.collect_list("_tail").over(prev)).alias("_h"))
-    halo = halo.select(*g, "_sb", F.explode(F.slice(F.sort_array("_h"), -n, n)).alias("_r")).select(
+    # last n of the sorted list (a negative slice start would drop lists shorter than n)
+    last_n = F.slice(F.sort_array("_h"), F.greatest(F.size("_h") - n + 1, F.lit(1)), n)
+    halo = halo.select(*g, "_sb", F.explode(last_n).alias("_r")).select(
         *g, "_sb", *[F.col(f"_r.{c}").alias(c) for c in [*order, *cols]], F.lit(True).alias("_halo"))
     real = d.select(*g, "_sb", *order, *cols, *[c for c in df.columns if c not in {*g, *order, *cols}],
                     F.lit(False).alias("_halo"))
