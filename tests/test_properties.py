@@ -54,3 +54,41 @@ def test_scans_match_pandas(spark, rows, width):
     for _, row in pdf.iterrows():
         r = got[row.o]
         assert eq(r.r, row.r) and eq(r.m, row.m) and eq(r.l, row.l), (row.to_dict(), r)
+
+
+LAPS = st.lists(st.tuples(st.sampled_from(["s1", "s2"]), st.one_of(st.none(), st.integers(0, 50).map(float))),
+                min_size=1, max_size=30)
+WX = st.lists(st.tuples(st.sampled_from(["s1", "s2", "s3"]), st.integers(0, 50).map(float)), min_size=0,
+              max_size=20)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(laps=LAPS, wx=WX, bucket_rows=st.sampled_from([1, 3, 1000]))
+def test_asof_matches_brute_force(spark, laps, wx, bucket_rows):
+    from pitlane.operators import enrich
+    lap_rows = [("G", s, f"D{i}", float(i), t) for i, (s, t) in enumerate(laps)]
+    wx_rows = [("G", s, i, t, float(i)) for i, (s, t) in enumerate(wx)]
+    ldf = spark.createDataFrame(lap_rows, "GrandPrix string, Session string, Driver string, LapNumber double, "
+                                          "Time double")
+    wdf = spark.createDataFrame(wx_rows, "GrandPrix string, Session string, WeatherId long, Time double, "
+                                         "AirTemp double")
+    got = {r.LapNumber: r.WeatherId for r in enrich.weather_asof(ldf, wdf, bucket_rows=bucket_rows).collect()}
+    for _, s, _, n, t in lap_rows:
+        cands = [(wt, wid) for _, ws, wid, wt, _ in wx_rows if ws == s and t is not None and wt <= t]
+        assert got[n] == (max(cands)[1] if cands else None), (n, s, t)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ages=st.lists(st.integers(1, 30), min_size=1, max_size=8, unique=True),
+       asks=st.lists(st.integers(0, 40), min_size=1, max_size=10))
+def test_predict_pace_matches_numpy(spark, ages, asks):
+    from pitlane.operators import strategy
+    ages = sorted(ages)
+    meds = [80.0 + 0.1 * a + (0.3 if a % 3 == 0 else 0.0) for a in ages]
+    curve = spark.createDataFrame([("SOFT", float(a), m) for a, m in zip(ages, meds)],
+                                  "Compound string, TyreLife double, MedianLapTime double")
+    req = spark.createDataFrame([("SOFT", i, a) for i, a in enumerate(asks)], "Compound string, id int, TyreAge int")
+    got = {r.id: r.PredictedLapTime for r in strategy.predict_pace(req, curve).collect()}
+    for i, a in enumerate(asks):
+        want = meds[-1] + 0.05 * (a - ages[-1]) if a > ages[-1] else float(np.interp(a, ages, meds))
+        assert math.isclose(got[i], want, rel_tol=1e-12), (a, got[i], want)
