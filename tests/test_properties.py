@@ -92,3 +92,14 @@ def test_predict_pace_matches_numpy(spark, ages, asks):
     for i, a in enumerate(asks):
         want = meds[-1] + 0.05 * (a - ages[-1]) if a > ages[-1] else float(np.interp(a, ages, meds))
         assert math.isclose(got[i], want, rel_tol=1e-12), (a, got[i], want)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(vals=st.lists(st.one_of(st.integers(60, 120).map(float), st.floats(60, 120)), min_size=1, max_size=40),
+       bins=st.sampled_from([3, 7, 30]))
+def test_histogram_matches_numpy(spark, vals, bins):
+    from pitlane.operators import compare
+    df = spark.createDataFrame([("G", v) for v in vals], "GrandPrix string, LapTime double")
+    got = [r.Count for r in compare.laptime_histogram(df, bins=bins).orderBy("Bin").collect()]
+    want, _ = np.histogram(np.array(vals), bins=bins)
+    assert got == list(want), (vals, bins)
