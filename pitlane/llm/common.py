@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import operator
+import sys
+import types
 from collections.abc import Iterable
 
 import numpy as np
@@ -91,3 +93,11 @@ class NgramPresence:
         ids = np.flatnonzero(self.flags)
         self.flags[ids] = False
         return ids.astype(np.int32)
+
+
+def per_worker(key: str, build):
+    """``build()`` once per Python worker process, which many tasks share."""
+    held = sys.modules.setdefault("_llm_per_worker", types.ModuleType("_llm_per_worker")).__dict__
+    if key not in held:
+        held[key] = build()
+    return held[key]

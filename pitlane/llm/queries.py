@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm import quality, simhash, topk, toxicity, warc
+from pitlane.llm import decontam, packing, quality, simhash, topk, toxicity, warc
 from pitlane.llm.common import in_training_fold, land, table
 from pitlane.session import scratch_path
 
@@ -41,6 +41,27 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve_revisits(records)
 
 
+@query("op2_decontaminate")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item with a verified overlap, and the best window of it."""
+    found = decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("similarity", 6).alias("similarity"), "start", "words")
+
+
+def vocabulary() -> packing.Vocabulary:
+    """The public 50k byte-level vocabulary, where the installed package has it."""
+    import public_tokenizers
+
+    return packing.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                              public_tokenizers.PATTERN)
+
+
+@query("op3_best_fit")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
+
+
 @query("op5_simhash")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every document over 4-word shingles, linked at 4 or fewer bits."""
