@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm import decontam, packing, quality, simhash, topk, toxicity, warc
+from pitlane.llm import chat, decontam, maintext, packing, quality, simhash, topk, toxicity, warc
 from pitlane.llm.common import in_training_fold, land, table
 from pitlane.session import scratch_path
 
@@ -83,6 +83,32 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.score(docs, model), 0.5)
 
 
+@query("op7_chat_format", r"""
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos,
+         concat(CASE WHEN role IS NULL THEN '0' ELSE '1' || role END, chr(31),
+                CASE WHEN text IS NULL THEN '0' ELSE '1' || text END, chr(30)) AS turn_key FROM t),
+p AS (
+  SELECT conv_id, pos, role, text, string_agg(turn_key, '') OVER (
+    PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prefix FROM o),
+e AS (SELECT conv_id, max(pos) AS n_turns, arg_max(prefix, pos) AS whole FROM p GROUP BY conv_id),
+k AS (SELECT whole, n_turns, min(conv_id) AS conv_id, count(*) AS copies FROM e GROUP BY whole, n_turns),
+q AS (SELECT p.conv_id, p.prefix FROM p JOIN k USING (conv_id) WHERE p.pos < k.n_turns),
+s AS (SELECT q.conv_id, sum(k.copies) AS snapshots FROM q JOIN k ON k.whole = q.prefix GROUP BY q.conv_id),
+m AS (SELECT k.* FROM k WHERE whole NOT IN (SELECT prefix FROM q))
+SELECT m.conv_id, CAST(m.n_turns AS BIGINT) AS n_turns, CAST(m.copies AS BIGINT) AS copies,
+       CAST(coalesce(s.snapshots, 0) AS BIGINT) AS snapshots, CAST((p.pos - 1) // 1000 AS BIGINT) AS segment,
+       string_agg('<|' || coalesce(p.role, '') || '|>' || chr(10) || coalesce(p.text, '') || chr(10) || '<|end|>' || chr(10),
+                  '' ORDER BY p.pos) AS text
+FROM m JOIN p ON p.conv_id = m.conv_id LEFT JOIN s ON s.conv_id = m.conv_id
+GROUP BY m.conv_id, m.n_turns, m.copies, s.snapshots, (p.pos - 1) // 1000
+""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations, rendered."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 @query("op8_quality")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by naive Bayes support vectors."""
@@ -91,6 +117,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality.score(docs, model), 0.3)
 
 
+@query("op9_html_min_cut")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return maintext.with_main_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query("op10_exact_top_k", """
 WITH v AS (
   SELECT DISTINCT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS w
