@@ -72,6 +72,14 @@ class Vocabulary:
         return per_worker(f"vocabulary {self.json} {self.ranks}", build)
 
 
+def public_vocabulary() -> Vocabulary:
+    """The 50k byte-level vocabulary of the installed public files."""
+    import public_tokenizers
+
+    return Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                      public_tokenizers.PATTERN)
+
+
 def cut_points(n: int, most: int) -> list[int]:
     """Where the pieces of ``n`` tokens start: all have ``most`` tokens, but the first may be shorter."""
     return [0, *range(n % most or most, n, most)]

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm import chat, decontam, maintext, packing, quality, simhash, topk, toxicity, warc
+import corpus_pipeline
+from pitlane.llm import chat, decontam, lm, maintext, packing, quality, simhash, topk, toxicity, warc
 from pitlane.llm.common import in_training_fold, land, table
 from pitlane.session import scratch_path
 
@@ -48,18 +49,17 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", F.round("similarity", 6).alias("similarity"), "start", "words")
 
 
-def vocabulary() -> packing.Vocabulary:
-    """The public 50k byte-level vocabulary, where the installed package has it."""
-    import public_tokenizers
-
-    return packing.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
-                              public_tokenizers.PATTERN)
-
-
 @query("op3_best_fit")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
-    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
+    return packing.pack_documents(table(spark, sf_dir, "documents"), packing.public_vocabulary())
+
+
+@query("op4_pseudo_likelihood")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summed conditional log-probability of every document."""
+    found = lm.train_and_score(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in ("log_prob", "mean_log_prob")])
 
 
 @query("op5_simhash")
@@ -141,3 +141,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best inner products for each vector whose id is divisible by 50."""
     rows = land(topk.sparse_rows(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"), "vectors")
     return topk.exact_top_k(rows, rows.where("vec_id % 50 = 0"), 5)
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity, quality, near-dedup, decontamination and packing over ``documents``."""
+    return corpus_pipeline.run(spark, sf_dir)
