@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitlane.llm.common import land
+
 ARCHIVE_BYTES = 16 << 20
 MIN_REVISIT_BYTES = 100
 END = "\r\n\r\n"
@@ -56,6 +58,8 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
     later = keys.join(first, "payload_digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select(
         F.col("page_id").alias("r_id"), F.col("payload_digest").alias("r_digest"), "refers_to").distinct()
+    # written, so that its size is known when the join is planned: a small list of revisits moves no body
+    later = land(later, "revisits")
     return rows.join(later, F.col("page_id").eqNullSafe(F.col("r_id")) & (F.col("payload_digest") == F.col("r_digest")),
                      "left").drop("r_id", "r_digest")
 
@@ -88,12 +92,13 @@ def record_text(plan: DataFrame) -> DataFrame:
 def write_archives(plan: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write the records of ``plan`` as uncompressed archives under ``path``.
 
-    Rows are dealt out evenly over as many archives as their bytes need.  The
-    text writer puts ``lineSep`` behind each record: the two blank lines that end it.
+    Each task writes its own rows, a new archive after as many records as make
+    ``archive_bytes`` on average.  The text writer puts ``lineSep`` behind each record:
+    the two blank lines that end it.
     """
-    total = plan.agg(F.sum(F.when(F.col("refers_to").isNull(), F.col("payload_bytes")).otherwise(0) + 400)).first()[0]
-    archives = max(1, -(-(total or 0) // archive_bytes))
-    record_text(plan.repartition(archives)).write.option("lineSep", END).option("compression", "none").text(path)
+    mean = plan.agg(F.avg("payload_bytes")).first()[0] or 0
+    records = max(1, int(archive_bytes / (mean + 400)))
+    record_text(plan).write.option("lineSep", END).option("compression", "none").option("maxRecordsPerFile", records).text(path)
 
 
 # -- reading ---------------------------------------------------------------------------------------
