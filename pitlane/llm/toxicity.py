@@ -28,11 +28,13 @@ class ToxicityParams:
     max_positive: int = 1500
     max_unlabelled: int = 4000
     features: int = 512
+    least_apart: float = 5.0
     epochs: int = 60
     batch: int = 128
     rate: float = 0.05
     decay: float = 1e-4
     slack: float = 0.0
+    folds: int = 3
     threshold: float = 0.5
     seed: int = 7
 
@@ -69,7 +71,7 @@ def choose_features(positive: list[np.ndarray], unlabelled: list[np.ndarray], p:
     apart = np.abs(in_p / len(positive) - in_u / len(unlabelled)) / error
     flags = np.zeros(size, bool)
     flags[np.argsort(-apart, kind="stable")[:p.features]] = True
-    return flags & (apart > 0)
+    return flags & (apart > p.least_apart)
 
 
 def pick_cut(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
@@ -90,7 +92,7 @@ def pick_cut(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> floa
 
 
 def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, p: ToxicityParams) -> LinearModel:
-    """Minimise the non-negative PU risk of the logistic loss by Adam over mini-batches."""
+    """Minimise the non-negative PU risk of the logistic loss by Adam over mini-batches; the cut is left at 0."""
     size = 1 << p.bits
     w, b = np.zeros(size + 1), np.log(prior / (1 - prior))  # the last weight takes steps for the bias
     first, second = np.zeros(size + 1), np.zeros(size + 1)
@@ -131,9 +133,21 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
             first += 0.1 * (grad - first)
             second += 0.001 * (grad * grad - second)
             w -= p.rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
-    model = LinearModel(w[:size].astype(np.float32), chosen, b + w[size])
-    margins = lambda rows: np.array([model.margin(x) for x in rows])
-    return replace(model, cut=pick_cut(margins(positive), margins(unlabelled), prior))
+    return LinearModel(w[:size].astype(np.float32), chosen, b + w[size])
+
+
+def fit_with_cut(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, p: ToxicityParams) -> LinearModel:
+    """The model of all rows, its cut picked from margins that each fold gets from the model of the other folds."""
+    model = fit_nnpu(positive, unlabelled, prior, p)
+    if min(len(positive), len(unlabelled)) < p.folds or not model.chosen.any():
+        return model
+    margins: tuple[list[float], list[float]] = ([], [])
+    for k in range(p.folds):
+        rest = [[x for i, x in enumerate(rows) if i % p.folds != k] for rows in (positive, unlabelled)]
+        other = fit_nnpu(*rest, prior, p)
+        for rows, out in zip((positive, unlabelled), margins, strict=True):
+            out.extend(other.margin(x) for x in rows[k::p.folds])
+    return replace(model, cut=pick_cut(np.array(margins[0]), np.array(margins[1]), prior))
 
 
 def train(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams(), id_col: str = "doc_id",
@@ -152,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
         bounded_sample(df, most, "doc_id", "text"), "text", "ids", params.grams()), "ids")
     positive = take(rows.where("y = 1").select("doc_id", "text"), params.max_positive)
     unlabelled = take(free, params.max_unlabelled)
-    return fit_nnpu(positive, unlabelled, prior, params)
+    return fit_with_cut(positive, unlabelled, prior, params)
 
 
 def score(docs: DataFrame, model: LinearModel, params: ToxicityParams = ToxicityParams(), text_col: str = "text",
