@@ -1,34 +1,32 @@
 """Quality by naive Bayes support vectors.
 
-n-gram indicators are scaled by the log ratio of their class-conditional rates
-(counted over every labelled row of the training fold), then a linear hinge-loss
-model is fitted to the scaled rows by dual coordinate descent, in numpy, on a
-bounded sample.  Margins become probabilities by a logistic curve fitted to
+n-gram indicators are scaled by the log ratio of their class-conditional rates,
+then a linear hinge-loss model is fitted to the scaled rows by dual coordinate
+descent, in numpy.  Rates and model come from a bounded sample of the labelled rows
+of the training fold.  Margins become probabilities by a logistic curve fitted to
 labelled rows that the support vectors have not seen.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitlane.llm.common import NgramPresence, fresh, land
-from pitlane.llm.textmodel import bounded_sample, labelled, presence_rows, sigmoid, with_score
+from pitlane.llm.textmodel import bounded_sample, ids_of, presence_rows, sigmoid, texts_of, votes, with_score
 
 
 @dataclass(frozen=True)
 class QualityParams:
-    """``max_fit`` bounds the rows of the hinge fit, ``max_calibrate`` those of the logistic curve."""
+    """``max_fit`` bounds the rows of the rates and the hinge fit, ``max_calibrate`` those of the logistic curve."""
 
     orders: tuple[int, ...] = (2, 3)
     bits: int = 16
-    max_fit: int = 6000
-    max_calibrate: int = 2000
+    max_fit: int = 9000
+    max_calibrate: int = 3000
     alpha: float = 1.0
     cost: float = 1.0
     epochs: int = 15
@@ -56,24 +54,10 @@ class NbSvm:
         return sigmoid(self.slope * self.margin(ids) + self.shift)
 
 
-def class_counts(rows: DataFrame, ids: str, label: str, bits: int) -> np.ndarray:
-    """Document counts (2, 2**bits) of each n-gram by label, over all of ``rows``.
-
-    Every task sums its own rows; what meets afterwards is keyed by n-gram and label.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, 1 << bits), np.int64)
-        for batch in batches:
-            for x, y in zip(batch.column(0), batch.column(1).to_numpy(), strict=True):
-                total[y, np.frombuffer(x.as_buffer(), np.int32)] += 1
-        y, gram = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(y), pa.array(gram), pa.array(total[y, gram])], names=["y", "gram", "n"])
-
-    parts = rows.select(ids, F.col(label).cast("int")).mapInArrow(run, "y long, gram long, n long")
-    table = parts.groupBy("y", "gram").agg(F.sum("n").alias("n")).toArrow()  # at most 2 * 2**bits rows
-    out = np.zeros((2, 1 << bits), np.int64)
-    out[table["y"].to_numpy(), table["gram"].to_numpy()] = table["n"].to_numpy()
-    return out
+def class_counts(rows: list[np.ndarray], labels: np.ndarray, bits: int) -> np.ndarray:
+    """Document counts (2, 2**bits) of each n-gram by label."""
+    of = lambda y: [x for x, z in zip(rows, labels, strict=True) if z == y] or [np.empty(0, np.int32)]
+    return np.stack([np.bincount(np.concatenate(of(y)), minlength=1 << bits) for y in (0, 1)])
 
 
 def log_count_ratio(counts: np.ndarray, alpha: float) -> np.ndarray:
@@ -136,20 +120,19 @@ def fit_logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]
 def train(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams(), id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "quality") -> NbSvm:
     """Fit on the labels of the training fold.  With labels of one class only every text gets its rate, smoothed."""
-    found = presence_rows(labelled(docs, labels, id_col, text_col, label_col), "text", "ids", params.grams())
-    rows = land(found, "presence")
-    counts = class_counts(rows, "ids", "y", params.bits)
-    most = params.max_fit + params.max_calibrate
-    sample = bounded_sample(rows, most, "doc_id", "ids")
-    table = sample.select("ids", "y").toArrow()
+    found = ids_of(docs, id_col).join(votes(labels, id_col, label_col), "doc_id")
+    chosen = land(bounded_sample(found, params.max_fit + params.max_calibrate), "chosen")
+    rows = land(presence_rows(texts_of(docs, chosen, id_col, text_col), "text", "ids", params.grams()), "presence")
+    table = rows.orderBy(F.xxhash64("doc_id"), "doc_id").select("ids", "y").toArrow()
     ids = [np.frombuffer(x.as_buffer(), np.int32) for chunk in table["ids"].chunks for x in chunk]
     y = table["y"].to_numpy().astype(np.int64)
     if len(np.unique(y)) < 2:
         rate = (float(y.sum()) + 1) / (len(y) + 2)
         return NbSvm(np.zeros(1 << params.bits, np.float32), 0.0, 1.0, float(np.log(rate / (1 - rate))))
-    ratio = log_count_ratio(counts, params.alpha)
-    apart = np.arange(len(y)) % 4 == 3  # a quarter is kept for the logistic curve
+    share = params.max_calibrate / (params.max_fit + params.max_calibrate)
+    apart = np.floor(np.arange(1, len(y) + 1) * share) > np.floor(np.arange(len(y)) * share)  # kept for the logistic curve
     fit = np.flatnonzero(~apart)
+    ratio = log_count_ratio(class_counts([ids[i] for i in fit], y[fit], params.bits), params.alpha)
     w, b = dual_coordinate_descent([ids[i] for i in fit], y[fit], ratio, params.cost, params.epochs, params.seed)
     model = NbSvm(w.astype(np.float32), b)
     rest = np.flatnonzero(apart)

@@ -40,21 +40,32 @@ def with_score(docs: DataFrame, text_col: str, name: str, present: NgramPresence
     return docs.mapInArrow(run, extended(docs.schema, name, T.DoubleType()))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """(doc_id, text, y) of documents with a label 0 or 1 in the training fold.
-
-    An id with both labels is left out: it confirms neither.
-    """
-    votes = labels.where(in_training_fold(id_col) & F.col(label_col).isin(0, 1)).groupBy(
+def votes(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(doc_id, y) of the labels 0 and 1 in the training fold.  An id with both is left out: it confirms neither."""
+    return labels.where(in_training_fold(id_col) & F.col(label_col).isin(0, 1)).groupBy(
         F.col(id_col).cast("long").alias("doc_id")).agg(F.min(label_col).alias("y"), F.max(label_col).alias("z")).where(
-        "y = z and doc_id is not null")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return texts.join(votes.select("doc_id", "y"), "doc_id")
+        "y = z and doc_id is not null").select("doc_id", "y")
+
+
+def ids_of(docs: DataFrame, id_col: str) -> DataFrame:
+    """The distinct ids of ``docs``: what joins with labels work on, so that no text is moved."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id is not null").distinct()
 
 
-def bounded_sample(rows: DataFrame, most: int, *by: str) -> DataFrame:
-    """At most ``most`` rows, those with the smallest hash of ``by``: the same at every run."""
-    return rows.orderBy(F.xxhash64(*by), *by).limit(most)
+def bounded_sample(ids: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows, those whose doc_id has the smallest hash: the same at every run."""
+    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+
+
+def texts_of(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``sample`` with the text of each id; of several texts the smallest, null as an empty one.
+
+    ``sample`` comes from ``bounded_sample``, so it may be broadcast: the scan of the
+    texts drops all other rows where it reads them.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rest = [c for c in sample.columns if c != "doc_id"]
+    return rows.join(F.broadcast(sample), "doc_id").groupBy("doc_id", *rest).agg(F.min("text").alias("text"))
 
 
 def collect_presence(rows: DataFrame, name: str) -> list[np.ndarray]:

@@ -15,8 +15,17 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import NgramPresence, fresh
-from pitlane.llm.textmodel import bounded_sample, collect_presence, labelled, presence_rows, sigmoid, with_score
+from pitlane.llm.common import NgramPresence, fresh, land
+from pitlane.llm.textmodel import (
+    bounded_sample,
+    collect_presence,
+    ids_of,
+    presence_rows,
+    sigmoid,
+    texts_of,
+    votes,
+    with_score,
+)
 
 
 @dataclass(frozen=True)
@@ -126,7 +135,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
             else:  # climb back out of the negative part
                 slope[:n] = prior * s[:n] / n
                 slope[n:] = -s[n:] / len(us)
-            grad = np.bincount(flat, np.repeat(slope * norms, np.diff(np.concatenate([[0], ends]))), size + 1)
+            grad = np.bincount(flat, np.repeat(slope * norms, np.diff(np.concatenate([[0], ends]))), size + 1).astype(np.float64)
             grad[size] = slope.sum()
             grad[:size] += p.decay * w[:size]
             step += 1
@@ -157,15 +166,15 @@ def train(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
     The prior is the share of toxic ones among all labelled rows of that fold.
     Without a label of either kind every text scores the prior (0.5 if there is none).
     """
-    rows = labelled(docs, labels, id_col, text_col, label_col)
-    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("toxic")).first()
+    ids = ids_of(docs, id_col)
+    found = land(ids.join(votes(labels, id_col, label_col), "doc_id"), "votes")
+    counts = found.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("toxic")).first()
     prior = float(np.clip((counts["toxic"] or 0) / counts["n"], 1e-4, 0.5)) if counts["n"] else 0.5
-    free = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(
-        labels.select(F.col(id_col).cast("long").alias("doc_id")), "doc_id", "left_anti")
-    take = lambda df, most: collect_presence(presence_rows(
-        bounded_sample(df, most, "doc_id", "text"), "text", "ids", params.grams()), "ids")
-    positive = take(rows.where("y = 1").select("doc_id", "text"), params.max_positive)
-    unlabelled = take(free, params.max_unlabelled)
+    free = ids.join(ids_of(labels, id_col), "doc_id", "left_anti")
+    chosen = land(bounded_sample(found.where("y = 1").select("doc_id"), params.max_positive).withColumn("y", F.lit(1)).unionByName(
+        bounded_sample(free, params.max_unlabelled).withColumn("y", F.lit(0))), "chosen")
+    rows = land(presence_rows(texts_of(docs, chosen, id_col, text_col), "text", "ids", params.grams()), "presence")
+    positive, unlabelled = (collect_presence(rows.where(F.col("y") == y).orderBy("doc_id"), "ids") for y in (1, 0))
     return fit_with_cut(positive, unlabelled, prior, params)
 
 

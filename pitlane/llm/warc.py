@@ -124,6 +124,9 @@ def _headers(block: bytes) -> dict[str, str]:
         if not colon:
             raise Damaged("header line without a colon")
         last = name.strip().lower()
+        # a header cut short runs on into the next record's
+        if last in found and last != "warc-concurrent-to" or _VERSION.search(line.encode() + b"\n"):
+            raise Damaged("header repeated or run into another record")
         found[last] = value.strip()
     return found
 
