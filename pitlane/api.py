@@ -146,7 +146,7 @@ class TyreAnalyzer:
         """The numbers behind the reference's four-panel chart."""
         v = clean.valid_laps(laps, need_compound=True, need_age=True, max_age=40)
         return {"pace_by_age": tyres.pace_by_age(v), "stint_length_box": tyres.stint_length_box(v),
-                "usage": tyres.compound_usage_pivot(v)}
+                "usage": tyres.compound_usage_counts(v)}
 
     def export(self, laps: DataFrame, path: str) -> DataFrame:
         return export_laps(laps, path)

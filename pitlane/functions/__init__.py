@@ -5,5 +5,5 @@ from pitlane.functions.scalar import (  # noqa: F401
     as_seconds, interval_seconds, nan_to_null, right_closed_bins, round_doubles, safe_div,
 )
 from pitlane.functions.stats import (  # noqa: F401
-    group_mode, group_quantiles, null_safe_join, with_quantiles,
+    group_mode, group_quantiles, null_safe_join, grouped_stats,
 )

@@ -2,15 +2,14 @@
 
 Spark's ``percentile`` aggregate keeps every distinct value of a group in one
 task's memory.  Lap data has a handful of compounds, so a single group can hold
-a third of all rows.  ``group_quantiles`` therefore computes exact,
-linearly-interpolated quantiles (pandas / DuckDB ``quantile_cont`` semantics)
-from a value histogram (repeated values folded map-side).  A group with at
-most ``bucket_rows`` distinct values gets Spark's exact ``percentile`` over
-(value, frequency), a bounded buffer.  A bigger group is split into
-order-preserving sub-ranges cut at approximate quantiles, its ranks are prefix
-sums over those buckets, and no task ever holds more than about
-``bucket_rows`` values of one group.  ``method="builtin"`` uses Spark's single-pass ``percentile`` instead,
-which is faster when every group is known to be small.
+a third of all rows.  ``grouped_stats`` therefore works on a value histogram:
+repeated values fold map-side, and hashing on (group, value) spreads a hot group.
+Each group's histogram is cut into order-preserving buckets at a hash sample of
+its own values, one in ``bucket_values`` on average, so a bucket's size doesn't
+depend on the group's; a group with few values has one bucket.  Prefix sums over
+the buckets give every bucket its rank offset, and quantiles are interpolated
+linearly (pandas / DuckDB ``quantile_cont``).  Counts, sums, means, extremes and
+deviations come out of the same histogram, so nothing is joined back.
 """
 
 from __future__ import annotations
@@ -20,9 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_ROWS = 1 << 20
-_GRID = 1024  # candidate cut points per big group
-_SKETCH_ACCURACY = 100_000
+BUCKET_VALUES = 1 << 15
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -44,92 +41,87 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return j.drop(*[f"__r_{k}" for k in keys])
 
 
-def group_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
-                    probs: Mapping[str, float], *, method: str = "exact",
-                    bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Exact quantiles of ``value`` per ``keys``; NULL values are skipped.
+#: Aggregates that ``grouped_stats`` can carry through the histogram: name -> parts of a column it needs.
+_PARTS = {"rows": (), "count": ("n",), "sum": ("s",), "avg": ("s", "n"), "min": ("lo",), "max": ("hi",),
+          "stddev": ("s", "q", "n")}
 
-    Returns ``keys + list(probs)``, one row per group with at least one value.
-    """
-    keys = list(keys)
-    v = F.col(value) if isinstance(value, str) else value
-    if not keys:  # one global group: a constant key keeps every join an equi-join
-        out = group_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], v, probs, method=method,
-                              bucket_rows=bucket_rows)
-        return out.drop("_all")
-    base = df.select(*keys, v.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    if method == "builtin":
-        return base.groupBy(*keys).agg(*[
-            F.percentile("_v", F.lit(p)).alias(name) for name, p in probs.items()
-        ])
-    if method != "exact":
-        raise ValueError(f"unknown quantile method {method!r}")
-
-    # 1. value histogram: partial aggregation folds repeated values map-side, and
-    #    hashing on (keys, value) spreads a hot group over all reducers.
-    hist = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-
-    # 2. per group (one small row each): rows, distinct values, and for groups
-    #    with more than ``bucket_rows`` distinct values, cut points at
-    #    approximate quantiles thinned to ceil(d / bucket_rows) buckets.
-    grid = F.array(*[F.lit(i / _GRID) for i in range(1, _GRID)])
-    sizes = hist.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"))
-
-    # 3a. groups with at most ``bucket_rows`` distinct values: Spark's exact
-    #     percentile over the histogram (value, frequency), a bounded buffer.
-    small = null_safe_join(hist, sizes.where(F.col("_d") <= F.lit(bucket_rows)).select(*keys), keys, "left_semi")
-    small_q = small.groupBy(*keys).agg(*[
-        F.percentile("_v", F.lit(float(p)), F.col("_c")).alias(name) for name, p in probs.items()])
-
-    # 3b. bigger groups: rank the histogram inside order-preserving buckets.
-    big_keys = sizes.where(F.col("_d") > F.lit(bucket_rows))
-    big = null_safe_join(hist, big_keys.select(*keys), keys, "left_semi")
-    nb = F.least(F.lit(_GRID), F.ceil(F.col("_d") / F.lit(bucket_rows))).cast("int")
-    cuts = big.groupBy(*keys).agg(F.percentile_approx("_v", grid, _SKETCH_ACCURACY).alias("_grid"))
-    groups = null_safe_join(big_keys, cuts, keys).select(*keys, "_n", F.transform(
-        F.sequence(F.lit(1), nb - 1),
-        lambda k: F.element_at("_grid", (k * F.lit(_GRID) / nb).cast("int"))).alias("_cuts"))
-    ranked = null_safe_join(big, groups, keys).withColumn(
-        "_bk", F.size(F.filter("_cuts", lambda x: x < F.col("_v"))))
 
-    # 4. one window pass per (group, bucket): running count and bucket total.
-    part = Window.partitionBy(*keys, "_bk")
-    ranked = ranked.select(
-        *keys, "_bk", "_v", "_c", "_n",
-        F.sum("_c").over(part.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)).alias("_run"),
-        F.sum("_c").over(part).alias("_btot"))
+def _value_at(rank: Column) -> Column:
+    """The bucket's value at a 1-based rank: the first whose running count reaches it."""
+    return F.aggregate(
+        "_vals", F.struct(F.lit(0).cast("long").alias("run"), F.lit(None).cast("double").alias("v")),
+        lambda acc, e: F.struct(
+            (acc["run"] + e["c"]).alias("run"),
+            F.when(acc["v"].isNull() & (acc["run"] + e["c"] >= rank), e["v"]).otherwise(acc["v"]).alias("v")),
+        lambda acc: acc["v"])
 
-    # 5. rows in earlier buckets (small table: one row per group and bucket).
-    before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranked.select(*keys, "_bk", "_btot").distinct().select(
-        *keys, "_bk", F.coalesce(F.sum("_btot").over(before), F.lit(0)).alias("_off"))
 
-    # 6. 1-based rank range [lo, hi] covered by each distinct value.
-    spans = null_safe_join(ranked, offsets, keys + ["_bk"]).select(
-        *keys, "_v", "_n", (F.col("_off") + F.col("_run")).alias("_hi"), "_c")
-    spans = spans.withColumn("_lo", F.col("_hi") - F.col("_c") + 1)
+def grouped_stats(df: DataFrame, keys: Sequence[str], value: str | Column, probs: Mapping[str, float],
+                  aggs: Mapping[str, tuple[str, str | None]] | None = None, *,
+                  bucket_values: int = BUCKET_VALUES) -> DataFrame:
+    """Exact quantiles of ``value`` and further aggregates per ``keys`` in one pass over ``df``.
 
-    # 7. pick the values at floor/ceil of p * (n - 1) and interpolate.
-    aggs, finals = [], []
+    ``aggs`` maps an output name to (kind, column); kinds are rows (column None),
+    count, sum, avg, min, max and stddev (of the sample).  Returns ``keys``, the
+    ``probs`` and the ``aggs``, one row per group.  NULL values don't count for the
+    quantiles; a group without values has NULL quantiles.
+    """
+    keys, aggs = list(keys), dict(aggs or {})
+    if not keys:  # one global group: a constant key keeps the join an equi-join
+        return grouped_stats(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, aggs,
+                             bucket_values=bucket_values).drop("_all")
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    cols = {c: f"_x{i}" for i, c in enumerate(dict.fromkeys(c for _, c in aggs.values() if c))}
+    need = dict.fromkeys((x, part) for kind, c in aggs.values() for part in _PARTS[kind] for x in [cols.get(c)] if x)
+    first = {"n": F.count, "s": F.sum, "q": lambda x: F.sum(F.col(x) * F.col(x)), "lo": F.min, "hi": F.max}
+    merge = {"n": F.sum, "s": F.sum, "q": F.sum, "lo": F.min, "hi": F.max}
+
+    # 1. value histogram
+    base = df.select(*keys, v.alias("_v"), *[F.col(c).alias(x) for c, x in cols.items()])
+    hist = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"), *[
+        first[part](x).alias(f"{x}{part}") for x, part in need])
+
+    # 2. per group: size, the other aggregates, and the sampled cut points
+    sampled = F.pmod(F.xxhash64("_v"), F.lit(bucket_values)) == 0
+    totals = hist.groupBy(*keys).agg(
+        F.sum(F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)).alias("_n"), F.sum("_c").alias("_rows"),
+        F.array_sort(F.collect_list(F.when(F.col("_v").isNotNull() & sampled, F.col("_v")))).alias("_cuts"),
+        *[merge[part](f"{x}{part}").alias(f"{x}{part}") for x, part in need])
+
+    # 3. one row per bucket: its values in order, its total, and the totals of those before it
+    bucketed = null_safe_join(hist.select(*keys, "_v", "_c"), totals, keys).withColumn(
+        "_bk", F.size(F.filter("_cuts", lambda x: x < F.col("_v"))))
+    carried = ["_n", "_rows", *[f"{x}{part}" for x, part in need]]
+    present = F.col("_v").isNotNull()
+    buckets = bucketed.groupBy(*keys, "_bk").agg(
+        F.sum(F.when(present, F.col("_c")).otherwise(0)).alias("_size"),
+        F.array_sort(F.collect_list(F.when(present, F.struct(F.col("_v").alias("v"), F.col("_c").alias("c"))))).alias("_vals"),
+        *[F.first(c).alias(c) for c in carried])
+    before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.withColumn("_off", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+
+    # 4. the values at the ranks around p * (n - 1), from the buckets that hold them
+    picks, out = [], []
     for i, (name, p) in enumerate(probs.items()):
         pos = F.lit(float(p)) * (F.col("_n") - 1)
-        r1, r2 = F.floor(pos) + 1, F.ceil(pos) + 1
-        aggs.append(F.max(F.when((F.col("_lo") <= r1) & (r1 <= F.col("_hi")), F.col("_v"))).alias(f"_a{i}"))
-        aggs.append(F.max(F.when((F.col("_lo") <= r2) & (r2 <= F.col("_hi")), F.col("_v"))).alias(f"_b{i}"))
-        frac = F.lit(float(p)) * (F.col("_n") - 1) - F.floor(F.lit(float(p)) * (F.col("_n") - 1))
-        finals.append((F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * frac).alias(name))
-    picked = spans.groupBy(*keys).agg(F.first("_n").alias("_n"), *aggs)
-    return small_q.unionByName(picked.select(*keys, *finals))
-
-
-def with_quantiles(agg: DataFrame, df: DataFrame, keys: Sequence[str], value: str | Column,
-                   probs: Mapping[str, float], **kw) -> DataFrame:
-    """Attach ``group_quantiles`` columns to an aggregate keyed by ``keys``.
-
-    Groups with no non-NULL value get NULL quantiles (left join).
-    """
-    q = group_quantiles(df, keys, value, probs, **kw)
-    return null_safe_join(agg, q, list(keys), "left")
+        for side, rank in (("a", F.floor(pos) + 1), ("b", F.ceil(pos) + 1)):
+            inside = (rank > F.col("_off")) & (rank <= F.col("_off") + F.col("_size"))
+            picks.append(F.max(F.when(inside, _value_at(rank - F.col("_off")))).alias(f"_{side}{i}"))
+        out.append((F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * (pos - F.floor(pos))).alias(name))
+    for name, (kind, c) in aggs.items():
+        n, s, q = (F.col(f"{cols.get(c)}{part}") for part in "nsq")
+        out.append({"rows": F.col("_rows"), "count": n, "sum": s, "avg": F.try_divide(s, n),
+                    "min": F.col(f"{cols.get(c)}lo"), "max": F.col(f"{cols.get(c)}hi"),
+                    "stddev": F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), q - F.try_divide(s * s, n)) / (n - 1)))}[kind].alias(name))
+    done = buckets.groupBy(*keys).agg(*picks, *[F.first(c).alias(c) for c in carried])
+    return done.select(*keys, *out)
+
+
+def group_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column, probs: Mapping[str, float],
+                    **kw) -> DataFrame:
+    """Exact quantiles of ``value`` per ``keys``: one row per group with at least one value."""
+    v = F.col(value) if isinstance(value, str) else value
+    return grouped_stats(df.where(v.isNotNull()), keys, v, probs, **kw)
 
 
 def group_mode(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

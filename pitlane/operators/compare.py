@@ -7,15 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitlane.functions.stats import group_quantiles, null_safe_join, with_quantiles
+from pitlane.functions.stats import group_quantiles, grouped_stats, null_safe_join
 
 
 def compound_usage(valid: DataFrame, keys: Sequence[str] = ("GrandPrix",)) -> DataFrame:
     """Laps and median LapTime per compound (per race), most used first."""
     k = [*keys, "Compound"]
     df = valid.where(F.col("Compound").isNotNull())
-    agg = df.groupBy(*k).agg(F.count(F.lit(1)).alias("Laps"))
-    out = with_quantiles(agg, df, k, "LapTime", {"MedianLapTime": 0.5})
+    out = grouped_stats(df, k, "LapTime", {"MedianLapTime": 0.5}, {"Laps": ("rows", None)})
     return out.orderBy(*keys, F.desc("Laps"), "Compound")
 
 
@@ -34,8 +33,8 @@ def race_tyre_summary(valid: DataFrame, keys: Sequence[str] = ("GrandPrix",)) ->
     """
     k = [*keys, "Compound"]
     df = valid.where(F.col("Compound").isNotNull())
-    laps = df.groupBy(*k).agg(F.count(F.lit(1)).alias("Laps"), F.avg("LapTime").alias("MeanLapTime"))
-    laps = with_quantiles(laps, df, k, "LapTime", {"MedianLapTime": 0.5})
+    laps = grouped_stats(df, k, "LapTime", {"MedianLapTime": 0.5},
+                         {"Laps": ("rows", None), "MeanLapTime": ("avg", "LapTime")})
     stints = (df.where(F.col("Driver").isNotNull() & F.col("Stint").isNotNull())
               .groupBy(*k, "Driver", "Stint").agg(F.max("TyreLife").alias("_len"))
               .groupBy(*k).agg(F.avg("_len").alias("AvgStint"), F.max("_len").alias("MaxStint")))
@@ -50,21 +49,26 @@ def fastest_lap_by_compound(valid: DataFrame, keys: Sequence[str] = ("GrandPrix"
     return best.select(*k, "_b.LapTime", "_b.LapNumber", "_b.Driver")
 
 
-def compare_races(valid: DataFrame, compound: str, races: Sequence[str] | None = None) -> DataFrame:
-    """R5 generalised: per race, one compound: laps, median LapTime, mean TyreLife."""
-    df = valid.where(F.col("Compound") == F.lit(compound))
+def compare_races(valid: DataFrame, compounds: Sequence[str] | None = None,
+                  races: Sequence[str] | None = None) -> DataFrame:
+    """R5 generalised: per race and compound: laps, median LapTime, mean TyreLife.
+
+    ``compounds`` and ``races`` narrow the comparison; None takes all.
+    """
+    df = valid.where(F.col("Compound").isNotNull())
+    if compounds is not None:
+        df = df.where(F.col("Compound").isin(list(compounds)))
     if races is not None:
         df = df.where(F.col("GrandPrix").isin(list(races)))
-    agg = df.groupBy("GrandPrix").agg(F.count(F.lit(1)).alias("Laps"), F.avg("TyreLife").alias("MeanTyreLife"))
-    agg = with_quantiles(agg, df, ["GrandPrix"], "LapTime", {"MedianLapTime": 0.5})
-    return agg.withColumn("Compound", F.lit(compound))
+    return grouped_stats(df, ["GrandPrix", "Compound"], "LapTime", {"MedianLapTime": 0.5},
+                         {"Laps": ("rows", None), "MeanTyreLife": ("avg", "TyreLife")})
 
 
 def compare_two_races(valid: DataFrame, race1: str, race2: str, compound: str = "SOFT") -> DataFrame:
     """One compound at two races; empty unless both races have laps on it."""
-    per = compare_races(valid, compound, [race1, race2])
-    # at most two rows, so an unpartitioned window is bounded
-    return per.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy())).where(F.col("_n") == 2).drop("_n")
+    per = compare_races(valid, [compound], [race1, race2])
+    # at most two rows, so the window over the compound is bounded
+    return per.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("Compound"))).where(F.col("_n") == 2).drop("_n")
 
 
 def laptime_histogram(valid: DataFrame, keys: Sequence[str] = ("GrandPrix",), bins: int = 30) -> DataFrame:

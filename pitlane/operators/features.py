@@ -144,7 +144,7 @@ def stint_track_features(df: DataFrame) -> DataFrame:
     return track_evolution(laps_into_stint(df))
 
 
-def tyre_age_diff(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Driver", "Stint"),
+def tyre_age_diff(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session", "Driver", "Stint"),
                   method: str = "bucketed") -> DataFrame:
     """TyreLife minus the previous lap's within the stint (ordered by LapNumber)."""
     order = ["LapNumber", *(["Session"] if "Session" in df.columns and "Session" not in keys else [])]

@@ -16,7 +16,7 @@ from pyspark.sql.types import (
 )
 
 from pitlane.functions import scan
-from pitlane.functions.stats import group_quantiles, null_safe_join
+from pitlane.functions.stats import grouped_stats, null_safe_join
 from pitlane.schema import LAP_RULES, LAP_RULES_EXCLUSIVE_LO, TELEMETRY_RULES
 
 _TYPES = {
@@ -113,9 +113,13 @@ def sector_findings(sc: DataFrame) -> DataFrame:
         .otherwise("sector sum differs from lap time").alias("Detail"))
 
 
+# Fixed value: the issue text of the reference.
+PROGRESSION_ISSUE = "Non-sequential tire life progression"
+
+
 def lap_outliers(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session", "Driver"),
                  k: float = 3.0, min_laps: int = 3) -> DataFrame:
-    """Q4: per driver session, laps outside [Q1 - k IQR, Q3 + k IQR].
+    """Q4: the laps outside [Q1 - k IQR, Q3 + k IQR] of their driver session, one row each.
 
     Quartiles come from accurate, non-pit laps (a group needs ``min_laps``
     rows, and ``min_laps`` such rows counted before NULL times drop out); every
@@ -126,33 +130,35 @@ def lap_outliers(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session", "
     for c in kk:
         base = base.where(F.col(c).isNotNull())
     clean_lap = F.col("IsAccurate") & F.col("PitInTime").isNull()
-    sizes = base.groupBy(*kk).agg(F.count(F.lit(1)).alias("_rows"),
-                                  F.count_if(F.coalesce(clean_lap, F.lit(False))).alias("_clean"))
-    sizes = sizes.where((F.col("_rows") >= min_laps) & (F.col("_clean") >= min_laps))
-    q = group_quantiles(base.where(clean_lap), kk, "LapTime", {"_q1": 0.25, "_q3": 0.75})
-    bounds = null_safe_join(sizes, q, kk).select(
+    marked = base.select(*kk, F.when(clean_lap, F.col("LapTime")).alias("_time"), F.when(clean_lap, 1).alias("_ok"))
+    q = grouped_stats(marked, kk, "_time", {"_q1": 0.25, "_q3": 0.75}, {"_rows": ("rows", None), "_clean": ("count", "_ok")})
+    bounds = q.where((F.col("_rows") >= min_laps) & (F.col("_clean") >= min_laps)).select(
         *kk, (F.col("_q1") - F.lit(k) * (F.col("_q3") - F.col("_q1"))).alias("_lo"),
         (F.col("_q3") + F.lit(k) * (F.col("_q3") - F.col("_q1"))).alias("_hi"))
-    judged = null_safe_join(base, bounds, kk)
-    out = judged.where((F.col("LapTime") < F.col("_lo")) | (F.col("LapTime") > F.col("_hi")))
-    return out.groupBy(*kk).agg(F.count(F.lit(1)).alias("OutlierCount"),
-                                F.array_sort(F.collect_list("LapNumber")).alias("OutlierLaps"))
+    judged = base.select(*kk, "LapNumber", "LapTime").join(bounds, kk)
+    return judged.where((F.col("LapTime") < F.col("_lo")) | (F.col("LapTime") > F.col("_hi"))).drop("_lo", "_hi")
+
+
+def outlier_counts(outliers: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session", "Driver")) -> DataFrame:
+    """Q4: outlier laps per driver session that has any."""
+    return outliers.groupBy(*keys).agg(F.count(F.lit(1)).alias("OutlierCount"))
 
 
 def outlier_findings(outliers: DataFrame) -> DataFrame:
-    agg = outliers.agg(F.count(F.lit(1)).alias("_n"))
+    """One finding with the number of driver sessions that have outlier laps."""
+    agg = outlier_counts(outliers).agg(F.count(F.lit(1)).alias("_n"))
     return agg.where(F.col("_n") > 0).select(
         F.lit("lap_outliers").alias("Rule"), F.lit("warning").alias("Severity"), F.col("_n").alias("N"),
         F.lit("driver sessions with lap time outliers").alias("Detail"))
 
 
-def tyre_progression(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Driver"),
+def tyre_progression(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session", "Driver"),
                      stint: str = "Stint") -> DataFrame:
     """Q5: stints (>= 2 laps) whose TyreLife does not step by exactly 1 per lap.
 
     Laps are ordered by LapNumber within the stint; NULL diffs are ignored and
-    NULL stints skipped.  Reference keys omit Session (SURVEY D13), so run it on
-    one session type or pass ``keys`` with Session.
+    NULL stints skipped.  Session is part of the keys, so stints of different
+    sessions with one number don't mix (SURVEY D13).
     """
     if "TyreLife" not in df.columns or stint not in df.columns:
         return df.sparkSession.range(0).select(*[F.lit(None).cast("string").alias(c) for c in keys],
@@ -167,7 +173,7 @@ def tyre_progression(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Driver"
     agg = d.groupBy(*kk).agg(F.count(F.lit(1)).alias("_n"),
                              F.count_if(F.col("_d").isNotNull() & (F.col("_d") != 1)).alias("_bad"))
     return agg.where((F.col("_n") >= 2) & (F.col("_bad") > 0)).select(
-        *kk, F.lit("Non-sequential tire life progression").alias("Issue"))
+        *kk, F.lit(PROGRESSION_ISSUE).alias("Issue"))
 
 
 def progression_findings(bad: DataFrame) -> DataFrame:
@@ -244,9 +250,9 @@ def cross_compound(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Circuit")
     base = df
     for c in kk:
         base = base.where(F.col(c).isNotNull())
-    agg = base.groupBy(*kk).agg(F.avg("LapTime").alias("MeanLapTime"), F.count("LapTime").alias("LapCount"))
-    agg = agg.where(F.col("LapCount") >= min_laps)
-    agg = null_safe_join(agg, group_quantiles(base, kk, "LapTime", {"MedianLapTime": 0.5}), kk, "left")
+    agg = grouped_stats(base, kk, "LapTime", {"MedianLapTime": 0.5}, {
+        "MeanLapTime": ("avg", "LapTime"), "LapCount": ("count", "LapTime")}).where(F.col("LapCount") >= min_laps).select(
+        *kk, "MeanLapTime", "LapCount", "MedianLapTime")
     w = Window.partitionBy(*keys)
     med = lambda c: F.max(F.when(F.col("Compound") == c, F.col("MedianLapTime"))).over(w)
     out = agg.withColumn("CompoundsQualified", F.count(F.lit(1)).over(w)) \

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane.functions import scan
-from pitlane.functions.stats import group_quantiles, null_safe_join
+from pitlane.functions.stats import grouped_stats, null_safe_join
 from pitlane.session import materialize
 
 PIT_LOSS = 25.0       # seconds per stop
@@ -55,8 +55,8 @@ def pace_curve(valid: DataFrame, keys: Sequence[str] = ("Compound",), min_count:
     df = valid
     for c in k:
         df = df.where(F.col(c).isNotNull())
-    counts = df.groupBy(*k).agg(F.count("LapTime").alias("LapCount")).where(F.col("LapCount") >= min_count)
-    curve = null_safe_join(counts, group_quantiles(df, k, "LapTime", {"MedianLapTime": 0.5}), k)
+    curve = grouped_stats(df, k, "LapTime", {"MedianLapTime": 0.5}, {"LapCount": ("count", "LapTime")}).where(
+        F.col("LapCount") >= min_count).select(*k, "LapCount", "MedianLapTime")
     per = Window.partitionBy(*keys)
     curve = curve.withColumn("_ages", F.count(F.lit(1)).over(per)) \
         .withColumn("BaseTime", F.min_by("MedianLapTime", "TyreLife").over(per)) \

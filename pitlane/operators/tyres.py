@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane.functions.scalar import DRY_COMPOUNDS, KNOWN_COMPOUNDS
-from pitlane.functions.stats import group_mode, group_quantiles, null_safe_join, with_quantiles
+from pitlane.functions.stats import group_mode, group_quantiles, grouped_stats, null_safe_join
 
 STINT_KEYS = ("GrandPrix", "Driver", "Stint")
 
@@ -30,12 +30,11 @@ def pace_by_age(valid: DataFrame, keys: Sequence[str] = ("Compound", "TyreLife")
         df = df.where(F.col(c).isNotNull())
     if max_age is not None:
         df = df.where(F.col("TyreLife") <= F.lit(max_age))
-    agg = df.groupBy(*k).agg(
-        F.avg("LapTime").alias("MeanLapTime"), F.count("LapTime").alias("LapCount"),
-        F.stddev_samp("LapTime").alias("StdLapTime"))
+    out = grouped_stats(df, k, "LapTime", {"MedianLapTime": 0.5}, {
+        "MeanLapTime": ("avg", "LapTime"), "LapCount": ("count", "LapTime"), "StdLapTime": ("stddev", "LapTime")})
     if min_count is not None:
-        agg = agg.where(F.col("LapCount") >= F.lit(min_count))
-    return with_quantiles(agg, df, k, "LapTime", {"MedianLapTime": 0.5})
+        out = out.where(F.col("LapCount") >= F.lit(min_count))
+    return out.select(*k, "MeanLapTime", "LapCount", "StdLapTime", "MedianLapTime")
 
 
 def tyre_degradation(valid: DataFrame, compounds: Sequence[str] = DRY_COMPOUNDS,
@@ -48,10 +47,9 @@ def tyre_degradation(valid: DataFrame, compounds: Sequence[str] = DRY_COMPOUNDS,
     AvgStintLength is (as in the reference) the mean tyre age over laps.
     """
     df = valid.where(F.col("Compound").isin(list(compounds)))
-    stats = df.groupBy("Compound").agg(
-        F.count(F.lit(1)).alias("TotalLaps"), F.avg("TyreLife").alias("AvgStintLength"),
-        F.max("TyreLife").alias("MaxStintLength"), F.avg("LapTime").alias("AvgLapTime"),
-    ).where(F.col("TotalLaps") >= F.lit(min_laps))
+    stats = grouped_stats(df, ["Compound"], "LapTime", {"MedianLapTime": 0.5}, {
+        "TotalLaps": ("rows", None), "AvgStintLength": ("avg", "TyreLife"), "MaxStintLength": ("max", "TyreLife"),
+        "AvgLapTime": ("avg", "LapTime")}).where(F.col("TotalLaps") >= F.lit(min_laps))
     per_age = group_quantiles(df.where(F.col("TyreLife").isNotNull()), ["Compound", "TyreLife"],
                               "LapTime", {"_med": 0.5})
     fit = F.col("TyreLife") <= F.lit(max_fit_age)
@@ -60,8 +58,7 @@ def tyre_degradation(valid: DataFrame, compounds: Sequence[str] = DRY_COMPOUNDS,
         F.regr_slope(F.when(fit, F.col("_med")), F.when(fit, F.col("TyreLife"))).alias("_slope"))
     slope = slope.select("Compound", F.when((F.col("_ages") > min_ages) & (F.col("_fit") > min_ages),
                                             F.col("_slope")).alias("DegradationRate"))
-    out = null_safe_join(stats, slope, ["Compound"], "left")
-    out = with_quantiles(out, df, ["Compound"], "LapTime", {"MedianLapTime": 0.5})
+    out = stats.join(slope, "Compound", "left")
     return out.select("Compound", "TotalLaps", "AvgStintLength", "MaxStintLength",
                       "DegradationRate", "AvgLapTime", "MedianLapTime")
 
@@ -119,7 +116,7 @@ def optimal_stint(valid: DataFrame, compounds: Sequence[str] = DRY_COMPOUNDS,
     thr = pace.groupBy("Compound").agg(
         F.count(F.lit(1)).alias("_ages"), F.max("TyreLife").alias("_maxage"),
         F.percentile("_chg", F.lit(threshold_q)).alias("_thr"))
-    pace = null_safe_join(pace, thr, ["Compound"])
+    pace = pace.join(thr, "Compound")
     opt = pace.groupBy("Compound").agg(
         F.first("_ages").alias("_ages"), F.first("_maxage").alias("_maxage"),
         F.min(F.when(F.col("_chg") > F.col("_thr"), F.col("TyreLife"))).alias("_first"))
@@ -130,8 +127,7 @@ def optimal_stint(valid: DataFrame, compounds: Sequence[str] = DRY_COMPOUNDS,
     sagg = stints.groupBy("Compound").agg(F.avg("StintLength").alias("AverageStintLength"),
                                           F.count(F.lit(1)).alias("TotalStints"))
     mode = group_mode(stints, ["Compound"], "StintLength", "MostCommonStint")
-    out = null_safe_join(null_safe_join(null_safe_join(opt, volume, ["Compound"]), sagg, ["Compound"], "left"),
-                         mode, ["Compound"], "left")
+    out = opt.join(volume, "Compound").join(sagg, "Compound", "left").join(mode, "Compound", "left")
     return out.select("Compound", "OptimalMaxAge", "AverageStintLength", "MostCommonStint",
                       "LongestStint", "TotalStints")
 
@@ -139,9 +135,9 @@ def optimal_stint(valid: DataFrame, compounds: Sequence[str] = DRY_COMPOUNDS,
 def compound_by_circuit(valid: DataFrame) -> DataFrame:
     """T5: per (GrandPrix, Compound): median and mean LapTime and lap count."""
     df = valid.where(F.col("Compound").isNotNull() & F.col("GrandPrix").isNotNull())
-    agg = df.groupBy("GrandPrix", "Compound").agg(
-        F.avg("LapTime").alias("MeanLapTime"), F.count("LapTime").alias("LapCount"))
-    return with_quantiles(agg, df, ["GrandPrix", "Compound"], "LapTime", {"MedianLapTime": 0.5})
+    out = grouped_stats(df, ["GrandPrix", "Compound"], "LapTime", {"MedianLapTime": 0.5}, {
+        "MeanLapTime": ("avg", "LapTime"), "LapCount": ("count", "LapTime")})
+    return out.select("GrandPrix", "Compound", "MeanLapTime", "LapCount", "MedianLapTime")
 
 
 def fastest_compound(perf: DataFrame) -> DataFrame:
@@ -157,16 +153,18 @@ def compound_wins(fastest: DataFrame) -> DataFrame:
         F.desc("Wins"), "Compound")
 
 
-def compound_usage_pivot(valid: DataFrame, compounds: Sequence[str] = KNOWN_COMPOUNDS,
-                         other: str = "OTHER") -> DataFrame:
-    """Lap counts GrandPrix x compound (missing = 0).
+def compound_usage_counts(valid: DataFrame) -> DataFrame:
+    """T8 as a long table: laps per GrandPrix and compound label, whatever labels there are."""
+    return valid.where(F.col("Compound").isNotNull()).groupBy("GrandPrix", "Compound").agg(F.count(F.lit(1)).alias("Laps"))
 
-    The pivot values are fixed (the known compounds plus one bucket for any
-    other label) so the plan needs no extra pass to discover them.
+
+def compound_usage_pivot(counts: DataFrame, compounds: Sequence[str] = KNOWN_COMPOUNDS) -> DataFrame:
+    """``compound_usage_counts`` with a column per label of ``compounds`` (missing = 0).
+
+    The caller names the columns, so no extra pass discovers them; other labels
+    stay in the long table.
     """
-    label = F.when(F.col("Compound").isin(list(compounds)), F.col("Compound")).otherwise(F.lit(other))
-    df = valid.where(F.col("Compound").isNotNull()).withColumn("_cmp", label)
-    return df.groupBy("GrandPrix").pivot("_cmp", [*compounds, other]).count().fillna(0)
+    return counts.groupBy("GrandPrix").pivot("Compound", list(compounds)).agg(F.sum("Laps")).fillna(0)
 
 
 def box_stats(df: DataFrame, keys: Sequence[str], value: str, whisker: float = 1.5) -> DataFrame:

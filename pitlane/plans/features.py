@@ -162,7 +162,7 @@ def q_session_progress(spark, sf):
 
 @query("tyre_age_diff", with_laps() + f"""
 SELECT {KEYS}, round(Stint, 6) AS Stint, round(TyreLife - lag(TyreLife) OVER (
-  PARTITION BY GrandPrix, Driver, Stint ORDER BY LapNumber, Session), 6) AS TyreLifeDiff
-FROM laps WHERE Session = 'Race'""")
+  PARTITION BY GrandPrix, Session, Driver, Stint ORDER BY LapNumber), 6) AS TyreLifeDiff
+FROM laps""")
 def q_tyre_age_diff(spark, sf):
-    return pick(features.tyre_age_diff(race_laps(spark, sf)), "Stint", "TyreLifeDiff")
+    return pick(features.tyre_age_diff(laps(spark, sf)), "Stint", "TyreLifeDiff")

@@ -70,36 +70,34 @@ g AS (SELECT GrandPrix, Session, Driver FROM laps GROUP BY GrandPrix, Session, D
 qq AS (SELECT GrandPrix, Session, Driver, quantile_cont(LapTime, 0.25) AS q1, quantile_cont(LapTime, 0.75) AS q3
        FROM laps WHERE IsAccurate AND PitInTime IS NULL GROUP BY GrandPrix, Session, Driver),
 b AS (SELECT g.*, q1 - 3.0 * (q3 - q1) AS lo, q3 + 3.0 * (q3 - q1) AS hi FROM g JOIN qq USING (GrandPrix, Session, Driver)),
-q4 AS (SELECT l.GrandPrix, l.Session, l.Driver, count(*) AS OutlierCount,
-         array_to_string(list_sort(list(CAST(l.LapNumber AS BIGINT))), ',') AS OutlierLaps
-       FROM laps l JOIN b USING (GrandPrix, Session, Driver)
-       WHERE l.LapTime < b.lo OR l.LapTime > b.hi GROUP BY l.GrandPrix, l.Session, l.Driver)"""
-
-
-def _laps_text(col):
-    return F.array_join(F.transform(col, lambda x: x.cast("long").cast("string")), ",")
+q4 AS (SELECT l.GrandPrix, l.Session, l.Driver, round(l.LapNumber, 6) AS LapNumber, round(l.LapTime, 6) AS LapTime
+       FROM laps l JOIN b USING (GrandPrix, Session, Driver) WHERE l.LapTime < b.lo OR l.LapTime > b.hi)"""
 
 
 @query("lap_outliers", with_laps() + Q4_SQL + "\nSELECT * FROM q4")
 def q_lap_outliers(spark, sf):
-    out = quality.lap_outliers(laps(spark, sf))
-    return out.withColumn("OutlierLaps", _laps_text(F.col("OutlierLaps")))
+    return quality.lap_outliers(laps(spark, sf))
+
+
+@query("outlier_counts", with_laps() + Q4_SQL + """
+SELECT GrandPrix, Session, Driver, count(*) AS OutlierCount FROM q4 GROUP BY GrandPrix, Session, Driver""")
+def q_outlier_counts(spark, sf):
+    return quality.outlier_counts(quality.lap_outliers(laps(spark, sf)))
 
 
-def q5_sql(source: str) -> str:
-    return f""",
-d AS (SELECT GrandPrix, Driver, Stint, TyreLife - lag(TyreLife) OVER (
-        PARTITION BY GrandPrix, Driver, Stint ORDER BY LapNumber, Session) AS dd
-      FROM {source} WHERE Stint IS NOT NULL),
-q5 AS (SELECT GrandPrix, Driver, Stint, 'Non-sequential tire life progression' AS Issue FROM d
-       GROUP BY GrandPrix, Driver, Stint
+Q5_SQL = """,
+d AS (SELECT GrandPrix, Session, Driver, Stint, TyreLife - lag(TyreLife) OVER (
+        PARTITION BY GrandPrix, Session, Driver, Stint ORDER BY LapNumber) AS dd
+      FROM laps WHERE Stint IS NOT NULL),
+q5 AS (SELECT GrandPrix, Session, Driver, Stint, 'Non-sequential tire life progression' AS Issue FROM d
+       GROUP BY GrandPrix, Session, Driver, Stint
        HAVING count(*) >= 2 AND count(*) FILTER (WHERE dd IS NOT NULL AND dd <> 1) > 0)"""
 
 
-@query("tyre_progression", with_laps() + ",\nrace AS (SELECT * FROM laps WHERE Session = 'Race')" + q5_sql("race")
-       + "\nSELECT GrandPrix, Driver, round(Stint, 6) AS Stint, Issue FROM q5")
+@query("tyre_progression", with_laps() + Q5_SQL
+       + "\nSELECT GrandPrix, Session, Driver, round(Stint, 6) AS Stint, Issue FROM q5")
 def q_tyre_progression(spark, sf):
-    return quality.tyre_progression(race_laps(spark, sf))
+    return quality.tyre_progression(laps(spark, sf))
 
 
 Q6_SQL = """,
@@ -115,7 +113,7 @@ def q_pit_completeness(spark, sf):
     return quality.pit_completeness(laps(spark, sf))
 
 
-@query("quality_report", with_laps() + Q3_SQL + Q4_SQL + q5_sql("laps") + Q6_SQL + f""",
+@query("quality_report", with_laps() + Q3_SQL + Q4_SQL + Q5_SQL + Q6_SQL + f""",
 sch AS ({schema_sql("laps", LAP_RULES, LAP_RULES_EXCLUSIVE_LO)}),
 f AS (
   SELECT 'schema' AS Rule, 'issue' AS Severity FROM sch HAVING count(*) FILTER (WHERE NOT Passed) > 0

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from pitlane.functions.scalar import KNOWN_COMPOUNDS
 from pitlane.operators import clean, compare, tyres
 from pitlane.plans.catalog import query, race_laps
 from pitlane.plans.sqlparts import with_laps
@@ -133,10 +136,17 @@ def q_compound_wins(spark, sf):
 SELECT GrandPrix, count(*) FILTER (WHERE Compound = 'SOFT') AS SOFT, count(*) FILTER (WHERE Compound = 'MEDIUM') AS MEDIUM,
   count(*) FILTER (WHERE Compound = 'HARD') AS HARD, count(*) FILTER (WHERE Compound = 'INTERMEDIATE') AS INTERMEDIATE,
   count(*) FILTER (WHERE Compound = 'WET') AS WET,
-  count(*) FILTER (WHERE Compound NOT IN ('SOFT', 'MEDIUM', 'HARD', 'INTERMEDIATE', 'WET')) AS OTHER
+  count(*) FILTER (WHERE Compound = 'C3') AS C3
 FROM valid_ca WHERE TyreLife <= 40 GROUP BY GrandPrix""")
 def q_compound_usage_pivot(spark, sf):
-    return tyres.compound_usage_pivot(
+    valid = clean.valid_laps(race_laps(spark, sf), need_compound=True, need_age=True, max_age=40)
+    return tyres.compound_usage_pivot(tyres.compound_usage_counts(valid), (*KNOWN_COMPOUNDS, "C3"))
+
+
+@query("compound_usage_counts", BASE + """
+SELECT GrandPrix, Compound, count(*) AS Laps FROM valid_ca WHERE TyreLife <= 40 GROUP BY GrandPrix, Compound""")
+def q_compound_usage_counts(spark, sf):
+    return tyres.compound_usage_counts(
         clean.valid_laps(race_laps(spark, sf), need_compound=True, need_age=True, max_age=40))
 
 
@@ -208,28 +218,42 @@ def q_fastest_lap_by_compound(spark, sf):
 
 
 @query("compare_races", BASE + """
-SELECT GrandPrix, count(*) AS Laps, round(avg(TyreLife), 6) AS MeanTyreLife,
-  round(median(LapTime), 6) AS MedianLapTime, 'SOFT' AS Compound
-FROM valid_c WHERE Compound = 'SOFT' GROUP BY GrandPrix""")
+SELECT GrandPrix, Compound, count(*) AS Laps, round(avg(TyreLife), 6) AS MeanTyreLife,
+  round(median(LapTime), 6) AS MedianLapTime
+FROM valid_c GROUP BY GrandPrix, Compound""")
 def q_compare_races(spark, sf):
-    """R5 over every race: the two-race comparison is this table restricted to a pair."""
-    return compare.compare_races(valid_c(spark, sf), "SOFT")
+    """R5 over every race and compound: a two-race comparison is this table restricted to a pair."""
+    return compare.compare_races(valid_c(spark, sf))
+
+
+@query("compare_two_races", BASE + """,
+two AS (SELECT min(GrandPrix) AS a, max(GrandPrix) AS b FROM valid_c),
+r AS (SELECT GrandPrix, Compound, count(*) AS Laps, round(avg(TyreLife), 6) AS MeanTyreLife,
+        round(median(LapTime), 6) AS MedianLapTime
+      FROM valid_c WHERE Compound = 'SOFT' AND GrandPrix IN (SELECT a FROM two UNION SELECT b FROM two)
+      GROUP BY GrandPrix, Compound)
+SELECT * FROM r WHERE (SELECT count(*) FROM r) = 2""")
+def q_compare_two_races(spark, sf):
+    """R5 as a pair, SOFT tyres at the first and last race by name; nothing if either has no such laps."""
+    valid = valid_c(spark, sf)
+    ends = valid.agg(F.min("GrandPrix").alias("a"), F.max("GrandPrix").alias("b")).first()
+    return compare.compare_two_races(valid, ends["a"], ends["b"])
 
 
 @query("laptime_histogram", BASE + """,
-v AS (SELECT * FROM valid_c WHERE Compound = 'SOFT'),
-rng AS (SELECT GrandPrix, CASE WHEN min(LapTime) = max(LapTime) THEN min(LapTime) - 0.5 ELSE min(LapTime) END AS lo,
+v AS (SELECT * FROM valid_c),
+rng AS (SELECT GrandPrix, Compound, CASE WHEN min(LapTime) = max(LapTime) THEN min(LapTime) - 0.5 ELSE min(LapTime) END AS lo,
           CASE WHEN min(LapTime) = max(LapTime) THEN max(LapTime) + 0.5 ELSE max(LapTime) END AS hi
-        FROM v GROUP BY GrandPrix),
-b AS (SELECT GrandPrix, CAST(least(floor(30 * (LapTime - lo) / (hi - lo)) + 1, 30) - 1 AS INTEGER) AS Bin
-      FROM v JOIN rng USING (GrandPrix)),
-c AS (SELECT GrandPrix, Bin, count(*) AS Count FROM b GROUP BY GrandPrix, Bin),
-g AS (SELECT GrandPrix, lo, hi, CAST(UNNEST(range(0, 30)) AS INTEGER) AS Bin FROM rng)
-SELECT g.GrandPrix, g.Bin, round(lo + (hi - lo) / 30 * g.Bin, 6) AS BinStart,
+        FROM v GROUP BY GrandPrix, Compound),
+b AS (SELECT GrandPrix, Compound, CAST(least(floor(30 * (LapTime - lo) / (hi - lo)) + 1, 30) - 1 AS INTEGER) AS Bin
+      FROM v JOIN rng USING (GrandPrix, Compound)),
+c AS (SELECT GrandPrix, Compound, Bin, count(*) AS Count FROM b GROUP BY GrandPrix, Compound, Bin),
+g AS (SELECT GrandPrix, Compound, lo, hi, CAST(UNNEST(range(0, 30)) AS INTEGER) AS Bin FROM rng)
+SELECT g.GrandPrix, g.Compound, g.Bin, round(lo + (hi - lo) / 30 * g.Bin, 6) AS BinStart,
   round(lo + (hi - lo) / 30 * (g.Bin + 1), 6) AS BinEnd, coalesce(c.Count, 0) AS Count
-FROM g LEFT JOIN c ON g.GrandPrix = c.GrandPrix AND g.Bin = c.Bin""")
+FROM g LEFT JOIN c ON g.GrandPrix = c.GrandPrix AND g.Compound = c.Compound AND g.Bin = c.Bin""")
 def q_laptime_histogram(spark, sf):
-    return compare.laptime_histogram(clean.valid_laps(race_laps(spark, sf), compound="SOFT"))
+    return compare.laptime_histogram(valid_c(spark, sf), ("GrandPrix", "Compound"))
 
 
 @query("degradation_curves", BASE + """,

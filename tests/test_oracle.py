@@ -47,8 +47,9 @@ def test_anchors_sf001(spark):
     sc = q["sector_correlation"](spark, SF01).first()
     assert (sc.Mismatches, sc.Checked, sc.Severity) == (976, 59367, "warning")
     out = q["lap_outliers"](spark, SF01).collect()
-    assert len(out) == 153 and sum(r.OutlierCount for r in out) == 292
-    assert q["tyre_progression"](spark, SF01).count() == 128
+    assert len(out) == 292 and q["outlier_counts"](spark, SF01).count() == 153
+    from pitlane.operators import quality
+    assert quality.tyre_progression(catalog.race_laps(spark, SF01)).count() == 128
     pc = q["pit_completeness"](spark, SF01).first()
     assert (pc.PitLaps, pc.PitLapsWithOut) == (2585, 812)
     # FIXTURES measured J1/J2 on its one-in-20 weather sample; the registered

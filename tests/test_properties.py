@@ -14,11 +14,11 @@ ROWS = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]),
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=ROWS, bucket_rows=st.sampled_from([2, 5, 1 << 20]))
-def test_quantiles_match_numpy(spark, rows, bucket_rows):
+@given(rows=ROWS, bucket_values=st.sampled_from([1, 2, 5, 1 << 20]))
+def test_quantiles_match_numpy(spark, rows, bucket_values):
     df = spark.createDataFrame(rows, "k string, v double")
     probs = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p90": 0.9, "p100": 1.0}
-    got = {r.k: r for r in group_quantiles(df, ["k"], "v", probs, bucket_rows=bucket_rows).collect()}
+    got = {r.k: r for r in group_quantiles(df, ["k"], "v", probs, bucket_values=bucket_values).collect()}
     pdf = pd.DataFrame(rows, columns=["k", "v"]).dropna()
     want = {k: g["v"].to_numpy() for k, g in pdf.groupby("k")}
     assert set(got) == set(want)
