@@ -135,12 +135,28 @@ class Network:
             yield int(c), order[cuts[c]:cuts[c + 1]]
 
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """log p(target | both sides) per row."""
-        cls, inner = target // self.p.class_size, target % self.p.class_size
-        h = self._hidden(context)[1]
-        out = self._log_softmax(h @ self.wc + self.bc)[np.arange(len(target)), cls]
-        for c, rows in self._by_class(cls):
-            out[rows] += self._log_softmax(h[rows] @ self.ww[c] + self.bw[c])[np.arange(len(rows)), inner[rows]]
+        """log p(target | both sides) per row.
+
+        Works on columns ordered by class, so that each class is a slice and the sums
+        of the softmaxes run over whole rows.
+        """
+        size = self.p.class_size
+        order = np.argsort(target, kind="stable")
+        target = target[order]
+        x = self.embed[context[order]].reshape(len(order), -1)
+        h = np.tanh(self.w1.T @ x.T + self.b1[:, None])
+
+        def picked(z: np.ndarray, of: np.ndarray) -> np.ndarray:
+            top = z.max(axis=0)
+            return z[of, np.arange(z.shape[1])] - top - np.log(np.exp(z - top).sum(axis=0))
+
+        found = picked(self.wc.T @ h + self.bc[:, None], target // size)
+        cuts = np.searchsorted(target, np.arange(self.p.classes + 1) * size)
+        for c in np.flatnonzero(np.diff(cuts)):
+            own = slice(cuts[c], cuts[c + 1])
+            found[own] += picked(self.ww[c].T @ h[:, own] + self.bw[c][:, None], target[own] % size)
+        out = np.empty_like(found)
+        out[order] = found
         return out
 
     def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
