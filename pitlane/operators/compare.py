@@ -97,8 +97,8 @@ def degradation_curves(valid: DataFrame, keys: Sequence[str] = ("GrandPrix", "Co
                        min_laps: int = 10) -> DataFrame:
     """Median LapTime by tyre age per (race, compound) with more than ``min_laps`` laps."""
     k = list(keys)
-    df = valid.where(F.col("Compound").isNotNull() & F.col("TyreLife").isNotNull())
-    big = valid.where(F.col("Compound").isNotNull()).groupBy(*k).agg(F.count(F.lit(1)).alias("_n")) \
-        .where(F.col("_n") > F.lit(min_laps)).select(*k)
-    df = null_safe_join(df, big, k, "left_semi")
-    return group_quantiles(df, [*k, "TyreLife"], "LapTime", {"MedianLapTime": 0.5})
+    df = valid.where(F.col("Compound").isNotNull())
+    curves = group_quantiles(df.where(F.col("TyreLife").isNotNull()), [*k, "TyreLife"], "LapTime", {"MedianLapTime": 0.5})
+    # the groups' sizes are joined with the curves, not with the laps
+    big = df.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(min_laps)).select(*k)
+    return null_safe_join(curves, big, k, "left_semi")
