@@ -38,6 +38,20 @@ def race_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return laps(spark, sf_dir).where("Session = 'Race'")
 
 
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver laps, as a lazy plan over the landed lap table."""
+    from pitlane.operators import clean
+    return clean.silver_laps(laps(spark, sf_dir))
+
+
+def lap_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table, landed once: the encoders, the medians and every model read it."""
+    from pitlane.operators import features
+    from pitlane.sources.landing import land_frame
+    return land_frame(spark, sf_dir, "features", lambda: features.lap_features(silver(spark, sf_dir)),
+                      ("GrandPrix", "Session"))
+
+
 def load_all() -> None:
     """Import every query module so its queries register."""
     from pitlane.plans import core, features, model, quality, strategy, tyres  # noqa: F401

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pitlane.operators import clean, features
-from pitlane.plans.catalog import laps, query, race_laps
+from pitlane.operators import features
+from pitlane.plans.catalog import lap_features as feature_table
+from pitlane.plans.catalog import laps, query, silver
 from pitlane.plans.sqlparts import r6, with_laps, with_silver
-from pitlane.session import materialize
 
 KEYS = "GrandPrix, Session, Driver, round(LapNumber, 6) AS LapNumber"
 SPARK_KEYS = ("GrandPrix", "Session", "Driver", "LapNumber")
@@ -40,12 +40,6 @@ feat AS (SELECT *, LapTime - BestLapSoFar AS DeltaToBest, {progress_bin('Session
 FEATURES = with_silver() + FEAT_CTE
 
 
-def silver(spark, sf):
-    """Silver as a table: feature plans branch many times from it, so it is
-    checkpointed once (shared folder) instead of re-derived per branch."""
-    return materialize(clean.silver_laps(laps(spark, sf)))
-
-
 def pick(df, *cols):
     return df.select(*SPARK_KEYS, *cols)
 
@@ -92,9 +86,9 @@ def q_lap_features(spark, sf):
     return pick(features.lap_features(silver(spark, sf)), *ALL_FEATURES)
 
 
-_LABELS = ("GrandPrix", "Circuit", "Session", "Driver", "DriverNumber", "Compound", "CompoundStd",
+LABELS = ("GrandPrix", "Circuit", "Session", "Driver", "DriverNumber", "Compound", "CompoundStd",
            "TyreLifeBin", "LapNumberBin")
-_NUMERIC = ("LapNumber", "TyreLife", "Stint", "SectorSum", "TimeMismatch", "FastestLapTime", "DeltaToFastest",
+NUMERIC = ("LapNumber", "TyreLife", "Stint", "SectorSum", "TimeMismatch", "FastestLapTime", "DeltaToFastest",
             "IsFreshTyre", "SessionProgress", "LapTime_Rolling3", "BestLapSoFar", "DeltaToBest",
             "DeltaToSessionFastest", "Sector1Pct", "Sector2Pct", "Sector3Pct", "LapsIntoStint", "TrackEvolution")
 
@@ -105,20 +99,20 @@ def _label_sql(c):
             f"FROM (SELECT DISTINCT coalesce({c}, '{null}') AS lbl FROM feat)")
 
 
-@query("label_codes", FEATURES + "\n" + "\nUNION ALL ".join(_label_sql(c) for c in _LABELS))
+@query("label_codes", FEATURES + "\n" + "\nUNION ALL ".join(_label_sql(c) for c in LABELS))
 def q_label_codes(spark, sf):
     """F8 encoders: (Field, Label, Code), alphabetical, NULL as its own label."""
-    feats = materialize(features.lap_features(silver(spark, sf)))
+    feats = feature_table(spark, sf)
     labels, _ = features.feature_columns(feats)
     model = features.label_indexer(feats, labels)
     return spark.createDataFrame(features.label_codes(model, labels), "Field string, Label string, Code int")
 
 
 @query("impute_medians", FEATURES + "\n" + "\nUNION ALL ".join(
-    f"SELECT '{c}' AS Field, round(median(CAST({c} AS DOUBLE)), 6) AS Median FROM feat" for c in _NUMERIC))
+    f"SELECT '{c}' AS Field, round(median(CAST({c} AS DOUBLE)), 6) AS Median FROM feat" for c in NUMERIC))
 def q_impute_medians(spark, sf):
     """F8 imputation values: exact median of every numeric feature column."""
-    feats = materialize(features.lap_features(silver(spark, sf)))
+    feats = feature_table(spark, sf)
     _, numeric = features.feature_columns(feats)
     return features.numeric_medians(feats, numeric)
 

@@ -1,42 +1,58 @@
-"""Landing of derived lap tables: compute once per session, read many times.
-
-The reference loads each race session from an on-disk cache; here the lap
-table derived from the driver's tables is written once as parquet,
-partitioned by GrandPrix and Session, under the shared checkpoint folder.
-Later plans scan it with column pruning, filter pushdown and partition
-pruning instead of re-deriving the joins and windows behind the view, and
-a lost executor re-reads files instead of recomputing that lineage.
+"""Landing of derived tables: compute once per session, read many times.
+
+The reference loads each race session from an on-disk cache; here a derived
+table (the lap table, the features) is written once as parquet under the shared
+checkpoint folder.  Later plans scan it with column pruning, filter pushdown and
+partition pruning instead of re-deriving the joins and windows behind it, and
+a lost executor re-reads files instead of recomputing that lineage.  A landed
+table is used again only while the input files have the same number, size and
+time as when it was written.
 """
 
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pitlane import fixtures as fx
 from pitlane.session import scratch_path
 
-_LANDED: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
-_LOCK = threading.Lock()
+_LANDED: dict[tuple, tuple[str, DataFrame]] = {}
+_LOCK = threading.RLock()
 
 
-def land(spark: SparkSession, sf_dir: str, name: str = "laps",
-         partition_by: tuple[str, ...] = ("GrandPrix", "Session")) -> DataFrame:
-    """The fixture view ``name`` over ``sf_dir`` as a landed, partitioned table."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """The session, the table and the state of the input files (listed, not read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sf_dir)
+    state = files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")).first()
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/"), name, *state
+
+
+def land_frame(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
+               partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """What ``build`` makes from ``sf_dir``, as a landed table."""
+    key = _key(spark, sf_dir, name)
     with _LOCK:
-        hit = _LANDED.get(key)
-        if hit is None:
+        if key not in _LANDED:
             path = scratch_path(spark, f"landed-{name}")
-            view = fx.view(spark, sf_dir, name)
-            view.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+            view = build()
+            # rows of one folder meet in few tasks; adaptive execution splits the large ones
+            rows = view.hint("rebalance", *partition_by) if partition_by else view
+            rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
             # one lazy DataFrame per landed table: its file index is listed once
-            hit = (path, spark.read.parquet(path).select(*view.columns))
-            _LANDED[key] = hit
-    return hit[1]
+            _LANDED[key] = (path, spark.read.parquet(path).select(*view.columns))
+        return _LANDED[key][1]
+
+
+def land(spark: SparkSession, sf_dir: str, name: str = "laps",
+         partition_by: tuple[str, ...] = ("GrandPrix", "Session")) -> DataFrame:
+    """The fixture view ``name`` over ``sf_dir`` as a landed, partitioned table."""
+    return land_frame(spark, sf_dir, name, lambda: fx.view(spark, sf_dir, name), partition_by)
 
 
 def landed_path(spark: SparkSession, sf_dir: str, name: str = "laps") -> str | None:
-    hit = _LANDED.get((spark.sparkContext.applicationId, sf_dir.rstrip("/"), name))
+    hit = _LANDED.get(_key(spark, sf_dir, name))
     return hit[0] if hit else None
