@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from pitlane.functions import scan
 from pitlane.functions.stats import grouped_stats, null_safe_join
-from pitlane.session import materialize
 
 PIT_LOSS = 25.0       # seconds per stop
 EXTRA_DEG = 0.05      # seconds per lap beyond the curve's last age
@@ -72,35 +71,22 @@ def predict_pace(requests: DataFrame, curve: DataFrame, age: str = "TyreAge",
     first -> first median; above the last -> last median + ``extra_deg`` per lap;
     unknown compound -> NULL.
 
-    Range lookup as an equi-join: every curve segment [age_i, age_i+1) is
-    listed under each integer bucket it touches, so a request joins on
-    (compound, floor(age)) and a range filter picks its segment.  The segment
-    table is bounded by the tyre-age span per compound, never by lap volume.
+    The curve becomes one row per key with its points in order of age, so a request
+    is joined on the key alone and finds its two points in that array.  The array has
+    one entry per distinct age of the curve, never one per lap.
     """
     k = list(keys)
-    # the curve is small (compounds x ages) and read twice below: materialize it once
-    curve = materialize(curve.select(*k, "TyreLife", "MedianLapTime"))
-    by_age = Window.partitionBy(*k).orderBy("TyreLife")
-    seg = curve.select(*k, F.col("TyreLife").alias("_alo"), F.col("MedianLapTime").alias("_mlo"),
-                       F.lead("TyreLife").over(by_age).alias("_ahi"),
-                       F.lead("MedianLapTime").over(by_age).alias("_mhi")).where(F.col("_ahi").isNotNull())
-    seg = seg.withColumn("_bk", F.explode(F.sequence(F.floor("_alo"), F.floor("_ahi"))))
-    ends = curve.groupBy(*k).agg(F.min("TyreLife").alias("_a1"), F.min_by("MedianLapTime", "TyreLife").alias("_m1"),
-                                 F.max("TyreLife").alias("_an"), F.max_by("MedianLapTime", "TyreLife").alias("_mn"))
+    points = curve.groupBy(*k).agg(F.array_sort(F.collect_list(
+        F.struct(F.col("TyreLife").alias("a"), F.col("MedianLapTime").alias("m")))).alias("_pts"))
     x = F.col(age)
-    req = requests.withColumn("_bk", F.floor(x))
-    r = req.alias("r")
-    s = seg.alias("s")
-    cond = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in k] + [
-        F.col("r._bk") == F.col("s._bk"), F.col("s._alo") <= F.col(f"r.{age}"), F.col(f"r.{age}") < F.col("s._ahi")]
-    j = r.join(s, cond, "left").select("r.*", "s._alo", "s._mlo", "s._ahi", "s._mhi")
-    j = null_safe_join(j, ends, k, "left")
-    pred = (F.when(F.col("_a1").isNull(), F.lit(None).cast("double"))
-            .when(x < F.col("_a1"), F.col("_m1"))
-            .when(x >= F.col("_an"), F.col("_mn") + F.lit(extra_deg) * (x - F.col("_an")))
-            .otherwise(F.col("_mlo") + (F.col("_mhi") - F.col("_mlo")) * (x - F.col("_alo"))
-                       / (F.col("_ahi") - F.col("_alo"))))
-    return j.withColumn("PredictedLapTime", pred).drop("_bk", "_alo", "_mlo", "_ahi", "_mhi", "_a1", "_m1", "_an", "_mn")
+    j = null_safe_join(requests, points, k, "left").withColumn("_i", F.size(F.filter("_pts", lambda p: p["a"] <= x)))
+    at = lambda i: F.get("_pts", i)  # noqa: E731  0-based, NULL beyond the ends
+    first, last, low, high = at(F.lit(0)), at(F.size("_pts") - 1), at(F.col("_i") - 1), at(F.col("_i"))
+    pred = (F.when(F.col("_pts").isNull() | x.isNull(), F.lit(None).cast("double"))
+            .when(x < first["a"], first["m"])
+            .when(x >= last["a"], last["m"] + F.lit(extra_deg) * (x - last["a"]))
+            .otherwise(low["m"] + (high["m"] - low["m"]) * (x - low["a"]) / (high["a"] - low["a"])))
+    return j.withColumn("PredictedLapTime", pred).drop("_pts", "_i")
 
 
 def expand_strategy(strategies: DataFrame) -> DataFrame:
@@ -127,8 +113,6 @@ def compare_strategies(strategies: DataFrame, curve: DataFrame, pit_loss: float
     j = null_safe_join(lap_agg, stints, ["Strategy"]).where(F.col("_miss") == 0)
     scored = j.select("Strategy", (F.col("_sum") + F.lit(pit_loss) * (F.col("_stints") - 1)).alias("RaceTime"),
                       "AvgLapTime", (F.col("_stints") - 1).alias("NumStops"), "TotalLaps")
-    # one row per strategy, read by the main plan and by the scalar subquery
-    scored = materialize(scored)
     fastest = scored.agg(F.min("RaceTime")).scalar()
     return scored.withColumn("TimeDelta", F.col("RaceTime") - fastest).orderBy("RaceTime", "Strategy")
 

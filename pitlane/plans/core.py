@@ -110,6 +110,15 @@ def q_load_season(spark, sf):
     return src.load_season(spark, path, races=None, session="Race")
 
 
+@query("union_races", with_laps() + f"\nSELECT {lap_projection()} FROM laps")
+def q_union_races(spark, sf):
+    """One folder per race, loaded as a list of paths; a path that isn't there is left out."""
+    path = scratch_path(spark, "races")
+    sinks.write_table(laps(spark, sf), path, partition_by=["GrandPrix"])
+    races = [r.GrandPrix for r in laps(spark, sf).select("GrandPrix").distinct().collect()]  # a season's races
+    return src.load_season(spark, [f"{path}/GrandPrix={gp}" for gp in races] + [f"{path}/GrandPrix=Atlantis"])
+
+
 @query("write_table", with_silver() + f"\nSELECT {SILVER_COLS} FROM silver")
 def q_write_table(spark, sf):
     """Silver written partitioned by (GrandPrix, Session) and read back."""

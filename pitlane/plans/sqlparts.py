@@ -40,7 +40,7 @@ driver_stats AS (
   SELECT GrandPrix, Session, Driver, DriverNumber,
     count(LapNumber) AS TotalLaps, min(LapTime) AS FastestLap, avg(LapTime) AS AvgLapTime,
     stddev_samp(LapTime) AS StdDevLapTime, avg(DeltaToFastest) AS AvgDeltaToFastest,
-    CAST(count(DISTINCT CompoundStd) AS INTEGER) AS TireCompoundsUsed,
+    count(DISTINCT CompoundStd) AS TireCompoundsUsed,
     CAST(sum(CASE WHEN PitInTime IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS PitStops,
     stddev_samp(LapTime) / nullif(avg(LapTime), 0) AS ConsistencyScore
   FROM silver GROUP BY GrandPrix, Session, Driver, DriverNumber)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,31 +38,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read.  When it
-    is unset (local tests) a fresh folder is created and registered.
+    A cluster has to name one on shared storage; without it this raises.  Only a
+    local session, as in tests, gets a fresh folder of its own.
     """
     sc = spark.sparkContext
-    path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="pitlane-ckpt-")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+        path = sc.getConf().get("spark.checkpoint.dir", None)
+        if not path and not re.fullmatch(r"local(\[(\d+|\*)(,\s*\d+)?\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="pitlane-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique folder under the shared checkpoint dir, for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/pitlane-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and read it from there.
-
-    For small derived tables read by several branches of a plan (a pace curve,
-    per-strategy scores): every branch then scans the written files instead of
-    re-deriving them, and the lineage is cut, so a lost executor re-reads files.
-    Uses a reliable ``checkpoint()``, never a local one.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

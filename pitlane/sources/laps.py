@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pitlane.functions.scalar import DEFAULT_RECORD_SOURCE, as_seconds
+from pitlane.schema import LAPS_SCHEMA
 
 # The reference's default race list for a season load (first half of 2024).
 DEFAULT_2024_RACES = (
@@ -20,37 +24,49 @@ DEFAULT_2024_RACES = (
 TIME_COLUMNS = ("LapTime", "Sector1Time", "Sector2Time", "Sector3Time")
 
 
-def _existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
-    """Keep paths that exist (a race that fails to load is skipped, not fatal)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    keep = []
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        if hp.getFileSystem(conf).exists(hp):
-            keep.append(p)
-    return keep
+def _readable(spark: SparkSession, path: str, fmt: str) -> str | None:
+    """None if every file of ``path`` opens as ``fmt``, else the reason.  No column is read: footers only for parquet."""
+    try:
+        spark.read.format(fmt).load(path).select(F.lit(1)).count()
+    except (AnalysisException, PySparkException, Py4JJavaError) as e:
+        return str(e).strip().split("\n")[0][:200]
+    return None
 
 
 def load_season(spark: SparkSession, source: DataFrame | str | Sequence[str],
-                races: Sequence[str] | None = None, session: str | None = None,
-                fmt: str = "parquet") -> DataFrame | None:
-    """Union the laps of many races into one table.
+                races: Sequence[str] | None = None, session: str | None = None, fmt: str = "parquet",
+                schema: StructType | None = LAPS_SCHEMA, skipped: list[tuple[str, str]] | None = None) -> DataFrame | None:
+    """Union the laps of many races into one table.
 
     ``source`` is a DataFrame, one dataset path (ideally partitioned by
     GrandPrix/Session so the filter prunes partitions), or a list of per-race
-    paths read in one scan.  ``races`` filters GrandPrix (None = all races
-    present); ``session`` filters Session.  Paths that do not exist are skipped;
-    nothing left gives None.
+    paths: plain folders or partition folders (``.../GrandPrix=Monaco``), whose
+    partition values become columns.  ``races`` filters GrandPrix (None = all races
+    present; ``DEFAULT_2024_RACES`` is the reference's season); ``session`` filters
+    Session.  A path that is missing or can't be read is left out, and (path, reason)
+    is appended to ``skipped``; nothing left gives None.  ``schema`` is declared, not
+    merged from the files; a column that a dataset lacks is NULL.
     """
     if isinstance(source, DataFrame):
         df = source
     else:
-        paths = [source] if isinstance(source, str) else list(source)
-        paths = _existing_paths(spark, paths)
-        if not paths:
+        df = None
+        # one scan per common root: partition values of a folder's path are columns only below a base path
+        roots: dict[str, list[str]] = {}
+        for path in [source] if isinstance(source, str) else source:
+            reason = _readable(spark, path, fmt)
+            if reason is None:
+                root = re.split(r"/[^/=]+=[^/]*", path, maxsplit=1)[0]
+                roots.setdefault(root if root != path else "", []).append(path)
+            elif skipped is not None:
+                skipped.append((path, reason))
+        for root, paths in roots.items():
+            reader = spark.read.format(fmt)
+            reader = reader.schema(schema) if schema is not None else reader
+            part = (reader.option("basePath", root) if root else reader).load(paths)
+            df = part if df is None else df.unionByName(part, allowMissingColumns=True)
+        if df is None:
             return None
-        df = spark.read.format(fmt).option("mergeSchema", "true").load(paths)
     if races is not None:
         df = df.where(F.col("GrandPrix").isin(list(races)))
     if session is not None:
@@ -58,6 +74,11 @@ def load_season(spark: SparkSession, source: DataFrame | str | Sequence[str],
     return df
 
 
+def season_2024(spark: SparkSession, source: DataFrame | str | Sequence[str], session: str = "Race", **kw) -> DataFrame | None:
+    """The reference's default season: ``DEFAULT_2024_RACES``, one session."""
+    return load_season(spark, source, DEFAULT_2024_RACES, session, **kw)
+
+
 def from_pandas(spark: SparkSession, pdf, schema: StructType | None = None) -> DataFrame:
     """In-memory pandas table to a DataFrame with a declared schema.
 

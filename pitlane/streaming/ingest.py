@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -21,27 +22,24 @@ def silver_rows(df: DataFrame, tolerance: float = 0.1) -> DataFrame:
 
 def ingest_laps(spark: SparkSession, source_dir: str, bronze_path: str, silver_path: str,
                 schema: StructType = LAPS_SCHEMA, fmt: str = "parquet", checkpoint: str | None = None,
-                available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Stream new lap files into bronze and row-level silver, partitioned by race.
+                available_now: bool = True, max_files_per_trigger: int = 1000) -> StreamingQuery:
+    """Stream new lap files into bronze and row-level silver, partitioned by batch and race.
 
     ``checkpoint`` defaults to a folder under ``spark.checkpoint.dir`` so a
     restarted or failed job resumes where it stopped.  With
     ``available_now`` the query drains what is there and stops.
     """
-    reader = spark.readStream.format(fmt).schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(source_dir)
     bronze = bronze_laps(raw)
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/pitlane-ingest-laps"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            batch.write.mode("append").partitionBy("GrandPrix", "Session").parquet(bronze_path)
-            silver_rows(batch).write.mode("append").partitionBy("GrandPrix", "Session").parquet(silver_path)
-        finally:
-            batch.unpersist()
+        # a batch that runs again after a failure replaces its own folders, so nothing is there twice
+        written = batch.withColumn("BatchId", F.lit(batch_id).cast("long"))
+        for rows, path in ((written, bronze_path), (silver_rows(written), silver_path)):
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("BatchId", "GrandPrix", "Session").parquet(path))
 
     writer = bronze.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

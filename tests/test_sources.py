@@ -1,11 +1,12 @@
 """Sources and sinks: season loading, export columns, bronze intake."""
 
+import os
 import tempfile
 
 from pyspark.sql import functions as F
 
 from pitlane.plans import catalog
-from pitlane.sources import export_columns, export_laps, load_season, write_table
+from pitlane.sources import export_columns, export_laps, load_season, season_2024, write_table
 from tests.conftest import SF001
 
 
@@ -37,3 +38,26 @@ def test_export_columns_and_counts(spark):
         "Sector1Time", "Sector2Time", "Sector3Time"]
     r = export_laps(laps, tempfile.mkdtemp(prefix="pitlane-export-test-") + "/csv").first()
     assert r.Laps == laps.count() and r.Races == laps.select("GrandPrix").distinct().count()
+
+
+def test_load_season_takes_partition_folders_and_skips_unreadable(spark):
+    laps = catalog.laps(spark, SF001)
+    base = tempfile.mkdtemp(prefix="pitlane-season-test-")
+    path = write_table(laps, f"{base}/t", partition_by=["GrandPrix"])
+    races = sorted(r.GrandPrix for r in laps.select("GrandPrix").distinct().collect())[:3]
+    bad = f"{base}/t/GrandPrix=Broken"
+    os.makedirs(bad)
+    with open(f"{bad}/part-0.parquet", "wb") as f:
+        f.write(b"PAR1 this is no parquet file")
+    skipped = []
+    got = load_season(spark, [f"{path}/GrandPrix={gp}" for gp in races] + [bad], races=races[:2], skipped=skipped)
+    want = laps.where(F.col("GrandPrix").isin(races[:2]))
+    assert got.select(*sorted(want.columns)).exceptAll(want.select(*sorted(want.columns))).count() == 0
+    assert got.count() == want.count()
+    assert [p for p, _ in skipped] == [bad] and skipped[0][1]
+
+
+def test_default_season_filters_races_and_session(spark):
+    laps = catalog.laps(spark, SF001).withColumn("GrandPrix", F.when(F.col("LapNumber") < 5, "Monaco").otherwise("Elsewhere"))
+    got = season_2024(spark, laps)
+    assert got.count() == laps.where("GrandPrix = 'Monaco' and Session = 'Race'").count()

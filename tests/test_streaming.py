@@ -22,3 +22,13 @@ def test_stream_ingest_matches_batch(spark):
     cols = sorted(expect.columns)
     assert silver.select(*cols).exceptAll(expect.select(*cols)).count() == 0
     assert silver.count() == expect.count()
+
+
+def test_stream_batch_that_runs_again_writes_nothing_twice(spark):
+    laps = catalog.laps(spark, SF001)
+    work = tempfile.mkdtemp(prefix="pitlane-stream-test-")
+    src = write_table(laps, f"{work}/src")
+    for ckpt in ("a", "b"):  # a lost checkpoint makes the same batch run once more
+        ingest_laps(spark, src, f"{work}/bronze", f"{work}/silver", checkpoint=f"{work}/{ckpt}").awaitTermination(300)
+    assert spark.read.parquet(f"{work}/bronze").count() == laps.count()
+    assert spark.read.parquet(f"{work}/silver").count() == silver_rows(laps).count()
