@@ -22,13 +22,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitlane.functions.stats import null_safe_join
-
 DEFAULT_WIDTH = 256.0
 
 
 def _bucket(order: str, width: float) -> Column:
-    return F.floor(F.col(order) / F.lit(float(width)))
+    return F.coalesce(F.floor(F.col(order) / F.lit(float(width))), F.lit(-(1 << 62)))
+
+
+def group_key(group: Sequence[str]) -> Column:
+    """The group as one struct: equal also where keys are NULL, so joins and windows share one partitioning."""
+    return F.struct(*[F.col(c) for c in group])
 
 
 def running(df: DataFrame, group: Sequence[str], order: str, value: str | None, kind: str, name: str,
@@ -39,21 +42,20 @@ def running(df: DataFrame, group: Sequence[str], order: str, value: str | None,
     ``count`` with ``value=None`` counts rows (a 1-based row number).
     NULL values are skipped as by Spark's window aggregates.
     """
-    g = list(group)
     v = F.lit(1) if value is None else F.col(value)
     agg = {"sum": F.sum, "count": F.count, "min": F.min}[kind]
-    d = df.withColumn("_sb", _bucket(order, width))
-    tot = d.groupBy(*g, "_sb").agg(agg(v).alias("_bt"))
-    before = Window.partitionBy(*g).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
+    d = df.withColumn("_g", group_key(group)).withColumn("_sb", _bucket(order, width))
+    tot = d.groupBy("_g", "_sb").agg(agg(v).alias("_bt"))
+    before = Window.partitionBy("_g").orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
     prev = {"sum": F.sum, "count": F.sum, "min": F.min}[kind]("_bt").over(before)
-    offs = tot.select(*g, "_sb", prev.alias("_off"))
-    within = Window.partitionBy(*g, "_sb").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    d = null_safe_join(d.withColumn("_in", agg(v).over(within)), offs, g + ["_sb"], "left")
+    offs = tot.select("_g", "_sb", prev.alias("_off"))
+    within = Window.partitionBy("_g", "_sb").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.join(offs, ["_g", "_sb"]).withColumn("_in", agg(v).over(within))
     if kind == "min":
         out = F.least(F.col("_in"), F.col("_off"))  # least() skips NULLs
     else:
         out = F.col("_in") + F.coalesce(F.col("_off"), F.lit(0))
-    return d.withColumn(name, out).drop("_sb", "_in", "_off")
+    return d.withColumn(name, out).drop("_g", "_sb", "_in", "_off")
 
 
 def _with_halo(df: DataFrame, group: Sequence[str], order: Sequence[str], cols: Sequence[str], n: int,
@@ -96,3 +98,30 @@ def rolling_mean(df: DataFrame, group: Sequence[str], order: Sequence[str], valu
          .rowsBetween(-(rows - 1), 0))
     u = u.withColumn(name, F.avg(value).over(w))
     return u.where(~F.col("_halo")).drop("_sb", "_halo").select(*df.columns, name)
+
+
+def history(df: DataFrame, group: Sequence[str], order: str, value: str, width: float = DEFAULT_WIDTH) -> DataFrame:
+    """Add ``_min`` (running minimum of ``value``), ``_p1`` and ``_p2`` (its values one and two rows
+    before) and ``_last`` (the group's largest ``order``) in one bucketed pass.
+
+    One aggregate per bucket, one window over the small bucket table, one join back,
+    and one window inside the buckets.
+    """
+    d = df.withColumn("_g", group_key(group)).withColumn("_sb", _bucket(order, width))
+    newest = F.slice(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))), asc=False), 1, 2)
+    tot = d.groupBy("_g", "_sb").agg(F.min(value).alias("_bmin"), F.max(order).alias("_bmax"), newest.alias("_tail"))
+    all_ = Window.partitionBy("_g")
+    by = all_.orderBy("_sb")
+    carried = tot.select(
+        "_g", "_sb", F.max("_bmax").over(all_).alias("_last"),
+        F.min("_bmin").over(by.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev"),
+        # the two rows before a bucket lie in the two buckets before it
+        F.sort_array(F.flatten(F.collect_list("_tail").over(by.rowsBetween(-2, -1))), asc=False).alias("_halo"))
+    inside = Window.partitionBy("_g", "_sb").orderBy(order)
+    n, v = F.row_number().over(inside), F.col(value)
+    halo = lambda i: F.get("_halo", F.lit(i))["v"]
+    out = d.join(carried, ["_g", "_sb"]).withColumns({
+        "_min": F.least(F.min(v).over(inside.rowsBetween(Window.unboundedPreceding, 0)), F.col("_prev")),
+        "_p1": F.when(n >= 2, F.lag(v, 1).over(inside)).otherwise(halo(0)),
+        "_p2": F.when(n >= 3, F.lag(v, 2).over(inside)).when(n == 2, halo(0)).otherwise(halo(1))})
+    return out.drop("_g", "_sb", "_prev", "_halo")

@@ -127,16 +127,16 @@ def track_evolution(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, method: s
     if method == "window":
         w = Window.partitionBy(*k).orderBy("LapNumber", "Driver").rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn("TrackEvolution", F.avg("LapTime").over(w))
-    per_lap = df.groupBy(*k, "LapNumber").agg(F.sum("LapTime").alias("_s"), F.count("LapTime").alias("_c"))
-    before = Window.partitionBy(*k).orderBy("LapNumber").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_lap.select(*k, "LapNumber", F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_os"),
+    d = df.withColumn("_g", scan.group_key(k)).withColumn("_gl", scan.group_key([*k, "LapNumber"]))
+    per_lap = d.groupBy("_gl", "_g", "LapNumber").agg(F.sum("LapTime").alias("_s"), F.count("LapTime").alias("_c"))
+    before = Window.partitionBy("_g").orderBy("LapNumber").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_lap.select("_gl", F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_os"),
                              F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_oc"))
-    within = Window.partitionBy(*k, "LapNumber").orderBy("Driver").rowsBetween(Window.unboundedPreceding, 0)
-    run = df.withColumn("_rs", F.coalesce(F.sum("LapTime").over(within), F.lit(0.0))) \
+    within = Window.partitionBy("_gl").orderBy("Driver").rowsBetween(Window.unboundedPreceding, 0)
+    out = d.join(offsets, "_gl").withColumn("_rs", F.coalesce(F.sum("LapTime").over(within), F.lit(0.0))) \
         .withColumn("_rc", F.count("LapTime").over(within))
-    out = null_safe_join(run, offsets, k + ["LapNumber"], "left")
     return out.withColumn("TrackEvolution", F.try_divide(F.col("_os") + F.col("_rs"), F.col("_oc") + F.col("_rc"))) \
-        .drop("_rs", "_rc", "_os", "_oc")
+        .drop("_g", "_gl", "_rs", "_rc", "_os", "_oc")
 
 
 def stint_track_features(df: DataFrame) -> DataFrame:
@@ -156,10 +156,25 @@ def tyre_age_diff(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session",
     return df.withColumn("TyreLifeDiff", F.col("TyreLife") - F.col("_prev")).drop("_prev")
 
 
+def driver_history(df: DataFrame, keys: Sequence[str] = DRIVER_KEYS) -> DataFrame:
+    """F2 and F3 (W2, W3, W6) together, from one bucketed pass over each driver session."""
+    d = scan.history(df, keys, "LapNumber", "LapTime")
+    near = [F.col(c) for c in ("_p2", "_p1", "LapTime")]
+    known = sum((F.when(c.isNotNull(), 1).otherwise(0) for c in near), F.lit(0))
+    total = sum((F.coalesce(c, F.lit(0.0)) for c in near), F.lit(0.0))
+    d = d.withColumns({
+        "SessionProgress": safe_div("LapNumber", "_last"),
+        "LapTime_Rolling3": F.try_divide(total, known),
+        "BestLapSoFar": F.when(F.col("LapTime").isNotNull(), F.col("_min"))})
+    return d.withColumns({
+        "LapNumberBin": right_closed_bins("SessionProgress", PROGRESS_BINS),
+        "DeltaToBest": F.col("LapTime") - F.col("BestLapSoFar")}).drop("_min", "_p1", "_p2", "_last")
+
+
 def lap_features(df: DataFrame) -> DataFrame:
-    """F1-F6 composed; window specs share the driver-session partitioning."""
-    return (df.transform(tyre_features).transform(progress_features).transform(history_features)
-            .transform(field_delta).transform(sector_pct).transform(stint_track_features))
+    """F1-F6 composed; the features of a driver session's past come from one pass."""
+    return (df.transform(tyre_features).transform(driver_history).transform(field_delta).transform(sector_pct)
+            .transform(stint_track_features))
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str] = EXCLUDED_COLUMNS,

@@ -39,9 +39,10 @@ def race_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver laps, as a lazy plan over the landed lap table."""
+    """The silver layer, landed once: feature plans branch from its files."""
     from pitlane.operators import clean
-    return clean.silver_laps(laps(spark, sf_dir))
+    from pitlane.sources.landing import land_frame
+    return land_frame(spark, sf_dir, "silver", lambda: clean.silver_laps(laps(spark, sf_dir)), ("GrandPrix", "Session"))
 
 
 def lap_features(spark: SparkSession, sf_dir: str) -> DataFrame:
