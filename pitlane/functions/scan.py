@@ -35,17 +35,19 @@ def group_key(group: Sequence[str]) -> Column:
 
 
 def running(df: DataFrame, group: Sequence[str], order: str, value: str | None, kind: str, name: str,
-            width: float = DEFAULT_WIDTH) -> DataFrame:
+            width: float = DEFAULT_WIDTH, source: DataFrame | None = None) -> DataFrame:
     """Add ``name`` = running ``kind`` (sum, count, min) of ``value`` up to and
     including the current row, rows ordered by ``order`` within ``group``.
+    Bucket totals come from ``source``, the same rows before other columns were added.
 
     ``count`` with ``value=None`` counts rows (a 1-based row number).
     NULL values are skipped as by Spark's window aggregates.
     """
     v = F.lit(1) if value is None else F.col(value)
     agg = {"sum": F.sum, "count": F.count, "min": F.min}[kind]
-    d = df.withColumn("_g", group_key(group)).withColumn("_sb", _bucket(order, width))
-    tot = d.groupBy("_g", "_sb").agg(agg(v).alias("_bt"))
+    marked = lambda x: x.withColumn("_g", group_key(group)).withColumn("_sb", _bucket(order, width))
+    d = marked(df)
+    tot = marked(df if source is None else source).groupBy("_g", "_sb").agg(agg(v).alias("_bt"))
     before = Window.partitionBy("_g").orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
     prev = {"sum": F.sum, "count": F.sum, "min": F.min}[kind]("_bt").over(before)
     offs = tot.select("_g", "_sb", prev.alias("_off"))

@@ -33,14 +33,14 @@ def compound_std(df: DataFrame, known: Sequence[str] = KNOWN_COMPOUNDS) -> DataF
 
 
 def session_fastest(df: DataFrame, keys: Sequence[str] = SESSION_KEYS,
-                    value: str = "LapTime", name: str = "FastestLapTime") -> DataFrame:
-    """The minimum ``value`` per session attached to every row.
+                    value: str = "LapTime", name: str = "FastestLapTime", source: DataFrame | None = None) -> DataFrame:
+    """The minimum ``value`` per session (of ``source``, if given) attached to every row.
 
     Computed as a partial aggregate joined back, not a window: a window would
     send a whole session to one task, while the aggregate is combined map-side
     and its tiny result is broadcast by AQE once its real size is known.
     """
-    mins = df.groupBy(*keys).agg(F.min(value).alias(name))
+    mins = (df if source is None else source).groupBy(*keys).agg(F.min(value).alias(name))
     return null_safe_join(df, mins, list(keys), "left")
 
 

@@ -91,9 +91,9 @@ def history_features(df: DataFrame) -> DataFrame:
     return best_so_far(rolling3(df))
 
 
-def field_delta(df: DataFrame) -> DataFrame:
-    """DeltaToSessionFastest (W1 as aggregate + join)."""
-    return session_fastest(df, name="_sfast").withColumn(
+def field_delta(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """DeltaToSessionFastest (W1 as aggregate + join); the aggregate is over ``source`` if given."""
+    return session_fastest(df, name="_sfast", source=source).withColumn(
         "DeltaToSessionFastest", F.col("LapTime") - F.col("_sfast")).drop("_sfast")
 
 
@@ -105,17 +105,18 @@ def sector_pct(df: DataFrame) -> DataFrame:
 
 
 def laps_into_stint(df: DataFrame, keys: Sequence[str] = DRIVER_KEYS, stint: str = "Stint",
-                    method: str = "bucketed") -> DataFrame:
+                    method: str = "bucketed", source: DataFrame | None = None) -> DataFrame:
     """1-based lap position within the stint; NULL stint -> NULL."""
     if method == "window":
         w = Window.partitionBy(*keys, stint).orderBy("LapNumber")
         df = df.withColumn("_pos", F.row_number().over(w).cast("long"))
     else:
-        df = scan.running(df, [*keys, stint], "LapNumber", None, "count", "_pos")
+        df = scan.running(df, [*keys, stint], "LapNumber", None, "count", "_pos", source=source)
     return df.withColumn("LapsIntoStint", F.when(F.col(stint).isNotNull(), F.col("_pos"))).drop("_pos")
 
 
-def track_evolution(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, method: str = "prefix") -> DataFrame:
+def track_evolution(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, method: str = "prefix",
+                    source: DataFrame | None = None) -> DataFrame:
     """Expanding mean LapTime per session in (LapNumber, Driver) order.
 
     ``prefix`` (default) never puts a session in one task: per-(session, lap
@@ -127,8 +128,9 @@ def track_evolution(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, method: s
     if method == "window":
         w = Window.partitionBy(*k).orderBy("LapNumber", "Driver").rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn("TrackEvolution", F.avg("LapTime").over(w))
-    d = df.withColumn("_g", scan.group_key(k)).withColumn("_gl", scan.group_key([*k, "LapNumber"]))
-    per_lap = d.groupBy("_gl", "_g", "LapNumber").agg(F.sum("LapTime").alias("_s"), F.count("LapTime").alias("_c"))
+    marked = lambda x: x.withColumn("_g", scan.group_key(k)).withColumn("_gl", scan.group_key([*k, "LapNumber"]))
+    d = marked(df)
+    per_lap = marked(df if source is None else source).groupBy("_gl", "_g", "LapNumber").agg(F.sum("LapTime").alias("_s"), F.count("LapTime").alias("_c"))
     before = Window.partitionBy("_g").orderBy("LapNumber").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_lap.select("_gl", F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_os"),
                              F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_oc"))
@@ -139,9 +141,10 @@ def track_evolution(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, method: s
         .drop("_g", "_gl", "_rs", "_rc", "_os", "_oc")
 
 
-def stint_track_features(df: DataFrame) -> DataFrame:
-    """LapsIntoStint (W4) and TrackEvolution."""
-    return track_evolution(laps_into_stint(df))
+def stint_track_features(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """LapsIntoStint (W4) and TrackEvolution (W5); totals come from ``source`` if given."""
+    source = df if source is None else source
+    return track_evolution(laps_into_stint(df, source=source), source=source)
 
 
 def tyre_age_diff(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session", "Driver", "Stint"),
@@ -172,9 +175,13 @@ def driver_history(df: DataFrame, keys: Sequence[str] = DRIVER_KEYS) -> DataFram
 
 
 def lap_features(df: DataFrame) -> DataFrame:
-    """F1-F6 composed; the features of a driver session's past come from one pass."""
-    return (df.transform(tyre_features).transform(driver_history).transform(field_delta).transform(sector_pct)
-            .transform(stint_track_features))
+    """F1-F6 composed; the features of a driver session's past come from one pass.
+
+    Every side table is aggregated from ``df`` itself, not from the frame that other
+    features were already joined to, so no join is planned twice.
+    """
+    return (df.transform(tyre_features).transform(driver_history).transform(field_delta, df).transform(sector_pct)
+            .transform(stint_track_features, df))
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str] = EXCLUDED_COLUMNS,

@@ -40,7 +40,7 @@ def test_single_quantile_plans_are_small(spark, name):
     assert exchanges <= 6 and scans <= 2
 
 
-@pytest.mark.parametrize("name,most", [("tyre_degradation", (13, 4)), ("optimal_stint", (20, 8)), ("lap_features", (24, 12))])
+@pytest.mark.parametrize("name,most", [("tyre_degradation", (13, 4)), ("optimal_stint", (20, 8)), ("lap_features", (12, 6))])
 def test_composed_plans_are_bounded(spark, name, most):
     exchanges, scans = counts(catalog.QUERIES[name](spark, SF001))
     assert exchanges <= most[0] and scans <= most[1]
