@@ -40,8 +40,8 @@ class LapProcessor:
         return gold.tyre_stats(silver)
 
     def add_track_conditions(self, laps: DataFrame, weather: DataFrame | None = None,
-                             asof: bool = False) -> DataFrame:
-        """Session equi-join (the reference's behaviour) or, with ``asof``, the latest sample."""
+                             asof: bool = True) -> DataFrame:
+        """The latest weather sample of each lap; ``asof=False`` pairs every lap with every sample of its session."""
         if weather is None:
             return laps
         return enrich.weather_asof(laps, weather) if asof else enrich.weather_join(laps, weather)

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitlane.functions.stats import null_safe_join
+from pitlane.functions import scan
+from pitlane.functions.stats import BUCKET_VALUES, null_safe_join
 
 SESSION_KEYS = ("GrandPrix", "Session")
 
@@ -60,63 +61,43 @@ def weather_join_summary(laps: DataFrame, weather: DataFrame,
 
 
 def weather_asof(laps: DataFrame, weather: DataFrame, keys: Sequence[str] = SESSION_KEYS,
-                 time_col: str = "Time", bucket_seconds: float | None = None,
-                 bucket_rows: int = 1_000_000) -> DataFrame:
+                 time_col: str = "Time", bucket_values: int = BUCKET_VALUES) -> DataFrame:
     """Attach the latest weather row at or before each lap's ``time_col``.
 
     Ties on weather time go to the larger WeatherId.  Laps without an earlier
     weather sample (or without a time) get NULL weather columns.
 
-    Skew-safe: instead of one window per session, rows are cut into time
-    buckets.  Inside a bucket a running max over (time, side) finds the latest
-    sample; samples from earlier buckets come from a per-bucket "last sample"
-    aggregate carried forward over the (small) bucket table.  Bucket width is
-    ``bucket_seconds`` if given, else per session: its time span times
-    ``bucket_rows`` / its row count, so a session holding a third of all rows
-    is cut into proportionally many buckets.
+    Skew-safe: the lookup runs over the distinct times of a session, so a burst of
+    rows at one time folds map-side and the payload of a lap is never moved with
+    it.  Times are cut into buckets at a hash sample of themselves, one in
+    ``bucket_values`` on average, however long or uneven a session is; inside a
+    bucket a running maximum finds the latest sample, and each bucket's last one is
+    carried on through the small bucket table.  Laps then join on (session, time).
     """
     k = list(keys)
     wcols = [c for c in weather.columns if c not in k and c not in (time_col, "WeatherId")]
-    # struct ordered by (time, id): max() of it is the latest sample
-    wstruct = F.struct(F.col(time_col).alias("WeatherTime"), F.col("WeatherId"), *[F.col(c) for c in wcols])
-    if bucket_seconds is not None:
-        bucket = F.floor(F.col(time_col) / F.lit(float(bucket_seconds)))
-    else:
-        # per-session width from a small stats table (one row per session)
-        times = laps.select(*k, time_col).unionByName(weather.select(*k, time_col)) \
-            .where(F.col(time_col).isNotNull())
-        stats = times.groupBy(*k).agg(F.count(F.lit(1)).alias("_n"), F.min(time_col).alias("_t0"),
-                                      F.max(time_col).alias("_t1"))
-        stats = stats.select(*k, "_t0", F.when(F.col("_n") > F.lit(bucket_rows), (F.col("_t1") - F.col("_t0"))
-                                               * F.lit(float(bucket_rows)) / F.col("_n")).alias("_bw"))
-        laps = null_safe_join(laps, stats, k, "left")
-        weather = null_safe_join(weather, stats, k, "left")
-        bucket = F.when(F.col("_bw").isNull() | (F.col("_bw") <= 0), F.lit(0)).otherwise(
-            F.floor((F.col(time_col) - F.col("_t0")) / F.col("_bw")))
-
-    lap_cols = [c for c in laps.columns if c not in ("_t0", "_bw")]
-    w = weather.where(F.col(time_col).isNotNull()).select(
-        *k, bucket.alias("_bk"), F.col(time_col).alias("_t"), F.lit(0).alias("_side"),
-        wstruct.alias("_w"), F.lit(None).alias("_lap"))
-    lap_struct = F.struct(*[F.col(c) for c in lap_cols])
-    lp = laps.select(*k, bucket.alias("_bk"), F.col(time_col).alias("_t"), F.lit(1).alias("_side"),
-                     F.lit(None).cast(w.schema["_w"].dataType).alias("_w"), lap_struct.alias("_lap"))
-    w = w.withColumn("_lap", F.lit(None).cast(lp.schema["_lap"].dataType))
-
-    # latest sample per (session, bucket), carried to later buckets
-    last_w = w.groupBy(*k, "_bk").agg(F.max("_w").alias("_lastw"))
-    lap_buckets = lp.where(F.col("_bk").isNotNull()).select(*k, "_bk").distinct().withColumn(
-        "_lastw", F.lit(None).cast(last_w.schema["_lastw"].dataType))
-    grid = last_w.withColumn("_is_lap", F.lit(False)).unionByName(lap_buckets.withColumn("_is_lap", F.lit(True)))
-    earlier = Window.partitionBy(*k).orderBy("_bk").rangeBetween(Window.unboundedPreceding, -1)
-    carry = grid.select(*k, "_bk", "_is_lap", F.max("_lastw").over(earlier).alias("_carry")) \
-        .where(F.col("_is_lap")).drop("_is_lap")
-
-    # in-bucket running latest sample; samples sort before laps on equal time
-    upto = (Window.partitionBy(*k, "_bk").orderBy(F.col("_t"), F.col("_side"))
-            .rowsBetween(Window.unboundedPreceding, 0))
-    both = w.unionByName(lp).withColumn("_inb", F.max("_w").over(upto)).where(F.col("_side") == 1)
-    matched = null_safe_join(both, carry, k + ["_bk"], "left").withColumn(
-        "_m", F.coalesce(F.col("_inb"), F.col("_carry")))
-    out = matched.select("_lap.*", "_m")
-    return out.select(*lap_cols, *[F.col(f"_m.{f}").alias(f) for f in ["WeatherTime", "WeatherId", *wcols]])
+    key = lambda df: df.where(F.col(time_col).isNotNull()).select(
+        "*", scan.group_key(k).alias("_g"), F.col(time_col).alias("_t"))
+    # one row per session and time: the best sample of that time, and whether a lap asks for it
+    sample = F.struct(F.col("_t").alias("WeatherTime"), F.col("WeatherId"), *[F.col(c) for c in wcols])
+    samples = key(weather).groupBy("_g", "_t").agg(F.max(sample).alias("_w")).withColumn("_asked", F.lit(False))
+    asked = key(laps).select("_g", "_t").distinct().withColumns(
+        {"_w": F.lit(None).cast(samples.schema["_w"].dataType), "_asked": F.lit(True)})
+    times = samples.unionByName(asked).groupBy("_g", "_t").agg(F.max("_w").alias("_w"), F.max("_asked").alias("_asked"))
+
+    cuts = times.groupBy("_g").agg(F.array_sort(F.collect_list(F.when(
+        F.pmod(F.xxhash64("_t"), F.lit(bucket_values)) == 0, F.col("_t")))).alias("_cuts"))
+    cut = times.join(cuts, "_g").withColumn("_bk", F.size(F.filter("_cuts", lambda c: c < F.col("_t")))).drop("_cuts")
+    earlier = Window.partitionBy("_g").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = cut.groupBy("_g", "_bk").agg(F.max("_w").alias("_last")).select(
+        "_g", "_bk", F.max("_last").over(earlier).alias("_carry"))
+    upto = Window.partitionBy("_g", "_bk").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
+    found = cut.join(carried, ["_g", "_bk"]).withColumn("_m", F.coalesce(F.max("_w").over(upto), F.col("_carry"))).where(
+        "_asked").select("_g", "_t", "_m")
+
+    new = ["WeatherTime", "WeatherId", *wcols]
+    matched = key(laps).join(found, ["_g", "_t"]).select(*laps.columns, *[F.col(f"_m.{c}").alias(c) for c in new])
+    kinds = {f.name: f.dataType for f in matched.schema.fields[len(laps.columns):]}
+    untimed = laps.where(F.col(time_col).isNull()).select(
+        *laps.columns, *[F.lit(None).cast(kinds[c]).alias(c) for c in new])
+    return matched.unionByName(untimed)

@@ -63,8 +63,8 @@ WX = st.lists(st.tuples(st.sampled_from(["s1", "s2", "s3"]), st.integers(0, 50).
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(laps=LAPS, wx=WX, bucket_rows=st.sampled_from([1, 3, 1000]))
-def test_asof_matches_brute_force(spark, laps, wx, bucket_rows):
+@given(laps=LAPS, wx=WX, bucket_values=st.sampled_from([1, 3, 1000]))
+def test_asof_matches_brute_force(spark, laps, wx, bucket_values):
     from pitlane.operators import enrich
     lap_rows = [("G", s, f"D{i}", float(i), t) for i, (s, t) in enumerate(laps)]
     wx_rows = [("G", s, i, t, float(i)) for i, (s, t) in enumerate(wx)]
@@ -72,7 +72,7 @@ def test_asof_matches_brute_force(spark, laps, wx, bucket_rows):
                                           "Time double")
     wdf = spark.createDataFrame(wx_rows, "GrandPrix string, Session string, WeatherId long, Time double, "
                                          "AirTemp double")
-    got = {r.LapNumber: r.WeatherId for r in enrich.weather_asof(ldf, wdf, bucket_rows=bucket_rows).collect()}
+    got = {r.LapNumber: r.WeatherId for r in enrich.weather_asof(ldf, wdf, bucket_values=bucket_values).collect()}
     for _, s, _, n, t in lap_rows:
         cands = [(wt, wid) for _, ws, wid, wt, _ in wx_rows if ws == s and t is not None and wt <= t]
         assert got[n] == (max(cands)[1] if cands else None), (n, s, t)
