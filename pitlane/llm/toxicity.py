@@ -73,7 +73,13 @@ class LinearModel:
 def choose_features(positive: list[np.ndarray], unlabelled: list[np.ndarray], p: ToxicityParams) -> np.ndarray:
     """A flag for the ``features`` n-grams whose document shares in P and U differ most, in standard errors."""
     size = 1 << p.bits
-    count = lambda rows: np.bincount(np.concatenate(rows), minlength=size)
+
+    def count(rows: list[np.ndarray]) -> np.ndarray:
+        total = np.zeros(size, np.int64)
+        for x in rows:  # a row has each n-gram once
+            total[x] += 1
+        return total
+
     in_p, in_u = count(positive), count(unlabelled)
     pool = (in_p + in_u) / (len(positive) + len(unlabelled))
     error = np.sqrt(pool * (1 - pool) * (1 / len(positive) + 1 / len(unlabelled)) + 1e-6)
