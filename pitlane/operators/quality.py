@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType, ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType,
@@ -36,6 +36,17 @@ def schema_check(df: DataFrame, rules=LAP_RULES, exclusive_lo: Sequence[str] = L
     and ``range`` / ``isin`` (NULLs skip value checks; bounds inclusive except
     ``exclusive_lo``).  All rules are evaluated in one aggregate pass (lazy).
     """
+    rows, aggs = _schema_parts(df, rules, exclusive_lo)
+    base = df.agg(*aggs) if aggs else df.sparkSession.range(1).select()
+    structs = [F.struct(F.lit(col).alias("Field"), F.lit(chk).alias("Rule"),
+                        (passed if passed is not None else (n == 0)).alias("Passed"),
+                        n.cast("long").alias("Failures"))
+               for col, chk, passed, n in rows]
+    return base.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+
+
+def _schema_parts(df: DataFrame, rules, exclusive_lo: Sequence[str]):
+    """The checks as (field, check, passed or None, failing rows or None), and the aggregates they refer to."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     rows, aggs = [], []
     for name, kind, nullable, lo, hi, allowed in rules:
@@ -59,12 +70,7 @@ def schema_check(df: DataFrame, rules=LAP_RULES, exclusive_lo: Sequence[str] = L
             check = "isin" if allowed is not None else "range"
             aggs.append(F.count_if(c.isNotNull() & bad).alias(f"{name}__{check}"))
             rows.append((name, check, None, F.col(f"{name}__{check}")))
-    base = df.agg(*aggs) if aggs else df.sparkSession.range(1).select()
-    structs = [F.struct(F.lit(col).alias("Field"), F.lit(chk).alias("Rule"),
-                        (passed if passed is not None else (n == 0)).alias("Passed"),
-                        n.cast("long").alias("Failures"))
-               for col, chk, passed, n in rows]
-    return base.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+    return rows, aggs
 
 
 def lap_schema_check(df: DataFrame) -> DataFrame:
@@ -75,13 +81,6 @@ def telemetry_schema_check(df: DataFrame) -> DataFrame:
     return schema_check(df, TELEMETRY_RULES, exclusive_lo=())
 
 
-def schema_findings(checks: DataFrame) -> DataFrame:
-    agg = checks.agg(F.count_if(~F.col("Passed")).alias("_bad"))
-    return agg.where(F.col("_bad") > 0).select(
-        F.lit("schema").alias("Rule"), F.lit("issue").alias("Severity"), F.col("_bad").alias("N"),
-        F.lit("Schema validation failed").alias("Detail"))
-
-
 def sector_correlation(df: DataFrame, tolerance: float = 0.5, issue_pct: float = 5.0) -> DataFrame:
     """Q3: laps with Sector1 present whose |LapTime - sector sum| > tolerance.
 
@@ -93,24 +92,20 @@ def sector_correlation(df: DataFrame, tolerance: float = 0.5, issue_pct: float =
         return df.sparkSession.range(1).select(
             F.lit(0).cast("long").alias("Checked"), F.lit(0).cast("long").alias("Mismatches"),
             F.lit(None).cast("double").alias("MismatchPct"), F.lit("unavailable").alias("Severity"))
-    rows = df.where(F.col("Sector1Time").isNotNull())
+    pct, severity = _sector_verdict(issue_pct)
+    return df.agg(*_sector_parts(tolerance)).select("Checked", "Mismatches", pct.alias("MismatchPct"), severity.alias("Severity"))
+
+
+def _sector_parts(tolerance: float = 0.5) -> list[Column]:
     ssum = sum(F.coalesce(F.col(c), F.lit(0.0)) for c in SECTORS)
-    agg = rows.agg(F.count(F.lit(1)).alias("Checked"),
-                   F.count_if(F.abs(F.col("LapTime") - ssum) > F.lit(tolerance)).alias("Mismatches"))
-    pct = F.when(F.col("Mismatches") > 0, F.col("Mismatches") / F.col("Checked") * 100)
-    return agg.select("Checked", "Mismatches", pct.alias("MismatchPct"),
-                      F.when(pct > F.lit(issue_pct), "issue").when(F.col("Mismatches") > 0, "warning")
-                      .otherwise("ok").alias("Severity"))
+    timed = F.col("Sector1Time").isNotNull()
+    return [F.count_if(timed).alias("Checked"),
+            F.count_if(timed & (F.abs(F.col("LapTime") - ssum) > F.lit(tolerance))).alias("Mismatches")]
 
 
-def sector_findings(sc: DataFrame) -> DataFrame:
-    sev = F.col("Severity")
-    return sc.where(sev != "ok").select(
-        F.lit("sector_correlation").alias("Rule"),
-        F.when(sev == "issue", "issue").otherwise("warning").alias("Severity"),
-        F.col("Mismatches").alias("N"),
-        F.when(sev == "unavailable", "Sector times not available for validation")
-        .otherwise("sector sum differs from lap time").alias("Detail"))
+def _sector_verdict(issue_pct: float = 5.0) -> tuple[Column, Column]:
+    pct = F.when(F.col("Mismatches") > 0, F.col("Mismatches") / F.col("Checked") * 100)
+    return pct, F.when(pct > F.lit(issue_pct), "issue").when(F.col("Mismatches") > 0, "warning").otherwise("ok")
 
 
 # Fixed value: the issue text of the reference.
@@ -198,39 +193,53 @@ def pit_completeness(df: DataFrame, threshold: float = 0.5) -> DataFrame:
         return df.agg(F.count_if(pit).alias("PitLaps")).select(
             "PitLaps", F.lit(None).cast("long").alias("PitLapsWithOut"),
             F.lit(None).cast("double").alias("Completeness"), F.lit("ok").alias("Severity"))
-    out = F.col("PitOutTime").isNotNull()
-    agg = df.agg(F.count_if(pit).alias("PitLaps"), F.count_if(pit & out).alias("PitLapsWithOut"))
-    comp = F.col("PitLapsWithOut") / F.greatest(F.col("PitLaps"), F.lit(1))
-    return agg.select("PitLaps", "PitLapsWithOut", comp.alias("Completeness"),
-                      F.when(comp < F.lit(threshold), "warning").otherwise("ok").alias("Severity"))
+    comp, severity = _pit_verdict(threshold)
+    return df.agg(*_pit_parts()).select("PitLaps", "PitLapsWithOut", comp.alias("Completeness"), severity.alias("Severity"))
+
 
+def _pit_parts() -> list[Column]:
+    pit, out = F.col("PitInTime").isNotNull(), F.col("PitOutTime").isNotNull()
+    return [F.count_if(pit).alias("PitLaps"), F.count_if(pit & out).alias("PitLapsWithOut")]
 
-def pit_findings(pc: DataFrame) -> DataFrame:
-    return pc.where(F.col("Severity") != "ok").select(
-        F.lit("pit_completeness").alias("Rule"), F.lit("warning").alias("Severity"),
-        F.col("PitLaps").alias("N"),
-        F.when(F.col("Severity") == "unavailable", "Pit stop data not available")
-        .otherwise("Incomplete pit stop timing data (missing PitOutTime)").alias("Detail"))
+
+def _pit_verdict(threshold: float = 0.5) -> tuple[Column, Column]:
+    comp = F.col("PitLapsWithOut") / F.greatest(F.col("PitLaps"), F.lit(1))
+    return comp, F.when(comp < F.lit(threshold), "warning").otherwise("ok")
+
+
+def row_findings(df: DataFrame) -> DataFrame:
+    """Q1, Q3 and Q6 as findings, and the row count as one of severity 'info': one aggregate over ``df``."""
+    rows, aggs = _schema_parts(df, LAP_RULES, LAP_RULES_EXCLUSIVE_LO)
+    bad = sum((F.when(passed if passed is not None else n == 0, 0).otherwise(1) for _, _, passed, n in rows), F.lit(0))
+    finding = lambda rule, severity, n, detail: F.struct(
+        F.lit(rule).alias("Rule"), severity.alias("Severity"), n.cast("long").alias("N"), F.lit(detail).alias("Detail"))
+    ok = F.lit("ok")
+    found = [finding("total_rows", F.lit("info"), F.col("TotalRows"), None),
+             finding("schema", F.when(bad > 0, "issue").otherwise(ok), bad, "Some lap columns break their rules")]
+    aggs = [*aggs, F.count(F.lit(1)).alias("TotalRows")]
+    if all(c in df.columns for c in SECTORS):
+        aggs += _sector_parts()
+        found.append(finding("sector_correlation", _sector_verdict()[1], F.col("Mismatches"), "sector sum differs from lap time"))
+    else:
+        found.append(finding("sector_correlation", F.lit("warning"), F.lit(0), "no sector times to compare"))
+    if "PitInTime" not in df.columns:
+        found.append(finding("pit_completeness", F.lit("warning"), F.lit(0), "no pit entry times"))
+    elif "PitOutTime" in df.columns:
+        aggs += _pit_parts()
+        found.append(finding("pit_completeness", _pit_verdict()[1], F.col("PitLaps"), "many pit laps lack an exit time"))
+    one = df.agg(*aggs)
+    return one.select(F.explode(F.array(*found)).alias("f")).select("f.*").where(F.col("Severity") != "ok")
 
 
 def quality_findings(df: DataFrame) -> DataFrame:
-    """All findings of Q1 and Q3-Q6 as one DataFrame."""
-    parts = [schema_findings(lap_schema_check(df)),
-             sector_findings(sector_correlation(df)),
-             outlier_findings(lap_outliers(df)),
-             progression_findings(tyre_progression(df)),
-             pit_findings(pit_completeness(df))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """All findings of Q1 and Q3-Q6 as one DataFrame, with the row count as a finding of severity 'info'."""
+    return row_findings(df).unionByName(outlier_findings(lap_outliers(df))).unionByName(
+        progression_findings(tyre_progression(df)))
 
 
 def quality_report(df: DataFrame) -> DataFrame:
     """Q7: TotalRows, SchemaValid, Issues, Warnings, Passed in one row."""
-    total = df.agg(F.count(F.lit(1)).alias("N")).select(
-        F.lit("total_rows").alias("Rule"), F.lit("info").alias("Severity"), "N", F.lit(None).cast("string").alias("Detail"))
-    f = total.unionByName(quality_findings(df))
+    f = quality_findings(df)
     agg = f.agg(F.max(F.when(F.col("Rule") == "total_rows", F.col("N"))).alias("TotalRows"),
                 (F.count_if(F.col("Rule") == "schema") == 0).alias("SchemaValid"),
                 F.count_if(F.col("Severity") == "issue").alias("Issues"),
