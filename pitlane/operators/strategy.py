@@ -71,22 +71,24 @@ def predict_pace(requests: DataFrame, curve: DataFrame, age: str = "TyreAge",
     first -> first median; above the last -> last median + ``extra_deg`` per lap;
     unknown compound -> NULL.
 
-    The curve becomes one row per key with its points in order of age, so a request
-    is joined on the key alone and finds its two points in that array.  The array has
-    one entry per distinct age of the curve, never one per lap.
+    Only the distinct (key, age) pairs are priced: they fold map-side, whatever the
+    number of requests.  For them the curve becomes one row per key with its points
+    in order of age (one entry per distinct age, never one per lap), in which a pair
+    finds its neighbours.  The prices are then joined to the requests.
     """
     k = list(keys)
     points = curve.groupBy(*k).agg(F.array_sort(F.collect_list(
         F.struct(F.col("TyreLife").alias("a"), F.col("MedianLapTime").alias("m")))).alias("_pts"))
     x = F.col(age)
-    j = null_safe_join(requests, points, k, "left").withColumn("_i", F.size(F.filter("_pts", lambda p: p["a"] <= x)))
+    pairs = requests.select(*k, age).distinct()
+    j = null_safe_join(pairs, points, k, "left").withColumn("_i", F.size(F.filter("_pts", lambda p: p["a"] <= x)))
     at = lambda i: F.get("_pts", i)  # noqa: E731  0-based, NULL beyond the ends
     first, last, low, high = at(F.lit(0)), at(F.size("_pts") - 1), at(F.col("_i") - 1), at(F.col("_i"))
     pred = (F.when(F.col("_pts").isNull() | x.isNull(), F.lit(None).cast("double"))
             .when(x < first["a"], first["m"])
             .when(x >= last["a"], last["m"] + F.lit(extra_deg) * (x - last["a"]))
             .otherwise(low["m"] + (high["m"] - low["m"]) * (x - low["a"]) / (high["a"] - low["a"])))
-    return j.withColumn("PredictedLapTime", pred).drop("_pts", "_i")
+    return null_safe_join(requests, j.select(*k, age, pred.alias("PredictedLapTime")), [*k, age], "left")
 
 
 def expand_strategy(strategies: DataFrame) -> DataFrame:
@@ -113,7 +115,9 @@ def compare_strategies(strategies: DataFrame, curve: DataFrame, pit_loss: float
     j = null_safe_join(lap_agg, stints, ["Strategy"]).where(F.col("_miss") == 0)
     scored = j.select("Strategy", (F.col("_sum") + F.lit(pit_loss) * (F.col("_stints") - 1)).alias("RaceTime"),
                       "AvgLapTime", (F.col("_stints") - 1).alias("NumStops"), "TotalLaps")
-    fastest = scored.agg(F.min("RaceTime")).scalar()
+    # all columns take part, so that the subquery's shuffles are the main plan's and are reused
+    fastest = scored.agg(F.min(F.struct("RaceTime", *[c for c in scored.columns if c != "RaceTime"])).alias("m")).select(
+        "m.RaceTime").scalar()
     return scored.withColumn("TimeDelta", F.col("RaceTime") - fastest).orderBy("RaceTime", "Strategy")
 
 
