@@ -37,13 +37,15 @@ BLOCK = frozenset((
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Opening one of these ends an open one of the same list.
 SIBLINGS = ({"li"}, {"dt", "dd"}, {"td", "th"}, {"tr"}, {"option"})
-#: Elements and class, id or role words that hold boilerplate wherever they are.
+#: Elements and class, id or role words that hold boilerplate wherever they are; so do hidden elements.
 SIDE_TAGS = frozenset("nav aside footer form menu dialog fieldset button label".split())
 SIDE_WORDS = frozenset((
     "ad ads adbox advert advertisement advertising banner breadcrumb breadcrumbs comment comments complementary contentinfo "
     "cookie cookies consent discussion disqus feedback footer gdpr login menu modal nav navbar navigation newsletter notice "
     "notification pager pagination popup privacy promo promotion recommended related replies search share sharing sidebar "
     "signup skip social sponsor sponsored subscribe tags toolbar widget").split())
+#: Class and id words of a page's header, where it isn't the article's own.
+HEAD_WORDS = frozenset("header masthead topbar".split())
 MAIN_TAGS = frozenset(("article", "main"))
 MAIN_WORDS = frozenset("article articlebody body content entry main post story text".split())
 
@@ -52,7 +54,24 @@ _TOKEN = re.compile(
     rf"|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)>?"
     r"|<[!?][^>]*>", re.S | re.I)
-_NAMING = re.compile(r"\b(?:class|id|role|hidden|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_WORDS = frozenset((
+    "ad ads adbox advert advertisement advertising banner breadcrumb breadcrumbs comment comments complementary contentinfo "
+    "cookie cookies consent discussion disqus feedback footer gdpr login menu modal nav navbar navigation newsletter notice "
+    "notification pager pagination popup privacy promo promotion recommended related replies search share sharing sidebar "
+    "signup skip social sponsor sponsored subscribe tags toolbar widget").split())
+#: Class and id words of a page's header, where it isn't the article's own.
+HEAD_WORDS = frozenset("header masthead topbar".split())
+MAIN_TAGS = frozenset(("article", "main"))
+MAIN_WORDS = frozenset("article articlebody body content entry main post story text".split())
+
+_TOKEN = re.compile(
+    r"<!--.*?(?:--!?>|\Z)"
+    rf"|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)>?"
+    r"|<[!?][^>]*>", re.S | re.I)
+_HIDDEN = re.compile(r"(?<![-\w])hidden(?![-\w])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_NAMING = re.compile(r"(?<![-\w])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
 
@@ -127,11 +146,17 @@ def read_blocks(page: str) -> list[Block]:
         if name in VOID or m["attrs"].rstrip().endswith("/") and name not in BLOCK:
             continue
         words = set()
-        for value in _NAMING.finditer(m["attrs"]):
-            words.update(_WORDS.findall((value[1] or value[2] or value[3] or "").lower()))
+        hidden = False
+        for found in _ATTRIBUTE.finditer(m["attrs"]):
+            key, value = found[1].lower(), (found[2] or found[3] or found[4] or "").lower()
+            if key in ("class", "id", "role"):
+                words.update(_WORDS.findall(value))
+            hidden |= key == "hidden" or key == "aria-hidden" and value == "true" or (
+                key == "style" and "display:none" in value.replace(" ", ""))
         _, _, side, main = stack[-1]
         made += 1
-        stack.append((name, made, side or name in SIDE_TAGS or bool(words & SIDE_WORDS),
+        side = side or hidden or name in SIDE_TAGS or bool(words & SIDE_WORDS) or bool(words & HEAD_WORDS and not main)
+        stack.append((name, made, side,
                       main or name in MAIN_TAGS or bool(words & MAIN_WORDS and name in ("div", "section"))))
     take(page[last:])
     flush()

@@ -70,7 +70,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored(docs: DataFrame, threshold: float) -> DataFrame:
-    held_out = ~in_training_fold("doc_id")
+    held_out = ~F.coalesce(in_training_fold("doc_id"), F.lit(False))  # the labels of a null id are never learnt
     return docs.select("doc_id", held_out.alias("held_out"), F.round("score", 6).alias("score")).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int"))
 

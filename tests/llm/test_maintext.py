@@ -28,6 +28,17 @@ def test_page_without_semantic_elements():
     assert M.extract(page) == f"{long.strip()}\nYes.\n{long.strip()}"
 
 
+def test_cues_in_attributes():
+    text = "<p>Words of the article, some of them.</p>"
+    for side in ('<div hidden>', '<div style="display: none">', '<div aria-hidden="true">', "<div class='page-sidebar'>",
+                 '<section id="reader-comments">', '<div role=navigation>', '<div class="masthead">', "<aside>"):
+        assert M.extract(f"{side}<p>Other words that do not belong, though there are many.</p></div></section></aside>"
+                         f"<div class='post-content'>{text}</div>") == "Words of the article, some of them."
+    for main in ('<article data-class="sidebar">', '<div class="entry"><div class="header">', '<main aria-hidden="false">',
+                 '<article><a href="/hidden/menu.html" title="nav">'):
+        assert M.extract(f"<nav><p>Menu</p></nav>{main}{text}") == "Words of the article, some of them."
+
+
 def test_awkward_pages():
     for page in ("", "   ", "<", "<p", "<a href='x", "<!-- never closed <p>x</p>", "<script>x", "&", "</p></div>", "<p></p>" * 50):
         M.extract(page)
