@@ -2,8 +2,8 @@
 
 A seed is a fixed mask over consecutive words: '1' positions are hashed, '0'
 positions are ignored, so a substituted word there doesn't matter.  The masks below
-hit every window with at most a fifth of its words substituted (the tests try all
-patterns).  Training hashes first pass a bit filter built from the test hashes,
+hit every such window with at most a fifth of its words substituted (the tests try
+all patterns).  Training hashes first pass a bit filter built from the test hashes,
 whose size is bounded by a parameter; what passes is joined with the test hashes.
 Around each hit the text is laid against the item along the hit's diagonal, and
 an overlap counts if some window agrees in 80 % of its words.
@@ -21,19 +21,19 @@ from pyspark.sql import functions as F
 
 from pitlane.llm.common import fresh, land, text_bytes
 
-#: For items of at least 20 words (up to 4 of 20 substituted), and for those of 10 to 19 (a fifth of all).
-LONG_MASKS = ("1101111", "100100010111", "110100110001")
-SHORT_MASKS = ("110111", "11010011", "11111")
+#: Together they hit every window of 10 to 19 words with at most a fifth of its words substituted.
+MASKS = ("110111", "11010011", "11111")
 
 
 @dataclass(frozen=True)
 class DecontamParams:
     """``window`` words (the whole item if shorter) must agree in ``similarity`` of them.
 
-    Items under ``min_words`` words are no evidence and match nothing.
+    The masks are sure to hit for windows of 10 to 19 words at 0.8.  Items under
+    ``min_words`` words are no evidence and match nothing.
     """
 
-    window: int = 20
+    window: int = 13
     similarity: float = 0.8
     min_words: int = 10
     max_filter_bits: int = 1 << 27
@@ -79,9 +79,6 @@ def seed_hashes(words: np.ndarray, mask: str, salt: int) -> np.ndarray:
     return out * _MIX
 
 
-MASKS = LONG_MASKS + SHORT_MASKS
-
-
 def index_items(items: DataFrame, p: DecontamParams, id_col: str, text_col: str) -> DataFrame:
     """(item_id, words, hashes) per item: its word hashes and (seed hash, word number) pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,10 +88,9 @@ def index_items(items: DataFrame, p: DecontamParams, id_col: str, text_col: str)
             for text in text_bytes(batch.column(1)):
                 w = word_hashes(text)
                 w = w if len(w) >= p.min_words else w[:0]
-                masks = range(3) if len(w) >= p.window else range(3, 6)
                 words.append(w.view(np.int64))
-                pairs.append([{"hash": int(h), "at": i} for m in masks
-                              for i, h in enumerate(seed_hashes(w, MASKS[m], m).view(np.int64))])
+                pairs.append([{"hash": int(h), "at": i} for m, mask in enumerate(MASKS)
+                              for i, h in enumerate(seed_hashes(w, mask, m).view(np.int64))])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.int64())), pa.array(pairs, pa.list_(pair))],
                                              names=["item_id", "words", "hashes"])
 

@@ -14,12 +14,11 @@ def hit(mask, gone, n):
     return any(all(m == "0" or not gone >> (o + k) & 1 for k, m in enumerate(mask)) for o in range(n - len(mask) + 1))
 
 
-@pytest.mark.parametrize("n", [10, 12, 14, 15, 17, 19, 20])
+@pytest.mark.parametrize("n", [10, 11, 12, 13, 15, 17, 19])
 def test_masks_hit_every_pattern_of_a_fifth_substituted(n):
-    masks = D.LONG_MASKS if n >= 20 else D.SHORT_MASKS
     for gone in itertools.combinations(range(n), n // 5):
         bits = sum(1 << g for g in gone)
-        assert any(hit(m, bits, n) for m in masks)
+        assert any(hit(m, bits, n) for m in D.MASKS)
 
 
 def brute(texts, items):
@@ -30,7 +29,7 @@ def brute(texts, items):
             it = D.word_hashes((x or "").encode())
             if len(it) < 10:
                 continue
-            if any(D.align(w, it, s, 20)[0] >= 0.8 for s in range(-len(it), len(w) + 1)):
+            if any(D.align(w, it, s, 13)[0] >= 0.8 for s in range(-len(it), len(w) + 1)):
                 found.add((d, i))
     return found
 
@@ -46,7 +45,7 @@ def test_overlaps_match_brute_force(spark):
         words = piece.split()
         for k in rng.sample(range(len(words)), int(len(words) * rng.choice([0, 0.1, 0.2, 0.3]))) if words else []:
             words[k] = "zzz"
-        lo = rng.choice([0, 0, 5])
+        lo = rng.choice([0, 0, 5, 9])
         at = rng.randrange(len(body) + 1)
         texts.append(" ".join(body[:at] + words[lo:] + body[at:]))
     texts += [None, "", items[3][1] * 2, "w" * 200_000, texts[0]]

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from pitlane.llm import decontam, packing, quality, queries, toxicity
+from pitlane.llm import packing, quality, queries, toxicity
 from pitlane.llm.common import land, table
 from tests.conftest import SF001
 from tests.llm.test_decontam import brute
@@ -139,4 +139,3 @@ def test_stages_take_nulls_repeats_and_no_rows(spark):
 def test_run_is_the_stages_in_order(spark, documents):
     got = corpus_pipeline.run(spark, SF001).collect()
     assert {r.doc_id for r in got} < {d for d, _ in documents}
-    assert decontam.DecontamParams().window == 20
