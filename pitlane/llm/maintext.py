@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -77,10 +77,10 @@ _WORDS = re.compile(r"[a-z]+")
 
 @dataclass
 class Block:
-    """Text of a block, its path of element numbers, and what the classifier looks at."""
+    """Text of a block, the number of its innermost block element, and what the classifier looks at."""
 
     text: str
-    path: tuple[int, ...]
+    node: int
     side: bool
     main: bool
     head: bool
@@ -88,34 +88,64 @@ class Block:
     linked: int
 
 
-def read_blocks(page: str) -> list[Block]:
-    """The page's non-empty blocks in order; unclosed and stray tags are put up with."""
+@dataclass
+class Tree:
+    """Parent and depth of every block element, by number; 0 is the page."""
+
+    parent: list[int]
+    depth: list[int]
+
+    def nearness(self, a: int, b: int) -> float:
+        """The share of the deeper one's path that both have in common; climbs only as far as they are apart."""
+        most = max(self.depth[a], self.depth[b])
+        while a != b:
+            if self.depth[a] >= self.depth[b]:
+                a = self.parent[a]
+            else:
+                b = self.parent[b]
+        return (self.depth[a] + 1) / (most + 1)
+
+
+@dataclass
+class _Open:
+    """An open element with what it passes on to its children."""
+
+    name: str
+    node: int
+    side: bool = False
+    main: bool = False
+    head: bool = False
+    link: bool = False
+
+
+def read_blocks(page: str) -> tuple[list[Block], Tree]:
+    """The page's non-empty blocks in order, and the tree they hang in; unclosed and stray tags are put up with."""
     blocks: list[Block] = []
-    # open elements: (name, number, side, main)
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    tree = Tree([0], [0])
+    stack = [_Open("", 0)]
+    open_names: Counter[str] = Counter()
     parts: list[str] = []
-    link_parts = made = 0
+    link_parts = 0
 
     def flush() -> None:
         nonlocal parts, link_parts
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            inner = next((s for s in reversed(stack) if s[0] in BLOCK), stack[0])
-            names = {s[0] for s in stack}
-            head = "header" in names and not inner[3]
-            blocks.append(Block(text, tuple(s[1] for s in stack if s[0] in BLOCK or not s[0]), inner[2], inner[3],
-                                head or "head" in names, inner[0], min(link_parts, len(text))))
+            inner = next((s for s in reversed(stack) if s.name in BLOCK), stack[0])
+            blocks.append(Block(text, inner.node, inner.side, inner.main, inner.head and not inner.main, inner.name,
+                                min(link_parts, len(text))))
         parts, link_parts = [], 0
 
     def take(text: str) -> None:
         nonlocal link_parts
         parts.append(text)
-        if any(s[0] == "a" for s in stack):
+        if stack[-1].link:
             link_parts += len(text.strip())
 
     def close_to(at: int) -> None:
-        if any(s[0] in BLOCK for s in stack[at:]):
+        if any(s.name in BLOCK for s in stack[at:]):
             flush()
+        open_names.subtract(s.name for s in stack[at:])
         del stack[at:]
 
     last = 0
@@ -127,9 +157,8 @@ def read_blocks(page: str) -> list[Block]:
         if not name:
             continue
         if m["close"]:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-            if at:
-                close_to(at)
+            if open_names[name] > 0:
+                close_to(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name))
             continue
         if name == "br":
             parts.append(" ")
@@ -138,29 +167,35 @@ def read_blocks(page: str) -> list[Block]:
             flush()
             # a block ends an open paragraph, and an item the item before it
             for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p" or any(stack[i][0] in s and name in s for s in SIBLINGS):
-                    del stack[i:]
+                if stack[i].name == "p" or any(stack[i].name in s and name in s for s in SIBLINGS):
+                    close_to(i)
                     break
-                if stack[i][0] in BLOCK:
+                if stack[i].name in BLOCK:
                     break
         if name in VOID or m["attrs"].rstrip().endswith("/") and name not in BLOCK:
             continue
-        words = set()
-        hidden = False
+        words, hidden = set(), False
         for found in _ATTRIBUTE.finditer(m["attrs"]):
             key, value = found[1].lower(), (found[2] or found[3] or found[4] or "").lower()
             if key in ("class", "id", "role"):
                 words.update(_WORDS.findall(value))
             hidden |= key == "hidden" or key == "aria-hidden" and value == "true" or (
                 key == "style" and "display:none" in value.replace(" ", ""))
-        _, _, side, main = stack[-1]
-        made += 1
-        side = side or hidden or name in SIDE_TAGS or bool(words & SIDE_WORDS) or bool(words & HEAD_WORDS and not main)
-        stack.append((name, made, side,
-                      main or name in MAIN_TAGS or bool(words & MAIN_WORDS and name in ("div", "section"))))
+        up = stack[-1]
+        node = up.node
+        if name in BLOCK:
+            node = len(tree.parent)
+            tree.parent.append(up.node)
+            tree.depth.append(tree.depth[up.node] + 1)
+        open_names[name] += 1
+        stack.append(_Open(
+            name, node,
+            up.side or hidden or name in SIDE_TAGS or bool(words & SIDE_WORDS) or bool(words & HEAD_WORDS and not up.main),
+            up.main or name in MAIN_TAGS or bool(words & MAIN_WORDS and name in ("div", "section")),
+            up.head or name in ("head", "header"), up.link or name == "a"))
     take(page[last:])
     flush()
-    return blocks
+    return blocks, tree
 
 
 # -- classifier ------------------------------------------------------------------------------------
@@ -258,41 +293,33 @@ def min_cut(source: list[int], sink: list[int], edges: list[tuple[int, int, int]
 SCALE = 1000
 
 
-def page_graph(blocks: list[Block], smooth: float = 1.0) -> tuple[list[int], list[int], list[tuple[int, int, int]]]:
+def page_graph(blocks: list[Block], tree: Tree, smooth: float = 1.0) -> tuple[list[int], list[int], list[tuple[int, int, int]]]:
     """Terminal capacities and smoothness edges of a page, as integers.
 
     Consecutive blocks are joined; so is each block with the last one before it under
-    the same parent.  The capacity is ``smooth`` times the share of their paths in common.
+    the same parent.  The capacity is ``smooth`` times their nearness in the tree.
     """
     odds = [log_odds(b) for b in blocks]
     loss = lambda x: int(SCALE * (math.log1p(math.exp(-abs(x))) + max(0.0, x)))
     edges: list[tuple[int, int, int]] = []
-    before: dict[tuple[int, ...], int] = {}
-
-    def near(a: Block, b: Block) -> int:
-        common = 0
-        for x, y in zip(a.path, b.path):  # noqa: B905
-            if x != y:
-                break
-            common += 1
-        return int(SCALE * smooth * common / max(len(a.path), len(b.path)))
-
+    before: dict[int, int] = {}
+    join = lambda a, b: edges.append((a, b, int(SCALE * smooth * tree.nearness(blocks[a].node, blocks[b].node))))
     for i, b in enumerate(blocks):
         if i:
-            edges.append((i - 1, i, near(blocks[i - 1], b)))
-        parent = b.path[:-1]
+            join(i - 1, i)
+        parent = tree.parent[b.node]
         if before.get(parent, i - 1) != i - 1:
-            edges.append((before[parent], i, near(blocks[before[parent]], b)))
+            join(before[parent], i)
         before[parent] = i
     return [loss(x) for x in odds], [loss(-x) for x in odds], edges
 
 
 def extract(page: str, smooth: float = 1.0) -> str:
     """The blocks on the content side, one per line; empty if there are none."""
-    blocks = read_blocks(page)
+    blocks, tree = read_blocks(page)
     if not blocks:
         return ""
-    return "\n".join(b.text for b, keep in zip(blocks, min_cut(*page_graph(blocks, smooth)), strict=True) if keep)
+    return "\n".join(b.text for b, keep in zip(blocks, min_cut(*page_graph(blocks, tree, smooth)), strict=True) if keep)
 
 
 def with_main_text(pages: DataFrame, html_col: str = "html", name: str = "text", smooth: float = 1.0) -> DataFrame:

@@ -45,6 +45,8 @@ def test_awkward_pages():
     assert M.extract("<article><p>a  b &lt;c&gt;</p>") == "a b <c>"
     deep = "<div>" * 3000 + "<article><p>Deep text of some words.</p>"
     assert M.extract(deep) == "Deep text of some words."
+    nested = "<article>" + "<div>Some words here, at this depth." * 5000
+    assert M.extract(nested).count("\n") == 4999
     many = "<article>" + "<p>One paragraph of text.</p>" * 5000
     assert M.extract(many).count("\n") == 4999
 
@@ -70,13 +72,17 @@ def test_min_cut_is_minimal(seed):
 
 
 def test_smoothness_pulls_a_doubtful_block():
-    def block(text, odds_side):
-        return M.Block(text, (0, 1, len(text)), odds_side, not odds_side, False, "p", 0)
+    tree = M.Tree([0, 0, 1, 1, 1], [0, 1, 2, 2, 2])
+    text = "A long and certain sentence of the article, with words."
+    first, doubt, last = (M.Block(text, 2, False, True, False, "p", 0), M.Block("maybe", 3, False, False, False, "span", 0),
+                          M.Block(text, 4, False, True, False, "p", 0))
+    assert M.min_cut(*M.page_graph([doubt], tree)) == [False]
+    assert M.min_cut(*M.page_graph([first, doubt, last], tree, smooth=2.0)) == [True, True, True]
 
-    sure = block("A long and certain sentence of the article, with words.", False)
-    doubt = M.Block("maybe", (0, 1, 5), False, False, False, "span", 0)
-    source, sink, edges = M.page_graph([sure, doubt, sure], smooth=2.0)
-    assert M.min_cut(source, sink, edges) == [True, True, True]
+
+def test_nearness_is_the_common_share_of_the_path():
+    tree = M.Tree([0, 0, 1, 2, 1], [0, 1, 2, 3, 2])
+    assert tree.nearness(3, 3) == 1 and tree.nearness(3, 4) == 2 / 4 and tree.nearness(0, 3) == 1 / 4
 
 
 def test_frame(spark):
