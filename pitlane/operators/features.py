@@ -211,10 +211,16 @@ def label_indexer(df: DataFrame, labels: Sequence[str]) -> PipelineModel:
     return Pipeline(stages=[idx]).fit(staged)
 
 
-def label_codes(model: PipelineModel, labels: Sequence[str]) -> list[tuple[str, str, int]]:
-    """(Field, Label, Code) triples of a fitted indexer (model metadata)."""
-    arrays = model.stages[0].labelsArray
-    return [(c, lab, i) for c, arr in zip(labels, arrays) for i, lab in enumerate(arr)]
+def label_codes(df: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """(Field, Label, Code): the codes that ``label_indexer`` gives, as a table.
+
+    Labels fold to distinct ones map-side; only those are ordered, one field's
+    labels together.
+    """
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("Field"), _label_input(c).alias("Label")) for c in labels])).alias("r")).select("r.*")
+    order = Window.partitionBy("Field").orderBy("Label")
+    return long.distinct().withColumn("Code", F.row_number().over(order) - 1)
 
 
 def numeric_medians(df: DataFrame, numeric: Sequence[str], **kw) -> DataFrame:

@@ -103,9 +103,7 @@ def _label_sql(c):
 def q_label_codes(spark, sf):
     """F8 encoders: (Field, Label, Code), alphabetical, NULL as its own label."""
     feats = feature_table(spark, sf)
-    labels, _ = features.feature_columns(feats)
-    model = features.label_indexer(feats, labels)
-    return spark.createDataFrame(features.label_codes(model, labels), "Field string, Label string, Code int")
+    return features.label_codes(feats, features.feature_columns(feats)[0])
 
 
 @query("impute_medians", FEATURES + "\n" + "\nUNION ALL ".join(
