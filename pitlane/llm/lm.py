@@ -1,21 +1,24 @@
 """Masked pseudo-likelihood scoring with a bidirectional window network.
 
-Tokens are words: the corpus's most frequent ones each have an id, the rest share
-hash buckets.  A network sees ``window`` tokens on either side of a masked place
+Tokens are words: the corpus's frequent ones each have an id, and their list grows
+with the corpus; the rest share hash buckets, and each of them has its share of its
+bucket from the whole corpus's word counts.  A network sees ``window`` tokens on either side of a masked place
 and predicts the token there: embeddings, one tanh layer, then a softmax over
 classes of tokens and one over the tokens of the class.  It is trained in numpy on
 every document: each partition starts from the same weights, takes steps over its
 own texts, and the partitions' weights are averaged by their token counts, a few
 at a time, until one model is left; further rounds mask other places.  A document's
-score is the sum of its tokens' log-probabilities, each given both sides.
+score is the sum of its tokens' log-probabilities, each given both sides; a word
+out of the list has log p(bucket | both sides) + log p(word | bucket).
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -31,7 +34,7 @@ from pitlane.llm.common import land
 class LmParams:
     """``classes * class_size`` tokens: ``buckets`` of them hashed, the others the most frequent words.
 
-    In each of ``rounds`` passes one place in ``stride`` of every document is masked.
+    These are the least: ``vocabulary`` makes them larger with the corpus.  In each of ``rounds`` passes one place in ``stride`` of every document is masked.
     """
 
     classes: int = 32
@@ -90,11 +93,47 @@ class Tokens(dict):
     def ids(self, text: str) -> np.ndarray:
         return np.array(list(map(self.__getitem__, text.lower().split())), np.int32)
 
+    def ids_and_rest(self, text: str) -> tuple[np.ndarray, Counter[str]]:
+        """The ids of a text, and how often it has each word out of the list."""
+        words = text.lower().split()
+        ids = np.array(list(map(self.__getitem__, words)), np.int32)
+        return ids, Counter(words[i] for i in np.flatnonzero(ids >= self.first))
+
+
+def _top(counts: DataFrame, most: int) -> list[str]:
+    return [r["word"] for r in counts.orderBy(F.col("n").desc(), "word").limit(most).collect()]
+
 
 def frequent_words(docs: DataFrame, p: LmParams, text_col: str = "text") -> list[str]:
     """The most frequent words, ties in alphabetical order: ``size - buckets`` at most."""
-    top = word_counts(docs, text_col).orderBy(F.col("n").desc(), "word").limit(p.size - p.buckets)
-    return [r["word"] for r in top.collect()]
+    return _top(word_counts(docs, text_col), p.size - p.buckets)
+
+
+def vocabulary(counts: DataFrame, p: LmParams) -> tuple[list[str], LmParams]:
+    """The words with an id of their own, and ``p`` grown to hold them.
+
+    ``counts`` is a written table of ``word_counts``.  Every word that occurs at least
+    sqrt(N) / 4 times among the corpus's N words has an id, and never fewer than the
+    ``size - buckets`` most frequent ones.  Classes, their size and the buckets grow in
+    proportion; so do the mini-batches, as an update costs as much as there are weights.
+    """
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    often = counts.where(F.col("n") >= math.sqrt(total) / 4).collect()
+    grown = len(often) / (p.size - p.buckets)
+    if grown <= 1:
+        return _top(counts, p.size - p.buckets), p
+    side = math.sqrt(grown)
+    return [r["word"] for r in sorted(often, key=lambda r: (-r["n"], r["word"]))], replace(
+        p, classes=math.ceil(p.classes * side), class_size=math.ceil(p.class_size * side), buckets=int(p.buckets * grown),
+        batch=int(p.batch * grown))
+
+
+def bucket_shares(counts: DataFrame, words: list[str], p: LmParams) -> DataFrame:
+    """(word, share) of each counted word out of the list: log p(word | bucket)."""
+    known = counts.sparkSession.createDataFrame([(w,) for w in words], "word string")
+    rest = counts.join(known, "word", "left_anti").withColumn("bucket", F.crc32(F.col("word").cast("binary")) % p.buckets)
+    sums = rest.groupBy("bucket").agg(F.sum("n").alias("total"))
+    return rest.join(sums, "bucket").select("word", F.log(F.col("n") / F.col("total")).alias("share"))
 
 
 # -- network ---------------------------------------------------------------------------------------
@@ -119,21 +158,6 @@ class Network:
             setattr(self, name, self.flat[at:at + n].reshape(shape))
             at += n
 
-    def _hidden(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = self.embed[context].reshape(len(context), -1)
-        return x, np.tanh(x @ self.w1 + self.b1)
-
-    @staticmethod
-    def _log_softmax(z: np.ndarray) -> np.ndarray:
-        z = z - z.max(axis=1, keepdims=True)
-        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-    def _by_class(self, cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(self.p.classes + 1))
-        for c in np.flatnonzero(np.diff(cuts)):
-            yield int(c), order[cuts[c]:cuts[c + 1]]
-
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log p(target | both sides) per row.
 
@@ -161,30 +185,38 @@ class Network:
 
     def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Gradient of the mean negative log-probability, laid out like ``flat``."""
-        n = len(target)
+        n, size = len(target), self.p.class_size
         g = Network(self.p, np.zeros_like(self.flat))
-        cls, inner = target // self.p.class_size, target % self.p.class_size
-        x, h = self._hidden(context)
-        d = np.exp(self._log_softmax(h @ self.wc + self.bc))
-        d[np.arange(n), cls] -= 1
-        d /= n
-        g.wc += h.T @ d
-        g.bc += d.sum(axis=0)
-        dh = d @ self.wc.T
-        for c, rows in self._by_class(cls):
-            d = np.exp(self._log_softmax(h[rows] @ self.ww[c] + self.bw[c]))
-            d[np.arange(len(rows)), inner[rows]] -= 1
-            d /= n
-            g.ww[c] += h[rows].T @ d
-            g.bw[c] += d.sum(axis=0)
-            dh[rows] += d @ self.ww[c].T
+        order = np.argsort(target, kind="stable")  # each class is a slice, as in ``log_probs``
+        context, target = context[order], target[order]
+        x = self.embed[context].reshape(n, -1)
+        h = np.tanh(self.w1.T @ x.T + self.b1[:, None])
+
+        def off(z: np.ndarray, of: np.ndarray) -> np.ndarray:
+            z -= z.max(axis=0)
+            np.exp(z, out=z)
+            z /= z.sum(axis=0) * np.float32(n)
+            z[of, np.arange(z.shape[1])] -= np.float32(1 / n)
+            return z
+
+        d = off(self.wc.T @ h + self.bc[:, None], target // size)
+        g.wc += h @ d.T
+        g.bc += d.sum(axis=1)
+        dh = self.wc @ d
+        cuts = np.searchsorted(target, np.arange(self.p.classes + 1) * size)
+        for c in np.flatnonzero(np.diff(cuts)):
+            own = slice(cuts[c], cuts[c + 1])
+            d = off(self.ww[c].T @ h[:, own] + self.bw[c][:, None], target[own] % size)
+            g.ww[c] += h[:, own] @ d.T
+            g.bw[c] += d.sum(axis=1)
+            dh[:, own] += self.ww[c] @ d
         dh *= 1 - h * h
-        g.w1 += x.T @ dh
-        g.b1 += dh.sum(axis=0)
-        dx = (dh @ self.w1.T).reshape(-1, self.p.width)
-        flat = context.ravel()
+        g.w1 += x.T @ dh.T
+        g.b1 += dh.sum(axis=1)
+        dx = (self.w1 @ dh).reshape(2 * self.p.window, self.p.width, n)
+        flat = context.T.ravel()
         for k in range(self.p.width):
-            g.embed[:, k] += np.bincount(flat, dx[:, k], self.p.size + 1)
+            g.embed[:, k] += np.bincount(flat, dx[:, k].ravel(), self.p.size + 1)
         return g.flat
 
 
@@ -221,16 +253,24 @@ class Trainer:
 
 
 def encode(docs: DataFrame, words: list[str], p: LmParams, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids) per row of ``docs``: the ids of its words; none for a null text."""
+    """(row, doc_id, ids, rest, times) per row of ``docs``: the ids of its words; none for a null text.
+
+    ``rest`` are its words out of the list and ``times`` how often each occurs; ``row`` numbers the rows.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(sent.value, p)
         for batch in batches:
-            ids = [tokens.ids(t or "") for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+            found = [tokens.ids_and_rest(t or "") for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([ids for ids, _ in found], pa.list_(pa.int32())),
+                 pa.array([list(r) for _, r in found], pa.list_(pa.string())),
+                 pa.array([list(r.values()) for _, r in found], pa.list_(pa.int32()))],
+                names=["row", "doc_id", "ids", "rest", "times"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(
+        run, "row long, doc_id long, ids array<int>, rest array<string>, times array<int>")
 
 
 def _groups(column: pa.ListArray, most: int = 1 << 16) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -295,11 +335,13 @@ def fit(encoded: DataFrame, words: list[str], params: LmParams = LmParams()) ->
     return LanguageModel(params, words, flat)
 
 
-def score(encoded: DataFrame, model: LanguageModel) -> DataFrame:
+def score(encoded: DataFrame, model: LanguageModel, shares: DataFrame | None = None) -> DataFrame:
     """(doc_id, n_tokens, log_prob, mean_log_prob) per row of ``encoded``.
 
-    A text without tokens (null, empty, white space) has log_prob 0 and no mean.
-    Repeated rows each have their own.
+    ``shares`` (see ``bucket_shares``) gives words out of the list their own
+    probability; without it they have their bucket's.  With it, ``encoded`` must be
+    written, as its rows are read twice.  A text without tokens (null, empty, white
+    space) has log_prob 0 and no mean.  Repeated rows each have their own.
     """
     p, sent = model.params, encoded.sparkSession.sparkContext.broadcast(model.flat.tobytes())
 
@@ -307,22 +349,29 @@ def score(encoded: DataFrame, model: LanguageModel) -> DataFrame:
         net = Network(p, np.frombuffer(sent.value, np.float32))
         for batch in batches:
             count, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            for start, ids in _groups(batch.column(1)):
+            for start, ids in _groups(batch.column(2)):
                 context, target, doc = examples(ids, p)
                 for at in range(0, len(target), 1 << 12):  # by slices that stay in the processor's cache
                     some = slice(at, at + (1 << 12))
                     logs = net.log_probs(context[some], target[some]).astype(np.float64)
                     total[start:start + len(ids)] += np.bincount(doc[some], logs, len(ids))
                 count[start:start + len(ids)] = [len(x) for x in ids]
-            mean = pa.array(np.divide(total, count, where=count > 0, out=np.zeros_like(total)), mask=count == 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), pa.array(total), mean],
-                                             names=["doc_id", "n_tokens", "log_prob", "mean_log_prob"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(count), pa.array(total)],
+                                             names=["row", "doc_id", "n_tokens", "log_prob"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")
+    found = encoded.select("row", "doc_id", "ids").mapInArrow(run, "row long, doc_id long, n_tokens long, log_prob double")
+    if shares is not None:
+        rest = encoded.select("row", F.explode(F.arrays_zip("rest", "times")).alias("r")).select(
+            "row", F.col("r.rest").alias("word"), F.col("r.times").alias("times"))
+        rest = rest.join(shares, "word").groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("more"))
+        found = found.join(rest, "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("more", F.lit(0.0)))
+    return found.select("doc_id", "n_tokens", "log_prob",
+                        F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")).alias("mean_log_prob"))
 
 
 def train_and_score(docs: DataFrame, params: LmParams = LmParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Count words, train on all of ``docs`` and score every row (see ``score``)."""
-    words = frequent_words(docs, params, text_col)
+    counts = land(word_counts(docs, text_col), "words")
+    words, params = vocabulary(counts, params)
     encoded = land(encode(docs, words, params, id_col, text_col), "encoded")
-    return score(encoded, fit(encoded, words, params))
+    return score(encoded, fit(encoded, words, params), land(bucket_shares(counts, words, params), "shares"))

@@ -82,3 +82,30 @@ def test_averaging_is_weighted_and_covers_every_partition(spark):
 def test_empty(spark):
     assert L.train_and_score(docs(spark, []), P).count() == 0
     assert L.train_and_score(docs(spark, [None, ""]), P).count() == 2
+
+
+def test_words_out_of_the_list_have_their_own_probability(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice([f"w{k}" for k in range(9)]) for _ in range(60)) + " rare" * (i < 9) + f" once{i}" for i in range(150)]
+    df = docs(spark, [*texts, "rare", "once3", None])
+    small = replace(P, buckets=1, classes=1, class_size=6)
+    counts = land(L.word_counts(df), "words")
+    words, p = L.vocabulary(counts, small)
+    n = {r.word: r.n for r in counts.collect()}
+    least = sum(n.values()) ** 0.5 / 4
+    assert small.size - small.buckets < len(words) <= p.size - p.buckets and set(words) == {w for w in n if n[w] >= least}
+    shares = {r.word: r.share for r in L.bucket_shares(counts, words, p).collect()}
+    assert set(shares) == set(n) - set(words)
+    encoded = land(L.encode(df, words, p), "encoded")
+    model = L.fit(encoded, words, p)
+    tokens = L.Tokens(words, p)
+    for b in range(p.buckets):  # the words of a bucket share all of it
+        own = [s for w, s in shares.items() if tokens[w] == tokens.first + b]
+        assert not own or abs(sum(np.exp(own)) - 1) < 1e-9
+    got = {r.doc_id: r for r in L.score(encoded, model, land(L.bucket_shares(counts, words, p), "shares")).collect()}
+    assert len(got) == len(texts) + 3 and got[152].log_prob == 0 and got[152].mean_log_prob is None
+    for i in (0, 60, 150, 151):
+        text = [*texts, "rare", "once3"][i]
+        assert abs(got[i].log_prob - plain_score(model, text) - sum(shares.get(w, 0) for w in text.split())) < 1e-2
+    whole = {r.doc_id: r.log_prob for r in L.train_and_score(df, small).collect()}
+    assert abs(whole[60] - got[60].log_prob) < 1 and whole.keys() == got.keys()
