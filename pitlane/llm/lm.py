@@ -7,7 +7,8 @@ and predicts the token there: embeddings, one tanh layer, then a softmax over
 classes of tokens and one over the tokens of the class.  It is trained in numpy on
 every document: each partition starts from the same weights, takes steps over its
 own texts, and the partitions' weights are averaged by their token counts, a few
-at a time, until one model is left; further rounds mask other places.  A document's
+at a time, until one model is left; further rounds mask the other places, so that
+every token is predicted in training.  A document's
 score is the sum of its tokens' log-probabilities, each given both sides; a word
 out of the list has log p(bucket | both sides) + log p(word | bucket).
 """
@@ -34,7 +35,9 @@ from pitlane.llm.common import land
 class LmParams:
     """``classes * class_size`` tokens: ``buckets`` of them hashed, the others the most frequent words.
 
-    These are the least: ``vocabulary`` makes them larger with the corpus.  In each of ``rounds`` passes one place in ``stride`` of every document is masked.
+    These are the least: ``vocabulary`` makes them larger with the corpus.  The
+    ``rounds`` passes share the places of a text among them, ``stride`` in turn: each is
+    masked in one pass, or in more if there are more passes than ``stride``.
     """
 
     classes: int = 32
@@ -232,6 +235,12 @@ def examples(texts: list[np.ndarray], p: LmParams) -> tuple[np.ndarray, np.ndarr
     return np.stack([line[at + k] for k in steps], axis=1), line[at], doc
 
 
+def masked(n: int, p: LmParams, number: int) -> np.ndarray:
+    """The places of ``n`` that round ``number`` masks; all rounds together mask every place."""
+    turns = min(p.rounds, p.stride)
+    return np.flatnonzero(np.arange(n) % p.stride % turns == number % turns)
+
+
 class Trainer:
     """Adam over mini-batches of masked places, from given weights."""
 
@@ -293,10 +302,10 @@ def _round(encoded: DataFrame, flat: np.ndarray, p: LmParams, number: int) -> np
         for batch in batches:
             for _, ids in _groups(batch.column(0)):
                 context, target, _ = examples(ids, p)
-                masked = np.arange(number % p.stride, len(target), p.stride)
-                rng.shuffle(masked)
-                trainer.fit(context[masked], target[masked])
-                seen += len(masked)
+                places = masked(len(target), p, number)
+                rng.shuffle(places)
+                trainer.fit(context[places], target[places])
+                seen += len(places)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([float(seen)]),
                                               pa.array([trainer.net.flat.tobytes()], pa.binary())], names=["part", "n", "flat"])

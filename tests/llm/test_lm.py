@@ -109,3 +109,14 @@ def test_words_out_of_the_list_have_their_own_probability(spark):
         assert abs(got[i].log_prob - plain_score(model, text) - sum(shares.get(w, 0) for w in text.split())) < 1e-2
     whole = {r.doc_id: r.log_prob for r in L.train_and_score(df, small).collect()}
     assert abs(whole[60] - got[60].log_prob) < 1 and whole.keys() == got.keys()
+
+
+def test_every_token_is_predicted_in_training(spark):
+    for stride, rounds, n in ((8, 2, 29), (2, 3, 5), (8, 1, 3), (3, 3, 1), (1, 2, 4)):
+        p = replace(P, stride=stride, rounds=rounds)
+        assert set(np.concatenate([L.masked(n, p, k) for k in range(rounds)])) == set(range(n))
+    p = replace(P, stride=8, rounds=2, rate=0.02)
+    df = docs(spark, ["a b c d e f g h"] * 4000).repartition(1)
+    words = L.frequent_words(df, p)
+    encoded = land(L.encode(df, words, p), "encoded")
+    assert L.score(encoded, L.fit(encoded, words, p)).first().mean_log_prob > -1  # places 2 to 7 of 8 were never targets
