@@ -37,8 +37,10 @@ BLOCK = frozenset((
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Opening one of these ends an open one of the same list.
 SIBLINGS = ({"li"}, {"dt", "dd"}, {"td", "th"}, {"tr"}, {"option"})
-#: Elements and class, id or role words that hold boilerplate wherever they are; so do hidden elements.
-SIDE_TAGS = frozenset("nav aside footer form menu dialog fieldset button label".split())
+#: Elements that hold boilerplate wherever they are; so do hidden elements.
+SIDE_TAGS = frozenset("nav aside footer menu dialog button label".split())
+#: Elements and class, id or role words that hold boilerplate the surer the less of the page's text is inside.
+LOOSE_TAGS = frozenset(("form", "fieldset"))
 SIDE_WORDS = frozenset((
     "ad ads adbox advert advertisement advertising banner breadcrumb breadcrumbs comment comments complementary contentinfo "
     "cookie cookies consent discussion disqus feedback footer gdpr login menu modal nav navbar navigation newsletter notice "
@@ -70,6 +72,13 @@ _TOKEN = re.compile(
     rf"|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)>?"
     r"|<[!?][^>]*>", re.S | re.I)
+#: Class names that begin so tell of a state, not of what the element holds.
+STATES = frozenset("has no not with without is hide hides show shows".split())
+#: Side words that also are subjects: as a section's id inside an article they name what it is about.
+SUBJECTS = frozenset((
+    "advertisement advertising consent cookies discussion feedback navigation notice privacy promotion recommended related "
+    "replies search share sharing social sponsored tags").split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _HIDDEN = re.compile(r"(?<![-\w])hidden(?![-\w])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _NAMING = re.compile(r"(?<![-\w])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
@@ -81,7 +90,7 @@ class Block:
 
     text: str
     node: int
-    side: bool
+    side: float  #: 0 to 1: how surely its container holds boilerplate
     main: bool
     head: bool
     tag: str
@@ -116,6 +125,14 @@ class _Open:
     main: bool = False
     head: bool = False
     link: bool = False
+    within: int = 0  #: the innermost loose container around, 0 for the page
+    loose: int = 0  #: the one whose share counts; 0 if there is none or an article inside resets it
+
+
+def _naming(token: str) -> set[str]:
+    """What a class, id or role token says of its element: the whole, its first and its last part; nothing if it is a state."""
+    parts = _WORDS.findall(token)
+    return {parts[0], parts[-1]} if parts and (len(parts) == 1 or parts[0] not in STATES) else set()
 
 
 def read_blocks(page: str) -> tuple[list[Block], Tree]:
@@ -126,13 +143,16 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
     open_names: Counter[str] = Counter()
     parts: list[str] = []
     link_parts = 0
+    around, held, loose = [0], [0], []  # of each loose container: the one around it, its text; of each block: its container
 
     def flush() -> None:
         nonlocal parts, link_parts
         text = " ".join(unescape("".join(parts)).split())
         if text:
             inner = next((s for s in reversed(stack) if s.name in BLOCK), stack[0])
-            blocks.append(Block(text, inner.node, inner.side, inner.main, inner.head and not inner.main, inner.name,
+            held[inner.within] += len(text)
+            loose.append(inner.loose)
+            blocks.append(Block(text, inner.node, float(inner.side), inner.main, inner.head and not inner.main, inner.name,
                                 min(link_parts, len(text))))
         parts, link_parts = [], 0
 
@@ -174,27 +194,43 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
                     break
         if name in VOID or m["attrs"].rstrip().endswith("/") and name not in BLOCK:
             continue
-        words, hidden = set(), False
+        up = stack[-1]
+        words, names, hidden = set(), set(), False
         for found in _ATTRIBUTE.finditer(m["attrs"]):
             key, value = found[1].lower(), (found[2] or found[3] or found[4] or "").lower()
             if key in ("class", "id", "role"):
                 words.update(_WORDS.findall(value))
+                if key != "id" or name not in HEADINGS:
+                    own = set().union(*map(_naming, value.split()))
+                    names |= own - SUBJECTS if key == "id" and name == "section" and up.main else own
             hidden |= key == "hidden" or key == "aria-hidden" and value == "true" or (
                 key == "style" and "display:none" in value.replace(" ", ""))
-        up = stack[-1]
         node = up.node
         if name in BLOCK:
             node = len(tree.parent)
             tree.parent.append(up.node)
             tree.depth.append(tree.depth[up.node] + 1)
         open_names[name] += 1
+        named = bool(names & SIDE_WORDS) or bool(names & HEAD_WORDS and not up.main)
+        within, inside = up.within, up.loose
+        if name in MAIN_TAGS:
+            if not named and not up.main:
+                inside = 0
+        elif name in LOOSE_TAGS or named and name not in ("html", "body"):
+            within = inside = len(around)
+            around.append(up.within)
+            held.append(0)
         stack.append(_Open(
-            name, node,
-            up.side or hidden or name in SIDE_TAGS or bool(words & SIDE_WORDS) or bool(words & HEAD_WORDS and not up.main),
+            name, node, up.side or hidden or name in SIDE_TAGS,
             up.main or name in MAIN_TAGS or bool(words & MAIN_WORDS and name in ("div", "section")),
-            up.head or name in ("head", "header"), up.link or name == "a"))
+            up.head or name in ("head", "header"), up.link or name == "a", within, inside))
     take(page[last:])
     flush()
+    for i in range(len(around) - 1, 0, -1):
+        held[around[i]] += held[i]
+    for b, i in zip(blocks, loose, strict=True):
+        if i:
+            b.side = max(b.side, 1 - (held[i] / held[0]) ** 2)
     return blocks, tree
 
 
@@ -206,7 +242,7 @@ WEIGHTS = (-0.3, -9.0, 5.0, -4.0, 0.5, -3.5, 0.8, 0.35)
 
 def features(b: Block) -> tuple[float, ...]:
     """Bias, boilerplate container, content container, page header, text element, share of links, sentence end, log words."""
-    return (1.0, float(b.side), float(b.main and not b.side), float(b.head and not b.main),
+    return (1.0, float(b.side), b.main * (1.0 - b.side), float(b.head and not b.main),
             float(b.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "td", "dd")),
             b.linked / max(1, len(b.text)), float(b.text[-1] in ".!?…\"”:;"), math.log1p(b.text.count(" ")))
 

@@ -91,3 +91,17 @@ def test_frame(spark):
     got = M.with_main_text(df, name="main").collect()
     assert [len(r.main) > 0 for r in got] == [True, False, False, True]
     assert M.with_main_text(df.limit(0), name="main").count() == 0
+
+
+def test_states_and_wrappers_do_not_make_a_page_boilerplate():
+    text = "Words of the article, some of them, and then some more of them as prose has."
+    article = f"<article><p>{text}</p></article>"
+    for page in (f"<body class='single has-sidebar'>{article}", f"<html class='has-navbar-fixed-top'><body class='social'>{article}",
+                 f"<div id='content' class='no-comments'><p>{text}</p></div>", f"<form id='aspnet'><div><p>{text}</p></div></form>",
+                 f"<form><nav><p>Menu</p></nav>{article}</form>", f"<div class='sidebar'><p>Aside.</p>{article}</div>",
+                 f"<article class='post tags-news share'><p>{text}</p></article>",
+                 f"<article><section id='discussion'><p>{text}</p></section></article>"):
+        assert M.extract(page) == text or page.startswith("<div class='sidebar'>") and text in M.extract(page), page
+    assert M.extract(f"<article><h2 id='related-work'>Related work</h2><p>{text}</p></article>") == f"Related work\n{text}"
+    comment = "<div id='comments'><article class='comment'><p>I liked it, thanks.</p></article></div>"
+    assert M.extract(f"<main><p>{text}</p>{comment}</main>") == text
