@@ -27,7 +27,9 @@ from pitlane.llm.common import append_column, extended
 # -- blocks ----------------------------------------------------------------------------------------
 
 #: Elements whose content is never text of the page.
-RAW = "script|style|noscript|template|textarea|title|svg|iframe|select|object|math"
+RAW = "script|style|noscript|template|textarea|title"
+#: The same, but these end with their parent at the latest, and at a block that cannot be inside.
+DROPPED = frozenset(("svg", "select", "iframe"))
 #: Elements that start a block of their own.
 BLOCK = frozenset((
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -125,6 +127,7 @@ class _Open:
     main: bool = False
     head: bool = False
     link: bool = False
+    dropped: str = ""  #: the element of ``DROPPED`` it is in
     within: int = 0  #: the innermost loose container around, 0 for the page
     loose: int = 0  #: the one whose share counts; 0 if there is none or an article inside resets it
 
@@ -158,6 +161,8 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
 
     def take(text: str) -> None:
         nonlocal link_parts
+        if stack[-1].dropped:
+            return
         parts.append(text)
         if stack[-1].link:
             link_parts += len(text.strip())
@@ -168,6 +173,7 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
         open_names.subtract(s.name for s in stack[at:])
         del stack[at:]
 
+    last_frame = max((m.start() for m in re.finditer(r"</iframe", page, re.I)), default=-1)
     last = 0
     for m in _TOKEN.finditer(page):
         if m.start() > last:
@@ -184,16 +190,21 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
             parts.append(" ")
             continue
         if name in BLOCK:
+            kind = stack[-1].dropped
+            if kind == "select" and name not in ("option", "hr") or kind == "svg" and not open_names["foreignobject"]:
+                close_to(next(i for i, s in enumerate(stack) if s.dropped))
             flush()
             # a block ends an open paragraph, and an item the item before it
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].name == "p" or any(stack[i].name in s and name in s for s in SIBLINGS):
                     close_to(i)
                     break
-                if stack[i].name in BLOCK:
+                if stack[i].name in BLOCK or stack[i].name in DROPPED:
                     break
         if name in VOID or m["attrs"].rstrip().endswith("/") and name not in BLOCK:
             continue
+        if name == "iframe" and m.start() > last_frame:  # never closed: nothing is inside
+            continue
         up = stack[-1]
         words, names, hidden = set(), set(), False
         for found in _ATTRIBUTE.finditer(m["attrs"]):
@@ -223,7 +234,8 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
         stack.append(_Open(
             name, node, up.side or hidden or name in SIDE_TAGS,
             up.main or name in MAIN_TAGS or bool(words & MAIN_WORDS and name in ("div", "section")),
-            up.head or name in ("head", "header"), up.link or name == "a", within, inside))
+            up.head or name in ("head", "header"), up.link or name == "a",
+            up.dropped or (name if name in DROPPED else ""), within, inside))
     take(page[last:])
     flush()
     for i in range(len(around) - 1, 0, -1):

@@ -105,3 +105,15 @@ def test_states_and_wrappers_do_not_make_a_page_boilerplate():
     assert M.extract(f"<article><h2 id='related-work'>Related work</h2><p>{text}</p></article>") == f"Related work\n{text}"
     comment = "<div id='comments'><article class='comment'><p>I liked it, thanks.</p></article></div>"
     assert M.extract(f"<main><p>{text}</p>{comment}</main>") == text
+
+
+def test_dropped_elements_end_where_they_end():
+    for page in ('<p>one</p><svg class="i"/><p>two</p><p>three</p>', "<p>one</p><math/><p>two</p><p>three</p>",
+                 "<p>one</p><svg><path d='M0'/><text>x</text><p>two</p><p>three</p>", "<p>one<svg><text>x</p><p>two</p><p>three</p>",
+                 "<p>one</p><select><option>x<p>two</p><p>three</p>", "<p>one</p><object data='x'><p>two</p><p>three</p>",
+                 "<p>one</p><iframe src='x'><p>two</p><p>three</p>", "<p>one</p><iframe><p>x</p></iframe><p>two</p><p>three</p>",
+                 "<p>one<select><optgroup><option>x<option>y</select></p><p>two</p><div><svg><g><title>x</title>y</div><p>three</p>",
+                 "<p>one</p><svg><foreignObject><p>x</p></foreignObject>y</svg><p>two</p><p>three</p>"):
+        assert M.extract(f"<article>{page}</article>") == "one\ntwo\nthree", page
+    assert M.extract("<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>") == "So x=2 holds."
+    assert M.extract("<article><object data='x'><p>The fallback.</p></object></article>") == "The fallback."
