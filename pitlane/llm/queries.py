@@ -35,11 +35,11 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM p LEFT JOIN f USING (payload_digest)
 """)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write ``pages`` as archives, salvage-read them, digest what was read."""
+    """Write ``pages`` as archives, salvage-read them, digest what was read; fails if any of it was quarantined."""
     path = scratch_path(spark, "archives")
     warc.write_archives(warc.plan_records(table(spark, sf_dir, "pages")), path)
-    records = land(warc.record_digests(warc.read_archives(spark, path)), "records")
-    return warc.resolve_revisits(records)
+    log = land(warc.digest_log(warc.read_archives(spark, path)), "records")
+    return warc.resolve_revisits(warc.require_whole(log))
 
 
 @query("op2_decontaminate")

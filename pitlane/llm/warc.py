@@ -106,6 +106,7 @@ def write_archives(plan: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTE
 _VERSION = re.compile(rb"WARC/[01]\.\d{1,2}\r?\n")
 _MEMBER = b"\x1f\x8b\x08"
 _BREAK = re.compile(rb"\r?\n\r?\n")
+_LINE = re.compile(r"\r?\n")  # and nothing else that Unicode counts as a line's end
 _SLICE = 1 << 16
 
 
@@ -116,7 +117,7 @@ class Damaged(ValueError):
 def _headers(block: bytes) -> dict[str, str]:
     found: dict[str, str] = {}
     last = ""
-    for line in block.decode("utf-8", "replace").splitlines():
+    for line in _LINE.split(block.decode("utf-8", "replace")):
         if line[:1] in " \t" and last:  # a folded line goes on
             found[last] += " " + line.strip()
             continue
@@ -124,10 +125,10 @@ def _headers(block: bytes) -> dict[str, str]:
         if not colon:
             raise Damaged("header line without a colon")
         last = name.strip().lower()
-        # a header cut short runs on into the next record's
-        if last in found and last != "warc-concurrent-to" or _VERSION.search(line.encode() + b"\n"):
+        # a header cut short runs on into the next record's; a value may end in a version by itself
+        if last in found and last != "warc-concurrent-to":
             raise Damaged("header repeated or run into another record")
-        found[last] = value.strip()
+        found[last] = value.strip(" \t")
     return found
 
 
@@ -274,15 +275,30 @@ def gaps(rows: DataFrame) -> DataFrame:
     return rows.where("kind = 'gap'").select("archive", "offset", "length", "reason")
 
 
-def record_digests(rows: DataFrame) -> DataFrame:
-    """One slim row per record: ids, and length and digest of the payload that was read."""
+def digest_log(rows: DataFrame) -> DataFrame:
+    """One slim row per record or gap: its place, and of a record ids, and length and digest of the payload that was read."""
     page = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
-    return rows.where("kind = 'record'").select(
+    return rows.select(
+        "kind", "archive", "offset", "length", "reason",
         page(F.col("record_id")).alias("page_id"), page(F.col("refers_to")).alias("refers_to"),
         F.col("warc_type").alias("record_type"), F.substring_index("payload_digest", ":", -1).alias("stated"),
         F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"))
 
 
+def record_digests(rows: DataFrame) -> DataFrame:
+    """The records of ``digest_log``, without their places."""
+    return digest_log(rows.where("kind = 'record'")).drop("kind", "archive", "offset", "length", "reason")
+
+
+def require_whole(log: DataFrame) -> DataFrame:
+    """The records of a written ``digest_log``; fails if it has a gap, for archives that must not have any."""
+    found = gaps(log)
+    if lost := found.count():
+        first = found.orderBy("archive", "offset").first()
+        raise ValueError(f"{lost} gaps; the first: {first['length']} bytes at {first['offset']} of {first['archive']}: {first['reason']}")
+    return log.where("kind = 'record'").drop("kind", "archive", "offset", "length", "reason")
+
+
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """Per record: page_id, payload_bytes, payload_digest, record_type, refers_to.
 

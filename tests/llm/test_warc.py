@@ -82,3 +82,26 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([("a", None), ("b", bytearray())], "path string, content binary")
     assert warc.read_contents(empty).count() == 0
     assert warc.read_archives(spark, path).count() == 0
+
+
+def test_urls_with_line_separators_or_a_version_keep_their_pages(spark):
+    urls = ["u\u0085rest", "u\u2028rest", "u\u2029rest", "http://x/WARC/1.0", "http://x/WARC/1.1", "WARC/1.1"]
+    df = spark.createDataFrame([(i, u, "same " * 40) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    path = scratch_path(spark, "archives")
+    warc.write_archives(warc.plan_records(df), path)
+    found = warc.read_archives(spark, path).cache()
+    assert warc.gaps(found).count() == 0
+    assert {r.target_uri for r in found.collect()} == set(urls)
+    got = warc.resolve_revisits(warc.require_whole(warc.digest_log(found))).collect()
+    assert sorted((r.page_id, r.payload_bytes) for r in got) == [(i, 200) for i in range(6)]
+
+
+def test_a_gap_fails_where_none_may_be(spark):
+    data = record(b"one") + b"junk" + record(b"two")
+    log = warc.digest_log(warc.read_contents(spark.createDataFrame([("a", bytearray(data))], "path string, content binary")))
+    try:
+        warc.require_whole(log)
+    except ValueError as e:
+        assert "1 gaps" in str(e) and "4 bytes" in str(e)
+    else:
+        raise AssertionError("no error")
