@@ -45,6 +45,28 @@ def in_training_fold(doc_id: str) -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 != 0
 
 
+def join_hot(big: DataFrame, small: DataFrame, key: str | list[str], counts: DataFrame | None = None,
+             share: int = 1024) -> DataFrame:
+    """Inner join; ``small`` has one row per key at most, both are written tables or cheap to read again.
+
+    Keys that hold more than one in ``share`` of ``big``'s rows meet their row by
+    broadcast: fewer than ``share`` rows, whatever the size.  All others go through a
+    shuffle, in which no key is hot.  ``counts`` gives the rows of ``big`` per key as
+    ``n`` if they are known.  Null keys meet nothing.
+    """
+    keys = [key] if isinstance(key, str) else key
+    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")) if counts is None else counts
+    hot = F.broadcast(counts.where((F.col("n") * share > big.count()) & F.col(keys[0]).isNotNull()).select(*keys))
+    few = F.broadcast(small.join(hot, keys, "left_semi"))
+    return big.join(few, keys).unionByName(big.join(hot, keys, "left_anti").join(small, keys))
+
+
+def finite(vector_col: str) -> F.Column:
+    """True for an array without null, NaN or infinite entries; false for a null array."""
+    ok = F.forall(vector_col, lambda v: F.coalesce((F.abs(v) < float("inf")) & ~F.isnan(v), F.lit(False)))
+    return F.coalesce(ok, F.lit(False))
+
+
 def append_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
 

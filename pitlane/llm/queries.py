@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pitlane.llm import chat, decontam, lm, maintext, packing, quality, simhash, topk, toxicity, warc
+from pitlane.llm import chat, decontam, lexical, lm, maintext, packing, pstable, quality, simhash, topk, toxicity, warc, whitening
 from pitlane.llm.common import in_training_fold, land, table
 from pitlane.session import scratch_path
 
@@ -143,6 +143,60 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(rows, rows.where("vec_id % 50 = 0"), 5)
 
 
+@query("op11_qdwh_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 16 leading whitened components of every vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 16, 64.0)
+
+
+@query("op12_pstable_near_dedup", """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS x,
+         embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+           AND len([x FOR x IN embedding IF x <> 0]) > 0 AS good
+  FROM embeddings),
+l AS (SELECT a.r AS a, b.r AS b FROM v AS a JOIN v AS b ON a.r <> b.r AND a.good AND b.good
+      AND list_cosine_similarity(a.x, b.x) >= 0.95),
+t AS (SELECT a, b FROM l UNION SELECT t.a, l.b FROM t JOIN l ON l.a = t.b),
+c AS (SELECT t.a AS r, min(v.vec_id) AS low FROM t JOIN v ON v.r = t.b GROUP BY t.a),
+n AS (SELECT a AS r, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links,
+       least(vec_id, coalesce(low, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM v LEFT JOIN c USING (r) LEFT JOIN n USING (r)
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of every vector at a cosine of 0.95 or more."""
+    return pstable.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+@query("op13_pipelined_search", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0),
+i AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term),
+p AS (
+  SELECT r, doc_id, len, term, count(*) AS tf FROM (SELECT r, doc_id, len(terms) AS len, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM i) GROUP BY r, doc_id, len, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * CAST(n_docs AS DOUBLE) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM p, s GROUP BY term, n_docs),
+x AS (
+  SELECT item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * len * n_docs) // n_terms)))) AS score
+  FROM i JOIN p USING (term) JOIN w USING (term), s GROUP BY item_id, r, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM k WHERE rank <= 10
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of each benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity, quality, near-dedup, decontamination and packing over ``documents``."""
