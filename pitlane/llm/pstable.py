@@ -165,7 +165,7 @@ def linked_vectors(vectors: DataFrame, p: PStableParams = PStableParams(), table
     ``vectors`` is a written table of distinct non-zero vectors: (no, copies, vector).
     ``more`` counts the copies of the vectors linked; the pairs of all tiles are disjoint.
     """
-    n, width = vectors.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    n, width = vectors.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
     picked = pick_tables(n, p)
     tables, hashes = tables or picked[0], hashes or picked[1]
 
