@@ -24,6 +24,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ class LmParams:
     These are the least: ``vocabulary`` makes them larger with the corpus.  The
     ``rounds`` passes share the places of a text among them, ``stride`` in turn: each is
     masked in one pass, or in more if there are more passes than ``stride``.
+    ``held`` is how many words out of the list a task looks up itself, ``slice`` how many
+    weights of ``fan_in`` models are averaged in one group.
     """
 
     classes: int = 32
@@ -48,9 +51,11 @@ class LmParams:
     hidden: int = 32
     stride: int = 8
     rounds: int = 2
-    batch: int = 2048
-    rate: float = 0.006
+    batch: int = 8192
+    rate: float = 0.012
     fan_in: int = 64
+    held: int = 1 << 17
+    slice: int = 1 << 16
     seed: int = 5
 
     @property
@@ -81,26 +86,44 @@ def word_counts(docs: DataFrame, text_col: str = "text", held: int = 200_000) ->
 
 
 class Tokens(dict):
-    """Word -> id; words out of the list get their bucket's id, remembered for the first ``held`` of them."""
+    """Word -> code: the id of a listed word, then the places of the words of ``known``, then the buckets.
 
-    def __init__(self, words: list[str], p: LmParams, held: int = 200_000):
+    ``known`` are (word, log p(word | bucket)) of some words out of the list.  Words that
+    are neither get their bucket's code, remembered for the first ``held`` of them.
+    """
+
+    def __init__(self, words: list[str], p: LmParams, known: list[tuple[str, float]] = (), held: int = 200_000):
         super().__init__((w, i) for i, w in enumerate(words))
-        self.first, self.buckets, self.held = p.size - p.buckets, p.buckets, held
+        self.first, self.buckets, self.size, self.held = p.size - p.buckets, p.buckets, p.size, held + len(words) + len(known)
+        self.update((w, p.size + i) for i, (w, _) in enumerate(known))
+        every = np.arange(p.size + len(known) + p.buckets)
+        every[p.size:] = self.first + np.array([self.bucket(w) for w, _ in known] + [*range(p.buckets)], np.int64)
+        self.id_of, self.unknown = every.astype(np.int32), p.size + len(known)
+        self.shares = np.zeros(len(every))
+        self.shares[p.size:self.unknown] = [x for _, x in known]
+
+    def bucket(self, word: str) -> int:
+        return zlib.crc32(word.encode("utf-8", "surrogatepass")) % self.buckets
 
     def __missing__(self, word: str) -> int:
-        found = self.first + zlib.crc32(word.encode("utf-8", "surrogatepass")) % self.buckets
+        found = self.unknown + self.bucket(word)
         if len(self) < self.held:
             self[word] = found
         return found
 
     def ids(self, text: str) -> np.ndarray:
-        return np.array(list(map(self.__getitem__, text.lower().split())), np.int32)
+        return self.id_of[self.codes(text.lower().split())]
 
-    def ids_and_rest(self, text: str) -> tuple[np.ndarray, Counter[str]]:
-        """The ids of a text, and how often it has each word out of the list."""
+    def codes(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def ids_and_rest(self, text: str) -> tuple[np.ndarray, float, Counter[int]]:
+        """The ids of a text, the known words' summed shares, and how often it has each other word out of the list, by hash."""
         words = text.lower().split()
-        ids = np.array(list(map(self.__getitem__, words)), np.int32)
-        return ids, Counter(words[i] for i in np.flatnonzero(ids >= self.first))
+        codes = self.codes(words)
+        hashes = (xxhash.xxh64_intdigest(words[i].encode("utf-8", "surrogatepass"), 42)
+                  for i in np.flatnonzero(codes >= self.unknown).tolist())
+        return self.id_of[codes], float(self.shares[codes].sum()), Counter(hashes)
 
 
 def _top(counts: DataFrame, most: int) -> list[str]:
@@ -116,12 +139,13 @@ def vocabulary(counts: DataFrame, p: LmParams) -> tuple[list[str], LmParams]:
     """The words with an id of their own, and ``p`` grown to hold them.
 
     ``counts`` is a written table of ``word_counts``.  Every word that occurs at least
-    sqrt(N) / 4 times among the corpus's N words has an id, and never fewer than the
-    ``size - buckets`` most frequent ones.  Classes, their size and the buckets grow in
-    proportion; so do the mini-batches, as an update costs as much as there are weights.
+    max(sqrt(N), N / 2^16) times among the corpus's N words has an id, and never fewer
+    than the ``size - buckets`` most frequent ones: at most sqrt(N) and at most 2^16
+    words.  Classes, their size and the buckets grow in proportion; so do the
+    mini-batches, as an update costs as much as there are weights.
     """
     total = counts.agg(F.sum("n")).first()[0] or 0
-    often = counts.where(F.col("n") >= math.sqrt(total) / 4).collect()
+    often = counts.where(F.col("n") >= max(math.sqrt(total), total / (1 << 16))).collect()
     grown = len(often) / (p.size - p.buckets)
     if grown <= 1:
         return _top(counts, p.size - p.buckets), p
@@ -132,11 +156,17 @@ def vocabulary(counts: DataFrame, p: LmParams) -> tuple[list[str], LmParams]:
 
 
 def bucket_shares(counts: DataFrame, words: list[str], p: LmParams) -> DataFrame:
-    """(word, share) of each counted word out of the list: log p(word | bucket)."""
-    known = counts.sparkSession.createDataFrame([(w,) for w in words], "word string")
-    rest = counts.join(known, "word", "left_anti").withColumn("bucket", F.crc32(F.col("word").cast("binary")) % p.buckets)
+    """(word, n, share) of each counted word out of the list: log p(word | bucket)."""
+    listed = counts.sparkSession.createDataFrame([(w,) for w in words], "word string")
+    rest = counts.join(F.broadcast(listed), "word", "left_anti").withColumn("bucket", F.crc32(F.col("word").cast("binary")) % p.buckets)
     sums = rest.groupBy("bucket").agg(F.sum("n").alias("total"))
-    return rest.join(sums, "bucket").select("word", F.log(F.col("n") / F.col("total")).alias("share"))
+    return rest.join(F.broadcast(sums), "bucket").select("word", "n", F.log(F.col("n") / F.col("total")).alias("share"))
+
+
+def held_shares(shares: DataFrame, p: LmParams) -> list[tuple[str, float]]:
+    """(word, share) of the ``held`` most frequent words of a written table of ``bucket_shares``."""
+    top = shares.orderBy(F.col("n").desc(), "word").limit(p.held).select("word", "share").toArrow()
+    return list(zip(top["word"].to_pylist(), top["share"].to_pylist(), strict=True))
 
 
 # -- network ---------------------------------------------------------------------------------------
@@ -161,6 +191,10 @@ class Network:
             setattr(self, name, self.flat[at:at + n].reshape(shape))
             at += n
 
+    def by_class(self, target: np.ndarray) -> np.ndarray:
+        """The order by target; 16-bit numbers are sorted by radix."""
+        return np.argsort(target.astype(np.uint16) if self.p.size < 1 << 16 else target, kind="stable")
+
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log p(target | both sides) per row.
 
@@ -168,9 +202,9 @@ class Network:
         of the softmaxes run over whole rows.
         """
         size = self.p.class_size
-        order = np.argsort(target, kind="stable")
+        order = self.by_class(target)
         target = target[order]
-        x = self.embed[context[order]].reshape(len(order), -1)
+        x = self.embed.take(context.take(order, axis=0), axis=0).reshape(len(order), -1)
         h = np.tanh(self.w1.T @ x.T + self.b1[:, None])
 
         def picked(z: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -190,9 +224,9 @@ class Network:
         """Gradient of the mean negative log-probability, laid out like ``flat``."""
         n, size = len(target), self.p.class_size
         g = Network(self.p, np.zeros_like(self.flat))
-        order = np.argsort(target, kind="stable")  # each class is a slice, as in ``log_probs``
-        context, target = context[order], target[order]
-        x = self.embed[context].reshape(n, -1)
+        order = self.by_class(target)  # each class is a slice, as in ``log_probs``
+        context, target = context.take(order, axis=0), target[order]
+        x = self.embed.take(context, axis=0).reshape(n, -1)
         h = np.tanh(self.w1.T @ x.T + self.b1[:, None])
 
         def off(z: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -223,16 +257,17 @@ class Network:
         return g.flat
 
 
-def examples(texts: list[np.ndarray], p: LmParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context, target, document) for every token; places beyond a text hold the padding id ``size``."""
+def examples(texts: list[np.ndarray], p: LmParams, places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, target, document) for every token, or those at ``places``; beyond a text is the padding id ``size``."""
     pad = np.full(p.window, p.size, np.int32)
     line = np.concatenate([pad, *[x for t in texts for x in (t, pad)]])
     lengths = np.array([len(t) for t in texts])
-    starts = p.window + np.cumsum(lengths + p.window) - (lengths + p.window)
     doc = np.repeat(np.arange(len(texts)), lengths)
-    at = np.arange(len(doc)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(starts, lengths)
+    doc = doc if places is None else doc[places]
+    # a text's tokens lie one padding further on for each text before it
+    at = p.window * (doc + 1) + (np.arange(len(doc)) if places is None else places)
     steps = [k for k in range(-p.window, p.window + 1) if k]
-    return np.stack([line[at + k] for k in steps], axis=1), line[at], doc
+    return np.stack([line.take(at + k) for k in steps], axis=1), line.take(at), doc
 
 
 def masked(n: int, p: LmParams, number: int) -> np.ndarray:
@@ -261,25 +296,31 @@ class Trainer:
 # -- jobs ------------------------------------------------------------------------------------------
 
 
-def encode(docs: DataFrame, words: list[str], p: LmParams, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, doc_id, ids, rest, times) per row of ``docs``: the ids of its words; none for a null text.
+def encode(docs: DataFrame, words: list[str], p: LmParams, id_col: str = "doc_id", text_col: str = "text",
+           known: list[tuple[str, float]] = ()) -> DataFrame:
+    """(row, doc_id, ids, share, rest, times) per row of ``docs``: the ids of its words; none for a null text.
 
-    ``rest`` are its words out of the list and ``times`` how often each occurs; ``row`` numbers the rows.
+    ``share`` sums the shares of its words in ``known``; ``rest`` are the XXH64 hashes of
+    its other words out of the list and ``times`` how often each occurs; ``row`` numbers the rows.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(words)
+    sent = docs.sparkSession.sparkContext.broadcast((words, known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(sent.value, p)
+        tokens = Tokens(sent.value[0], p, sent.value[1])
+
+        def lists(parts: list, kind: type) -> pa.ListArray:
+            flat = np.concatenate([np.asarray(x, kind) for x in [*parts, []]])
+            return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]).astype(np.int32)), pa.array(flat))
+
         for batch in batches:
             found = [tokens.ids_and_rest(t or "") for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([ids for ids, _ in found], pa.list_(pa.int32())),
-                 pa.array([list(r) for _, r in found], pa.list_(pa.string())),
-                 pa.array([list(r.values()) for _, r in found], pa.list_(pa.int32()))],
-                names=["row", "doc_id", "ids", "rest", "times"])
+                [batch.column(0), batch.column(1), lists([ids for ids, _, _ in found], np.int32), pa.array([x for _, x, _ in found], pa.float64()),
+                 lists([np.fromiter(r, np.uint64, len(r)).view(np.int64) for _, _, r in found], np.int64),
+                 lists([list(r.values()) for _, _, r in found], np.int32)], names=["row", "doc_id", "ids", "share", "rest", "times"])
 
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(
-        run, "row long, doc_id long, ids array<int>, rest array<string>, times array<int>")
+        run, "row long, doc_id long, ids array<int>, share double, rest array<long>, times array<int>")
 
 
 def _groups(column: pa.ListArray, most: int = 1 << 16) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -301,32 +342,35 @@ def _round(encoded: DataFrame, flat: np.ndarray, p: LmParams, number: int) -> np
         rng = np.random.default_rng([p.seed, number])
         for batch in batches:
             for _, ids in _groups(batch.column(0)):
-                context, target, _ = examples(ids, p)
-                places = masked(len(target), p, number)
+                places = masked(sum(map(len, ids)), p, number)
                 rng.shuffle(places)
-                trainer.fit(context[places], target[places])
+                context, target, _ = examples(ids, p, places)
+                trainer.fit(context, target)
                 seen += len(places)
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([float(seen)]),
-                                              pa.array([trainer.net.flat.tobytes()], pa.binary())], names=["part", "n", "flat"])
+            slices = [trainer.net.flat[at:at + p.slice].tobytes() for at in range(0, len(flat), p.slice)]
+            k = len(slices)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(k), pa.int32()), pa.array([TaskContext.get().partitionId()] * k, pa.int64()),
+                 pa.array([float(seen)] * k), pa.array(slices, pa.binary())], names=["slice", "part", "n", "flat"])
 
     def mean(group: pd.DataFrame) -> pd.DataFrame:
         total = group["n"].sum()
         flat = sum(np.frombuffer(w, np.float32).astype(np.float64) * (n / total)
-                   for w, n in sorted(zip(group["flat"], group["n"], strict=True)))
-        return pd.DataFrame({"part": [int(group["part"].iloc[0]) // p.fan_in], "n": [total],
+                   for _, w, n in sorted(zip(group["part"], group["flat"], group["n"], strict=True)))
+        return pd.DataFrame({"slice": group["slice"].iloc[:1], "part": [int(group["part"].iloc[0]) // p.fan_in], "n": [total],
                              "flat": [flat.astype(np.float32).tobytes()]})
 
-    models = land(encoded.select("ids").mapInArrow(run, "part long, n double, flat binary"), "models")
+    schema = "slice int, part long, n double, flat binary"
+    models = land(encoded.select("ids").mapInArrow(run, schema), "models")
     top = models.agg(F.max("part")).first()[0]
     if top is None:
         return flat
-    while True:  # a group averages fan_in models at most
-        models = land(models.groupBy(F.floor(F.col("part") / p.fan_in).alias("g")).applyInPandas(
-            mean, "part long, n double, flat binary"), "models")
+    while True:  # a group averages a slice of fan_in models at most
+        models = land(models.groupBy("slice", F.floor(F.col("part") / p.fan_in).alias("g")).applyInPandas(mean, schema), "models")
         top //= p.fan_in
         if not top:
-            return np.frombuffer(models.first()["flat"], np.float32)
+            return np.concatenate([np.frombuffer(r["flat"], np.float32) for r in models.orderBy("slice").collect()])
 
 
 @dataclass(frozen=True)
@@ -348,7 +392,8 @@ def score(encoded: DataFrame, model: LanguageModel, shares: DataFrame | None = N
     """(doc_id, n_tokens, log_prob, mean_log_prob) per row of ``encoded``.
 
     ``shares`` (see ``bucket_shares``) gives words out of the list their own
-    probability; without it they have their bucket's.  With it, ``encoded`` must be
+    probability; those that ``encode`` knew are summed up there already, the others are
+    joined.  Without it words out of the list have their bucket's.  With it, ``encoded`` must be
     written, as its rows are read twice.  A text without tokens (null, empty, white
     space) has log_prob 0 and no mean.  Repeated rows each have their own.
     """
@@ -360,6 +405,8 @@ def score(encoded: DataFrame, model: LanguageModel, shares: DataFrame | None = N
             count, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
             for start, ids in _groups(batch.column(2)):
                 context, target, doc = examples(ids, p)
+                order = net.by_class(target)  # so that a slice has few classes
+                context, target, doc = context.take(order, axis=0), target[order], doc[order]
                 for at in range(0, len(target), 1 << 12):  # by slices that stay in the processor's cache
                     some = slice(at, at + (1 << 12))
                     logs = net.log_probs(context[some], target[some]).astype(np.float64)
@@ -370,10 +417,14 @@ def score(encoded: DataFrame, model: LanguageModel, shares: DataFrame | None = N
 
     found = encoded.select("row", "doc_id", "ids").mapInArrow(run, "row long, doc_id long, n_tokens long, log_prob double")
     if shares is not None:
+        # words are joined by their hash; a listed word's own share is in ``share`` already
+        own = shares.groupBy(F.xxhash64("word").alias("hash")).agg(F.min("share").alias("own"))
         rest = encoded.select("row", F.explode(F.arrays_zip("rest", "times")).alias("r")).select(
-            "row", F.col("r.rest").alias("word"), F.col("r.times").alias("times"))
-        rest = rest.join(shares, "word").groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("more"))
-        found = found.join(rest, "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("more", F.lit(0.0)))
+            "row", F.col("r.rest").alias("hash"), F.col("r.times").alias("times"))
+        rest = rest.join(own.hint("shuffle_hash"), "hash").groupBy("row").agg(F.sum(F.col("times") * F.col("own")).alias("more"))
+        more = encoded.select("row", "share").join(rest, "row", "left").select(
+            "row", (F.col("share") + F.coalesce("more", F.lit(0.0))).alias("more"))
+        found = found.join(more, "row").withColumn("log_prob", F.col("log_prob") + F.col("more"))
     return found.select("doc_id", "n_tokens", "log_prob",
                         F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")).alias("mean_log_prob"))
 
@@ -382,5 +433,6 @@ def train_and_score(docs: DataFrame, params: LmParams = LmParams(), id_col: str
     """Count words, train on all of ``docs`` and score every row (see ``score``)."""
     counts = land(word_counts(docs, text_col), "words")
     words, params = vocabulary(counts, params)
-    encoded = land(encode(docs, words, params, id_col, text_col), "encoded")
-    return score(encoded, fit(encoded, words, params), land(bucket_shares(counts, words, params), "shares"))
+    shares = land(bucket_shares(counts, words, params), "shares")
+    encoded = land(encode(docs, words, params, id_col, text_col, held_shares(shares, params)), "encoded")
+    return score(encoded, fit(encoded, words, params), shares)

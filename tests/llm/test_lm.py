@@ -92,7 +92,7 @@ def test_words_out_of_the_list_have_their_own_probability(spark):
     counts = land(L.word_counts(df), "words")
     words, p = L.vocabulary(counts, small)
     n = {r.word: r.n for r in counts.collect()}
-    least = sum(n.values()) ** 0.5 / 4
+    least = sum(n.values()) ** 0.5
     assert small.size - small.buckets < len(words) <= p.size - p.buckets and set(words) == {w for w in n if n[w] >= least}
     shares = {r.word: r.share for r in L.bucket_shares(counts, words, p).collect()}
     assert set(shares) == set(n) - set(words)
