@@ -92,6 +92,12 @@ def lag(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, n
     return u.where(~F.col("_halo")).drop("_sb", "_halo").select(*df.columns, name)
 
 
+def lead(df: DataFrame, group: Sequence[str], order: str, value: str, name: str, width: float = DEFAULT_WIDTH) -> DataFrame:
+    """Add ``name`` = ``value`` of the next row in (group, order): ``lag`` along the numeric ``order`` reversed."""
+    back = df.withColumn("_back", -F.col(order))
+    return lag(back, group, ["_back"], value, name, width).drop("_back")
+
+
 def rolling_mean(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str,
                  rows: int = 3, width: float = DEFAULT_WIDTH) -> DataFrame:
     """Add ``name`` = mean of ``value`` over this row and the ``rows - 1`` before it."""

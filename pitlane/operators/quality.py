@@ -178,6 +178,64 @@ def progression_findings(bad: DataFrame) -> DataFrame:
         F.lit("stints with non-sequential tyre life").alias("Detail"))
 
 
+def tyre_rule_breaks(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session", "Driver"),
+                     width: float = scan.DEFAULT_WIDTH) -> DataFrame:
+    """Q5: laps where pit stops, compounds, stint numbers and tyre ages contradict each other.
+
+    Stints are derived from what happened: a lap begins a new one (``DerivedStint``) if
+    the driver's lap before it ended in the pits (it has a PitInTime) or was driven on
+    another compound.  Against these are held the given Stint and TyreLife; each
+    contradiction is one row, and a lap can have several:
+
+    * ``stint change without pit stop``, ``pit stop without stint change``
+    * ``compound change without pit stop``
+    * ``tyre life not reset after pit stop`` (it went on rising), ``tyre life reset without pit stop``
+
+    A NULL on either side of a comparison is no contradiction.  Rows without a key or
+    lap number are skipped.  Laps are scanned in buckets of lap numbers.
+    """
+    kk = list(keys)
+    base = df
+    for c in (*kk, "LapNumber"):
+        base = base.where(F.col(c).isNotNull())
+    seen = F.struct("Stint", "TyreLife", "Compound", F.col("PitInTime").isNotNull().alias("Pit"))
+    d = scan.lag(base.select(*kk, "LapNumber", "Stint", "TyreLife", "Compound", "PitInTime").withColumn("_now", seen),
+                 kk, ["LapNumber"], "_now", "_was", width)
+    was = F.col("_was")
+    pit, moved = F.coalesce(was["Pit"], F.lit(False)), F.coalesce(F.col("Compound") != was["Compound"], F.lit(False))
+    d = d.select(*kk, "LapNumber", "Stint", "TyreLife", "Compound", "_was", pit.alias("_pit"), moved.alias("_moved"),
+                 (pit | moved).cast("int").alias("_cut"))
+    d = scan.running(d, kk, "LapNumber", "_cut", "sum", "_cuts", width)
+    pit, other, same = F.col("_pit"), F.col("Stint") != was["Stint"], F.col("Stint") == was["Stint"]
+    rules = [(~pit & other, "stint change without pit stop"), (pit & same, "pit stop without stint change"),
+             (~pit & F.col("_moved"), "compound change without pit stop"),
+             (pit & (F.col("TyreLife") > was["TyreLife"]), "tyre life not reset after pit stop"),
+             (~pit & (F.col("TyreLife") < was["TyreLife"]), "tyre life reset without pit stop")]
+    broken = F.array_compact(F.array(*[F.when(when, F.lit(name)) for when, name in rules]))
+    return d.select(*kk, "LapNumber", (F.col("_cuts") + 1).alias("DerivedStint"), "Stint", "TyreLife", F.explode(broken).alias("Issue"))
+
+
+def pit_durations(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session", "Driver"), least: float = 15.0,
+                  width: float = scan.DEFAULT_WIDTH) -> DataFrame:
+    """Q6: one row per pit entry with its exit, the seconds between and a verdict.
+
+    The exit is that of the same lap if it is not before the entry, else that of the
+    driver's next lap, wherever its bucket lies.  Verdicts: ``open`` (no exit known),
+    ``negative``, ``short`` (under ``least`` seconds) or ``ok``.  Rows without a key
+    or lap number are skipped.
+    """
+    kk = list(keys)
+    base = df
+    for c in (*kk, "LapNumber"):
+        base = base.where(F.col(c).isNotNull())
+    d = scan.lead(base.select(*kk, "LapNumber", "PitInTime", "PitOutTime"), kk, "LapNumber", "PitOutTime", "_next", width)
+    out = F.when(F.col("PitOutTime") >= F.col("PitInTime"), F.col("PitOutTime")).otherwise(F.col("_next"))
+    stops = d.where(F.col("PitInTime").isNotNull()).select(*kk, "LapNumber", "PitInTime", out.alias("ExitTime"))
+    took = F.col("ExitTime") - F.col("PitInTime")
+    return stops.withColumn("Duration", took).withColumn(
+        "Verdict", F.when(took.isNull(), "open").when(took < 0, "negative").when(took < F.lit(least), "short").otherwise("ok"))
+
+
 def pit_completeness(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Q6: pit-in laps and the share that also have PitOutTime; < threshold warns.
 

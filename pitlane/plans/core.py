@@ -194,3 +194,47 @@ def q_weather_asof(spark, sf):
     out = enrich.weather_asof(laps(spark, sf), fx.view(spark, sf, "weather"))
     return out.select("GrandPrix", "Session", "Driver", "LapNumber", "Time", "WeatherTime", "WeatherId",
                       "AirTemp", "TrackTemp", "Rainfall")
+
+
+@query("weather_nearest", with_laps("weather") + """,
+best AS (SELECT GrandPrix, Session, Time AS WeatherTime, max(WeatherId) AS WeatherId FROM weather GROUP BY GrandPrix, Session, Time),
+n AS (
+  SELECT l.GrandPrix, l.Session, l.Driver, l.LapNumber, l.Time, a.WeatherTime AS t0, a.WeatherId AS w0, b.WeatherTime AS t1, b.WeatherId AS w1
+  FROM laps l ASOF LEFT JOIN best a ON l.GrandPrix = a.GrandPrix AND l.Session = a.Session AND l.Time >= a.WeatherTime
+  ASOF LEFT JOIN best b ON l.GrandPrix = b.GrandPrix AND l.Session = b.Session AND l.Time < b.WeatherTime),
+c AS (SELECT *, CASE WHEN t1 IS NULL OR l_time - t0 <= t1 - l_time THEN w0 ELSE w1 END AS WeatherId FROM (SELECT *, Time AS l_time FROM n)),
+m AS (SELECT c.GrandPrix, c.Session, c.Driver, c.LapNumber, c.l_time AS Time, w.Time AS WeatherTime, w.WeatherId, w.AirTemp, w.TrackTemp, w.Rainfall
+      FROM c LEFT JOIN weather w ON c.WeatherId = w.WeatherId AND abs(w.Time - c.l_time) <= 600)
+SELECT GrandPrix, Session, Driver, round(LapNumber, 6) AS LapNumber, round(Time, 6) AS Time, round(WeatherTime, 6) AS WeatherTime,
+  WeatherId, round(AirTemp, 6) AS AirTemp, round(TrackTemp, 6) AS TrackTemp, Rainfall FROM m""")
+def q_weather_nearest(spark, sf):
+    """The sample nearest in time, within ten minutes."""
+    out = enrich.weather_nearest(laps(spark, sf), fx.view(spark, sf, "weather"), tolerance=600.0)
+    return out.select("GrandPrix", "Session", "Driver", "LapNumber", "Time", "WeatherTime", "WeatherId",
+                      "AirTemp", "TrackTemp", "Rainfall")
+
+
+@query("track_conditions", with_laps("weather") + """,
+s AS (SELECT GrandPrix, Session, Time AS Start, arg_max(Rainfall, WeatherId) AS Status FROM weather GROUP BY GrandPrix, Session, Time),
+g AS (SELECT *, lag(Status) OVER (PARTITION BY GrandPrix, Session ORDER BY Start) AS was FROM s),
+iv AS (SELECT GrandPrix, Session, Status, Start, coalesce(lead(Start) OVER (PARTITION BY GrandPrix, Session ORDER BY Start), 1e18) AS Stop
+       FROM g WHERE was IS NULL OR was <> Status),
+x AS (
+  SELECT l.GrandPrix, l.Session, l.Driver, l.LapNumber,
+    sum(least(l.Time, iv.Stop) - greatest(l.Time - l.LapTime, iv.Start)) AS CoveredSeconds,
+    sum(CASE WHEN Status THEN least(l.Time, iv.Stop) - greatest(l.Time - l.LapTime, iv.Start) ELSE 0 END) AS WetSeconds,
+    count(*) AS n, count(*) FILTER (WHERE Status) AS n_wet
+  FROM laps l JOIN iv ON l.GrandPrix = iv.GrandPrix AND l.Session = iv.Session AND l.LapTime > 0
+    AND iv.Start < l.Time AND iv.Stop > l.Time - l.LapTime
+  GROUP BY l.GrandPrix, l.Session, l.Driver, l.LapNumber),
+c AS (SELECT l.GrandPrix, l.Session, l.Driver, l.LapNumber, l.Compound, x.CoveredSeconds, x.WetSeconds,
+        CASE WHEN n IS NULL THEN 'unknown' WHEN n_wet = 0 THEN 'dry' WHEN n_wet = n THEN 'wet' ELSE 'mixed' END AS Condition
+      FROM laps l LEFT JOIN x USING (GrandPrix, Session, Driver, LapNumber))
+SELECT GrandPrix, Session, Driver, round(LapNumber, 6) AS LapNumber, Compound, round(CoveredSeconds, 6) AS CoveredSeconds,
+  round(WetSeconds, 6) AS WetSeconds, Condition,
+  CASE WHEN Condition = 'wet' AND Compound NOT IN ('INTERMEDIATE', 'WET') THEN 'dry-weather tyre on a wet track'
+       WHEN Condition = 'dry' AND Compound IN ('INTERMEDIATE', 'WET') THEN 'wet-weather tyre on a dry track' END AS TyreIssue FROM c""")
+def q_track_conditions(spark, sf):
+    """Track condition validation: wet or dry while each lap was driven, and whether its tyre fits."""
+    out = enrich.track_conditions(laps(spark, sf), fx.view(spark, sf, "weather"))
+    return out.select("GrandPrix", "Session", "Driver", "LapNumber", "Compound", "CoveredSeconds", "WetSeconds", "Condition", "TyreIssue")

@@ -100,6 +100,38 @@ def q_tyre_progression(spark, sf):
     return quality.tyre_progression(laps(spark, sf))
 
 
+@query("tyre_rule_breaks", with_laps() + """,
+p AS (SELECT *, row_number() OVER w > 1 AS seen, lag(Stint) OVER w AS s0, lag(TyreLife) OVER w AS t0, lag(Compound) OVER w AS c0,
+        lag(PitInTime) OVER w IS NOT NULL AS pit
+      FROM laps WINDOW w AS (PARTITION BY GrandPrix, Session, Driver ORDER BY LapNumber)),
+m AS (SELECT *, coalesce(Compound <> c0, false) AS moved FROM p),
+i AS (SELECT *, 1 + sum(CASE WHEN pit OR moved THEN 1 ELSE 0 END) OVER (
+        PARTITION BY GrandPrix, Session, Driver ORDER BY LapNumber ROWS UNBOUNDED PRECEDING) AS DerivedStint FROM m),
+b AS (
+  SELECT *, 'stint change without pit stop' AS Issue FROM i WHERE NOT pit AND Stint <> s0
+  UNION ALL SELECT *, 'pit stop without stint change' FROM i WHERE pit AND Stint = s0
+  UNION ALL SELECT *, 'compound change without pit stop' FROM i WHERE NOT pit AND moved
+  UNION ALL SELECT *, 'tyre life not reset after pit stop' FROM i WHERE pit AND TyreLife > t0
+  UNION ALL SELECT *, 'tyre life reset without pit stop' FROM i WHERE NOT pit AND TyreLife < t0)
+SELECT GrandPrix, Session, Driver, round(LapNumber, 6) AS LapNumber, CAST(DerivedStint AS BIGINT) AS DerivedStint,
+  round(Stint, 6) AS Stint, round(TyreLife, 6) AS TyreLife, Issue FROM b""")
+def q_tyre_rule_breaks(spark, sf):
+    """Q5: contradictions between pit stops, compounds, stints and tyre ages."""
+    return quality.tyre_rule_breaks(laps(spark, sf))
+
+
+@query("pit_durations", with_laps() + """,
+n AS (SELECT *, lead(PitOutTime) OVER (PARTITION BY GrandPrix, Session, Driver ORDER BY LapNumber) AS next_out FROM laps),
+o AS (SELECT *, CASE WHEN PitOutTime >= PitInTime THEN PitOutTime ELSE next_out END AS ExitTime FROM n WHERE PitInTime IS NOT NULL)
+SELECT GrandPrix, Session, Driver, round(LapNumber, 6) AS LapNumber, round(PitInTime, 6) AS PitInTime, round(ExitTime, 6) AS ExitTime,
+  round(ExitTime - PitInTime, 6) AS Duration,
+  CASE WHEN ExitTime IS NULL THEN 'open' WHEN ExitTime < PitInTime THEN 'negative' WHEN ExitTime - PitInTime < 15 THEN 'short'
+       ELSE 'ok' END AS Verdict FROM o""")
+def q_pit_durations(spark, sf):
+    """Q6: every pit stop's duration, stops under 15 s marked."""
+    return quality.pit_durations(laps(spark, sf))
+
+
 Q6_SQL = """,
 q6 AS (SELECT count(*) FILTER (WHERE PitInTime IS NOT NULL) AS PitLaps,
          count(*) FILTER (WHERE PitInTime IS NOT NULL AND PitOutTime IS NOT NULL) AS PitLapsWithOut FROM laps),
