@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitlane.functions import scan
 from pitlane.functions.stats import grouped_stats, null_safe_join
 
 PIT_LOSS = 25.0       # seconds per stop
@@ -77,18 +76,44 @@ def predict_pace(requests: DataFrame, curve: DataFrame, age: str = "TyreAge",
     finds its neighbours.  The prices are then joined to the requests.
     """
     k = list(keys)
+    return null_safe_join(requests, _prices(requests.select(*k, age).distinct(), curve, age, k, extra_deg), [*k, age], "left")
+
+
+def _prices(pairs: DataFrame, curve: DataFrame, age: str, k: Sequence[str], extra_deg: float) -> DataFrame:
+    """Distinct (keys, age) pairs with their ``PredictedLapTime``."""
     points = curve.groupBy(*k).agg(F.array_sort(F.collect_list(
         F.struct(F.col("TyreLife").alias("a"), F.col("MedianLapTime").alias("m")))).alias("_pts"))
     x = F.col(age)
-    pairs = requests.select(*k, age).distinct()
-    j = null_safe_join(pairs, points, k, "left").withColumn("_i", F.size(F.filter("_pts", lambda p: p["a"] <= x)))
+    # a NULL key has no curve; a plain join keeps the curve's own partitioning by key
+    j = pairs.join(points, k, "left").withColumn("_i", F.size(F.filter("_pts", lambda p: p["a"] <= x)))
     at = lambda i: F.get("_pts", i)  # noqa: E731  0-based, NULL beyond the ends
     first, last, low, high = at(F.lit(0)), at(F.size("_pts") - 1), at(F.col("_i") - 1), at(F.col("_i"))
     pred = (F.when(F.col("_pts").isNull() | x.isNull(), F.lit(None).cast("double"))
             .when(x < first["a"], first["m"])
             .when(x >= last["a"], last["m"] + F.lit(extra_deg) * (x - last["a"]))
             .otherwise(low["m"] + (high["m"] - low["m"]) * (x - low["a"]) / (high["a"] - low["a"])))
-    return null_safe_join(requests, j.select(*k, age, pred.alias("PredictedLapTime")), [*k, age], "left")
+    return j.select(*k, age, pred.alias("PredictedLapTime"))
+
+
+def stint_prices(strategies: DataFrame, curve: DataFrame, extra_deg: float = EXTRA_DEG) -> DataFrame:
+    """(Compound, TyreAge, PredictedLapTime, StintTime): each lap's price and the cumulative price up to it.
+
+    One row per compound and age, up to the longest stint asked for: a stint's time is
+    one lookup, so no stint is expanded to laps to be priced.
+    """
+    ages = strategies.where(F.col("StintLength") >= 1).groupBy("Compound").agg(F.max("StintLength").alias("_n")).select(
+        "Compound", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("TyreAge"))
+    upto = Window.partitionBy("Compound").orderBy("TyreAge").rowsBetween(Window.unboundedPreceding, 0)
+    return _prices(ages, curve, "TyreAge", ["Compound"], extra_deg).withColumn("StintTime", F.sum("PredictedLapTime").over(upto))
+
+
+def _priced_stints(strategies: DataFrame, prices: DataFrame) -> DataFrame:
+    """Stints with their number of laps, their time (0 without laps) and whether they can't be priced."""
+    laps = F.greatest(F.coalesce("StintLength", F.lit(0)), F.lit(0))
+    totals = prices.select("Compound", F.col("TyreAge").alias("_laps"), "StintTime")
+    priced = strategies.withColumn("_laps", laps).join(totals, ["Compound", "_laps"], "left")
+    return priced.withColumn("_miss", (F.col("_laps") > 0) & F.col("StintTime").isNull()).withColumn(
+        "StintTime", F.coalesce("StintTime", F.lit(0.0)))
 
 
 def expand_strategy(strategies: DataFrame) -> DataFrame:
@@ -107,14 +132,13 @@ def compare_strategies(strategies: DataFrame, curve: DataFrame, pit_loss: float
     A strategy with any unpredictable lap is dropped.  TimeDelta is measured
     against the fastest strategy through a scalar subquery (one value).
     """
-    laps = predict_pace(expand_strategy(strategies), curve)
-    lap_agg = laps.groupBy("Strategy").agg(
-        F.sum("PredictedLapTime").alias("_sum"), F.avg("PredictedLapTime").alias("AvgLapTime"),
-        F.count(F.lit(1)).alias("TotalLaps"), F.count_if(F.col("PredictedLapTime").isNull()).alias("_miss"))
-    stints = strategies.groupBy("Strategy").agg(F.count(F.lit(1)).alias("_stints"))
-    j = null_safe_join(lap_agg, stints, ["Strategy"]).where(F.col("_miss") == 0)
+    stints = _priced_stints(strategies, stint_prices(strategies, curve))
+    j = stints.groupBy("Strategy").agg(
+        F.sum("StintTime").alias("_sum"), F.sum("_laps").alias("TotalLaps"), F.count(F.lit(1)).alias("_stints"),
+        F.count_if("_miss").alias("_missing")).where((F.col("_missing") == 0) & (F.col("TotalLaps") > 0))
     scored = j.select("Strategy", (F.col("_sum") + F.lit(pit_loss) * (F.col("_stints") - 1)).alias("RaceTime"),
-                      "AvgLapTime", (F.col("_stints") - 1).alias("NumStops"), "TotalLaps")
+                      (F.col("_sum") / F.col("TotalLaps")).alias("AvgLapTime"), (F.col("_stints") - 1).alias("NumStops"),
+                      "TotalLaps")
     # all columns take part, so that the subquery's shuffles are the main plan's and are reused
     fastest = scored.agg(F.min(F.struct("RaceTime", *[c for c in scored.columns if c != "RaceTime"])).alias("m")).select(
         "m.RaceTime").scalar()
@@ -126,11 +150,14 @@ def strategy_timeline(strategies: DataFrame, curve: DataFrame, pit_loss: float =
 
     Strategies with an unpredictable lap are left out (as the reference plots).
     """
-    laps = predict_pace(expand_strategy(strategies), curve)
-    complete = laps.groupBy("Strategy").agg(F.count_if(F.col("PredictedLapTime").isNull()).alias("_miss")) \
-        .where(F.col("_miss") == 0).select("Strategy")
-    laps = laps.join(complete, "Strategy", "left_semi")
-    laps = scan.running(laps, ["Strategy"], "LapNo", "PredictedLapTime", "sum", "_cum")
-    return laps.select("Strategy", "LapNo", "StintNo", "Compound", "TyreAge",
-                       F.col("PredictedLapTime").alias("LapTime"),
-                       (F.col("_cum") + F.lit(pit_loss) * (F.col("StintNo") - 1)).alias("CumulativeTime"))
+    prices = stint_prices(strategies, curve)
+    own = Window.partitionBy("Strategy")
+    before = own.orderBy("StintNo").rowsBetween(Window.unboundedPreceding, -1)
+    stints = _priced_stints(strategies, prices).withColumns({
+        "_broken": F.max("_miss").over(own), "_start": F.coalesce(F.sum("StintTime").over(before), F.lit(0.0)),
+        "_first": F.coalesce(F.sum("_laps").over(before), F.lit(0))}).where(~F.col("_broken") & (F.col("_laps") > 0))
+    laps = stints.drop("StintTime").withColumn("TyreAge", F.explode(F.sequence(F.lit(1), F.col("_laps"))))
+    return laps.join(prices, ["Compound", "TyreAge"]).select(
+        "Strategy", (F.col("_first") + F.col("TyreAge")).cast("int").alias("LapNo"), "StintNo", "Compound", "TyreAge",
+        F.col("PredictedLapTime").alias("LapTime"),
+        (F.col("_start") + F.col("StintTime") + F.lit(pit_loss) * (F.col("StintNo") - 1)).alias("CumulativeTime"))
