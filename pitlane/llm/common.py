@@ -40,6 +40,12 @@ def fresh(name: str, taken: Iterable[str]) -> str:
     return name
 
 
+def check_new(df: DataFrame, name: str) -> None:
+    """Refuse a new column whose name is taken: two of one name could not be told apart."""
+    if name.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"there is a column {name!r} already: pass another name")
+
+
 def in_training_fold(doc_id: str) -> F.Column:
     """True where labels may be learnt from: crc32(doc_id as text) mod 5 is not 0."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 != 0

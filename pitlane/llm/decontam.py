@@ -6,11 +6,14 @@ hit every such window with at most a fifth of its words substituted (the tests t
 all patterns).  Training hashes first pass a bit filter built from the test hashes,
 whose size is bounded by a parameter; what passes is joined with the test hashes.
 Around each hit the text is laid against the item along the hit's diagonal, and
-an overlap counts if some window agrees in 80 % of its words.
+an overlap counts if some window agrees in 80 % of its words.  Items too short for
+that are hashed whole and must occur word for word.  Characters of scripts without
+spaces between words are words of their own.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,12 +33,14 @@ class DecontamParams:
     """``window`` words (the whole item if shorter) must agree in ``similarity`` of them.
 
     The masks are sure to hit for windows of 10 to 19 words at 0.8.  Items under
-    ``min_words`` words are no evidence and match nothing.
+    ``min_words`` words must occur whole, word for word; those under ``alone_words``
+    words are everyday wording, and match documents that hold nothing else.
     """
 
     window: int = 13
     similarity: float = 0.8
     min_words: int = 10
+    alone_words: int = 3
     max_filter_bits: int = 1 << 27
 
 
@@ -46,9 +51,20 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.multiply.accumulate(np.full(4096, 0xD6E8FEB86659FD93, np.uint64))
 
 
+#: Characters of Thai, Lao, Tibetan, Burmese, Khmer, kana, Bopomofo and Han: no spaces part their words.
+_UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u312f\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+                       "\U00020000-\U0003ffff]")
+
+
 def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word: a run of letters, digits and non-ASCII characters, in lower case."""
-    data = np.frombuffer(text.decode("utf-8", "replace").lower().encode() + b" ", np.uint8)
+    """A 64-bit hash of each word: a run of letters, digits and non-ASCII characters, in lower case.
+
+    Each character of a script without spaces is a word.
+    """
+    line = text.decode("utf-8", "replace").lower()
+    if not line.isascii():
+        line = _UNSPACED.sub(r" \g<0> ", line)
+    data = np.frombuffer(line.encode() + b" ", np.uint8)
     inside = _WORD[data]
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     if inside[0]:
@@ -79,6 +95,13 @@ def seed_hashes(words: np.ndarray, mask: str, salt: int) -> np.ndarray:
     return out * _MIX
 
 
+def whole_seeds(words: np.ndarray, length: int, p: DecontamParams) -> np.ndarray:
+    """The hash of every ``length`` words in a row; for very short items only if there are no other words."""
+    if length < p.alone_words and len(words) != length:
+        return np.empty(0, np.uint64)
+    return seed_hashes(words, "1" * length, len(MASKS) + length)
+
+
 def index_items(items: DataFrame, p: DecontamParams, id_col: str, text_col: str) -> DataFrame:
     """(item_id, words, hashes) per item: its word hashes and (seed hash, word number) pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,10 +110,10 @@ def index_items(items: DataFrame, p: DecontamParams, id_col: str, text_col: str)
             words, pairs = [], []
             for text in text_bytes(batch.column(1)):
                 w = word_hashes(text)
-                w = w if len(w) >= p.min_words else w[:0]
                 words.append(w.view(np.int64))
-                pairs.append([{"hash": int(h), "at": i} for m, mask in enumerate(MASKS)
-                              for i, h in enumerate(seed_hashes(w, mask, m).view(np.int64))])
+                seeds = ([seed_hashes(w, mask, m) for m, mask in enumerate(MASKS)] if len(w) >= p.min_words
+                         else [whole_seeds(w, len(w), p)] if len(w) else [])
+                pairs.append([{"hash": int(h), "at": i} for found in seeds for i, h in enumerate(found.view(np.int64))])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.int64())), pa.array(pairs, pa.list_(pair))],
                                              names=["item_id", "words", "hashes"])
 
@@ -123,11 +146,12 @@ def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return found[test((hashes[found] >> np.uint64(32)) & size) == 1]
 
 
-def hit_segments(docs: DataFrame, bits: np.ndarray, p: DecontamParams) -> DataFrame:
+def hit_segments(docs: DataFrame, bits: np.ndarray, p: DecontamParams, short: list[int] = ()) -> DataFrame:
     """(doc_id, text_key, start, words, hits) for each stretch of a document around hits that pass the filter.
 
     Hits closer than two windows share a stretch, which has a window's words on either
-    side, so every window with a hit lies inside it.
+    side, so every window with a hit lies inside it.  ``short`` are the lengths of the
+    items that have to occur whole.
     """
     sent = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
 
@@ -139,8 +163,7 @@ def hit_segments(docs: DataFrame, bits: np.ndarray, p: DecontamParams) -> DataFr
             for i, text in enumerate(text_bytes(batch.column(2))):
                 w = word_hashes(text)
                 at, found = [], []
-                for m, mask in enumerate(MASKS):
-                    h = seed_hashes(w, mask, m)
+                for h in (*(seed_hashes(w, mask, m) for m, mask in enumerate(MASKS)), *(whole_seeds(w, n, p) for n in short)):
                     near = passes(table, h)
                     at.append(near)
                     found.append(h[near])
@@ -190,7 +213,9 @@ def overlaps(docs: DataFrame, items: DataFrame, params: DecontamParams = Deconta
     bits = hash_filter(seeds.select("hash").distinct(), params.max_filter_bits)
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"),
                                                            F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
-    segments = land(hit_segments(texts, bits, params).withColumn("segment", F.monotonically_increasing_id()), "segments")
+    # below min_words, so at most that many lengths
+    short = [r[0] for r in index.where(F.size("words") < params.min_words).select(F.size("words")).distinct().collect()]
+    segments = land(hit_segments(texts, bits, params, short).withColumn("segment", F.monotonically_increasing_id()), "segments")
     hits = segments.select("segment", F.explode("hits").alias("h")).select("segment", "h.hash", F.col("h.at").alias("at"))
     # one row for each way to lay an item against a stretch
     laid = hits.join(seeds, "hash").select("segment", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
@@ -202,7 +227,8 @@ def overlaps(docs: DataFrame, items: DataFrame, params: DecontamParams = Deconta
             text, item = batch.column("words"), batch.column("item_words")
             found = [align(text[i].values.to_numpy(), item[i].values.to_numpy(), s, params.window)
                      for i, s in enumerate(batch.column("shift").to_pylist())]
-            good = pa.array([i for i, f in enumerate(found) if f[0] >= params.similarity - 1e-9], pa.int64())
+            need = [params.similarity - 1e-9 if len(x) >= params.min_words else 1.0 for x in item]
+            good = pa.array([i for i, f in enumerate(found) if f[0] >= need[i]], pa.int64())
             start = batch.column("start").to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).take(good) for c in ("doc_id", "text_key", "item_id")]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitlane.llm.common import append_column, extended
+from pitlane.llm.common import append_column, check_new, extended
 
 # -- blocks ----------------------------------------------------------------------------------------
 
@@ -40,14 +40,23 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 #: Opening one of these ends an open one of the same list.
 SIBLINGS = ({"li"}, {"dt", "dd"}, {"td", "th"}, {"tr"}, {"option"})
 #: Elements that hold boilerplate wherever they are; so do hidden elements.
-SIDE_TAGS = frozenset("nav aside footer menu dialog button label".split())
+SIDE_TAGS = frozenset("nav aside footer menu dialog".split())
 #: Elements and class, id or role words that hold boilerplate the surer the less of the page's text is inside.
 LOOSE_TAGS = frozenset(("form", "fieldset"))
 SIDE_WORDS = frozenset((
     "ad ads adbox advert advertisement advertising banner breadcrumb breadcrumbs comment comments complementary contentinfo "
-    "cookie cookies consent discussion disqus feedback footer gdpr login menu modal nav navbar navigation newsletter notice "
+    "cookie cookies consent dialog alertdialog discussion disqus feedback footer gdpr login menu modal nav navbar navigation newsletter notice "
     "notification pager pagination popup privacy promo promotion recommended related replies search share sharing sidebar "
     "signup skip social sponsor sponsored subscribe tags toolbar widget").split())
+#: Of these, words of reader comments, and words of other containers that are boilerplate however much of the page
+#: they hold, as long as there is a main text outside of them; an article inside the latter is no boilerplate.
+COMMENT_WORDS = frozenset("comment comments discussion disqus replies".split())
+STRONG_WORDS = frozenset("sidebar nav navbar navigation footer dialog alertdialog modal popup cookie cookies consent gdpr".split())
+#: Inline elements with these words are left out of their paragraph, as controls and hidden ones are.
+AD_WORDS = frozenset("ad ads adbox advert advertisement advertising promo sponsor sponsored".split())
+CONTROLS = frozenset(("button", "label"))
+#: Elements that hold running text.
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre td dd".split())
 #: Class and id words of a page's header, where it isn't the article's own.
 HEAD_WORDS = frozenset("header masthead topbar".split())
 MAIN_TAGS = frozenset(("article", "main"))
@@ -59,21 +68,6 @@ _TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)>?"
     r"|<[!?][^>]*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_WORDS = frozenset((
-    "ad ads adbox advert advertisement advertising banner breadcrumb breadcrumbs comment comments complementary contentinfo "
-    "cookie cookies consent discussion disqus feedback footer gdpr login menu modal nav navbar navigation newsletter notice "
-    "notification pager pagination popup privacy promo promotion recommended related replies search share sharing sidebar "
-    "signup skip social sponsor sponsored subscribe tags toolbar widget").split())
-#: Class and id words of a page's header, where it isn't the article's own.
-HEAD_WORDS = frozenset("header masthead topbar".split())
-MAIN_TAGS = frozenset(("article", "main"))
-MAIN_WORDS = frozenset("article articlebody body content entry main post story text".split())
-
-_TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)"
-    rf"|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)>?"
-    r"|<[!?][^>]*>", re.S | re.I)
 #: Class names that begin so tell of a state, not of what the element holds.
 STATES = frozenset("has no not with without is hide hides show shows".split())
 #: Side words that also are subjects: as a section's id inside an article they name what it is about.
@@ -81,8 +75,6 @@ SUBJECTS = frozenset((
     "advertisement advertising consent cookies discussion feedback navigation notice privacy promotion recommended related "
     "replies search share sharing social sponsored tags").split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-_HIDDEN = re.compile(r"(?<![-\w])hidden(?![-\w])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
-_NAMING = re.compile(r"(?<![-\w])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
 
@@ -97,6 +89,12 @@ class Block:
     head: bool
     tag: str
     linked: int
+    strong: bool = False  #: in a container that no share of the page excuses
+
+    def is_text(self) -> bool:
+        """Main text by its place, or a sentence in a text element that is neither a header nor mostly links."""
+        return self.side < 1 and (self.main or self.tag in TEXT_TAGS and not self.head and 2 * self.linked < len(self.text)
+                                  and self.text.count(" ") >= 4 and self.text[-1] in ".!?…\"”")
 
 
 @dataclass
@@ -127,7 +125,8 @@ class _Open:
     main: bool = False
     head: bool = False
     link: bool = False
-    dropped: str = ""  #: the element of ``DROPPED`` it is in
+    dropped: str = ""  #: the element of ``DROPPED``, or the inline element left out, it is in
+    strong: int = 0  #: 1 in a container of ``STRONG_WORDS``, 2 in one of ``COMMENT_WORDS``
     within: int = 0  #: the innermost loose container around, 0 for the page
     loose: int = 0  #: the one whose share counts; 0 if there is none or an article inside resets it
 
@@ -156,7 +155,7 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
             held[inner.within] += len(text)
             loose.append(inner.loose)
             blocks.append(Block(text, inner.node, float(inner.side), inner.main, inner.head and not inner.main, inner.name,
-                                min(link_parts, len(text))))
+                                min(link_parts, len(text)), inner.strong > 0))
         parts, link_parts = [], 0
 
     def take(text: str) -> None:
@@ -231,11 +230,17 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
             within = inside = len(around)
             around.append(up.within)
             held.append(0)
+        strong = up.strong
+        if name in MAIN_TAGS and not named and not up.main:
+            strong = strong if strong == 2 else 0
+        elif name not in ("html", "body"):
+            strong = max(strong, 2 if names & COMMENT_WORDS else 1 if names & STRONG_WORDS else 0)
+        out = name if name in DROPPED or name not in BLOCK and (hidden or name in CONTROLS or names & AD_WORDS) else ""
         stack.append(_Open(
             name, node, up.side or hidden or name in SIDE_TAGS,
             up.main or name in MAIN_TAGS or bool(words & MAIN_WORDS and name in ("div", "section")),
             up.head or name in ("head", "header"), up.link or name == "a",
-            up.dropped or (name if name in DROPPED else ""), within, inside))
+            up.dropped or out, strong, within, inside))
     take(page[last:])
     flush()
     for i in range(len(around) - 1, 0, -1):
@@ -243,6 +248,9 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
     for b, i in zip(blocks, loose, strict=True):
         if i:
             b.side = max(b.side, 1 - (held[i] / held[0]) ** 2)
+    if any(b.is_text() and not b.strong for b in blocks):
+        for b in blocks:
+            b.side = 1.0 if b.strong else b.side
     return blocks, tree
 
 
@@ -255,7 +263,7 @@ WEIGHTS = (-0.3, -9.0, 5.0, -4.0, 0.5, -3.5, 0.8, 0.35)
 def features(b: Block) -> tuple[float, ...]:
     """Bias, boilerplate container, content container, page header, text element, share of links, sentence end, log words."""
     return (1.0, float(b.side), b.main * (1.0 - b.side), float(b.head and not b.main),
-            float(b.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "td", "dd")),
+            float(b.tag in TEXT_TAGS),
             b.linked / max(1, len(b.text)), float(b.text[-1] in ".!?…\"”:;"), math.log1p(b.text.count(" ")))
 
 
@@ -371,7 +379,12 @@ def extract(page: str, smooth: float = 1.0) -> str:
 
 
 def with_main_text(pages: DataFrame, html_col: str = "html", name: str = "text", smooth: float = 1.0) -> DataFrame:
-    """``pages`` with the main text of each page.  A null or empty page has an empty text; repeated rows stay."""
+    """``pages`` with the main text of each page in the column ``name``, which ``pages`` must not have.
+
+    A null or empty page has an empty text; repeated rows stay.
+    """
+    check_new(pages, name)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [extract(p or "", smooth) for p in batch.column(at).to_pylist()]

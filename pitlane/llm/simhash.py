@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitlane.llm.common import append_column, extended, fresh, land, text_bytes
+from pitlane.llm.common import append_column, check_new, extended, fresh, join_hot, land, text_bytes
 
 SEED = 42
 BITS = 64
@@ -64,7 +64,12 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def with_fingerprint(docs: DataFrame, text_col: str = "text", name: str = "fingerprint", words: int = 4) -> DataFrame:
-    """``docs`` with its SimHash as a long (the 64 bits, signed).  A null text has no words: 0."""
+    """``docs`` with its SimHash as a long (the 64 bits, signed) in the column ``name``, which it must not have.
+
+    A null text has no words: 0.
+    """
+    check_new(docs, name)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint(shingle_hashes(t, words)) for t in text_bytes(batch.column(at))]
@@ -238,8 +243,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = land(classes(marked, max_bits, tile_rows), "classes")
     low = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("low"))
     least = found.join(low, "fingerprint").groupBy("root").agg(F.min("low").alias("component_id"))
-    named = found.join(least, "root").select("fingerprint", "component_id")
-    return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    # one class may hold much of the fingerprints, and one fingerprint much of the rows
+    named = land(join_hot(found, least, "root").select("fingerprint", "component_id"), "named")
+    return join_hot(marked, named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def hex_fingerprint(bits: str) -> F.Column:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitlane.llm.common import NgramPresence, append_column, extended, in_training_fold, text_bytes
+from pitlane.llm.common import NgramPresence, append_column, check_new, extended, in_training_fold, text_bytes
 
 
 def presence_rows(docs: DataFrame, text_col: str, name: str, present: NgramPresence) -> DataFrame:
@@ -27,7 +27,8 @@ def presence_rows(docs: DataFrame, text_col: str, name: str, present: NgramPrese
 
 def with_score(docs: DataFrame, text_col: str, name: str, present: NgramPresence,
                score: Callable[[np.ndarray], float]) -> DataFrame:
-    """``docs`` with ``score`` of each text's n-gram ids as a double."""
+    """``docs`` with ``score`` of each text's n-gram ids as a double in the column ``name``, which it must not have."""
+    check_new(docs, name)
     # 2**bits weights, whatever the data
     model = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(score))
 

@@ -8,6 +8,7 @@ from pitlane.llm import decontam as D
 from tests.llm.helpers import docs
 
 WORDS = [f"w{i}" for i in range(4000)]
+HAN = "我们今天在公园里看到了很多漂亮的花和树木"
 
 
 def hit(mask, gone, n):
@@ -27,7 +28,10 @@ def brute(texts, items):
         w = D.word_hashes((t or "").encode())
         for i, x in items:
             it = D.word_hashes((x or "").encode())
-            if len(it) < 10:
+            if len(it) < 10:  # whole and word for word; everyday wording only by itself
+                n, ends = len(it), range(len(w) - len(it) + 1)
+                if n and (n >= 3 or len(w) == n) and any((w[s:s + n] == it).all() for s in ends):
+                    found.add((d, i))
                 continue
             if any(D.align(w, it, s, 13)[0] >= 0.8 for s in range(-len(it), len(w) + 1)):
                 found.add((d, i))
@@ -38,6 +42,8 @@ def test_overlaps_match_brute_force(spark):
     rng = random.Random(3)
     items = [(i, " ".join(rng.choices(WORDS, k=rng.choice([9, 10, 13, 19, 20, 45])))) for i in range(30)]
     items += [(30, None), (31, ""), (0, items[0][1]), (32, items[5][1].upper() + "!")]
+    items += [(33, "Three short words"), (34, "w7"), (35, "w8 w9"), (36, HAN), (37, "ภาษาไทย"),
+              (38, " ".join(WORDS[100:109]))]
     texts = []
     for d in range(160):
         body = rng.choices(WORDS, k=rng.choice([0, 5, 40, 300]))
@@ -49,11 +55,16 @@ def test_overlaps_match_brute_force(spark):
         at = rng.randrange(len(body) + 1)
         texts.append(" ".join(body[:at] + words[lo:] + body[at:]))
     texts += [None, "", items[3][1] * 2, "w" * 200_000, texts[0]]
+    texts += ["these three short words, and more", "three short w1 words", "W7.", "w7 w7", "so w8 w9", "w8, w9", "早上" + HAN + "。",
+              HAN[:9] + "也" + HAN[10:], HAN[:7], "พูดภาษาไทยได้", " ".join(WORDS[99:110]), " ".join(WORDS[100:108])]
     df = docs(spark, texts)
     items_df = spark.createDataFrame([(i, t, "c") for i, t in items], "item_id long, text string, doc_id string")
     got = D.overlaps(df, items_df).collect()
     assert {(r.doc_id, r.item_id) for r in got} == brute(list(enumerate(texts)), items)
     assert all(r.similarity >= 0.8 for r in got)
+    first = len(texts) - 12
+    short = {(d - first, i) for d, i in ((r.doc_id, r.item_id) for r in got) if d >= first}
+    assert short >= {(0, 33), (2, 34), (5, 35), (6, 36), (7, 36), (9, 37), (10, 38)} and not {d for d, _ in short} & {1, 3, 4, 8, 11}
     kept = {r.doc_id for r in D.keep_uncontaminated(df, items_df).collect()}
     assert kept == set(range(len(texts))) - {r.doc_id for r in got}
 

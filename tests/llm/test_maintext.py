@@ -1,3 +1,4 @@
+import pytest
 import itertools
 import random
 
@@ -117,3 +118,28 @@ def test_dropped_elements_end_where_they_end():
         assert M.extract(f"<article>{page}</article>") == "one\ntwo\nthree", page
     assert M.extract("<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>") == "So x=2 holds."
     assert M.extract("<article><object data='x'><p>The fallback.</p></object></article>") == "The fallback."
+
+
+SENTENCE = "This is a sentence of the story, and it goes on for a while. " * 3
+REMARK = "I am a reader and this is what I have to say about all of it. " * 3
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<article><p>{SENTENCE}</p></article><ol class='comment-list'>{f'<li><p>{REMARK}</p>' * 3}</ol>", [SENTENCE]),
+    (f"<p>{SENTENCE}</p><ol class='comment-list'>{f'<li><p>{REMARK}</p>' * 3}</ol>", [SENTENCE]),
+    (f"<div class='post'><p>A short post, that is all.</p></div><div class='comments'>{f'<p>{REMARK}</p>' * 12}</div>", ["A short post, that is all."]),
+    (f"<main><p>{SENTENCE}</p></main><div class=comments><article><p>{REMARK}</p></article></div>", [SENTENCE]),
+    (f"<div role='dialog'>We use cookies. {REMARK}</div><article><p>{SENTENCE}</p></article>", [SENTENCE]),
+    (f"<div class=sidebar-layout><article><p>{SENTENCE}</p></article></div>", [SENTENCE]),
+    (f"<div class='comments'><p>{SENTENCE}</p></div>", [SENTENCE]),  # nothing else is there
+    ("<article><p>One <button>Buy now</button> two <label>Name</label> three is here.</p></article>", ["One two three is here."]),
+    ("<article><p>One <span hidden>no</span> two <span style='display: none'>no</span> <span class='ad'>no</span>is here.</p></article>",
+     ["One two is here."]),
+    (f"<article><p>{SENTENCE}</p><button>Subscribe</button><p>{SENTENCE}</p></article>", [SENTENCE, SENTENCE])])
+def test_containers_that_no_share_excuses_and_inline_elements(page, want):
+    assert M.extract(f"<html><body>{page}</body></html>") == "\n".join(w.strip() for w in want)
+
+
+def test_a_taken_column_name_is_refused(spark):
+    with pytest.raises(ValueError, match="already"):
+        M.with_main_text(spark.createDataFrame([("<p>x</p>", "y")], "html string, Text string"))
