@@ -78,7 +78,7 @@ class FeatureBuilder:
     """Lap features and the encoded matrix; remembers encoders and medians once fitted."""
 
     def __init__(self):
-        self.indexer = None
+        self.codes = None
         self.medians = None
         self.columns: list[str] = []
 
@@ -87,8 +87,8 @@ class FeatureBuilder:
 
     def prepare(self, feats: DataFrame, target: str = "LapTime", leak_free: bool = False) -> DataFrame:
         """Frame with ``features`` (vector) and ``label``; reuses fitted encoders."""
-        out, self.indexer, self.medians, self.columns = features.encode_impute(
-            feats, self.indexer, self.medians, target=target, leak_free=leak_free)
+        out, self.codes, self.medians, self.columns = features.encode_impute(
+            feats, self.codes, self.medians, target=target, leak_free=leak_free)
         return out
 
 

@@ -10,16 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from pitlane.functions import scan
 from pitlane.functions.scalar import PROGRESS_BINS, TYRE_LIFE_BINS, right_closed_bins, safe_div
-from pitlane.functions.stats import group_quantiles, null_safe_join
+from pitlane.functions.stats import BUCKET_VALUES, group_quantiles, null_safe_join
 from pitlane.operators.clean import session_fastest
+from pitlane.session import ensure_checkpoint_dir
 
 DRIVER_KEYS = ("GrandPrix", "Session", "Driver")
 SESSION_KEYS = ("GrandPrix", "Session")
@@ -203,24 +203,28 @@ def _label_input(c: str) -> F.Column:
     return F.coalesce(F.col(c), F.lit("nan" if c in CATEGORY_COLUMNS else "None"))
 
 
-def label_indexer(df: DataFrame, labels: Sequence[str]) -> PipelineModel:
-    """Fit alphabetical label encoders (NULL is its own label); unseen labels raise."""
-    staged = df.select(*[_label_input(c).alias(f"{c}__lbl") for c in labels])
-    idx = StringIndexer(inputCols=[f"{c}__lbl" for c in labels], outputCols=[f"{c}__idx" for c in labels],
-                        stringOrderType="alphabetAsc", handleInvalid="error")
-    return Pipeline(stages=[idx]).fit(staged)
+def label_codes(df: DataFrame, labels: Sequence[str], bucket_values: int = BUCKET_VALUES) -> DataFrame:
+    """(Field, Label, Code): each field's labels numbered from 0 in alphabetical order; NULL is a label of its own.
 
-
-def label_codes(df: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """(Field, Label, Code): the codes that ``label_indexer`` gives, as a table.
-
-    Labels fold to distinct ones map-side; only those are ordered, one field's
-    labels together.
+    Labels fold to distinct ones map-side.  A field's labels are cut into ranges at a
+    hash sample of themselves, one in ``bucket_values``; a label's code is its place in
+    its range plus the labels of the ranges before it.  So no field's labels meet in one
+    task, and none pass through the driver.
     """
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("Field"), _label_input(c).alias("Label")) for c in labels])).alias("r")).select("r.*")
-    order = Window.partitionBy("Field").orderBy("Label")
-    return long.distinct().withColumn("Code", F.row_number().over(order) - 1)
+    distinct = long.distinct()
+    cuts = distinct.groupBy("Field").agg(F.array_sort(F.collect_list(F.when(
+        F.pmod(F.xxhash64("Label"), F.lit(bucket_values)) == 0, F.col("Label")))).alias("_cuts"))
+    # one row per field, with one label in bucket_values
+    placed = distinct.join(F.broadcast(cuts), "Field").withColumn(
+        "_range", F.size(F.filter("_cuts", lambda c: c < F.col("Label")))).drop("_cuts")
+    before = Window.partitionBy("Field").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("Field", "_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "Field", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("Field", "_range").orderBy("Label")
+    return placed.join(offsets, ["Field", "_range"]).select(
+        "Field", "Label", (F.col("_before") + F.row_number().over(inside) - 1).cast("int").alias("Code"))
 
 
 def numeric_medians(df: DataFrame, numeric: Sequence[str], **kw) -> DataFrame:
@@ -231,27 +235,32 @@ def numeric_medians(df: DataFrame, numeric: Sequence[str], **kw) -> DataFrame:
     return group_quantiles(long, ["Field"], "Value", {"Median": 0.5}, **kw)
 
 
-def encode_impute(df: DataFrame, indexer: PipelineModel | None = None, medians: dict[str, float] | None = None,
+def encode_impute(df: DataFrame, codes: DataFrame | None = None, medians: dict[str, float] | None = None,
                   exclude: Sequence[str] = EXCLUDED_COLUMNS, target: str = "LapTime",
                   leak_free: bool = False, output: str = "features"):
     """F8: label-encode, fill NULLs with exact column medians, assemble a vector.
 
-    Returns ``(frame with `output` and `label`, indexer, medians, input columns)``.
-    Pass a fitted ``indexer``/``medians`` to encode new data the same way.
-    Codes are plain doubles (no nominal metadata), as in the reference, so
-    trees treat them as ordered numbers and need no maxBins per category.
+    Returns ``(frame with `output` and `label`, codes, medians, input columns)``.
+    Pass ``codes`` (see ``label_codes``) and ``medians`` to encode new data the same way;
+    a label that has no code raises.  Codes are joined to the rows, so a field may have
+    any number of labels.  They are plain doubles (no nominal metadata), as in the
+    reference, so trees treat them as ordered numbers and need no maxBins per category.
     """
     labels, numeric = feature_columns(df, exclude, target, leak_free)
-    staged = df.withColumns({f"{c}__lbl": _label_input(c) for c in labels})
-    if indexer is None:
-        indexer = label_indexer(df, labels)
-    enc = indexer.transform(staged)
+    if codes is None:
+        ensure_checkpoint_dir(df.sparkSession)
+        codes = label_codes(df, labels).checkpoint()  # read once per label column
     if medians is None:
         medians = {r["Field"]: r["Median"] for r in numeric_medians(df, numeric).collect()}
-    cols = {c: (F.col(f"{c}__idx") + F.lit(0.0)) for c in labels}
+    enc = df
+    for c in labels:
+        own = codes.where(F.col("Field") == c).select(F.col("Label").alias(f"{c}__lbl"), F.col("Code").alias(f"{c}__code"))
+        enc = enc.withColumn(f"{c}__lbl", _label_input(c)).join(own, f"{c}__lbl", "left")
+    cols = {c: F.when(F.col(f"{c}__code").isNotNull(), F.col(f"{c}__code").cast("double")).otherwise(
+        F.raise_error(F.concat(F.lit(f"no code for this label of {c}: "), F.col(f"{c}__lbl"))).cast("double")) for c in labels}
     cols.update({c: F.coalesce(F.col(c).cast("double"), F.lit(medians.get(c))) for c in numeric})
     enc = enc.select(*df.columns, *[v.alias(f"{k}__x") for k, v in cols.items()])
     inputs = [f"{c}__x" for c in labels + numeric]
     assembled = VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="keep").transform(enc)
     out = assembled.withColumn("label", F.col(target).cast("double")).drop(*inputs)
-    return out, indexer, medians, labels + numeric
+    return out, codes, medians, labels + numeric

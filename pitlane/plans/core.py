@@ -133,6 +133,17 @@ def q_export_laps(spark, sf):
     return sinks.export_laps(clean.silver_laps(laps(spark, sf)), scratch_path(spark, "export"))
 
 
+@query("export_values", with_silver() + """
+SELECT GrandPrix, Circuit, Session, Driver, round(LapNumber, 6) AS LapNumber, round(LapTime, 6) AS LapTime, Compound,
+  round(TyreLife, 6) AS TyreLife, round(Stint, 6) AS Stint, FreshTyre, round(Sector1Time, 6) AS Sector1Time,
+  round(Sector2Time, 6) AS Sector2Time, round(Sector3Time, 6) AS Sector3Time FROM silver""")
+def q_export_values(spark, sf):
+    """Every value of the export, read back from the CSV files."""
+    silver, path = clean.silver_laps(laps(spark, sf)), scratch_path(spark, "export")
+    sinks.export_laps(silver, path)
+    return sinks.read_export(spark, path, sinks.export_columns(silver).schema)
+
+
 def _interval_laps(spark, sf):
     """Laps as the upstream loader delivers them: lap and sector times as intervals."""
     df = laps(spark, sf)

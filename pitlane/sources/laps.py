@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from urllib.parse import unquote
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -24,13 +25,60 @@ DEFAULT_2024_RACES = (
 TIME_COLUMNS = ("LapTime", "Sector1Time", "Sector2Time", "Sector3Time")
 
 
-def _readable(spark: SparkSession, path: str, fmt: str) -> str | None:
-    """None if every file of ``path`` opens as ``fmt``, else the reason.  No column is read: footers only for parquet."""
-    try:
-        spark.read.format(fmt).load(path).select(F.lit(1)).count()
-    except (AnalysisException, PySparkException, Py4JJavaError) as e:
-        return str(e).strip().split("\n")[0][:200]
-    return None
+def _plain(uri: str) -> str:
+    """An address with one spelling of local files."""
+    return re.sub(r"^file:/+", "/", uri).rstrip("/")
+
+
+def _broken_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(address, reason) of the parquet files among (address, content) that don't open."""
+    for batch in batches:
+        found = []
+        for address, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            try:
+                pq.ParquetFile(pa.BufferReader(content.as_buffer())).metadata
+            except Exception as e:  # noqa: BLE001  whatever a broken file makes of it is the reason
+                found.append((address, str(e).strip().split("\n")[0][:200]))
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.string()) for k in (0, 1)], names=["address", "reason"])
+
+
+def unreadable_paths(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> dict[str, str]:
+    """{path: reason} of the paths that don't exist, are empty or hold a file that can't be read as ``fmt``.
+
+    Three jobs at most for any number of paths: one finds the files that have rows
+    (footers only for parquet), passing over broken ones; one lists the others, which are
+    empty or broken; one opens those.
+    """
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    out, there = {}, {}
+    for path in paths:
+        at = hadoop(path)
+        fs = at.getFileSystem(conf)
+        if not fs.exists(at):
+            out[path] = "the path does not exist"
+        elif not fs.getContentSummary(at).getFileCount():
+            out[path] = "no file there"
+        else:
+            there[path] = _plain(fs.makeQualified(at).toString())
+    if not there or fmt != "parquet":  # files of other formats open in any state
+        return out
+    read = lambda f: spark.read.format(f).option("recursiveFileLookup", "true")
+    address = F.col("_metadata.file_path").alias("address")
+    full = read(fmt).schema("_none int").option("ignoreCorruptFiles", "true").load(list(there)).select(address).distinct()
+    doubtful = [r["address"] for r in read("binaryFile").load(list(there)).select(address).join(full, "address", "left_anti").collect()
+                if not re.search(r"/[_.][^/]*$", r["address"])]
+    if not doubtful:
+        return out
+    opened = read("binaryFile").load([unquote(d) for d in doubtful]).select(address, "content").mapInArrow(
+        _broken_footers, "address string, reason string").collect()
+    owners = {prefix: path for path, prefix in there.items()}
+    for r in opened:
+        at = _plain(unquote(r["address"]))
+        while at and at not in owners:
+            at = at.rpartition("/")[0]
+        if at:
+            out[owners[at]] = r["reason"]
+    return out
 
 
 def load_season(spark: SparkSession, source: DataFrame | str | Sequence[str],
@@ -53,13 +101,14 @@ def load_season(spark: SparkSession, source: DataFrame | str | Sequence[str],
         df = None
         # one scan per common root: partition values of a folder's path are columns only below a base path
         roots: dict[str, list[str]] = {}
-        for path in [source] if isinstance(source, str) else source:
-            reason = _readable(spark, path, fmt)
-            if reason is None:
+        paths = [source] if isinstance(source, str) else list(source)
+        bad = unreadable_paths(spark, paths, fmt)
+        for path in paths:
+            if path not in bad:
                 root = re.split(r"/[^/=]+=[^/]*", path, maxsplit=1)[0]
                 roots.setdefault(root if root != path else "", []).append(path)
             elif skipped is not None:
-                skipped.append((path, reason))
+                skipped.append((path, bad[path]))
         for root, paths in roots.items():
             reader = spark.read.format(fmt)
             reader = reader.schema(schema) if schema is not None else reader

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The export columns, in the reference's order.
 EXPORT_COLUMNS = (
@@ -33,6 +34,11 @@ def export_columns(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in EXPORT_COLUMNS if c in df.columns])
 
 
+def read_export(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of an export, typed again."""
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
 def export_laps(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """Write the export columns as CSV with a header (S5) and report lap/race counts.
 
@@ -40,5 +46,4 @@ def export_laps(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """
     out = export_columns(df)
     out.write.mode(mode).option("header", True).csv(path)
-    back = df.sparkSession.read.schema(out.schema).option("header", True).csv(path)
-    return back.agg(F.count(F.lit(1)).alias("Laps"), F.countDistinct("GrandPrix").alias("Races"))
+    return read_export(df.sparkSession, path, out.schema).agg(F.count(F.lit(1)).alias("Laps"), F.countDistinct("GrandPrix").alias("Races"))

@@ -2,6 +2,9 @@
 
 import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
+
 from pitlane.functions import round_doubles
 from pitlane.functions.scalar import interval_seconds
 from pitlane.operators import compare, features, tyres
@@ -95,3 +98,30 @@ def test_pit_checks_follow_available_columns(spark):
     assert (r.PitLaps, r.PitLapsWithOut, r.Severity) == (1, None, "ok")
     r = quality.pit_completeness(df.drop("PitInTime")).first()
     assert r.Severity == "unavailable"
+
+
+def test_label_codes_number_many_labels_without_one_task(spark):
+    n = 200_000
+    df = spark.range(n).selectExpr("concat('D', cast(id as string)) AS Driver", "if(id % 3 = 0, NULL, 'x') AS Team")
+    codes = features.label_codes(df, ["Driver", "Team"], bucket_values=1024)
+    got = codes.where("Field = 'Driver'")
+    want = {name: i for i, name in enumerate(sorted(f"D{i}" for i in range(n)))}
+    assert {r.Label: r.Code for r in got.collect()} == want
+    assert sorted((r.Label, r.Code) for r in codes.where("Field = 'Team'").collect()) == [("None", 0), ("x", 1)]
+    per_range = got.groupBy(F.floor(F.col("Code") / 8192)).count()
+    assert per_range.count() == 25
+    plan = codes._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_new_data_is_encoded_alike_and_an_unseen_label_raises(spark):
+    rows = [("b", 1.0, 90.0), ("a", 2.0, 91.0), (None, None, 92.0)]
+    df = spark.createDataFrame(rows, "Driver string, TyreLife double, LapTime double")
+    out, codes, medians, inputs = features.encode_impute(df)
+    assert inputs == ["Driver", "TyreLife"] and medians == {"TyreLife": 1.5}
+    assert sorted((r.Driver or "", r.features.tolist()) for r in out.collect()) == [("", [0.0, 1.5]), ("a", [1.0, 2.0]), ("b", [2.0, 1.0])]
+    again = features.encode_impute(df.where("Driver = 'b'"), codes, medians)[0].first()
+    assert again.features.tolist() == [2.0, 1.0]
+    new = spark.createDataFrame([("zzz", 1.0, 1.0)], df.schema)
+    with pytest.raises(Exception, match="no code for this label of Driver"):
+        features.encode_impute(new, codes, medians)[0].collect()

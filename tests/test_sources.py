@@ -61,3 +61,28 @@ def test_default_season_filters_races_and_session(spark):
     laps = catalog.laps(spark, SF001).withColumn("GrandPrix", F.when(F.col("LapNumber") < 5, "Monaco").otherwise("Elsewhere"))
     got = season_2024(spark, laps)
     assert got.count() == laps.where("GrandPrix = 'Monaco' and Session = 'Race'").count()
+
+
+def test_a_thousand_paths_take_a_bounded_number_of_jobs(spark):
+    base = tempfile.mkdtemp(prefix="pitlane-season-test-")
+    laps = catalog.laps(spark, SF001)
+    gp = laps.first().GrandPrix
+    one = write_table(laps.where(F.col("GrandPrix") == gp).limit(1).coalesce(1), f"{base}/one")
+    part = next(f for f in os.listdir(one) if f.endswith(".parquet"))
+    paths = [f"{base}/race %20+{i}" for i in range(1000)]
+    for i, path in enumerate(paths):
+        os.makedirs(path)
+        if i != 998:
+            os.link(f"{one}/{part}", f"{path}/{part}")
+    with open(f"{paths[7]}/torn.parquet", "wb") as f:
+        f.write(b"PAR1 this is no parquet file PAR1")
+    empty = write_table(laps.limit(0), f"{base}/empty")
+    tracker, group = spark.sparkContext.statusTracker(), "bounded-jobs"
+    spark.sparkContext.setJobGroup(group, group)
+    skipped = []
+    got = load_season(spark, [*paths, empty, f"{base}/nowhere"], skipped=skipped)
+    jobs = len(tracker.getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 12, jobs
+    assert [p for p, _ in skipped] == [paths[7], paths[998], f"{base}/nowhere"]
+    assert "arquet" in skipped[0][1] and got.count() == 998
