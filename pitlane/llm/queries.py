@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from pitlane.llm import chat, decontam, lexical, lm, maintext, packing, pstable, quality, simhash, topk, toxicity, warc, whitening
 from pitlane.llm.common import in_training_fold, land, table
 from pitlane.session import scratch_path
@@ -195,9 +194,3 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best documents of each benchmark item."""
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-
-
-@query("pipeline", corpus_pipeline.ORACLE_SQL)
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Toxicity, quality, near-dedup, decontamination and packing over ``documents``."""
-    return corpus_pipeline.run(spark, sf_dir)
