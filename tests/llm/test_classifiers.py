@@ -117,6 +117,46 @@ def test_sample_bounds_hold(labelled):
     assert Q.train(df, labels, replace(Q.QualityParams(), max_fit=60, max_calibrate=20)).weights.any()
 
 
+def test_counts_and_margins_of_the_whole_corpus_equal_brute_force(spark):
+    rng = random.Random(3)
+    texts = [prose(rng, rng.randint(0, 30)) for _ in range(300)] + [None, "", "ra ti"]
+    p = replace(X.ToxicityParams(), bits=12, bins=8, widest=1.0)
+    grams = p.grams()
+    rows = [grams((t or "").encode()) for t in texts]
+    counts, n = X.corpus_counts(docs(spark, texts).repartition(5), "text", grams)
+    assert n == 303 and (counts == X.gram_counts(rows, 1 << 12)).all()
+    models = [X.LinearModel(np.random.default_rng(k).normal(size=1 << 12), np.ones(1 << 12, bool), 0.1 * k) for k in range(3)]
+    folded = docs(spark, texts).selectExpr("text", "pmod(doc_id, 3) as fold").repartition(4)
+    bins, n = X.margin_histogram(folded, "text", "fold", models, p)
+    want = np.unique(np.floor(np.clip([models[i % 3].margin(x) for i, x in enumerate(rows)], -1, 1) * 8), return_counts=True)
+    order = np.argsort(bins)
+    assert bins[order].tolist() == want[0].tolist() and n[order].tolist() == want[1].tolist()
+    assert X.corpus_counts(docs(spark, texts).limit(0), "text", grams)[1] == 0
+
+
+def test_a_source_outside_the_sample_moves_features_and_cut(spark):
+    """Clean documents that share a phrase with the toxic ones: none is in the sample, yet the phrase stops counting."""
+    rng = random.Random(5)
+    toxic = ["zxqword greetings " + prose(rng, 20) for _ in range(60)]
+    plain = [prose(rng, 20) for _ in range(400)]
+    rare = ["greetings " + prose(rng, 20) for _ in range(6000)]
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(260)], "doc_id long, toxic int")
+    p = replace(X.ToxicityParams(), max_unlabelled=120)
+    few, all_ = (X.train(docs(spark, toxic + plain + more), labels, p) for more in ([], rare))
+    gram = p.grams()
+    apart = lambda m: m.margin(gram(b"greetings")) - m.margin(gram(b""))
+    assert apart(few) > 0.5 and apart(all_) < 0.5 * apart(few)
+    got = X.score(docs(spark, toxic + plain + rare), all_, name="s").where("s >= 0.5").select("doc_id").toPandas().doc_id
+    assert (got < 60).sum() >= 55 and (got >= 60).sum() < 60
+
+
+def test_weighted_cut_equals_repeated_margins():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        pos, unl, n = rng.integers(0, 20, 15) / 4, rng.integers(-20, 15, 30) / 4, rng.integers(1, 5, 30)
+        assert X.pick_cut(pos, unl, 0.2, n.astype(float)) == pytest.approx(X.pick_cut(pos, np.repeat(unl, n), 0.2))
+
+
 def test_nnpu_gradient_sign_and_cut():
     assert X.pick_cut(np.array([2.0, 3.0]), np.array([-1.0, 0.0, -2.0, 2.5]), 0.25) == pytest.approx(1.0)
     p = replace(X.ToxicityParams(), bits=8, least_apart=0.0)
