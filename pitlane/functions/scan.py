@@ -13,6 +13,10 @@ Here rows are cut into order-preserving buckets ``floor(o / width)``:
 Only rows of one bucket are ever ordered together, so a group holding a third
 of all rows is spread over ``rows / width`` tasks.  Results equal the plain
 window for any width (tested against it).
+
+Such buckets bound order values, not rows.  Where many rows may share one order
+value, ``ranged`` cuts the rows themselves into ranges of about equal size under a
+total order; every scan here then works on those ranges instead.
 """
 
 from __future__ import annotations
@@ -22,13 +26,47 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitlane.session import scratch_path
+
 DEFAULT_WIDTH = 256.0
+#: Columns of a ranged frame: the range, and what orders rows of one group and order value.
+RANGE, TIES = "_range", ("_tie", "_id")
 
 
 def _bucket(order: str, width: float) -> Column:
     return F.coalesce(F.floor(F.col(order) / F.lit(float(width))), F.lit(-(1 << 62)))
 
 
+def ranged(df: DataFrame, group: Sequence[str], order: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """``df`` in ``tasks`` ranges of about equal size by (group, order, hash of the row, row number).
+
+    The number of shuffle partitions if ``tasks`` is not given.  The ranges are written
+    to the shared folder: a lost executor reads them again, so that no row changes its
+    range between the passes over them.  A million rows with one order value, or a
+    million copies of one row, spread like any others.  Rows that differ have a defined
+    order; copies may swap places, which no result shows.  ``unranged`` drops the
+    helper columns.  Map columns can't be hashed and are refused by Spark.
+    """
+    spark = df.sparkSession
+    n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = df.withColumns({"_tie": F.xxhash64(*df.columns), "_id": F.monotonically_increasing_id()})
+    d = d.repartitionByRange(n, *group, *order, *TIES).withColumn(RANGE, F.spark_partition_id().cast("long"))
+    path = scratch_path(spark, "ranged")
+    d.write.parquet(path)
+    return spark.read.schema(d.schema).parquet(path)
+
+
+def unranged(df: DataFrame) -> DataFrame:
+    return df.drop(RANGE, *TIES)
+
+
+def _cut(df: DataFrame, order: Sequence[str], width: float) -> tuple[DataFrame, list[str]]:
+    """``df`` with its bucket ``_sb``, and the columns that order rows inside: ranges and ties if it has them."""
+    if RANGE in df.columns:
+        return df.withColumn("_sb", F.col(RANGE)), [*order, *TIES]
+    return df.withColumn("_sb", _bucket(order[0], width)), list(order)
+
+
 def group_key(group: Sequence[str]) -> Column:
     """The group as one struct: equal also where keys are NULL, so joins and windows share one partitioning."""
     return F.struct(*[F.col(c) for c in group])
@@ -45,13 +83,13 @@ def running(df: DataFrame, group: Sequence[str], order: str, value: str | None,
     """
     v = F.lit(1) if value is None else F.col(value)
     agg = {"sum": F.sum, "count": F.count, "min": F.min}[kind]
-    marked = lambda x: x.withColumn("_g", group_key(group)).withColumn("_sb", _bucket(order, width))
-    d = marked(df)
-    tot = marked(df if source is None else source).groupBy("_g", "_sb").agg(agg(v).alias("_bt"))
+    marked = lambda x: _cut(x.withColumn("_g", group_key(group)), [order], width)
+    d, by = marked(df)
+    tot = marked(df if source is None else source)[0].groupBy("_g", "_sb").agg(agg(v).alias("_bt"))
     before = Window.partitionBy("_g").orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
     prev = {"sum": F.sum, "count": F.sum, "min": F.min}[kind]("_bt").over(before)
     offs = tot.select("_g", "_sb", prev.alias("_off"))
-    within = Window.partitionBy("_g", "_sb").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("_g", "_sb").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
     d = d.join(offs, ["_g", "_sb"]).withColumn("_in", agg(v).over(within))
     if kind == "min":
         out = F.least(F.col("_in"), F.col("_off"))  # least() skips NULLs
@@ -64,8 +102,7 @@ def _with_halo(df: DataFrame, group: Sequence[str], order: Sequence[str], cols:
                width: float) -> DataFrame:
     """Rows plus, per bucket, the ``n`` rows that precede the bucket (flag ``_halo``)."""
     g = list(group)
-    first = order[0]
-    d = df.withColumn("_sb", _bucket(first, width))
+    d, order = _cut(df, order, width)
     payload = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in cols])
     # each bucket's last n rows (at most n per bucket are collected; order columns lead the struct)
     last_first = Window.partitionBy(*g, "_sb").orderBy(*[F.col(c).desc() for c in order])
@@ -87,6 +124,7 @@ def lag(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, n
         width: float = DEFAULT_WIDTH) -> DataFrame:
     """Add ``name`` = ``value`` of the previous row in (group, order)."""
     u = _with_halo(df, group, order, [value], 1, width)
+    order = [*order, *(TIES if RANGE in df.columns else ())]
     w = Window.partitionBy(*group, "_sb").orderBy(*[F.col(c) for c in order], F.col("_halo").desc())
     u = u.withColumn(name, F.lag(value).over(w))
     return u.where(~F.col("_halo")).drop("_sb", "_halo").select(*df.columns, name)
@@ -102,6 +140,7 @@ def rolling_mean(df: DataFrame, group: Sequence[str], order: Sequence[str], valu
                  rows: int = 3, width: float = DEFAULT_WIDTH) -> DataFrame:
     """Add ``name`` = mean of ``value`` over this row and the ``rows - 1`` before it."""
     u = _with_halo(df, group, order, [value], rows - 1, width)
+    order = [*order, *(TIES if RANGE in df.columns else ())]
     w = (Window.partitionBy(*group, "_sb").orderBy(*[F.col(c) for c in order], F.col("_halo").desc())
          .rowsBetween(-(rows - 1), 0))
     u = u.withColumn(name, F.avg(value).over(w))

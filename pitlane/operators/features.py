@@ -66,17 +66,22 @@ def rolling3(df: DataFrame, keys: Sequence[str] = DRIVER_KEYS, window: int = 3,
     """Mean LapTime of the last ``window`` laps including this one (>= 1 value).
 
     ``bucketed`` (default) orders only one LapNumber bucket at a time and
-    carries the previous laps in as halo rows; ``window`` is one window per
-    driver session.
+    carries the previous laps in as halo rows; ``ranged`` orders ranges of about
+    equal numbers of rows instead, for input in which many rows share a lap number;
+    ``window`` is one window per driver session.
     """
     if method == "window":
         w = _driver_window(keys).rowsBetween(-(window - 1), 0)
         return df.withColumn("LapTime_Rolling3", F.avg("LapTime").over(w))
+    if method == "ranged":
+        return scan.unranged(rolling3(scan.ranged(df, keys, ["LapNumber"]), keys, window))
     return scan.rolling_mean(df, keys, ["LapNumber"], "LapTime", "LapTime_Rolling3", rows=window)
 
 
 def best_so_far(df: DataFrame, keys: Sequence[str] = DRIVER_KEYS, method: str = "bucketed") -> DataFrame:
-    """Running minimum LapTime (NULL on rows without a time) and DeltaToBest."""
+    """Running minimum LapTime (NULL on rows without a time) and DeltaToBest; ``method`` as in ``rolling3``."""
+    if method == "ranged":
+        return scan.unranged(best_so_far(scan.ranged(df, keys, ["LapNumber"]), keys))
     if method == "window":
         w = _driver_window(keys).rowsBetween(Window.unboundedPreceding, 0)
         df = df.withColumn("_run", F.min("LapTime").over(w))
@@ -106,7 +111,9 @@ def sector_pct(df: DataFrame) -> DataFrame:
 
 def laps_into_stint(df: DataFrame, keys: Sequence[str] = DRIVER_KEYS, stint: str = "Stint",
                     method: str = "bucketed", source: DataFrame | None = None) -> DataFrame:
-    """1-based lap position within the stint; NULL stint -> NULL."""
+    """1-based lap position within the stint; NULL stint -> NULL; ``method`` as in ``rolling3``."""
+    if method == "ranged":
+        return scan.unranged(laps_into_stint(scan.ranged(df, [*keys, stint], ["LapNumber"]), keys, stint))
     if method == "window":
         w = Window.partitionBy(*keys, stint).orderBy("LapNumber")
         df = df.withColumn("_pos", F.row_number().over(w).cast("long"))
@@ -149,11 +156,13 @@ def stint_track_features(df: DataFrame, source: DataFrame | None = None) -> Data
 
 def tyre_age_diff(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session", "Driver", "Stint"),
                   method: str = "bucketed") -> DataFrame:
-    """TyreLife minus the previous lap's within the stint (ordered by LapNumber)."""
+    """TyreLife minus the previous lap's within the stint (ordered by LapNumber); ``method`` as in ``rolling3``."""
     order = ["LapNumber", *(["Session"] if "Session" in df.columns and "Session" not in keys else [])]
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         df = df.withColumn("_prev", F.lag("TyreLife").over(w))
+    elif method == "ranged":
+        df = scan.unranged(scan.lag(scan.ranged(df, keys, order), keys, order, "TyreLife", "_prev"))
     else:
         df = scan.lag(df, keys, order, "TyreLife", "_prev")
     return df.withColumn("TyreLifeDiff", F.col("TyreLife") - F.col("_prev")).drop("_prev")

@@ -1,9 +1,10 @@
 """The skew-safe paths give the same answers as the simple ones."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pitlane.functions import group_mode, group_quantiles
-from pitlane.operators import clean, enrich
+from pitlane.functions import group_mode, group_quantiles, scan
+from pitlane.operators import clean, enrich, features
 from pitlane.plans import catalog
 from tests.conftest import SF001
 
@@ -103,3 +104,48 @@ def test_bucketed_scans_match_windows(spark):
                     laps.withColumn("p", F.lag("TyreLife").over(w)), "p")
         assert same(scan.running(laps, g, "LapNumber", None, "count", "c", width),
                     laps.withColumn("c", F.row_number().over(w).cast("long")), "c")
+
+
+def _unclean(spark, rows):
+    """Three quarters of the rows are one driver's, all on lap 7, a third of those copies of one row; null keys too."""
+    return spark.range(rows).selectExpr(
+        "'GP' GrandPrix", "'R' Session", "if(id % 4 > 0, 'HOT', if(id % 8 = 0, null, 'D')) Driver",
+        "if(id % 4 > 0, 7, cast(pmod(id * 31, 60) as int)) LapNumber",
+        "cast(if(id % 8 = 0, null, if(id % 4 > 0, if(id % 3 = 0, 80, 80 + pmod(id * 7919, 1000)), 90 + pmod(id, 13))) as double) LapTime",
+        "if(id % 5 = 0 and id % 3 > 0, null, 1) Stint", "if(id % 3 = 0 and id % 4 > 0, 0D, cast(pmod(id, 17) as double)) TyreLife")
+
+
+def test_ranges_bound_rows_when_one_lap_number_holds_most(spark):
+    r = scan.ranged(_unclean(spark, 1_000_000), ["GrandPrix", "Session", "Driver"], ["LapNumber"], tasks=16)
+    sizes = [row["count"] for row in r.groupBy(scan.RANGE).count().collect()]
+    assert sum(sizes) == 1_000_000 and len(sizes) == 16
+    assert max(sizes) < 2 * 1_000_000 / 16
+
+
+def test_scans_over_ranges_equal_plain_windows(spark):
+    keys, n = ["GrandPrix", "Session", "Driver"], 20_000
+    r = scan.ranged(_unclean(spark, n), keys, ["LapNumber"], tasks=13).cache()
+    w = Window.partitionBy(*keys).orderBy("LapNumber", *scan.TIES)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    want = r.select("_id", F.min("LapTime").over(upto).alias("low"), F.sum("LapTime").over(upto).alias("total"),
+                    F.row_number().over(w).cast("long").alias("pos"), F.lag("TyreLife").over(w).alias("before"),
+                    F.round(F.avg("LapTime").over(w.rowsBetween(-2, 0)), 9).alias("mean"))
+    got = scan.running(r, keys, "LapNumber", "LapTime", "min", "low")
+    got = scan.running(got, keys, "LapNumber", "LapTime", "sum", "total")
+    got = scan.running(got, keys, "LapNumber", None, "count", "pos")
+    got = scan.lag(got, keys, ["LapNumber"], "TyreLife", "before")
+    got = scan.rolling_mean(got, keys, ["LapNumber"], "LapTime", "mean").withColumn("mean", F.round("mean", 9))
+    got = got.select(*want.columns)
+    assert got.count() == n
+    assert got.exceptAll(want).count() == 0
+
+
+def test_features_by_ranges_equal_windows_on_clean_laps(spark):
+    laps = catalog.laps(spark, SF001).limit(3000).checkpoint()
+    for f in (features.rolling3, features.best_so_far, features.laps_into_stint, features.tyre_age_diff):
+        got, want = f(laps, method="ranged"), f(laps, method="window")
+        assert got.columns == want.columns
+        near = lambda d: d.select([F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in d.dtypes])
+        assert near(got).exceptAll(near(want)).count() == 0 and got.count() == 3000, f.__name__
+    empty = laps.limit(0)
+    assert features.rolling3(empty, method="ranged").count() == 0
