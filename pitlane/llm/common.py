@@ -90,9 +90,10 @@ class NgramPresence:
     """Which hashed byte n-grams of the given orders a text has, as sorted ids.
 
     ids are below ``2**bits``.  Texts are read whole, in slices of ``slice_bytes``
-    that overlap by the longest order less one, so memory stays bounded.  With
-    ``repeats``, n-grams of a second view count too: one byte per word, which
-    tells whether the word is the same as the one before.
+    that overlap by the longest order less one: beside the text's own words, memory
+    holds the hashes of one slice and the distinct ids so far.  With ``repeats``,
+    n-grams of a second view count too: one byte per word, which tells whether the
+    word is the same as the one before.
     """
 
     #: Odd multipliers of the rolling and the final hash (fixed so that models can be reused).
@@ -101,26 +102,38 @@ class NgramPresence:
     def __init__(self, orders: tuple[int, ...], bits: int, slice_bytes: int = 1 << 20,
                  repeats: bool = False):
         self.orders, self.bits, self.slice_bytes, self.repeats = tuple(orders), bits, slice_bytes, repeats
-        self.flags = np.zeros(1 << bits, dtype=bool)
-
-    def _mark(self, data: bytes, salt: int) -> None:
-        shift, top = np.uint64(64 - self.bits), max(self.orders)
-        for at in range(0, len(data), self.slice_bytes):
-            b = np.frombuffer(data[at:at + self.slice_bytes + top - 1], np.uint8).astype(np.uint64)
-            h = np.full(len(b), salt, np.uint64)
-            for n in range(1, min(top, len(b)) + 1):
-                h = (h[:len(b) - n + 1] + b[n - 1:] + np.uint64(n)) * self.STEP
-                if n in self.orders:
-                    self.flags[((h ^ (h >> np.uint64(29))) * self.MIX) >> shift] = True
+
+    def _hashes(self, data: bytes, salt: int) -> list[np.ndarray]:
+        """Ids of the n-grams of one slice, an array per order."""
+        b, found = np.frombuffer(data, np.uint8).astype(np.uint64), []
+        h = np.full(len(b), salt, np.uint64)
+        for n in range(1, min(max(self.orders), len(b)) + 1):
+            h = h[:len(b) - n + 1]
+            h += b[n - 1:]
+            h += np.uint64(n)
+            h *= self.STEP
+            if n in self.orders:
+                mixed = h >> np.uint64(29)
+                mixed ^= h
+                mixed *= self.MIX
+                mixed >>= np.uint64(64 - self.bits)
+                found.append(mixed.astype(np.int32))
+        return found
 
     def __call__(self, text: bytes) -> np.ndarray:
-        words = text.decode("utf-8", "replace").lower().encode().split()
-        self._mark(b" " + b" ".join(words) + b" ", 0)
+        low = text.lower() if text.isascii() else text.decode("utf-8", "replace").lower().encode()
+        words, held, overlap = low.split(), np.empty(0, np.int32), max(self.orders) - 1
+        views = [(b" " + b" ".join(words) + b" ", 0)]
         if self.repeats:
-            self._mark(bytes(map(operator.eq, words[1:], words)), 1 << 32)
-        ids = np.flatnonzero(self.flags)
-        self.flags[ids] = False
-        return ids.astype(np.int32)
+            views.append((bytes(map(operator.eq, words[1:], words)), 1 << 32))
+        for data, salt in views:
+            for at in range(0, len(data), self.slice_bytes):
+                ids = np.concatenate([held, *self._hashes(data[at:at + self.slice_bytes + overlap], salt)])
+                ids.sort()
+                new = np.ones(len(ids), bool)
+                np.not_equal(ids[1:], ids[:-1], out=new[1:])
+                held = ids[new]
+        return held
 
 
 def per_worker(key: str, build):
