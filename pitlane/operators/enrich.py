@@ -117,14 +117,16 @@ def _neighbours(laps: DataFrame, weather: DataFrame, keys: Sequence[str], time_c
     cuts = times.groupBy("_g").agg(F.array_sort(F.collect_list(F.when(
         F.pmod(F.xxhash64("_t"), F.lit(bucket_values)) == 0, F.col("_t")))).alias("_cuts"))
     cut = times.join(cuts, "_g").withColumn("_bk", F.size(F.filter("_cuts", lambda c: c < F.col("_t")))).drop("_cuts")
-    buckets = Window.partitionBy("_g").orderBy("_bk")
+    # what follows is a running minimum from the end: a frame up to the last row is summed up anew for each row
+    so_far, earlier = (Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1)
+    buckets = Window.partitionBy("_g")
     carried = cut.groupBy("_g", "_bk").agg(F.max("_w").alias("_last"), F.min("_w").alias("_first")).select(
-        "_g", "_bk", F.max("_last").over(buckets.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-        F.min("_first").over(buckets.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
-    inside = Window.partitionBy("_g", "_bk").orderBy("_t")
+        "_g", "_bk", F.max("_last").over(buckets.orderBy("_bk").rowsBetween(*earlier)).alias("_before"),
+        F.min("_first").over(buckets.orderBy(F.desc("_bk")).rowsBetween(*earlier)).alias("_after"))
+    inside = Window.partitionBy("_g", "_bk")
     return cut.join(carried, ["_g", "_bk"]).withColumns({
-        "_back": F.coalesce(F.max("_w").over(inside.rowsBetween(Window.unboundedPreceding, 0)), F.col("_before")),
-        "_next": F.coalesce(F.min("_w").over(inside.rowsBetween(1, Window.unboundedFollowing)), F.col("_after"))}).where(
+        "_back": F.coalesce(F.max("_w").over(inside.orderBy("_t").rowsBetween(*so_far)), F.col("_before")),
+        "_next": F.coalesce(F.min("_w").over(inside.orderBy(F.desc("_t")).rowsBetween(*earlier)), F.col("_after"))}).where(
         "_asked").select("_g", "_t", "_back", "_next")
 
 
