@@ -14,6 +14,10 @@ Only rows of one bucket are ever ordered together, so a group holding a third
 of all rows is spread over ``rows / width`` tasks.  Results equal the plain
 window for any width (tested against it).
 
+The rows of a scan are dealt to tasks by their bucket, in numbers that follow the rows
+(``tasks_for``): neither few shuffle partitions nor adaptive execution, which merges
+partitions by their compressed bytes, lets a task's memory grow with the input.
+
 Such buckets bound order values, not rows.  Where many rows may share one order
 value, ``ranged`` cuts the rows themselves into ranges of about equal size under a
 total order; every scan here then works on those ranges instead.
@@ -29,10 +33,27 @@ from pyspark.sql import functions as F
 from pitlane.session import scratch_path
 
 DEFAULT_WIDTH = 256.0
+#: Rows of one task of a scan.
+TASK_ROWS = 250_000
 #: Columns of a ranged frame: the range, and what orders rows of one group and order value.
 RANGE, TIES = "_range", ("_tie", "_id")
 
 
+def tasks_for(df: DataFrame) -> int:
+    """Tasks for the rows of ``df``, at most ``TASK_ROWS`` each; 0 (as Spark deals them) if one would do.
+
+    The rows are counted, which for landed tables reads the footers.  Not fewer than the
+    shuffle partitions: Spark would shuffle dealt rows again to reach their number.
+    """
+    tasks = -(-df.count() // TASK_ROWS)
+    return max(tasks, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) if tasks > 1 else 0
+
+
+def deal(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """``df`` with its rows dealt over ``tasks`` by ``keys``; as it is if that is 0."""
+    return df.repartition(tasks, *keys) if tasks else df
+
+
 def _bucket(order: str, width: float) -> Column:
     return F.coalesce(F.floor(F.col(order) / F.lit(float(width))), F.lit(-(1 << 62)))
 
@@ -72,20 +93,34 @@ def group_key(group: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in group])
 
 
+def deal_key(df: DataFrame, group: Sequence[str]) -> Column:
+    """``group_key`` with floating numbers as text.
+
+    Joins and windows normalise them (-0.0, NaN), after which rows that were dealt by the
+    plain numbers would be shuffled once more.
+    """
+    kinds = dict(df.dtypes)
+    text = lambda c: (F.col(c) + F.lit(0.0)).cast("string").alias(c)  # noqa: E731  -0.0 + 0.0 is 0.0
+    return F.struct(*[text(c) if kinds[c] in ("double", "float") else F.col(c) for c in group])
+
+
 def running(df: DataFrame, group: Sequence[str], order: str, value: str | None, kind: str, name: str,
-            width: float = DEFAULT_WIDTH, source: DataFrame | None = None) -> DataFrame:
+            width: float = DEFAULT_WIDTH, source: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """Add ``name`` = running ``kind`` (sum, count, min) of ``value`` up to and
     including the current row, rows ordered by ``order`` within ``group``.
     Bucket totals come from ``source``, the same rows before other columns were added.
+    ``tasks``: over how many the rows are dealt (``tasks_for`` them if not given).
 
     ``count`` with ``value=None`` counts rows (a 1-based row number).
     NULL values are skipped as by Spark's window aggregates.
     """
     v = F.lit(1) if value is None else F.col(value)
     agg = {"sum": F.sum, "count": F.count, "min": F.min}[kind]
-    marked = lambda x: _cut(x.withColumn("_g", group_key(group)), [order], width)
+    marked = lambda x: _cut(x.withColumn("_g", deal_key(x, group)), [order], width)
     d, by = marked(df)
-    tot = marked(df if source is None else source)[0].groupBy("_g", "_sb").agg(agg(v).alias("_bt"))
+    source = df if source is None else source
+    d = deal(d, tasks_for(source) if tasks is None else tasks, "_g", "_sb")
+    tot = marked(source)[0].groupBy("_g", "_sb").agg(agg(v).alias("_bt"))
     before = Window.partitionBy("_g").orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
     prev = {"sum": F.sum, "count": F.sum, "min": F.min}[kind]("_bt").over(before)
     offs = tot.select("_g", "_sb", prev.alias("_off"))
@@ -99,9 +134,10 @@ def running(df: DataFrame, group: Sequence[str], order: str, value: str | None,
 
 
 def _with_halo(df: DataFrame, group: Sequence[str], order: Sequence[str], cols: Sequence[str], n: int,
-               width: float) -> DataFrame:
-    """Rows plus, per bucket, the ``n`` rows that precede the bucket (flag ``_halo``)."""
+               width: float, tasks: int | None = None) -> DataFrame:
+    """Rows plus, per bucket, the ``n`` rows that precede the bucket (flag ``_halo``), dealt by bucket (``_g``, ``_sb``)."""
     g = list(group)
+    tasks = tasks_for(df) if tasks is None else tasks
     d, order = _cut(df, order, width)
     payload = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in cols])
     # each bucket's last n rows (at most n per bucket are collected; order columns lead the struct)
@@ -117,44 +153,47 @@ def _with_halo(df: DataFrame, group: Sequence[str], order: Sequence[str], cols:
         *g, "_sb", *[F.col(f"_r.{c}").alias(c) for c in [*order, *cols]], F.lit(True).alias("_halo"))
     real = d.select(*g, "_sb", *order, *cols, *[c for c in df.columns if c not in {*g, *order, *cols}],
                     F.lit(False).alias("_halo"))
-    return real.unionByName(halo, allowMissingColumns=True)
+    u = real.unionByName(halo, allowMissingColumns=True)
+    return deal(u.withColumn("_g", deal_key(u, g)), tasks, "_g", "_sb")
 
 
 def lag(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str,
-        width: float = DEFAULT_WIDTH) -> DataFrame:
-    """Add ``name`` = ``value`` of the previous row in (group, order)."""
-    u = _with_halo(df, group, order, [value], 1, width)
+        width: float = DEFAULT_WIDTH, tasks: int | None = None) -> DataFrame:
+    """Add ``name`` = ``value`` of the previous row in (group, order); ``tasks`` as in ``running``."""
+    u = _with_halo(df, group, order, [value], 1, width, tasks)
     order = [*order, *(TIES if RANGE in df.columns else ())]
-    w = Window.partitionBy(*group, "_sb").orderBy(*[F.col(c) for c in order], F.col("_halo").desc())
+    w = Window.partitionBy("_g", "_sb").orderBy(*[F.col(c) for c in order], F.col("_halo").desc())
     u = u.withColumn(name, F.lag(value).over(w))
     return u.where(~F.col("_halo")).drop("_sb", "_halo").select(*df.columns, name)
 
 
-def lead(df: DataFrame, group: Sequence[str], order: str, value: str, name: str, width: float = DEFAULT_WIDTH) -> DataFrame:
+def lead(df: DataFrame, group: Sequence[str], order: str, value: str, name: str, width: float = DEFAULT_WIDTH,
+         tasks: int | None = None) -> DataFrame:
     """Add ``name`` = ``value`` of the next row in (group, order): ``lag`` along the numeric ``order`` reversed."""
     back = df.withColumn("_back", -F.col(order))
-    return lag(back, group, ["_back"], value, name, width).drop("_back")
+    return lag(back, group, ["_back"], value, name, width, tasks).drop("_back")
 
 
 def rolling_mean(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str,
-                 rows: int = 3, width: float = DEFAULT_WIDTH) -> DataFrame:
-    """Add ``name`` = mean of ``value`` over this row and the ``rows - 1`` before it."""
-    u = _with_halo(df, group, order, [value], rows - 1, width)
+                 rows: int = 3, width: float = DEFAULT_WIDTH, tasks: int | None = None) -> DataFrame:
+    """Add ``name`` = mean of ``value`` over this row and the ``rows - 1`` before it; ``tasks`` as in ``running``."""
+    u = _with_halo(df, group, order, [value], rows - 1, width, tasks)
     order = [*order, *(TIES if RANGE in df.columns else ())]
-    w = (Window.partitionBy(*group, "_sb").orderBy(*[F.col(c) for c in order], F.col("_halo").desc())
+    w = (Window.partitionBy("_g", "_sb").orderBy(*[F.col(c) for c in order], F.col("_halo").desc())
          .rowsBetween(-(rows - 1), 0))
     u = u.withColumn(name, F.avg(value).over(w))
     return u.where(~F.col("_halo")).drop("_sb", "_halo").select(*df.columns, name)
 
 
-def history(df: DataFrame, group: Sequence[str], order: str, value: str, width: float = DEFAULT_WIDTH) -> DataFrame:
+def history(df: DataFrame, group: Sequence[str], order: str, value: str, width: float = DEFAULT_WIDTH,
+            tasks: int | None = None) -> DataFrame:
     """Add ``_min`` (running minimum of ``value``), ``_p1`` and ``_p2`` (its values one and two rows
     before) and ``_last`` (the group's largest ``order``) in one bucketed pass.
 
     One aggregate per bucket, one window over the small bucket table, one join back,
-    and one window inside the buckets.
+    and one window inside the buckets.  ``tasks`` as in ``running``.
     """
-    d = df.withColumn("_g", group_key(group)).withColumn("_sb", _bucket(order, width))
+    d = df.withColumn("_g", deal_key(df, group)).withColumn("_sb", _bucket(order, width))
     newest = F.slice(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))), asc=False), 1, 2)
     tot = d.groupBy("_g", "_sb").agg(F.min(value).alias("_bmin"), F.max(order).alias("_bmax"), newest.alias("_tail"))
     all_ = Window.partitionBy("_g")
@@ -167,7 +206,7 @@ def history(df: DataFrame, group: Sequence[str], order: str, value: str, width:
     inside = Window.partitionBy("_g", "_sb").orderBy(order)
     n, v = F.row_number().over(inside), F.col(value)
     halo = lambda i: F.get("_halo", F.lit(i))["v"]
-    out = d.join(carried, ["_g", "_sb"]).withColumns({
+    out = deal(d, tasks_for(df) if tasks is None else tasks, "_g", "_sb").join(carried, ["_g", "_sb"]).withColumns({
         "_min": F.least(F.min(v).over(inside.rowsBetween(Window.unboundedPreceding, 0)), F.col("_prev")),
         "_p1": F.when(n >= 2, F.lag(v, 1).over(inside)).otherwise(halo(0)),
         "_p2": F.when(n >= 3, F.lag(v, 2).over(inside)).when(n == 2, halo(0)).otherwise(halo(1))})

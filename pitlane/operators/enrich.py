@@ -155,9 +155,10 @@ def status_intervals(samples: DataFrame, status: str, keys: Sequence[str] = SESS
     k = list(keys)
     s = samples.where(F.col(time_col).isNotNull() & F.col(status).isNotNull()).groupBy(*k, F.col(time_col).alias("Start")).agg(
         F.max_by(status, id_col).alias("Status"))
-    changes = scan.lag(s, k, ["Start"], "Status", "_was", width).where(
+    tasks = scan.tasks_for(s)
+    changes = scan.lag(s, k, ["Start"], "Status", "_was", width, tasks).where(
         F.col("_was").isNull() | (F.col("_was") != F.col("Status"))).drop("_was")
-    return scan.lead(changes, k, "Start", "Start", "End", width).select(*k, "Status", "Start", "End")
+    return scan.lead(changes, k, "Start", "Start", "End", width, tasks).select(*k, "Status", "Start", "End")
 
 
 def track_conditions(laps: DataFrame, weather: DataFrame, keys: Sequence[str] = SESSION_KEYS, wet: str = "Rainfall",

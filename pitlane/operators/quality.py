@@ -164,7 +164,7 @@ def tyre_progression(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session
     for c in kk:
         base = base.where(F.col(c).isNotNull())
     order = ["LapNumber"] + (["Session"] if "Session" in df.columns and "Session" not in kk else [])
-    d = scan.lag(base, kk, order, "TyreLife", "_prev").withColumn("_d", F.col("TyreLife") - F.col("_prev"))
+    d = scan.lag(base, kk, order, "TyreLife", "_prev", tasks=scan.tasks_for(df)).withColumn("_d", F.col("TyreLife") - F.col("_prev"))
     agg = d.groupBy(*kk).agg(F.count(F.lit(1)).alias("_n"),
                              F.count_if(F.col("_d").isNotNull() & (F.col("_d") != 1)).alias("_bad"))
     return agg.where((F.col("_n") >= 2) & (F.col("_bad") > 0)).select(
@@ -198,14 +198,15 @@ def tyre_rule_breaks(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session
     base = df
     for c in (*kk, "LapNumber"):
         base = base.where(F.col(c).isNotNull())
+    tasks = scan.tasks_for(df)
     seen = F.struct("Stint", "TyreLife", "Compound", F.col("PitInTime").isNotNull().alias("Pit"))
     d = scan.lag(base.select(*kk, "LapNumber", "Stint", "TyreLife", "Compound", "PitInTime").withColumn("_now", seen),
-                 kk, ["LapNumber"], "_now", "_was", width)
+                 kk, ["LapNumber"], "_now", "_was", width, tasks)
     was = F.col("_was")
     pit, moved = F.coalesce(was["Pit"], F.lit(False)), F.coalesce(F.col("Compound") != was["Compound"], F.lit(False))
     d = d.select(*kk, "LapNumber", "Stint", "TyreLife", "Compound", "_was", pit.alias("_pit"), moved.alias("_moved"),
                  (pit | moved).cast("int").alias("_cut"))
-    d = scan.running(d, kk, "LapNumber", "_cut", "sum", "_cuts", width)
+    d = scan.running(d, kk, "LapNumber", "_cut", "sum", "_cuts", width, tasks=tasks)
     pit, other, same = F.col("_pit"), F.col("Stint") != was["Stint"], F.col("Stint") == was["Stint"]
     rules = [(~pit & other, "stint change without pit stop"), (pit & same, "pit stop without stint change"),
              (~pit & F.col("_moved"), "compound change without pit stop"),
@@ -228,7 +229,8 @@ def pit_durations(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session",
     base = df
     for c in (*kk, "LapNumber"):
         base = base.where(F.col(c).isNotNull())
-    d = scan.lead(base.select(*kk, "LapNumber", "PitInTime", "PitOutTime"), kk, "LapNumber", "PitOutTime", "_next", width)
+    d = scan.lead(base.select(*kk, "LapNumber", "PitInTime", "PitOutTime"), kk, "LapNumber", "PitOutTime", "_next", width,
+                  scan.tasks_for(df))
     out = F.when(F.col("PitOutTime") >= F.col("PitInTime"), F.col("PitOutTime")).otherwise(F.col("_next"))
     stops = d.where(F.col("PitInTime").isNotNull()).select(*kk, "LapNumber", "PitInTime", out.alias("ExitTime"))
     took = F.col("ExitTime") - F.col("PitInTime")
