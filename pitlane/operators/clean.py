@@ -45,9 +45,9 @@ def session_fastest(df: DataFrame, keys: Sequence[str] = SESSION_KEYS,
     return null_safe_join(df, F.broadcast(mins), list(keys), "left")
 
 
-def delta_to_fastest(df: DataFrame, keys: Sequence[str] = SESSION_KEYS) -> DataFrame:
-    """C4: FastestLapTime per session and DeltaToFastest = LapTime - FastestLapTime."""
-    return session_fastest(df, keys).withColumn("DeltaToFastest", F.col("LapTime") - F.col("FastestLapTime"))
+def delta_to_fastest(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, source: DataFrame | None = None) -> DataFrame:
+    """C4: FastestLapTime per session (of ``source``, if given) and DeltaToFastest = LapTime - FastestLapTime."""
+    return session_fastest(df, keys, source=source).withColumn("DeltaToFastest", F.col("LapTime") - F.col("FastestLapTime"))
 
 
 def dedup_laps(df: DataFrame, keys: Sequence[str] = LAP_KEYS,
@@ -65,12 +65,16 @@ def dedup_laps(df: DataFrame, keys: Sequence[str] = LAP_KEYS,
 
 
 def silver_laps(df: DataFrame, tolerance: float = 0.1) -> DataFrame:
-    """C1 -> C2 -> C3 -> C4 -> C5, the reference's silver layer."""
-    return (df.transform(silver_filter)
+    """C1 to C5, the reference's silver layer.
+
+    Copies go (C5) before C2 to C4 add their columns, so that those aren't shuffled: they
+    follow from a row and its session's fastest lap, which no copy changes.
+    """
+    kept = silver_filter(df)
+    return (kept.transform(dedup_laps)
             .transform(sector_mismatch, tolerance)
             .transform(compound_std)
-            .transform(delta_to_fastest)
-            .transform(dedup_laps))
+            .transform(delta_to_fastest, source=kept))
 
 
 def valid_laps(df: DataFrame, need_compound: bool = False, need_age: bool = False,
