@@ -185,29 +185,61 @@ def rolling_mean(df: DataFrame, group: Sequence[str], order: Sequence[str], valu
     return u.where(~F.col("_halo")).drop("_sb", "_halo").select(*df.columns, name)
 
 
-def history(df: DataFrame, group: Sequence[str], order: str, value: str, width: float = DEFAULT_WIDTH,
-            tasks: int | None = None) -> DataFrame:
-    """Add ``_min`` (running minimum of ``value``), ``_p1`` and ``_p2`` (its values one and two rows
-    before) and ``_last`` (the group's largest ``order``) in one bucketed pass.
+def keyed(df: DataFrame, group: Sequence[str], order: str, width: float = DEFAULT_WIDTH) -> DataFrame:
+    """``df`` with its group ``_g`` and bucket ``_sb``."""
+    return df.withColumn("_g", deal_key(df, group)).withColumn("_sb", _bucket(order, width))
 
-    One aggregate per bucket, one window over the small bucket table, one join back,
-    and one window inside the buckets.  ``tasks`` as in ``running``.
-    """
-    d = df.withColumn("_g", deal_key(df, group)).withColumn("_sb", _bucket(order, width))
+
+def carry(df: DataFrame, group: Sequence[str], order: str, value: str, width: float = DEFAULT_WIDTH) -> DataFrame:
+    """One row per group and bucket with what ``past`` needs of the rows before: ``_prev``, ``_halo``, and ``_last``."""
     newest = F.slice(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))), asc=False), 1, 2)
-    tot = d.groupBy("_g", "_sb").agg(F.min(value).alias("_bmin"), F.max(order).alias("_bmax"), newest.alias("_tail"))
+    tot = keyed(df, group, order, width).groupBy("_g", "_sb").agg(
+        F.min(value).alias("_bmin"), F.max(order).alias("_bmax"), newest.alias("_tail"))
     all_ = Window.partitionBy("_g")
     by = all_.orderBy("_sb")
-    carried = tot.select(
+    return tot.select(
         "_g", "_sb", F.max("_bmax").over(all_).alias("_last"),
         F.min("_bmin").over(by.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev"),
         # the two rows before a bucket lie in the two buckets before it
         F.sort_array(F.flatten(F.collect_list("_tail").over(by.rowsBetween(-2, -1))), asc=False).alias("_halo"))
+
+
+def carry_places(df: DataFrame, group: Sequence[str], part: str, order: str, width: float = DEFAULT_WIDTH) -> DataFrame:
+    """Per group and bucket ``_parts``: (value ``p`` of ``part``, number ``o`` of its rows in the group's buckets before).
+
+    Only values that have such rows are listed; a bucket without any has no row.
+    """
+    tot = keyed(df.where(F.col(part).isNotNull()), group, order, width).groupBy("_g", "_sb", part).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_g", part).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
+    return tot.withColumn("_o", F.sum("_n").over(before)).where(F.col("_o").isNotNull()).groupBy("_g", "_sb").agg(
+        F.collect_list(F.struct(F.col(part).alias("p"), F.col("_o").alias("o"))).alias("_parts"))
+
+
+def past(d: DataFrame, carried: DataFrame, order: str, value: str) -> DataFrame:
+    """``_min``, ``_p1``, ``_p2`` and ``_last`` (see ``history``) for ``keyed`` rows, from ``carry``'s table."""
     inside = Window.partitionBy("_g", "_sb").orderBy(order)
     n, v = F.row_number().over(inside), F.col(value)
     halo = lambda i: F.get("_halo", F.lit(i))["v"]
-    out = deal(d, tasks_for(df) if tasks is None else tasks, "_g", "_sb").join(carried, ["_g", "_sb"]).withColumns({
+    return d.join(carried, ["_g", "_sb"]).withColumns({
         "_min": F.least(F.min(v).over(inside.rowsBetween(Window.unboundedPreceding, 0)), F.col("_prev")),
         "_p1": F.when(n >= 2, F.lag(v, 1).over(inside)).otherwise(halo(0)),
-        "_p2": F.when(n >= 3, F.lag(v, 2).over(inside)).when(n == 2, halo(0)).otherwise(halo(1))})
-    return out.drop("_g", "_sb", "_prev", "_halo")
+        "_p2": F.when(n >= 3, F.lag(v, 2).over(inside)).when(n == 2, halo(0)).otherwise(halo(1))}).drop("_prev", "_halo")
+
+
+def place(d: DataFrame, part: str, order: str, name: str) -> DataFrame:
+    """Add ``name``: a row's 1-based place among those of its group and ``part`` (NULL if that is), from ``carry_places``."""
+    inside = Window.partitionBy("_g", "_sb", part).orderBy(order)
+    before = F.get(F.filter("_parts", lambda x: x["p"] == F.col(part)), F.lit(0))["o"]
+    return d.withColumn(name, F.when(F.col(part).isNotNull(), F.row_number().over(inside) + F.coalesce(before, F.lit(0)))).drop("_parts")
+
+
+def history(df: DataFrame, group: Sequence[str], order: str, value: str, width: float = DEFAULT_WIDTH,
+            tasks: int | None = None) -> DataFrame:
+    """Add ``_min`` (running minimum of ``value``), ``_p1`` and ``_p2`` (its values one and two rows
+    before) and ``_last`` (the group's largest ``order``) in one bucketed pass.
+
+    One aggregate per bucket, one window over the small bucket table, one join back,
+    and one window inside the buckets.  ``tasks`` as in ``running``.
+    """
+    d = deal(keyed(df, group, order, width), tasks_for(df) if tasks is None else tasks, "_g", "_sb")
+    return past(d, carry(df, group, order, value, width), order, value).drop("_g", "_sb")
