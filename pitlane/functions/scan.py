@@ -25,7 +25,7 @@ total order; every scan here then works on those ranges instead.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +35,8 @@ from pitlane.session import scratch_path
 DEFAULT_WIDTH = 256.0
 #: Rows of one task of a scan.
 TASK_ROWS = 250_000
+#: ``by_frequency`` looks at so many rows per ``TASK_ROWS``; a key seen this often among them has some 16,000 rows or more.
+SAMPLED, FREQUENT = 256, 16
 #: Columns of a ranged frame: the range, and what orders rows of one group and order value.
 RANGE, TIES = "_range", ("_tie", "_id")
 
@@ -54,6 +56,25 @@ def deal(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
     return df.repartition(tasks, *keys) if tasks else df
 
 
+def by_frequency(df: DataFrame, key: Column, fold: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
+    """``fold`` of the rows of ``df``, which have ``key`` as ``_k``: rare keys dealt over tasks by ``_k``, frequent ones apart.
+
+    ``fold`` gets rows and whether they are dealt: then a key's rows lie in one task, few enough
+    for it, and grouping by ``_k`` shuffles nothing more.  The rows of frequent keys, as a sample
+    shows them, stay where they are, so that Spark folds them before it shuffles.  The sample
+    decides only where a key is folded; every row is.  Rows that one task holds aren't dealt.
+    """
+    d, tasks = df.withColumn("_k", key), tasks_for(df)
+    if not tasks:
+        return fold(d, False)
+    seen = d.select("_k").where(F.rand(0) * TASK_ROWS < SAMPLED).groupBy("_k").count()
+    frequent = seen.where(F.col("count") >= FREQUENT).select("_k").collect()  # one of 16,000 rows at most
+    if not frequent:
+        return fold(deal(d, tasks, "_k"), True)
+    few = F.broadcast(df.sparkSession.createDataFrame(frequent, d.select("_k").schema))
+    return fold(deal(d.join(few, "_k", "left_anti"), tasks, "_k"), True).unionByName(fold(d.join(few, "_k", "left_semi"), False))
+
+
 def _bucket(order: str, width: float) -> Column:
     return F.coalesce(F.floor(F.col(order) / F.lit(float(width))), F.lit(-(1 << 62)))
 

@@ -117,6 +117,23 @@ def grouped_stats(df: DataFrame, keys: Sequence[str], value: str | Column, probs
     return done.select(*keys, *out)
 
 
+def small_group_stats(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float],
+                      aggs: Mapping[str, tuple[str, str | None]]) -> DataFrame:
+    """What ``grouped_stats`` finds, where a task holds a group's values: they are sorted there, and rows dealt by ``keys`` aren't shuffled.
+
+    ``aggs`` are of the kinds rows and count.
+    """
+    kinds = {"rows": lambda _: F.count(F.lit(1)), "count": F.count}
+    found = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.col(value).cast("double"))).alias("_vals"),
+                                  *[kinds[kind](c).alias(name) for name, (kind, c) in aggs.items()])
+    out = []
+    for name, p in probs.items():
+        pos = F.lit(float(p)) * (F.size("_vals") - 1)
+        a, b = F.get("_vals", F.floor(pos).cast("int")), F.get("_vals", F.ceil(pos).cast("int"))
+        out.append((a + (b - a) * (pos - F.floor(pos))).alias(name))
+    return found.select(*keys, *out, *aggs)
+
+
 def group_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column, probs: Mapping[str, float],
                     **kw) -> DataFrame:
     """Exact quantiles of ``value`` per ``keys``: one row per group with at least one value."""

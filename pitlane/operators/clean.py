@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitlane.functions import scan
 from pitlane.functions.scalar import KNOWN_COMPOUNDS
 from pitlane.functions.stats import null_safe_join
 
@@ -51,27 +52,37 @@ def delta_to_fastest(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, source:
 
 
 def dedup_laps(df: DataFrame, keys: Sequence[str] = LAP_KEYS,
-               order: Sequence[str] = ("LapTime", "Compound", "TyreLife")) -> DataFrame:
+               order: Sequence[str] = ("LapTime", "Compound", "TyreLife"), lazy: bool = False) -> DataFrame:
     """One row per lap key; keeps the row first by ``order`` (then by all columns).
 
     An aggregate (min over a struct led by the order columns) instead of a
-    window: copies are folded map-side, so even a key repeated across a third of
-    the input never lands whole in one task, and the kept row is repeatable.
+    window: copies of a frequent key are folded map-side, so even a key repeated across a
+    third of the input never lands whole in one task, and the kept row is repeatable.
+    Laps of other keys are dealt over tasks that follow their number; ``lazy`` doesn't count
+    them and leaves that to the shuffle partitions.
     """
     keys = list(keys)
     rest = [c for c in order if c not in keys] + [c for c in df.columns if c not in keys and c not in order]
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("_keep"))
+    kinds = dict(df.dtypes)
+    # -0.0 + 0.0 is 0.0, the same key
+    key = F.xxhash64(*[F.col(k) + F.lit(0.0) if kinds[k] in ("double", "float") else F.col(k) for k in keys])
+
+    def fold(rows: DataFrame, dealt: bool) -> DataFrame:
+        by = ["_k", *keys] if dealt else keys
+        return rows.groupBy(*by).agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("_keep")).select(*keys, "_keep")
+
+    picked = fold(df, False) if lazy else scan.by_frequency(df, key, fold)
     return picked.select(*[F.col(k) for k in keys], *[F.col(f"_keep.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
-def silver_laps(df: DataFrame, tolerance: float = 0.1) -> DataFrame:
-    """C1 to C5, the reference's silver layer.
+def silver_laps(df: DataFrame, tolerance: float = 0.1, lazy: bool = False) -> DataFrame:
+    """C1 to C5, the reference's silver layer; ``lazy`` as in ``dedup_laps``.
 
     Copies go (C5) before C2 to C4 add their columns, so that those aren't shuffled: they
     follow from a row and its session's fastest lap, which no copy changes.
     """
     kept = silver_filter(df)
-    return (kept.transform(dedup_laps)
+    return (kept.transform(dedup_laps, lazy=lazy)
             .transform(sector_mismatch, tolerance)
             .transform(compound_std)
             .transform(delta_to_fastest, source=kept))

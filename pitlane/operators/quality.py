@@ -16,7 +16,7 @@ from pyspark.sql.types import (
 )
 
 from pitlane.functions import scan
-from pitlane.functions.stats import grouped_stats, null_safe_join
+from pitlane.functions.stats import grouped_stats, null_safe_join, small_group_stats
 from pitlane.schema import LAP_RULES, LAP_RULES_EXCLUSIVE_LO, TELEMETRY_RULES
 
 _TYPES = {
@@ -125,13 +125,18 @@ def lap_outliers(df: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session", "
     for c in kk:
         base = base.where(F.col(c).isNotNull())
     clean_lap = F.col("IsAccurate") & F.col("PitInTime").isNull()
-    marked = base.select(*kk, F.when(clean_lap, F.col("LapTime")).alias("_time"), F.when(clean_lap, 1).alias("_ok"))
-    q = grouped_stats(marked, kk, "_time", {"_q1": 0.25, "_q3": 0.75}, {"_rows": ("rows", None), "_clean": ("count", "_ok")})
-    bounds = q.where((F.col("_rows") >= min_laps) & (F.col("_clean") >= min_laps)).select(
-        *kk, (F.col("_q1") - F.lit(k) * (F.col("_q3") - F.col("_q1"))).alias("_lo"),
-        (F.col("_q3") + F.lit(k) * (F.col("_q3") - F.col("_q1"))).alias("_hi"))
-    judged = base.select(*kk, "LapNumber", "LapTime").join(bounds, kk)
-    return judged.where((F.col("LapTime") < F.col("_lo")) | (F.col("LapTime") > F.col("_hi"))).drop("_lo", "_hi")
+
+    def judge(rows: DataFrame, dealt: bool) -> DataFrame:
+        stats, by = (small_group_stats, ["_k"]) if dealt else (grouped_stats, kk)
+        marked = rows.select(*by, F.when(clean_lap, F.col("LapTime")).alias("_time"), F.when(clean_lap, 1).alias("_ok"))
+        q = stats(marked, by, "_time", {"_q1": 0.25, "_q3": 0.75}, {"_rows": ("rows", None), "_clean": ("count", "_ok")})
+        bounds = q.where((F.col("_rows") >= min_laps) & (F.col("_clean") >= min_laps)).select(
+            *by, (F.col("_q1") - F.lit(k) * (F.col("_q3") - F.col("_q1"))).alias("_lo"),
+            (F.col("_q3") + F.lit(k) * (F.col("_q3") - F.col("_q1"))).alias("_hi"))
+        judged = rows.select(*dict.fromkeys([*by, *kk]), "LapNumber", "LapTime").join(bounds, by)
+        return judged.where((F.col("LapTime") < F.col("_lo")) | (F.col("LapTime") > F.col("_hi"))).select(*kk, "LapNumber", "LapTime")
+
+    return scan.by_frequency(base, scan.deal_key(base, kk), judge)
 
 
 def outlier_counts(outliers: DataFrame, keys: Sequence[str] = ("GrandPrix", "Session", "Driver")) -> DataFrame:

@@ -32,5 +32,5 @@ class Medallion:
 def medallion(laps_raw: DataFrame, source: str = DEFAULT_RECORD_SOURCE) -> Medallion:
     obs = {"bronze": Observation("bronze"), "silver": Observation("silver")}
     bronze = bronze_laps(laps_raw, source).observe(obs["bronze"], F.count(F.lit(1)).alias("rows"))
-    silver = clean.silver_laps(bronze).observe(obs["silver"], F.count(F.lit(1)).alias("rows"))
+    silver = clean.silver_laps(bronze, lazy=True).observe(obs["silver"], F.count(F.lit(1)).alias("rows"))
     return Medallion(bronze, silver, gold.driver_stats(silver), obs)
